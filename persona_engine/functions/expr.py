@@ -100,3 +100,17 @@ def std_normal(seed, salt: str, key) -> Column:
     u1 = hash_unit(seed, salt + ":n1", key)
     u2 = hash_unit(seed, salt + ":n2", key)
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)
+
+
+def half_even_div(x, d: int) -> Column:
+    """Integer x / d rounded half-to-even, exactly (x long, d > 0); null stays null."""
+    x = col(x).cast("long")
+    r = F.pmod(x, F.lit(d))
+    q = ((x - r) / F.lit(d)).cast("long")
+    up = F.when(r * 2 > d, 1).when((r * 2 == d) & (F.pmod(q, F.lit(2)) == 1), 1).otherwise(0)
+    return q + up
+
+
+def cents(x) -> Column:
+    """Money double with ≤ 2 decimals → exact integer cents."""
+    return F.round(col(x) * 100).cast("long")

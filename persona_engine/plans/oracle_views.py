@@ -46,7 +46,7 @@ VIEW_SQL: dict[str, tuple[list[str], str]] = {
         l.l_extendedprice * l.l_discount AS price_discount,
         CAST(round(l.l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l.l_discount * 100) AS BIGINT)) AS net_units,
         CAST(round(l.l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l.l_discount * 100) AS BIGINT)) / 10000.0 AS net_amount,
-        l.l_extendedprice * l.l_tax AS tax_amount,
+        l.l_extendedprice * l.l_tax AS tax_amount, l.l_tax AS tax_rate, l.l_discount AS l_discount_rate,
         l.l_returnflag AS return_flag, l.l_linestatus AS line_status,
         o.o_orderstatus AS order_status, o.o_orderpriority AS order_priority
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
@@ -160,3 +160,10 @@ def py_float_sql(x: str) -> str:
     fixed6 = f"regexp_replace(printf('%.6f', {x}), '0+$', '')"
     return (f"(CASE WHEN abs({x}) >= 1e7 THEN (CASE WHEN {fixed6} LIKE '%.' THEN {fixed6} || '0' ELSE {fixed6} END)"
             f" ELSE CAST({x} AS VARCHAR) END)")
+
+
+def half_even_sql(x: str, d: int) -> str:
+    """SQL twin of expr.half_even_div."""
+    r = f"((({x}) % {d} + {d}) % {d})"
+    q = f"((({x}) - {r}) // {d})"
+    return (f"({q} + CASE WHEN {r} * 2 > {d} THEN 1 WHEN {r} * 2 = {d} AND ({q} % 2 + 2) % 2 = 1 THEN 1 ELSE 0 END)")

@@ -96,6 +96,8 @@ def purchase_lines(src: Sources) -> DataFrame:
         units.alias("net_units"),
         (units / F.lit(10000.0)).alias("net_amount"),
         (base * F.col("l_tax")).alias("tax_amount"),
+        F.col("l_tax").alias("tax_rate"),
+        F.col("l_discount").alias("l_discount_rate"),
         F.col("l_returnflag").alias("return_flag"),
         F.col("l_linestatus").alias("line_status"),
         F.col("o_orderstatus").alias("order_status"),
