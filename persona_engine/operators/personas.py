@@ -149,9 +149,89 @@ def fill_by_type(df: DataFrame) -> DataFrame:
     return df.na.fill(0.0).na.fill("")
 
 
-def rows_to_json(df: DataFrame, group: str, order: str) -> DataFrame:
+def rows_to_json(df: DataFrame, group: str, order: str, cols: list[str] | None = None) -> DataFrame:
     """Each row → JSON record; records collected per group (bounded groups only, e.g. D2 samples)."""
-    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    rec = F.to_json(F.struct(*[F.col(c) for c in (cols or df.columns)]))
     return (df.select(group, order, rec.alias("record"))
             .groupBy(group).agg(F.sort_array(F.collect_list(F.struct(order, "record"))).alias("_r"))
             .select(group, F.transform("_r", lambda x: x["record"]).alias("records")))
+
+
+PROFILE_FIELDS = ["cluster_id", "size", "avg_age", "gender_ratio_male", "avg_ltv", "avg_retention",
+                  "avg_purchase_count", "avg_premium_count", "repurchase_rate", "health_app_rate", "wallet_rate",
+                  "smartthings_rate", "avg_game_ratio", "avg_social_ratio", "avg_daily_usage_min", "top_region"]
+INT_FIELDS = {"cluster_id", "size"}
+
+
+def json_text(c) -> F.Column:
+    """JSON string literal of a text column (backslash and quote escaped)."""
+    x = F.replace(F.replace(F.col(c) if isinstance(c, str) else c, F.lit("\\"), F.lit("\\\\")),
+                  F.lit('"'), F.lit('\\"'))
+    return F.concat(F.lit('"'), x, F.lit('"'))
+
+
+def stats_json(df: DataFrame) -> F.Column:
+    """The statistics row as indented JSON text (2-space indent, Python float text)."""
+    parts = []
+    for f in PROFILE_FIELDS:
+        if f in INT_FIELDS:
+            v = F.col(f).cast("string")
+        elif f == "top_region":
+            v = json_text(f)
+        else:
+            v = py_float_text(f)
+        parts.append(F.concat(F.lit(f'  "{f}": '), v))
+    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit("\n}"))
+
+
+def profile_prompt(stats: DataFrame) -> DataFrame:
+    """Parameterised profile prompt per cluster (statistics JSON + target scores)."""
+    sc = persona_scores(stats)
+    body = F.concat(
+        F.lit("Cluster statistics:\n"), stats_json(sc),
+        F.lit("\n\nReturn one JSON object with persona_name, persona_name_en, age_range, description, "
+              "key_characteristics, preferred_channel, keywords, interests, segment_tags and these values: "
+              "cluster_id="), F.col("cluster_id").cast("string"),
+        F.lit(", purchase_intent="), py_float_text("purchase_intent"),
+        F.lit(", brand_attitude="), py_float_text("brand_attitude"),
+        F.lit(", marketing_acceptance="), py_float_text("marketing_acceptance"),
+        F.lit(", future_value="), py_float_text("future_value"),
+        F.lit(", churn_risk="), py_float_text("churn_risk"),
+        F.lit(", size="), F.col("size").cast("string"))
+    return sc.select("cluster_id", body.alias("prompt"))
+
+
+PROFILE_SCHEMA = ("struct<persona_name:string,persona_name_en:string,age_range:string,description:string,"
+                  "key_characteristics:array<string>,preferred_channel:string,keywords:array<string>,"
+                  "interests:array<string>,segment_tags:array<string>>")
+STORY_SCHEMA = "array<struct<index:long,name:string,job:string,personality:string,samsung_experience:string>>"
+
+
+def profile_via_responder(stats: DataFrame, factory) -> DataFrame:
+    """Model profile when the responder returns valid JSON, else the rule-based persona."""
+    from persona_engine.operators.responder import run_responder
+    prompts = profile_prompt(stats)
+    out = run_responder(prompts, ["cluster_id"], "prompt", factory)
+    parsed = out.select("cluster_id", "error", F.from_json(F.regexp_extract("raw", r"(?s)\{.*\}", 0),
+                                                           PROFILE_SCHEMA).alias("m"))
+    base = personas(stats).join(parsed, "cluster_id", "left")
+    ok = F.col("m.persona_name").isNotNull()
+    cols = {c: F.when(ok, F.col(f"m.{c}")).otherwise(F.col(c)) for c in
+            ["persona_name", "persona_name_en", "age_range", "description", "key_characteristics",
+             "preferred_channel", "keywords", "interests", "segment_tags"]}
+    return base.withColumns(cols).withColumn("source", F.when(ok, "model").otherwise("fallback")).drop("m")
+
+
+def individual_stories(samples: DataFrame, factory, cols: list[str]) -> DataFrame:
+    """≤3 sampled customers per cluster → story prompt → parsed stories (empty on failure)."""
+    from persona_engine.operators.responder import run_responder
+    recs = rows_to_json(fill_by_type(samples.select("persona_cluster", "sample_rank", *cols)),
+                        "persona_cluster", "sample_rank", cols)
+    prompts = recs.select(F.col("persona_cluster").alias("cluster_id"),
+                          F.concat(F.lit("Customer rows:\n["), F.array_join("records", ",\n"),
+                                   F.lit("]\nReturn a JSON array of {index, name, job, personality, "
+                                         "samsung_experience}.")).alias("prompt"))
+    out = run_responder(prompts, ["cluster_id"], "prompt", factory)
+    stories = F.coalesce(F.from_json(F.regexp_extract("raw", r"(?s)\[.*\]", 0), STORY_SCHEMA),
+                         F.array().cast(STORY_SCHEMA))
+    return out.select("cluster_id", stories.alias("individual_stories"), "error")
