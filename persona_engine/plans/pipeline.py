@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ class Segmentation:
 
 
 def encoded_customers(src: Sources, checkpoint: bool = True):
-    enc, cols = fe.encode_all(views.customers(src))
+    enc, cols = fe.encode_all(views.customers(src), views.region_values(src))
     cols = fe.numeric_columns(enc, cols)
     if checkpoint:
         enc = materialize(enc)
@@ -59,7 +60,9 @@ def segment(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
     n = enc.count()
     k = sg.clamp_k(n, n_personas)
     medians, moments = fit_scaling(enc, cols, n)
-    z = enc.select("*", *fe.scale_exprs(medians, moments, Z))
+    # the standardised table is rescanned by every Lloyd iteration: keep it in
+    # memory (spilling to disk), as an iterative fit over a cached input
+    z = enc.select("*", *fe.scale_exprs(medians, moments, Z)).persist(StorageLevel.MEMORY_AND_DISK)
     zc = [Z + c for c in cols]
     cents, hist = sg.lloyd_kmeans(z, zc, k, seed, n_iter)
     labelled = sg.assign_nearest(z, zc, cents)

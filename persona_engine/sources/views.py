@@ -26,10 +26,23 @@ from persona_engine.sources.tables import Sources, scalar
 
 
 def order_date_bounds(src: Sources) -> tuple:
-    """(min, max) order date — two fitted scalars from one global aggregate."""
-    row = src.orders.agg(F.min(F.to_date("o_orderdate")).alias("lo"),
-                         F.max(F.to_date("o_orderdate")).alias("hi")).first()
-    return row["lo"], row["hi"]
+    """(min, max) order date — two fitted scalars from one global aggregate (computed once per source)."""
+    key = "_order_date_bounds"
+    if key not in src.__dict__:
+        row = src.orders.agg(F.min(F.to_date("o_orderdate")).alias("lo"),
+                             F.max(F.to_date("o_orderdate")).alias("hi")).first()
+        src.__dict__[key] = (row["lo"], row["hi"])
+    return src.__dict__[key]
+
+
+def region_values(src: Sources) -> list:
+    """Distinct customer regions (one-hot domain) from the small customer⋈nation⋈region join."""
+    geo = (src.customer.select("c_nationkey")
+           .join(F.broadcast(src.nation.select("n_nationkey", "n_regionkey")),
+                 F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(F.broadcast(src.region.select("r_regionkey", "r_name")),
+                 F.col("n_regionkey") == F.col("r_regionkey")))
+    return sorted(r[0] for r in geo.select("r_name").where(F.col("r_name").isNotNull()).distinct().collect())
 
 
 def last_order_by_customer(src: Sources) -> DataFrame:
