@@ -117,3 +117,23 @@ def answers_long(parsed: DataFrame) -> DataFrame:
                     F.col("a.question_id").alias("question_id"), F.col("a.selected_option").alias("selected_option"),
                     F.col("a.rationale").alias("rationale"), F.col("a.integrity_score").alias("integrity_score"),
                     F.array_join(F.col("a.cot"), "|").alias("cot"))
+
+
+def require_non_empty(df: DataFrame, what: str) -> DataFrame:
+    """Reject an empty personas / questions input before any work is scheduled."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty")
+    return df
+
+
+def run_simulation(personas: DataFrame, questions: DataFrame, key: str, factory,
+                   batch_size: int = fixed.DEFAULT_BATCH_SIZE, project_name: str = "",
+                   project_purpose: str = "") -> tuple[DataFrame, DataFrame]:
+    """I1–I5 end to end: prompts → responder → parse → route, plus progress rows."""
+    from persona_engine.operators.responder import run_responder
+    require_non_empty(personas, "personas")
+    require_non_empty(questions, "questions")
+    prompts = build_prompts(personas, questions, key, project_name, project_purpose)
+    raw = run_responder(prompts, ["persona_id"], "prompt", factory)
+    events = route(parse_answers(raw.join(personas, "persona_id")))
+    return events, progress(personas, [key], batch_size)

@@ -40,23 +40,28 @@ class Segmentation:
         return [Z + c for c in self.feature_cols]
 
 
-def encoded_customers(src: Sources, checkpoint: bool = True):
-    enc, cols = fe.encode_all(views.customers(src), views.region_values(src))
+def encode_table(df: DataFrame, regions: list | None = None, checkpoint: bool = True):
+    """Encode a customer-shaped table and (optionally) cut its lineage."""
+    enc, cols = fe.encode_all(df, regions)
     cols = fe.numeric_columns(enc, cols)
     if checkpoint:
         enc = materialize(enc)
     return enc, cols
 
 
+def encoded_customers(src: Sources, checkpoint: bool = True):
+    return encode_table(views.customers(src), views.region_values(src), checkpoint)
+
+
 def fit_scaling(enc: DataFrame, cols: list, n_rows: int):
     medians = fe.fit_medians(enc, cols, n_rows)
     moments = fe.fit_moments(fe.impute(enc.select(*cols), medians), cols)
     return medians, moments
 
 
-def segment(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
-            checkpoint: bool = True) -> Segmentation:
-    enc, cols = encoded_customers(src, checkpoint)
+def segment_table(enc: DataFrame, cols: list, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
+                  id_col: str = "cust_id") -> Segmentation:
+    """Median-impute, standardise and run the seeded K-Means on an encoded table."""
     n = enc.count()
     k = sg.clamp_k(n, n_personas)
     medians, moments = fit_scaling(enc, cols, n)
@@ -64,11 +69,17 @@ def segment(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
     # memory (spilling to disk), as an iterative fit over a cached input
     z = enc.select("*", *fe.scale_exprs(medians, moments, Z)).persist(StorageLevel.MEMORY_AND_DISK)
     zc = [Z + c for c in cols]
-    cents, hist = sg.lloyd_kmeans(z, zc, k, seed, n_iter)
+    cents, hist = sg.lloyd_kmeans(z, zc, k, seed, n_iter, id_col)
     labelled = sg.assign_nearest(z, zc, cents)
     return Segmentation(enc, labelled, cols, {"medians": medians, "moments": moments}, cents, k, hist)
 
 
+def segment(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
+            checkpoint: bool = True) -> Segmentation:
+    enc, cols = encoded_customers(src, checkpoint)
+    return segment_table(enc, cols, n_personas, seed, n_iter)
+
+
 def stats_frame(seg: Segmentation, stats_on: str = "raw") -> DataFrame:
     if stats_on == "scaled":
         base = [c for c in seg.labelled.columns if c not in seg.feature_cols]
@@ -82,3 +93,50 @@ def persona_table(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int
                   stats_on: str = "raw") -> DataFrame:
     seg = segment(src, n_personas, seed, n_iter)
     return pe.personas(stats_frame(seg, stats_on))
+
+
+def run_pipeline(spark, cfg, responder_factory=None) -> dict:
+    """End-to-end job: fit marginals on the sources → synthetic population →
+    features → segments → personas, with parquet / JSON sinks (A3, A4, A6).
+
+    Every stage is written to ``cfg.output_dir`` and re-read, so each later
+    stage starts from files (a lost executor re-reads them, it does not re-run
+    upstream stages). The clustered table is partitioned by cluster for
+    partition-pruned drill-downs.
+    """
+    from persona_engine.operators import responder as rp
+    from persona_engine.operators import synth as sy
+    from persona_engine.sources.tables import metadata_frame, write_json, write_parquet
+
+    out = cfg.output_dir.rstrip("/")
+    src = Sources(spark, cfg.source_dir)
+    params = sy.fit(views.demo(src), views.clv(src), src.events, views.interests(src))
+    syn_path = write_parquet(sy.synth_population(spark, cfg.n_synthetic_customers, params, cfg.random_state),
+                             f"{out}/synthetic_customers.parquet")
+    syn = spark.read.parquet(syn_path)
+    enc, cols = encode_table(syn, checkpoint=False)
+    seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.max_iter, id_col="index")
+    feat_path = write_parquet(seg.labelled.drop("persona_cluster", "sq_dist"), f"{out}/features.parquet")
+    proj = sg.pca_projection(seg.labelled.select("index", "persona_cluster", *seg.z_cols), seg.z_cols,
+                             keep=["index", "persona_cluster"])
+    clustered = seg.labelled.join(proj.select("index", F.col("x").alias("proj_x"), F.col("y").alias("proj_y")),
+                                  "index")
+    clu_path = write_parquet(clustered, f"{out}/clustered_customers.parquet", partition_by=["persona_cluster"])
+    clu = spark.read.parquet(clu_path)
+    stats = stats_frame(Segmentation(seg.encoded, clu, seg.feature_cols, seg.params, seg.centroids, seg.k,
+                                     seg.history), cfg.stats_on)
+    factory = responder_factory or rp.NoModelResponder
+    personas = pe.profile_via_responder(stats, factory)
+    samples = pe.cluster_sample(clu, cfg.stories_per_cluster, cfg.random_state, id_col="index")
+    stories = pe.individual_stories(samples, factory, ["index", "usr_gndr", "usr_age", "pchs_cnt"])
+    full = personas.join(stories.select("cluster_id", "individual_stories"), "cluster_id", "left") \
+        .orderBy("cluster_id")
+    per_path = write_json(full.coalesce(1), f"{out}/personas.json")
+    n_generated = spark.read.json(per_path).count()
+    meta = {"status": "success", "random_state": cfg.random_state,
+            "n_synthetic_customers": cfg.n_synthetic_customers, "n_personas_requested": cfg.n_personas,
+            "n_personas_generated": n_generated,
+            "outputs": {"synthetic_data": syn_path, "features": feat_path, "clustered_data": clu_path,
+                        "personas": per_path}}
+    metadata_frame(spark, meta).coalesce(1).write.mode("overwrite").json(f"{out}/pipeline_metadata.json")
+    return meta
