@@ -167,7 +167,7 @@ def q_feature_matrix(src):
     return fe.to_long(z, "cust_id", cols)
 
 
-@register("median_impute", with_views(["imp", "med"], """SELECT i.cust_id, i.feature, round_even(i.value, 6) AS value
+@register("median_impute", with_views(["imp", "med"], """SELECT i.cust_id, i.feature, i.value
     FROM imp i WHERE i.feature IN ('app_game_ratio', 'app_social_ratio', 'app_samsung_ratio', 'avg_daily_usage_min',
     'ltv_r', 'val_p', 'retention_score')"""))
 def q_median_impute(src):
@@ -176,7 +176,8 @@ def q_median_impute(src):
     gap = ["app_game_ratio", "app_social_ratio", "app_samsung_ratio", "avg_daily_usage_min",
            "ltv_r", "val_p", "retention_score"]
     med = fe.fit_medians(enc, gap)
-    return fe.to_long(fe.impute(enc.select("cust_id", *gap), med), "cust_id", gap)
+    # values are exact quotients of integer sums (or medians of them): no rounding needed
+    return fe.to_long(fe.impute(enc.select("cust_id", *gap), med), "cust_id", gap, digits=None)
 
 
 @register("standardize", with_views(["mom"], """SELECT feature, round_even(mu, 3) AS mean,
