@@ -79,27 +79,42 @@ def py_float_text(c) -> Column:
     return F.when(big, fixed).otherwise(x.cast("string"))
 
 
+def _sq(s) -> str:
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _key_sql(key) -> str:
+    if not isinstance(key, str):
+        raise TypeError("hash draws take a column name")
+    return f"CAST(`{key}` AS STRING)"
+
+
+def hash_unit_sql(seed, salt: str, key: str) -> str:
+    h = f"md5(concat_ws(':', {_sq(seed)}, {_sq(salt)}, {_key_sql(key)}))"
+    return f"((CAST(conv(substring({h}, 1, 8), 16, 10) AS DOUBLE) + 0.5D) / 4294967296.0D)"
+
+
 def hash_unit(seed, salt: str, key) -> Column:
     """Deterministic uniform in (0, 1) from md5('seed:salt:key').
 
     A pure function of (seed, salt, key): the draw does not depend on the
     partitioning or the task that computes it, so retries and speculative
-    tasks reproduce it exactly.
+    tasks reproduce it exactly. Built as one SQL expression (cheap to plan even
+    when a table needs dozens of draws).
     """
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(salt), col(key).cast("string")))
-    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(4294967296.0)
+    return F.expr(hash_unit_sql(seed, salt, key))
 
 
 def hash_order(seed, salt: str, key) -> Column:
     """Deterministic sort key (md5 hex) for seeded sampling / shuffling."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(salt), col(key).cast("string")))
+    return F.expr(f"md5(concat_ws(':', {_sq(seed)}, {_sq(salt)}, {_key_sql(key)}))")
 
 
 def std_normal(seed, salt: str, key) -> Column:
     """Box-Muller standard normal from two hash uniforms."""
-    u1 = hash_unit(seed, salt + ":n1", key)
-    u2 = hash_unit(seed, salt + ":n2", key)
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)
+    u1 = hash_unit_sql(seed, salt + ":n1", key)
+    u2 = hash_unit_sql(seed, salt + ":n2", key)
+    return F.expr(f"(sqrt(-2.0D * ln({u1})) * cos({2.0 * 3.141592653589793!r}D * {u2}))")
 
 
 def half_even_div(x, d: int) -> Column:

@@ -90,8 +90,9 @@ def segment_lines(cards: DataFrame, n: int = T["segments"]) -> DataFrame:
 def response_patterns(answers: DataFrame, personas: DataFrame) -> DataFrame:
     """Per segment (first 5) × question (first 3): top option and its first rationale (80 chars)."""
     a = answers.join(personas.select("persona_id", "segment"), "persona_id")
-    segs = a.select("segment").distinct().withColumn("seg_rank", F.row_number().over(Window.orderBy("segment"))) \
-        .where(F.col("seg_rank") <= T["pattern_segments"])
+    # first 5 segments: distributed top-k, then a window over ≤ 5 rows
+    segs = a.select("segment").distinct().orderBy("segment").limit(T["pattern_segments"]) \
+        .withColumn("seg_rank", F.row_number().over(Window.orderBy("segment")))
     a = a.join(F.broadcast(segs), "segment")      # ≤ 5 rows
     qn = F.regexp_extract("question_id", r"(\d+)$", 1).cast("long")
     qrank = F.dense_rank().over(Window.partitionBy("segment").orderBy(qn, "question_id"))
@@ -124,8 +125,9 @@ def top_responses(cards: DataFrame, top_q: str, n: int = T["top_responses"]) ->
 def persona_samples(answers: DataFrame, personas: DataFrame, n: int = T["samples"],
                     k: int = T["sample_answers"]) -> DataFrame:
     """First n answering personas × first k answers as report lines."""
-    p = answers.select("persona_id").distinct().join(personas, "persona_id")
-    p = p.withColumn("p_rank", F.row_number().over(Window.orderBy("conv_id"))).where(F.col("p_rank") <= n)
+    # first n answering personas: distributed top-k, then a window over ≤ n rows
+    p = answers.select("persona_id").distinct().join(personas, "persona_id").orderBy("conv_id").limit(n)
+    p = p.withColumn("p_rank", F.row_number().over(Window.orderBy("conv_id")))
     a = answers.where(F.col("pos") <= k).join(F.broadcast(p), "persona_id")    # ≤ n personas
     head = p.select(F.col("p_rank").cast("long"), F.lit(0).cast("long").alias("line_no"),
                     F.concat(F.lit("  "), F.col("persona_name"), F.lit(" ("), F.col("segment"), F.lit(")")).alias("line"))

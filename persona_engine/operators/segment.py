@@ -47,12 +47,14 @@ def guard_min_rows(df: DataFrame) -> int:
     return n
 
 
-def sq_dist(cols: list[str], centroid) -> F.Column:
-    terms = [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(cols, centroid)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def _dbl(v: float) -> str:
+    """Exact SQL double literal (repr round-trips the binary value)."""
+    return f"({float(v)!r}D)"
+
+
+def sq_dist_sql(cols: list[str], centroid) -> str:
+    terms = [f"(`{c}` - {_dbl(v)}) * (`{c}` - {_dbl(v)})" for c, v in zip(cols, centroid)]
+    return "(" + " + ".join(terms) + ")"
 
 
 def assign_nearest(df: DataFrame, cols: list[str], centroids: dict, label: str = "persona_cluster",
@@ -60,13 +62,15 @@ def assign_nearest(df: DataFrame, cols: list[str], centroids: dict, label: str =
     """label = id of the nearest centroid (ties → smallest id), plus the squared distance.
 
     ``centroids`` maps cluster id → vector. Pure projection: no join, no shuffle.
+    The expression is handed to Spark as one SQL text (one parse instead of
+    hundreds of client-side expression calls).
     """
     ids = sorted(centroids)
-    arr = F.array(*[sq_dist(cols, centroids[i]) for i in ids])
-    pos = F.array_position(arr, F.array_min(arr))
-    id_arr = F.array(*[F.lit(int(i)) for i in ids])
-    return df.withColumns({label: F.element_at(id_arr, pos.cast("int")).cast("long"),
-                           dist: F.array_min(arr)})
+    arr = "array(" + ", ".join(sq_dist_sql(cols, centroids[i]) for i in ids) + ")"
+    id_arr = "array(" + ", ".join(f"CAST({int(i)} AS BIGINT)" for i in ids) + ")"
+    d = df.withColumn("_d", F.expr(arr))
+    return d.withColumns({label: F.expr(f"element_at({id_arr}, CAST(array_position(_d, array_min(_d)) AS INT))"),
+                          dist: F.array_min("_d")}).drop("_d")
 
 
 def seed_centroids(df: DataFrame, cols: list[str], k: int, seed: int, id_col: str = "cust_id") -> dict:

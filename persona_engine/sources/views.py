@@ -42,7 +42,10 @@ def region_values(src: Sources) -> list:
                  F.col("c_nationkey") == F.col("n_nationkey"))
            .join(F.broadcast(src.region.select("r_regionkey", "r_name")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    return sorted(r[0] for r in geo.select("r_name").where(F.col("r_name").isNotNull()).distinct().collect())
+    vals = geo.select("r_name").where(F.col("r_name").isNotNull()).distinct().limit(1001).collect()
+    if len(vals) > 1000:
+        raise ValueError("region domain too wide to one-hot encode")
+    return sorted(r[0] for r in vals)
 
 
 def last_order_by_customer(src: Sources) -> DataFrame:
@@ -195,7 +198,7 @@ def interests(src: Sources) -> DataFrame:
     """Customer × brand interest score = the brand's share of the customer's spend."""
     lines = purchase_lines(src)
     cb = lines.groupBy("cust_id", F.col("brand").alias("interest")).agg(F.sum("net_units").alias("spend"))
-    tot = lines.groupBy("cust_id").agg(F.sum("net_units").alias("total"))
+    tot = cb.groupBy("cust_id").agg(F.sum("spend").alias("total"))       # from the small brand rollup
     return cb.join(tot, "cust_id").select(
         "cust_id", "interest", (F.col("spend").cast("double") / F.col("total").cast("double")).alias("interest_score"))
 

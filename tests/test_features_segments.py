@@ -71,3 +71,8 @@ def test_cluster_stats_sizes_sum_to_n(spark):
     assert sum(r["size"] for r in st.collect()) == 30
     persona = pe.personas(st).collect()
     assert len(persona) == 3 and all(r["age_range"] for r in persona)
+
+
+def test_numeric_columns_only(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, True)], "i int, s string, d double, b boolean")
+    assert fe.numeric_columns(df, ["i", "s", "d", "b", "missing"]) == ["i", "d"]
