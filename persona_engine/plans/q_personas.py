@@ -112,15 +112,19 @@ def q_profile_prompt(src):
     return pe.profile_prompt(_stats(src))
 
 
-@register("persona_profile")
+PROFILE_SQL = _sql("SELECT *, 'fallback' AS source, CAST(NULL AS VARCHAR) AS error FROM (" + PERSONA_SELECT + ")")
+
+
+@register("persona_profile", PROFILE_SQL)
 def q_profile(src):
-    """Profile through the responder (no model configured → rule-based fallback), rows-only."""
+    """Profile through the responder (no model configured → the rule-based persona)."""
     return pe.profile_via_responder(_stats(src), rp.NoModelResponder)
 
 
-@register("individual_stories")
+@register("individual_stories", _sql("""SELECT DISTINCT persona_cluster AS cluster_id, CAST(0 AS BIGINT) AS n_stories,
+    CAST(NULL AS VARCHAR) AS error FROM smp""", [SAMPLE_SQL]))
 def q_stories(src):
-    """Stories for the sampled customers (no model → empty), rows-only."""
+    """Stories for the sampled customers (no model configured → none)."""
     s = pe.cluster_sample(_seg(src).labelled, 3, SEED)
     out = pe.individual_stories(s, rp.NoModelResponder, SAMPLE_COLS)
     return out.select("cluster_id", F.size("individual_stories").cast("long").alias("n_stories"), "error")

@@ -84,9 +84,10 @@ def q_prompts(src):
     return rs.build_prompts(cv.sim_personas(src), sim_questions(src), "conv_id")
 
 
-@register("batch_inference")
+@register("batch_inference", with_ctes("""SELECT p.persona_id, 'result' AS type, p.persona_name, p.segment,
+    q.n_questions AS n_answers, CAST(NULL AS VARCHAR) AS message FROM pers p JOIN qs q ON p.conv_id = q.conv_id"""))
 def q_batch_inference(src):
-    """Responder over every prompt (deterministic stub), per-row error capture (rows-only check)."""
+    """Responder over every prompt (deterministic first-option stub), per-row error capture."""
     prompts = rs.build_prompts(cv.sim_personas(src), sim_questions(src), "conv_id")
     out = rp.run_responder(prompts, ["persona_id"], "prompt", rp.FirstOptionResponder)
     return rs.route(rs.parse_answers(out.join(cv.sim_personas(src), "persona_id"))).drop("answers")

@@ -3,8 +3,8 @@
 Persona rows (with the responder output) arrive as files; every micro-batch
 runs the same parse → route steps as the batch job and appends its events to a
 parquet sink. Appends are keyed by batch id through ``foreachBatch`` with a
-checkpoint, so a restart after executor or driver loss neither drops nor
-duplicates a batch. The batch job and the stream give the same event table.
+checkpoint; each batch overwrites its own directory, so a restart after
+executor or driver loss neither drops nor duplicates a batch. The batch job and the stream give the same event table.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ def run_simulation_stream(spark: SparkSession, personas_with_raw: DataFrame,
 
     def sink(batch: DataFrame, batch_id: int):
         events = rs.route(rs.parse_answers(batch)).drop("answers")
-        events.write.mode("append").parquet(f"{out}/batch={batch_id}")
+        # one directory per batch id, overwritten on retry: a re-run batch replaces
+        # its own output instead of duplicating it
+        events.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (src.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start())
