@@ -129,7 +129,7 @@ PRICE_SQL = with_views(["lines", "demo"], f"""SELECT order_id, line_no, currency
 def q_price_waterfall(src):
     """Price waterfall with FX from the customer's region."""
     lines = views.purchase_lines(src)
-    fx = dv.with_region_dim(views.demo(src)).select("cust_id", "currency", "exchange_rate")
+    fx = dv.with_region_dim(views.customer_region(src)).select("cust_id", "currency", "exchange_rate")
     return dv.price_waterfall(lines.join(fx, "cust_id"))
 
 

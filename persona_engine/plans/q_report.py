@@ -104,15 +104,18 @@ def q_progress(src):
     return rp.response_progress(_events(src))
 
 
-@register("segment_lines", with_ctes(f"""SELECT card_rank, segment, '  - ' || segment || ': 구매의향 '
+SEG_LINES_SQL = f"""SELECT card_rank, segment, '  - ' || segment || ': 구매의향 '
     || coalesce({py_float_sql('purchase_intent')}, 'N/A') || '%, 브랜드태도 '
-    || coalesce({py_float_sql('brand_attitude')}, 'N/A') || '%' AS line FROM rcards WHERE card_rank <= {T['segments']}"""))
+    || coalesce({py_float_sql('brand_attitude')}, 'N/A') || '%' AS line FROM rcards WHERE card_rank <= {T['segments']}"""
+
+
+@register("segment_lines", with_ctes(SEG_LINES_SQL))
 def q_segment_lines(src):
     """Segment lines for the report prompt."""
     return rp.segment_lines(_cards(src))
 
 
-@register("response_patterns", with_ctes(f"""SELECT CAST(seg_rank AS BIGINT) AS seg_rank, segment, CAST(q_rank AS BIGINT) AS q_rank,
+PATTERNS_SQL = f"""SELECT CAST(seg_rank AS BIGINT) AS seg_rank, segment, CAST(q_rank AS BIGINT) AS q_rank,
     question_id, selected_option AS top_option, substring(coalesce(rationale, ''), 1, {T['rationale_chars']}) AS rationale
     FROM (SELECT *, row_number() OVER (PARTITION BY segment, question_id ORDER BY n DESC, selected_option NULLS LAST) AS r
       FROM (SELECT segment, seg_rank, question_id, q_rank, selected_option, count(*) AS n,
@@ -125,7 +128,10 @@ def q_segment_lines(src):
                     ON p.segment = s.segment AND s.seg_rank <= {T['pattern_segments']})
             WHERE q_rank <= {T['pattern_questions']}
             GROUP BY segment, seg_rank, question_id, q_rank, selected_option))
-    WHERE r = 1"""))
+    WHERE r = 1"""
+
+
+@register("response_patterns", with_ctes(PATTERNS_SQL))
 def q_patterns(src):
     """Per segment × question, top option and its first rationale (80 chars)."""
     return rp.response_patterns(_answers(src), cv.sim_personas(src))
@@ -140,14 +146,17 @@ def q_top_responses(src):
     return rp.top_responses(_cards(src), top["top_question"] if top else "")
 
 
-@register("persona_samples", with_ctes(f"""SELECT CAST(p_rank AS BIGINT) AS p_rank, CAST(0 AS BIGINT) AS line_no,
+SAMPLES_SQL = f"""SELECT CAST(p_rank AS BIGINT) AS p_rank, CAST(0 AS BIGINT) AS line_no,
            '  ' || persona_name || ' (' || segment || ')' AS line FROM ap WHERE p_rank <= {T['samples']}
     UNION ALL
     SELECT CAST(ap.p_rank AS BIGINT), a.pos, '    → ' || coalesce(a.selected_option, '') || ': '
            || substring(coalesce(a.rationale, ''), 1, {T['rationale_chars']})
-    FROM ans a JOIN ap ON a.persona_id = ap.persona_id WHERE ap.p_rank <= {T['samples']} AND a.pos <= {T['sample_answers']}""",
-    [("ap", """SELECT p.*, row_number() OVER (ORDER BY p.conv_id) AS p_rank
-      FROM pers p WHERE p.persona_id IN (SELECT persona_id FROM ans)""")]))
+    FROM ans a JOIN ap ON a.persona_id = ap.persona_id WHERE ap.p_rank <= {T['samples']} AND a.pos <= {T['sample_answers']}"""
+AP_CTE = ("ap", """SELECT p.*, row_number() OVER (ORDER BY p.conv_id) AS p_rank
+      FROM pers p WHERE p.persona_id IN (SELECT persona_id FROM ans)""")
+
+
+@register("persona_samples", with_ctes(SAMPLES_SQL, [AP_CTE]))
 def q_samples(src):
     """Persona answer samples (5 personas × 2 answers)."""
     return rp.persona_samples(_answers(src), cv.sim_personas(src))
@@ -232,9 +241,38 @@ def q_parse_report(src):
     return rp.parse_report(report_model_output(src), "doc_id")
 
 
-@register("report_prompt")
+_NLS = "chr(10)"
+RP_CTES = [AP_CTE, ("seglines", SEG_LINES_SQL), ("pats", PATTERNS_SQL), ("samps", SAMPLES_SQL),
+           ("patlines", """SELECT seg_rank, 0 AS q_rank, 0 AS k, '  [' || segment || ']' AS line
+                FROM (SELECT DISTINCT seg_rank, segment FROM pats)
+              UNION ALL SELECT seg_rank, q_rank, 1, '    - 최다 선택: ' || chr(39) || top_option || chr(39)
+                FROM pats WHERE top_option IS NOT NULL AND top_option <> ''
+              UNION ALL SELECT seg_rank, q_rank, 2, '      근거: ' || rationale
+                FROM pats WHERE rationale IS NOT NULL AND rationale <> ''""")]
+_label = dict(fixed.REPORT_TYPES)[_dflt]
+_instr_text = dict(fixed.REPORT_TYPE_INSTRUCTIONS)[_dflt]
+REPORT_PROMPT_SQL = with_ctes(f"""SELECT {_q(PROJECT)} AS project_name, {_q(_dflt)} AS report_type,
+    (SELECT count(*) FROM pers) AS persona_count, (SELECT count(DISTINCT persona_id) FROM ans) AS response_count,
+    {_q('다음 시뮬레이션 결과를 바탕으로 [' + _label + ']를 작성하세요.')} || {_NLS} || {_NLS} || '## 프로젝트 정보' || {_NLS}
+    || '- 이름: ' || {_q(PROJECT)} || {_NLS} || '- 목적: ' || {_NLS}
+    || '- 총 분석 페르소나: ' || CAST((SELECT count(*) FROM pers) AS VARCHAR) || '명' || {_NLS}
+    || '- 총 시뮬레이션 응답: ' || CAST((SELECT count(DISTINCT persona_id) FROM ans) AS VARCHAR) || '건' || {_NLS}
+    || '- 주요 세그먼트: ' || coalesce((SELECT segment FROM rcards WHERE card_rank = 1), {_q(fixed.DOMINANT_DEFAULT)})
+    || {_NLS} || {_NLS} || '## 세그먼트별 분석 결과' || {_NLS}
+    || coalesce((SELECT string_agg(line, {_NLS} ORDER BY card_rank) FROM seglines), {_q('  - ' + fixed.NO_DATA)})
+    || {_NLS} || {_NLS} || '## 세그먼트별 실제 응답 패턴 (선택 이유 포함)' || {_NLS}
+    || coalesce((SELECT string_agg(line, {_NLS} ORDER BY seg_rank, q_rank, k) FROM patlines), {_q('  - ' + fixed.NO_DATA)})
+    || coalesce({_NLS} || {_NLS} || '## 페르소나별 응답 샘플 (상위 5명)' || {_NLS}
+                || (SELECT string_agg(line, {_NLS} ORDER BY p_rank, line_no) FROM samps), '')
+    || {_NLS} || {_NLS} || '## 핵심 키워드' || {_NLS}
+    || coalesce((SELECT string_agg(keyword || '(' || CAST(frequency AS VARCHAR) || ')', ', ' ORDER BY rank) FROM kwtop),
+                {_q(fixed.NO_KEYWORDS)})
+    || {_NLS} || {_NLS} || '## 리포트 유형별 작성 지침' || {_NLS} || {_q(_instr_text)} AS prompt""", RP_CTES)
+
+
+@register("report_prompt", REPORT_PROMPT_SQL)
 def q_report_prompt(src):
-    """The report prompt assembled from the bounded report pieces (rows-only check)."""
+    """The report prompt assembled from the bounded report pieces."""
     from persona_engine.operators.report_prompt import build_report_prompt
     return build_report_prompt(src.spark, _cards(src), rp.keyword_items(src.documents), _answers(src),
                                cv.sim_personas(src), PROJECT)

@@ -60,6 +60,17 @@ def activeness(days: F.Column) -> F.Column:
             .when(days <= 365, lv[3]).otherwise(lv[4]))
 
 
+def customer_region(src: Sources) -> DataFrame:
+    """Customer → country and region only (no order aggregate): for lookups that need the geography."""
+    geo = (src.customer.select("c_custkey", "c_nationkey")
+           .join(F.broadcast(src.nation.select("n_nationkey", "n_name", "n_regionkey")),
+                 F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(F.broadcast(src.region.select("r_regionkey", "r_name")),
+                 F.col("n_regionkey") == F.col("r_regionkey")))
+    return geo.select(F.col("c_custkey").alias("cust_id"), F.col("n_name").alias("usr_cnty_name"),
+                      F.col("r_name").alias("usr_cnty_ap2"))
+
+
 def demo(src: Sources) -> DataFrame:
     """One row per customer: region, country, gender, age, activeness."""
     _, ref = order_date_bounds(src)
