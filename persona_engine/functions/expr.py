@@ -129,3 +129,27 @@ def half_even_div(x, d: int) -> Column:
 def cents(x) -> Column:
     """Money double with ≤ 2 decimals → exact integer cents."""
     return F.round(col(x) * 100).cast("long")
+
+
+def template_parts(template: str) -> list:
+    """Split 'a {x} b' into ['a ', ('x',), ' b'] (literal text and field names)."""
+    import string
+    out = []
+    for lit, field, _spec, _conv in string.Formatter().parse(template):
+        if lit:
+            out.append(lit)
+        if field is not None:
+            out.append((field,))
+    return out
+
+
+def render(template: str, **fields) -> Column:
+    """Fill a fixed template with columns (or Python values) — one concat, JVM-side."""
+    cols = []
+    for p in template_parts(template):
+        if isinstance(p, tuple):
+            v = fields[p[0]]
+            cols.append(v.cast("string") if isinstance(v, Column) else F.lit(str(v)))
+        else:
+            cols.append(F.lit(p))
+    return F.concat(*cols)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
-from persona_engine.functions.expr import age_band, clip, py_float_text, rnd
+from persona_engine.functions.expr import age_band, clip, py_float_text, render, rnd
 
 T = fixed.REPORT_TRUNCATIONS
 S = fixed.STATIC_REPORT_TEXT
@@ -81,9 +81,9 @@ def response_progress(events: DataFrame) -> DataFrame:
 def segment_lines(cards: DataFrame, n: int = T["segments"]) -> DataFrame:
     """J2: '  - seg: 구매의향 x%, 브랜드태도 y%' for the first n cards."""
     r = ranked_cards(cards).where(F.col("card_rank") <= n)
-    line = F.concat(F.lit("  - "), F.col("segment"), F.lit(": 구매의향 "),
-                    F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")), F.lit("%, 브랜드태도 "),
-                    F.coalesce(py_float_text("brand_attitude"), F.lit("N/A")), F.lit("%"))
+    line = render(fixed.REPORT_SEGMENT_LINE, segment=F.col("segment"),
+                  purchase_intent=F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")),
+                  brand_attitude=F.coalesce(py_float_text("brand_attitude"), F.lit("N/A")))
     return r.select(F.col("card_rank").cast("long"), "segment", line.alias("line"))
 
 
@@ -116,9 +116,9 @@ def top_question(answers: DataFrame) -> DataFrame:
 def top_responses(cards: DataFrame, top_q: str, n: int = T["top_responses"]) -> DataFrame:
     """Up to 10 lines from segment cards when no response summary exists."""
     r = ranked_cards(cards).where(F.col("card_rank") <= n)
-    sel = F.concat(F.lit("구매의향 "), F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")), F.lit("%"))
-    line = F.concat(F.lit("  ["), F.col("segment"), F.lit(" / "), F.col("segment"), F.lit("] Q: "),
-                    F.lit(top_q[:T["question_chars"]]), F.lit(" → "), sel)
+    sel = render(fixed.REPORT_INTENT_OPTION, value=F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")))
+    line = render(fixed.REPORT_TOP_RESPONSE_LINE, name=F.col("segment"), segment=F.col("segment"),
+                  question=top_q[:T["question_chars"]], option=sel)
     return r.select(F.col("card_rank").cast("long"), line.alias("line"))
 
 
@@ -130,10 +130,11 @@ def persona_samples(answers: DataFrame, personas: DataFrame, n: int = T["samples
     p = p.withColumn("p_rank", F.row_number().over(Window.orderBy("conv_id")))
     a = answers.where(F.col("pos") <= k).join(F.broadcast(p), "persona_id")    # ≤ n personas
     head = p.select(F.col("p_rank").cast("long"), F.lit(0).cast("long").alias("line_no"),
-                    F.concat(F.lit("  "), F.col("persona_name"), F.lit(" ("), F.col("segment"), F.lit(")")).alias("line"))
+                    render(fixed.REPORT_SAMPLE_HEADER, name=F.col("persona_name"), segment=F.col("segment")).alias("line"))
     body = a.select(F.col("p_rank").cast("long"), F.col("pos").cast("long").alias("line_no"),
-                    F.concat(F.lit("    → "), F.coalesce("selected_option", F.lit("")), F.lit(": "),
-                             F.substring(F.coalesce("rationale", F.lit("")), 1, T["rationale_chars"])).alias("line"))
+                    render(fixed.REPORT_SAMPLE_ANSWER, option=F.coalesce("selected_option", F.lit("")),
+                           rationale=F.substring(F.coalesce("rationale", F.lit("")), 1, T["rationale_chars"]))
+                    .alias("line"))
     return head.unionByName(body)
 
 

@@ -22,29 +22,30 @@ def build_report_prompt(spark: SparkSession, cards: DataFrame, keywords: DataFra
     instr = dict(fixed.REPORT_TYPE_INSTRUCTIONS)
     label = types.get(report_type, types[fixed.DEFAULT_REPORT_TYPE])
     seg_lines = [r["line"] for r in rp.segment_lines(cards).orderBy("card_rank").collect()]
-    kw = [f"{r['keyword']}({r['frequency']})" for r in keywords.orderBy("rank").collect()]
+    kw = [fixed.REPORT_KEYWORD_ITEM.format(keyword=r["keyword"], frequency=r["frequency"])
+          for r in keywords.orderBy("rank").collect()]
     pats = rp.response_patterns(answers, personas).orderBy("seg_rank", "q_rank").collect()
     lines, last = [], None
     for r in pats:
         if r["segment"] != last:
-            lines.append(f"  [{r['segment']}]")
+            lines.append(fixed.REPORT_PATTERN_HEADER.format(segment=r["segment"]))
             last = r["segment"]
         if r["top_option"]:
-            lines.append(f"    - 최다 선택: '{r['top_option']}'")
+            lines.append(fixed.REPORT_PATTERN_OPTION.format(top_option=r["top_option"]))
         if r["rationale"]:
-            lines.append(f"      근거: {r['rationale']}")
+            lines.append(fixed.REPORT_PATTERN_RATIONALE.format(rationale=r["rationale"]))
     samples = [r["line"] for r in rp.persona_samples(answers, personas).orderBy("p_rank", "line_no").collect()]
     dom = rp.dominant_segment(cards).first()
     n_personas = personas.count()
     n_resp = answers.select("persona_id").distinct().count()
-    persona_section = ("\n\n## 페르소나별 응답 샘플 (상위 5명)\n" + "\n".join(samples)) if samples else ""
-    prompt = (f"다음 시뮬레이션 결과를 바탕으로 [{label}]를 작성하세요.\n\n## 프로젝트 정보\n- 이름: {project_name}\n"
-              f"- 목적: {purpose}\n- 총 분석 페르소나: {n_personas}명\n- 총 시뮬레이션 응답: {n_resp}건\n"
-              f"- 주요 세그먼트: {dom['dominant_segment'] if dom else fixed.DOMINANT_DEFAULT}\n\n"
-              f"## 세그먼트별 분석 결과\n{chr(10).join(seg_lines) or '  - ' + fixed.NO_DATA}\n\n"
-              f"## 세그먼트별 실제 응답 패턴 (선택 이유 포함)\n{chr(10).join(lines) or '  - ' + fixed.NO_DATA}"
-              f"{persona_section}\n\n## 핵심 키워드\n{', '.join(kw) or fixed.NO_KEYWORDS}\n\n"
-              f"## 리포트 유형별 작성 지침\n{instr.get(report_type, instr[fixed.DEFAULT_REPORT_TYPE])}")
+    prompt = fixed.REPORT_PROMPT_TEMPLATE.format(
+        type_label=label, project_name=project_name, purpose=purpose, persona_count=n_personas,
+        response_count=n_resp, dominant_segment=dom["dominant_segment"] if dom else fixed.DOMINANT_DEFAULT,
+        segments="\n".join(seg_lines) or "  - " + fixed.NO_DATA,
+        patterns="\n".join(lines) or "  - " + fixed.NO_DATA,
+        persona_section=fixed.REPORT_SAMPLES_SECTION.format(samples="\n".join(samples)) if samples else "",
+        keywords=", ".join(kw) or fixed.NO_KEYWORDS,
+        instruction=instr.get(report_type, instr[fixed.DEFAULT_REPORT_TYPE]))
     return spark.createDataFrame([(project_name, report_type, n_personas, n_resp, prompt)],
                                  "project_name string, report_type string, persona_count long, "
                                  "response_count long, prompt string")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
+from persona_engine.functions.expr import render
 from persona_engine.operators.indexing import row_number_within
 
 ANSWER_SCHEMA = ("array<struct<question_id:string,selected_option:string,rationale:string,"
@@ -42,39 +43,29 @@ def options_json(c: F.Column) -> F.Column:
 
 
 def question_lines(questions: DataFrame, key: str) -> DataFrame:
-    """Per persona key: the numbered question block and the question count."""
-    q = questions.select(key, "q_order", F.struct(
-        "q_order", F.concat(F.lit("["), F.col("question_id"), F.lit("] ("), F.col("question_type"), F.lit(") "),
-                            F.col("question_text"), F.lit("\n   선택지: "), options_json(F.col("options"))).alias("body")
-    ).alias("q"))
+    """Per persona key: the numbered question block and the question count (≤ 20 questions per survey)."""
+    q = questions.select(key, F.struct("q_order", "question_id", "question_type", "question_text",
+                                       options_json(F.col("options")).alias("opts")).alias("q"))
     g = q.groupBy(key).agg(F.sort_array(F.collect_list("q")).alias("qs"))
-    lines = F.transform("qs", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x["body"]))
+    lines = F.transform("qs", lambda x, i: render(fixed.SIMULATION_QUESTION_LINE, i=i + 1, id=x["question_id"],
+                                                  type=x["question_type"], text=x["question_text"], options=x["opts"]))
     return g.select(key, F.array_join(lines, "\n").alias("questions_text"), F.size("qs").cast("long").alias("n_questions"))
 
 
 def build_prompts(personas: DataFrame, questions: DataFrame, key: str, project_name: str = "",
                   project_purpose: str = "") -> DataFrame:
     """One prompt per persona over its ordered questions."""
-    ql = question_lines(questions, key)
-    p = personas.join(ql, key)
-    d = p
-    body = F.concat(
-        F.lit("다음 페르소나로서 설문에 응답하세요.\n\n## 페르소나 프로필\n- 이름: "), _txt(d, "persona_name"),
-        F.lit("\n- 나이: "), _txt(d, "age"), F.lit("세 / 성별: "), _txt(d, "gender"),
-        F.lit("\n- 직업: "), _txt(d, "occupation"), F.lit(" ("), _txt(d, "occupation_category"), F.lit(")"),
-        F.lit("\n- 세그먼트: "), _txt(d, "segment"), F.lit("\n- 거주 지역: "), _txt(d, "region"),
-        F.lit("\n- 관심사: "), _lst(d, "interests"), F.lit("\n- 핵심 키워드: "), _lst(d, "keywords"),
-        F.lit("\n- 선호 채널: "), _txt(d, "preferred_channel"), F.lit("\n- 구매 채널: "), _txt(d, "buy_channel"),
-        F.lit("\n- 구매 이력: "), _lst(d, "purchase_history"),
-        F.lit("\n- 구매 의향 점수: "), _score(d, "purchase_intent"), F.lit("/100"),
-        F.lit("\n- 브랜드 태도 점수: "), _score(d, "brand_attitude"), F.lit("/100"),
-        F.lit("\n- 마케팅 수용도: "), _score(d, "marketing_acceptance"), F.lit("/100"),
-        F.lit("\n- 페르소나 설명: "), _txt(d, "profile"),
-        F.lit(f"\n\n## 리서치 컨텍스트\n프로젝트: {project_name}\n목적: {project_purpose}\n\n## 설문 문항\n"),
-        F.col("questions_text"),
-        F.lit("\n\n## 출력 형식 (JSON 배열만 출력, 문항 수와 동일한 개수)\n정확히 "),
-        F.col("n_questions").cast("string"), F.lit("개 응답"))
-    return p.select(key, "persona_id", "n_questions", body.alias("prompt"))
+    d = personas.join(question_lines(questions, key), key)
+    body = render(fixed.SIMULATION_PROMPT_TEMPLATE, name=_txt(d, "persona_name"), age=_txt(d, "age"),
+                  gender=_txt(d, "gender"), occupation=_txt(d, "occupation"),
+                  occupation_category=_txt(d, "occupation_category"), segment=_txt(d, "segment"),
+                  region=_txt(d, "region"), interests=_lst(d, "interests"), keywords=_lst(d, "keywords"),
+                  preferred_channel=_txt(d, "preferred_channel"), buy_channel=_txt(d, "buy_channel"),
+                  purchase_history=_lst(d, "purchase_history"), purchase_intent=_score(d, "purchase_intent"),
+                  brand_attitude=_score(d, "brand_attitude"), marketing_acceptance=_score(d, "marketing_acceptance"),
+                  profile=_txt(d, "profile"), project_name=project_name, project_purpose=project_purpose,
+                  questions=F.col("questions_text"), n_questions=F.col("n_questions"))
+    return d.select(key, "persona_id", "n_questions", body.alias("prompt"))
 
 
 def parse_answers(raw: DataFrame, raw_col: str = "raw") -> DataFrame:

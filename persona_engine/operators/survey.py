@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
+from persona_engine.functions.expr import render
 
 TYPES_WITH_TEMPLATES = sorted({t for t, _, _ in fixed.QUESTION_TEMPLATES if t != "*"})
 EVIDENCE_SCHEMA = "array<struct<label:string,value:string>>"
@@ -118,21 +119,18 @@ def segments_text(segments: DataFrame) -> tuple[str, int]:
     row = segments.agg(F.sort_array(F.collect_list(F.struct("name", "count"))).alias("segs"),
                        F.sum("count").alias("target")).first()
     segs = row["segs"] or []
-    text = "\n".join(f"  - {s['name']}: {s['count']}명" for s in segs) or fixed.SURVEY_PROMPT_NO_SEGMENTS
-    return text, int(row["target"] or 0)
+    text = "\n".join(fixed.SURVEY_SEGMENT_LINE.format(name=s["name"], count=s["count"]) for s in segs)
+    return text or fixed.SURVEY_PROMPT_NO_SEGMENTS, int(row["target"] or 0)
 
 
 def survey_prompt(requests: DataFrame, segments: DataFrame) -> DataFrame:
     """H7: draft prompt per request (projection with the segment block as a literal)."""
     seg_text, target = segments_text(segments)
     purpose = F.coalesce(F.nullif(F.col("project_purpose"), F.lit("")), F.col("user_prompt"))
-    text = F.concat(
-        F.lit("다음 리서치 맥락에 맞는 설문 문항 "), F.col("question_count").cast("string"), F.lit("개를 설계하세요.\n\n"),
-        F.lit("## 리서치 목적\n"), purpose, F.lit("\n\n## 추가 요청사항\n"), F.col("user_prompt"),
-        F.lit("\n\n## 타겟 세그먼트 (세그먼트 분석 결과)\n필터 조건: "), F.lit(fixed.SURVEY_FILTER_DEFAULT),
-        F.lit(f"\n총 대상: {target}명\n"), F.lit(seg_text),
-        F.lit("\n\n## 설문 유형\n"), F.col("survey_type"),
-        F.lit("\n\n## 필수 구성 블록\n"), F.lit(fixed.SURVEY_PROMPT_FREE_BLOCKS), F.lit("\n"))
+    text = render(fixed.SURVEY_PROMPT_TEMPLATE, question_count=F.col("question_count"), purpose=purpose,
+                  user_prompt=F.col("user_prompt"), filter_summary=fixed.SURVEY_FILTER_DEFAULT,
+                  target_count=target, segments=seg_text, survey_type=F.col("survey_type"),
+                  required_blocks=fixed.SURVEY_PROMPT_FREE_BLOCKS)
     return requests.select("project_id", text.alias("prompt"))
 
 

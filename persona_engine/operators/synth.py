@@ -50,7 +50,22 @@ def fit_shares(df: DataFrame, cols: list[str]) -> dict:
 
 
 def fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFrame) -> SynthParams:
-    """Fit every marginal with one aggregate per source."""
+    """Fit every marginal with one aggregate per source.
+
+    demo and clv are each read by two fits; they are persisted for the fit
+    (memory, spilling to disk) so the joins behind them run once.
+    """
+    from pyspark import StorageLevel
+    demo = demo.persist(StorageLevel.MEMORY_AND_DISK)
+    clv = clv.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(demo, clv, events, interests)
+    finally:
+        demo.unpersist()
+        clv.unpersist()
+
+
+def _fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFrame) -> SynthParams:
     p = SynthParams()
     p.shares = fit_shares(demo, DEMO_CATEGORICAL)
     a = demo.agg(F.avg(F.col("usr_age").cast("double")), F.stddev_samp(F.col("usr_age").cast("double"))).first()

@@ -167,3 +167,22 @@ def half_even_sql(x: str, d: int) -> str:
     r = f"((({x}) % {d} + {d}) % {d})"
     q = f"((({x}) - {r}) // {d})"
     return (f"({q} + CASE WHEN {r} * 2 > {d} THEN 1 WHEN {r} * 2 = {d} AND ({q} % 2 + 2) % 2 = 1 THEN 1 ELSE 0 END)")
+
+
+def render_sql(template: str, **fields) -> str:
+    """SQL twin of expr.render: literal pieces (newlines as chr(10)) || field expressions."""
+    from persona_engine.functions.expr import template_parts
+    out = []
+    for p in template_parts(template):
+        if isinstance(p, tuple):
+            out.append(f"CAST(({fields[p[0]]}) AS VARCHAR)")
+        else:
+            pieces = p.split("\n")
+            segs = []
+            for i, piece in enumerate(pieces):
+                if piece:
+                    segs.append(_q(piece))
+                if i < len(pieces) - 1:
+                    segs.append("chr(10)")
+            out.extend(segs)
+    return "(" + " || ".join(out or ["''"]) + ")"

@@ -8,7 +8,7 @@ from persona_engine.functions import fixed
 from persona_engine.operators import report as rp
 from persona_engine.operators import responses as rs
 from persona_engine.plans import q_responses as qr
-from persona_engine.plans.oracle_views import VIEW_SQL, _order, _q, py_float_sql
+from persona_engine.plans.oracle_views import VIEW_SQL, _order, _q, py_float_sql, render_sql
 from persona_engine.plans.registry import register
 from persona_engine.sources import conversations as cv
 from persona_engine.sources import views
@@ -104,9 +104,10 @@ def q_progress(src):
     return rp.response_progress(_events(src))
 
 
-SEG_LINES_SQL = f"""SELECT card_rank, segment, '  - ' || segment || ': 구매의향 '
-    || coalesce({py_float_sql('purchase_intent')}, 'N/A') || '%, 브랜드태도 '
-    || coalesce({py_float_sql('brand_attitude')}, 'N/A') || '%' AS line FROM rcards WHERE card_rank <= {T['segments']}"""
+SEG_LINES_SQL = f"""SELECT card_rank, segment, {render_sql(fixed.REPORT_SEGMENT_LINE, segment='segment',
+    purchase_intent=f"coalesce({py_float_sql('purchase_intent')}, 'N/A')",
+    brand_attitude=f"coalesce({py_float_sql('brand_attitude')}, 'N/A')")} AS line
+    FROM rcards WHERE card_rank <= {T['segments']}"""
 
 
 @register("segment_lines", with_ctes(SEG_LINES_SQL))
@@ -137,9 +138,10 @@ def q_patterns(src):
     return rp.response_patterns(_answers(src), cv.sim_personas(src))
 
 
-@register("top_responses", with_ctes(f"""SELECT card_rank, '  [' || segment || ' / ' || segment || '] Q: '
-    || substring((SELECT top_question FROM topq), 1, {T['question_chars']}) || ' → 구매의향 '
-    || coalesce({py_float_sql('purchase_intent')}, 'N/A') || '%' AS line FROM rcards WHERE card_rank <= {T['top_responses']}"""))
+@register("top_responses", with_ctes(f"""SELECT card_rank, {render_sql(fixed.REPORT_TOP_RESPONSE_LINE,
+    name='segment', segment='segment', question=f"substring((SELECT top_question FROM topq), 1, {T['question_chars']})",
+    option=render_sql(fixed.REPORT_INTENT_OPTION, value=f"coalesce({py_float_sql('purchase_intent')}, 'N/A')"))} AS line
+    FROM rcards WHERE card_rank <= {T['top_responses']}"""))
 def q_top_responses(src):
     """Top-response lines built from segment cards (no response summary)."""
     top = rp.top_question(_answers(src)).first()
@@ -147,10 +149,11 @@ def q_top_responses(src):
 
 
 SAMPLES_SQL = f"""SELECT CAST(p_rank AS BIGINT) AS p_rank, CAST(0 AS BIGINT) AS line_no,
-           '  ' || persona_name || ' (' || segment || ')' AS line FROM ap WHERE p_rank <= {T['samples']}
+           {render_sql(fixed.REPORT_SAMPLE_HEADER, name='persona_name', segment='segment')} AS line
+    FROM ap WHERE p_rank <= {T['samples']}
     UNION ALL
-    SELECT CAST(ap.p_rank AS BIGINT), a.pos, '    → ' || coalesce(a.selected_option, '') || ': '
-           || substring(coalesce(a.rationale, ''), 1, {T['rationale_chars']})
+    SELECT CAST(ap.p_rank AS BIGINT), a.pos, {render_sql(fixed.REPORT_SAMPLE_ANSWER,
+        option="coalesce(a.selected_option, '')", rationale=f"substring(coalesce(a.rationale, ''), 1, {T['rationale_chars']})")}
     FROM ans a JOIN ap ON a.persona_id = ap.persona_id WHERE ap.p_rank <= {T['samples']} AND a.pos <= {T['sample_answers']}"""
 AP_CTE = ("ap", """SELECT p.*, row_number() OVER (ORDER BY p.conv_id) AS p_rank
       FROM pers p WHERE p.persona_id IN (SELECT persona_id FROM ans)""")
@@ -243,31 +246,26 @@ def q_parse_report(src):
 
 _NLS = "chr(10)"
 RP_CTES = [AP_CTE, ("seglines", SEG_LINES_SQL), ("pats", PATTERNS_SQL), ("samps", SAMPLES_SQL),
-           ("patlines", """SELECT seg_rank, 0 AS q_rank, 0 AS k, '  [' || segment || ']' AS line
+           ("patlines", f"""SELECT seg_rank, 0 AS q_rank, 0 AS k, {render_sql(fixed.REPORT_PATTERN_HEADER, segment='segment')} AS line
                 FROM (SELECT DISTINCT seg_rank, segment FROM pats)
-              UNION ALL SELECT seg_rank, q_rank, 1, '    - 최다 선택: ' || chr(39) || top_option || chr(39)
+              UNION ALL SELECT seg_rank, q_rank, 1, {render_sql(fixed.REPORT_PATTERN_OPTION, top_option='top_option')}
                 FROM pats WHERE top_option IS NOT NULL AND top_option <> ''
-              UNION ALL SELECT seg_rank, q_rank, 2, '      근거: ' || rationale
+              UNION ALL SELECT seg_rank, q_rank, 2, {render_sql(fixed.REPORT_PATTERN_RATIONALE, rationale='rationale')}
                 FROM pats WHERE rationale IS NOT NULL AND rationale <> ''""")]
 _label = dict(fixed.REPORT_TYPES)[_dflt]
 _instr_text = dict(fixed.REPORT_TYPE_INSTRUCTIONS)[_dflt]
+_SAMPLES_AGG = f"(SELECT string_agg(line, {_NLS} ORDER BY p_rank, line_no) FROM samps)"
 REPORT_PROMPT_SQL = with_ctes(f"""SELECT {_q(PROJECT)} AS project_name, {_q(_dflt)} AS report_type,
     (SELECT count(*) FROM pers) AS persona_count, (SELECT count(DISTINCT persona_id) FROM ans) AS response_count,
-    {_q('다음 시뮬레이션 결과를 바탕으로 [' + _label + ']를 작성하세요.')} || {_NLS} || {_NLS} || '## 프로젝트 정보' || {_NLS}
-    || '- 이름: ' || {_q(PROJECT)} || {_NLS} || '- 목적: ' || {_NLS}
-    || '- 총 분석 페르소나: ' || CAST((SELECT count(*) FROM pers) AS VARCHAR) || '명' || {_NLS}
-    || '- 총 시뮬레이션 응답: ' || CAST((SELECT count(DISTINCT persona_id) FROM ans) AS VARCHAR) || '건' || {_NLS}
-    || '- 주요 세그먼트: ' || coalesce((SELECT segment FROM rcards WHERE card_rank = 1), {_q(fixed.DOMINANT_DEFAULT)})
-    || {_NLS} || {_NLS} || '## 세그먼트별 분석 결과' || {_NLS}
-    || coalesce((SELECT string_agg(line, {_NLS} ORDER BY card_rank) FROM seglines), {_q('  - ' + fixed.NO_DATA)})
-    || {_NLS} || {_NLS} || '## 세그먼트별 실제 응답 패턴 (선택 이유 포함)' || {_NLS}
-    || coalesce((SELECT string_agg(line, {_NLS} ORDER BY seg_rank, q_rank, k) FROM patlines), {_q('  - ' + fixed.NO_DATA)})
-    || coalesce({_NLS} || {_NLS} || '## 페르소나별 응답 샘플 (상위 5명)' || {_NLS}
-                || (SELECT string_agg(line, {_NLS} ORDER BY p_rank, line_no) FROM samps), '')
-    || {_NLS} || {_NLS} || '## 핵심 키워드' || {_NLS}
-    || coalesce((SELECT string_agg(keyword || '(' || CAST(frequency AS VARCHAR) || ')', ', ' ORDER BY rank) FROM kwtop),
-                {_q(fixed.NO_KEYWORDS)})
-    || {_NLS} || {_NLS} || '## 리포트 유형별 작성 지침' || {_NLS} || {_q(_instr_text)} AS prompt""", RP_CTES)
+    {render_sql(fixed.REPORT_PROMPT_TEMPLATE, type_label=_q(_label), project_name=_q(PROJECT), purpose="''",
+        persona_count="(SELECT count(*) FROM pers)", response_count="(SELECT count(DISTINCT persona_id) FROM ans)",
+        dominant_segment=f"coalesce((SELECT segment FROM rcards WHERE card_rank = 1), {_q(fixed.DOMINANT_DEFAULT)})",
+        segments=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY card_rank) FROM seglines), {_q('  - ' + fixed.NO_DATA)})",
+        patterns=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY seg_rank, q_rank, k) FROM patlines), {_q('  - ' + fixed.NO_DATA)})",
+        persona_section=f"coalesce({render_sql(fixed.REPORT_SAMPLES_SECTION, samples=_SAMPLES_AGG)}, '')",
+        keywords=f"""coalesce((SELECT string_agg({render_sql(fixed.REPORT_KEYWORD_ITEM, keyword='keyword', frequency='frequency')},
+            ', ' ORDER BY rank) FROM kwtop), {_q(fixed.NO_KEYWORDS)})""",
+        instruction=_q(_instr_text))} AS prompt""", RP_CTES)
 
 
 @register("report_prompt", REPORT_PROMPT_SQL)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from persona_engine.functions import fixed
 from persona_engine.operators import responder as rp
 from persona_engine.operators import responses as rs
-from persona_engine.plans.oracle_views import _q
+from persona_engine.plans.oracle_views import _q, render_sql
 from persona_engine.plans.registry import register
 from persona_engine.sources import conversations as cv
 
@@ -36,8 +36,9 @@ SEG = """CASE WHEN sum(length(text)) >= 3000 THEN 'heavy' WHEN sum(length(text))
 CTES = [
     ("pers", f"""SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS persona_id, conv_id,
         'Persona ' || CAST(conv_id AS VARCHAR) AS persona_name, {SEG} AS segment FROM conversations GROUP BY conv_id"""),
-    ("qs", f"""SELECT conv_id, count(*) AS n_questions, string_agg(CAST(rn AS VARCHAR) || '. [q' || CAST(turn AS VARCHAR)
-        || '] ({fixed.DEFAULT_QUESTION_TYPE}) ' || text || chr(10) || '   선택지: []', chr(10) ORDER BY turn) AS questions_text
+    ("qs", f"""SELECT conv_id, count(*) AS n_questions, string_agg({render_sql(fixed.SIMULATION_QUESTION_LINE, i='rn',
+        id="'q' || CAST(turn AS VARCHAR)", type=_q(fixed.DEFAULT_QUESTION_TYPE), text='text', options="'[]'")},
+        chr(10) ORDER BY turn) AS questions_text
         FROM (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
               FROM conversations WHERE role = 'user') GROUP BY conv_id"""),
     ("pairs", """SELECT u.conv_id, u.turn AS q_turn, a.text AS answer FROM conversations u
@@ -67,14 +68,12 @@ def with_ctes(body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in CTES) + "\n" + body
 
 
-PROMPT_SQL = with_ctes(f"""SELECT p.conv_id, p.persona_id, q.n_questions,
-    {sqlstr("다음 페르소나로서 설문에 응답하세요.\n\n## 페르소나 프로필\n- 이름: ")} || p.persona_name
-    || {sqlstr("\n- 나이: 세 / 성별: \n- 직업:  ()\n- 세그먼트: ")} || p.segment
-    || {sqlstr("\n- 거주 지역: \n- 관심사: \n- 핵심 키워드: \n- 선호 채널: \n- 구매 채널: \n- 구매 이력: "
-               "\n- 구매 의향 점수: 0/100\n- 브랜드 태도 점수: 0/100\n- 마케팅 수용도: 0/100\n- 페르소나 설명: "
-               "\n\n## 리서치 컨텍스트\n프로젝트: \n목적: \n\n## 설문 문항\n")}
-    || q.questions_text || {sqlstr("\n\n## 출력 형식 (JSON 배열만 출력, 문항 수와 동일한 개수)\n정확히 ")}
-    || CAST(q.n_questions AS VARCHAR) || '개 응답' AS prompt
+PROMPT_SQL = with_ctes(f"""SELECT p.conv_id, p.persona_id, q.n_questions, {render_sql(
+    fixed.SIMULATION_PROMPT_TEMPLATE, name='p.persona_name', age="''", gender="''", occupation="''",
+    occupation_category="''", segment='p.segment', region="''", interests="''", keywords="''",
+    preferred_channel="''", buy_channel="''", purchase_history="''", purchase_intent="'0'", brand_attitude="'0'",
+    marketing_acceptance="'0'", profile="''", project_name="''", project_purpose="''",
+    questions='q.questions_text', n_questions='q.n_questions')} AS prompt
     FROM pers p JOIN qs q ON p.conv_id = q.conv_id""")
 
 

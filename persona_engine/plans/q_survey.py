@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
 from persona_engine.operators import survey as sv
-from persona_engine.plans.oracle_views import _q, sql_list
+from persona_engine.plans.oracle_views import _q, render_sql, sql_list
 from persona_engine.plans.registry import register
 from persona_engine.sources import conversations as cv
 
@@ -129,16 +129,16 @@ SEG_CTE = ("segs", """SELECT segment AS name, count(*) AS count FROM (
            ELSE 'light' END AS segment FROM conversations GROUP BY conv_id) GROUP BY segment""")
 
 
-@register("survey_prompt", with_ctes(f"""SELECT project_id,
-    '다음 리서치 맥락에 맞는 설문 문항 ' || CAST(question_count AS VARCHAR) || '개를 설계하세요.' || {NL} || {NL}
-    || '## 리서치 목적' || {NL} || coalesce(nullif(project_purpose, ''), user_prompt) || {NL} || {NL}
-    || '## 추가 요청사항' || {NL} || user_prompt || {NL} || {NL}
-    || '## 타겟 세그먼트 (세그먼트 분석 결과)' || {NL} || '필터 조건: ' || {_q(fixed.SURVEY_FILTER_DEFAULT)} || {NL}
-    || '총 대상: ' || CAST((SELECT coalesce(sum(count), 0) FROM segs) AS VARCHAR) || '명' || {NL}
-    || coalesce((SELECT string_agg('  - ' || name || ': ' || CAST(count AS VARCHAR) || '명', {NL} ORDER BY name, count)
-                 FROM segs), {_q(fixed.SURVEY_PROMPT_NO_SEGMENTS)})
-    || {NL} || {NL} || '## 설문 유형' || {NL} || survey_type || {NL} || {NL}
-    || '## 필수 구성 블록' || {NL} || {_q(fixed.SURVEY_PROMPT_FREE_BLOCKS)} || {NL} AS prompt FROM req""", [SEG_CTE]))
+SURVEY_PROMPT_SQL = render_sql(
+    fixed.SURVEY_PROMPT_TEMPLATE, question_count="question_count", purpose="coalesce(nullif(project_purpose, ''), user_prompt)",
+    user_prompt="user_prompt", filter_summary=_q(fixed.SURVEY_FILTER_DEFAULT),
+    target_count="(SELECT coalesce(sum(count), 0) FROM segs)",
+    segments=f"""coalesce((SELECT string_agg({render_sql(fixed.SURVEY_SEGMENT_LINE, name='name', count='count')}, {NL}
+        ORDER BY name, count) FROM segs), {_q(fixed.SURVEY_PROMPT_NO_SEGMENTS)})""",
+    survey_type="survey_type", required_blocks=_q(fixed.SURVEY_PROMPT_FREE_BLOCKS))
+
+
+@register("survey_prompt", with_ctes(f"SELECT project_id, {SURVEY_PROMPT_SQL} AS prompt FROM req", [SEG_CTE]))
 def q_survey_prompt(src):
     """H7: draft prompt per request with the segment block."""
     segs = cv.sim_personas(src).groupBy(F.col("segment").alias("name")).agg(F.count(F.lit(1)).alias("count"))
