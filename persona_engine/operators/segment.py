@@ -79,17 +79,59 @@ def seed_centroids(df: DataFrame, cols: list[str], k: int, seed: int, id_col: st
     return {i: [r[c] for c in cols] for i, r in enumerate(rows)}
 
 
+def lloyd_partials(df: DataFrame, cols: list[str], centroids: dict) -> dict:
+    """One Lloyd step: per-cluster (count, cost, coordinate sums) of the nearest-centroid assignment.
+
+    Each task assigns its rows with numpy against the broadcast centroids
+    (k×d doubles) and emits one partial row per cluster it saw; only those
+    partials (≤ k per partition) are shuffled and combined. The plan is the
+    same every iteration, so nothing is re-planned or re-compiled.
+    """
+    spark = df.sparkSession
+    ids = sorted(centroids)
+    bc = spark.sparkContext.broadcast((np.array(ids, dtype=np.int64),
+                                       np.array([centroids[i] for i in ids], dtype=float)))
+
+    def step(batches):
+        id_arr, C = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf.to_numpy(dtype=float)
+            D = ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2)
+            j = D.argmin(axis=1)                  # ties → first, i.e. the smallest cluster id
+            d = D[np.arange(len(X)), j]
+            cid, n, cost, sums = [], [], [], []
+            for jj in np.unique(j):
+                m = j == jj
+                cid.append(int(id_arr[jj]))
+                n.append(int(m.sum()))
+                cost.append(float(d[m].sum()))
+                sums.append(X[m].sum(axis=0).tolist())
+            yield pd.DataFrame({"cid": cid, "n": n, "cost": cost, "s": sums})
+
+    part = df.select(*cols).mapInPandas(step, "cid long, n long, cost double, s array<double>")
+    rows = (part.groupBy("cid").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                    F.collect_list("s").alias("s"))      # ≤ one partial per partition
+            .collect())
+    bc.unpersist()
+    return {int(r["cid"]): (int(r["n"]), float(r["cost"]), np.sum(np.array(r["s"], dtype=float), axis=0))
+            for r in rows}
+
+
 def lloyd_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_iter: int = 5,
                  id_col: str = "cust_id", tol: float = 0.0) -> tuple[dict, list]:
-    """Deterministic Lloyd K-Means; returns (centroids, per-iteration cost history)."""
+    """Deterministic Lloyd K-Means; returns (centroids, per-iteration cost history).
+
+    Empty clusters drop out (their id is not reused); ``tol`` = 0 runs all iterations
+    unless the centroids stop moving.
+    """
     cents = seed_centroids(df, cols, k, seed, id_col)
     history = []
     for _ in range(n_iter):
-        a = assign_nearest(df, cols, cents)
-        rows = (a.groupBy("persona_cluster")
-                .agg(F.sum("sq_dist").alias("cost"), *[F.avg(c).alias(c) for c in cols]).collect())
-        new = {int(r["persona_cluster"]): [r[c] for c in cols] for r in rows}
-        history.append(sum(r["cost"] for r in rows))
+        parts = lloyd_partials(df, cols, cents)
+        new = {i: (s / n).tolist() for i, (n, _c, s) in parts.items()}
+        history.append(sum(c for _n, c, _s in parts.values()))
         moved = new.keys() != cents.keys() or any(
             max(abs(x - y) for x, y in zip(new[i], cents[i])) > tol for i in new)
         cents = new
@@ -103,21 +145,26 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def fit_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = fixed.N_INIT,
-               max_iter: int = 20, features_col: str | None = None):
-    """pyspark.ml K-Means with n_init restarts; keeps the lowest training cost.
+               max_iter: int = 20, features_col: str | None = None, parallel: int | None = None):
+    """pyspark.ml K-Means with n_init restarts; keeps the lowest training cost (ties → earlier seed).
 
-    The caller should cache/checkpoint ``df`` (each restart rescans it).
+    Restarts are independent, so they are submitted as concurrent Spark jobs
+    from a small driver thread pool; each fit is itself data-parallel. The
+    caller should cache ``df`` (every restart rescans it).
     """
+    from concurrent.futures import ThreadPoolExecutor
     data = df if features_col else assemble(df, cols)
     fc = features_col or "features"
-    best = None
-    for i in range(n_init):
+
+    def one(i):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=fc,
                        predictionCol="persona_cluster").fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
+        return i, model, model.summary.trainingCost
+
+    with ThreadPoolExecutor(max_workers=parallel or min(n_init, 4)) as pool:
+        fits = list(pool.map(one, range(n_init)))
+    _, model, cost = min(fits, key=lambda t: (t[2], t[0]))
+    return model, cost
 
 
 def pca_projection(df: DataFrame, cols: list[str], k: int = 2, keep: list[str] | None = None) -> DataFrame:
