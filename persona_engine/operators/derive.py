@@ -168,7 +168,3 @@ def list_text(arr: F.Column) -> F.Column:
     """Python-style text of a string list: ['a', 'b']."""
     return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
                     F.lit("]"))
-
-
-def hash_order_col(seed, salt, key):
-    return hash_order(seed, salt, key)

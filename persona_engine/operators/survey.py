@@ -132,8 +132,3 @@ def survey_prompt(requests: DataFrame, segments: DataFrame) -> DataFrame:
                   target_count=target, segments=seg_text, survey_type=F.col("survey_type"),
                   required_blocks=fixed.SURVEY_PROMPT_FREE_BLOCKS)
     return requests.select("project_id", text.alias("prompt"))
-
-
-def window_first(df, part, order):
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order))) \
-        .where(F.col("_rn") == 1).drop("_rn")

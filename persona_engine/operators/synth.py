@@ -205,7 +205,3 @@ def drift(source: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame
     b = mg.categorical_shares(synthetic, cols).select("column", "value", F.col("share").alias("synth_share"))
     j = a.join(b, ["column", "value"], "full_outer")
     return j.withColumn("diff", F.coalesce("synth_share", F.lit(0.0)) - F.coalesce("source_share", F.lit(0.0)))
-
-
-def normalized_interest(c) -> F.Column:
-    return F.concat(F.lit("interest_"), normalize_feature(c))

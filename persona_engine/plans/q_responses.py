@@ -14,11 +14,6 @@ from persona_engine.sources import conversations as cv
 BATCH = fixed.DEFAULT_BATCH_SIZE
 
 
-def sqlstr(s: str) -> str:
-    """Python text with newlines → SQL expression."""
-    return " || chr(10) || ".join(_q(p) for p in s.split("\n"))
-
-
 def sim_questions(src):
     q = cv.sim_questions(src)
     return q.select("conv_id", F.col("turn").alias("q_order"), "question_id",
