@@ -51,7 +51,15 @@ def run_weekly_usage_stream(spark: SparkSession, sf_dir: str, max_files_per_trig
     def sink(batch: DataFrame, batch_id: int):
         batch.write.mode("overwrite").parquet(out)
 
-    q = (weekly_usage_streaming(src).writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the files hold wall-clock TIMESTAMP_NTZ; the watermark needs TIMESTAMP, and that
+    # cast uses the session zone — pin UTC while the stream runs so the Monday-aligned
+    # windows are wall-clock weeks whatever zone the caller's session uses
+    prev_tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        q = (weekly_usage_streaming(src).writeStream.outputMode("complete").foreachBatch(sink)
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev_tz)
     return spark.read.parquet(out)

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, SF01
 from persona_engine.config import PipelineConfig
 from persona_engine.plans import pipeline as pl
 from persona_engine.plans.q_derive import weekly_usage
@@ -46,3 +46,47 @@ def test_simulation_stream_equals_batch(spark):
     cols = sorted(a.columns)
     key = lambda r: tuple(map(str, r))
     assert sorted(map(key, a.select(cols).collect())) == sorted(map(key, b.select(cols).collect()))
+
+
+def test_weekly_usage_stream_independent_of_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        src = Sources(spark, SF001)
+        batch = weekly_usage(views.app_usage_events(src))
+        stream = run_weekly_usage_stream(spark, SF001)
+        cols = sorted(batch.columns)
+        assert sorted(map(tuple, batch.select(cols).collect())) == sorted(map(tuple, stream.select(cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_run_simulation_end_to_end(spark):
+    from persona_engine.operators import responder as rp
+    from persona_engine.operators import responses as rs
+    from persona_engine.plans.q_responses import sim_questions
+    from persona_engine.sources import conversations as cv
+    src = Sources(spark, SF001)
+    personas = cv.sim_personas(src)
+    events, progress = rs.run_simulation(personas, sim_questions(src), "conv_id", rp.FirstOptionResponder, 5)
+    ev = events.collect()
+    assert len(ev) == personas.count()
+    assert all(r["type"] == "result" and r["n_answers"] >= 1 for r in ev)
+    pr = progress.orderBy("type", "batch").collect()
+    done = [r for r in pr if r["type"] == "done"][0]
+    assert done["total"] == len(ev) and max(r["done"] for r in pr if r["type"] == "progress") == len(ev)
+
+
+def test_synthetic_shares_within_three_standard_errors(spark):
+    import math
+
+    from persona_engine.operators import synth as sy
+    src = Sources(spark, SF01)
+    p = sy.fit(views.demo(src), views.clv(src), src.events, views.interests(src))
+    n = 20000
+    syn = sy.synth_population(spark, n, p, 42)
+    d = sy.drift(views.demo(src), syn, sy.DEMO_CATEGORICAL).collect()
+    for r in d:
+        s = r["source_share"] or 0.0
+        se = math.sqrt(max(s * (1 - s), 1e-9) / n)
+        assert abs((r["synth_share"] or 0.0) - s) <= 3 * se + 1e-9, r
