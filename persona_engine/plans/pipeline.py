@@ -116,6 +116,14 @@ def run_pipeline(spark, cfg, responder_factory=None) -> dict:
     syn = spark.read.parquet(syn_path)
     enc, cols = encode_table(syn, checkpoint=False)
     seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.max_iter, id_col="index")
+    if cfg.cluster_on == "projection":
+        # cluster on the 2-D linear projection of the standardised features (as the
+        # original clusters its 2-D embedding) instead of on the features themselves
+        proj2 = sg.pca_projection(seg.labelled.drop("persona_cluster", "sq_dist"), seg.z_cols)
+        proj2 = proj2.persist(StorageLevel.MEMORY_AND_DISK)
+        cents, hist = sg.lloyd_kmeans(proj2, ["x", "y"], seg.k, cfg.random_state, cfg.max_iter, "index")
+        labelled = sg.assign_nearest(proj2, ["x", "y"], cents).drop("x", "y")
+        seg = Segmentation(seg.encoded, labelled, seg.feature_cols, seg.params, cents, seg.k, hist)
     feat_path = write_parquet(seg.labelled.drop("persona_cluster", "sq_dist"), f"{out}/features.parquet")
     proj = sg.pca_projection(seg.labelled.select("index", "persona_cluster", *seg.z_cols), seg.z_cols,
                              keep=["index", "persona_cluster"])

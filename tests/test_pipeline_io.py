@@ -90,3 +90,12 @@ def test_synthetic_shares_within_three_standard_errors(spark):
         s = r["source_share"] or 0.0
         se = math.sqrt(max(s * (1 - s), 1e-9) / n)
         assert abs((r["synth_share"] or 0.0) - s) <= 3 * se + 1e-9, r
+
+
+def test_run_pipeline_clusters_on_projection(spark, tmp_out):
+    cfg = PipelineConfig(source_dir=SF001, output_dir=tmp_out, n_synthetic_customers=400, n_personas=3, max_iter=3,
+                         cluster_on="projection", stats_on="scaled")
+    meta = pl.run_pipeline(spark, cfg)
+    assert meta["n_personas_generated"] == 3
+    clu = spark.read.parquet(meta["outputs"]["clustered_data"])
+    assert clu.count() == 400 and clu.select("persona_cluster").distinct().count() == 3
