@@ -78,3 +78,11 @@ def test_normalize_names(spark):
     assert rows(df.select(X.normalize_category("s").alias("c")), "c") == ["ART_AND_CUSTOMIZED", "SMART_HOME_AND_IOT"]
     assert rows(df.select(X.normalize_feature("s").alias("c")), "c") == ["art_customized", "smart_home_iot"]
     _ = F
+
+
+def test_age_truncates_toward_zero_then_clips(spark):
+    from persona_engine.operators.synth import truncated_int
+    df = spark.createDataFrame([(2.7,), (-2.7,), (17.9,), (80.2,)], "x double")
+    out = rows(df.select(X.clip(truncated_int(F.col("x")), 18, 75).alias("a")), "a")
+    assert out == [18, 18, 18, 75]
+    assert rows(df.select(truncated_int(F.col("x")).alias("t")), "t") == [2, -2, 17, 80]

@@ -70,3 +70,23 @@ def test_empty_inputs_rejected(spark):
     empty = spark.createDataFrame([], "persona_id string")
     with pytest.raises(ValueError):
         rs.require_non_empty(empty, "personas")
+
+
+class _Boom:
+    def respond(self, prompt):
+        if "bad" in prompt:
+            raise RuntimeError("model unavailable")
+        return '[{"question_id": "q1", "selected_option": "a", "rationale": "r", "cot": [], "integrity_score": 90.0}]'
+
+
+def test_responder_errors_are_captured_per_row(spark):
+    from persona_engine.operators.responder import run_responder
+    df = spark.createDataFrame([("p1", "good prompt"), ("p2", "bad prompt")], "persona_id string, prompt string")
+    out = {r["persona_id"]: r for r in run_responder(df, ["persona_id"], "prompt", _Boom).collect()}
+    assert out["p1"]["error"] is None and out["p1"]["raw"].startswith("[")
+    assert out["p2"]["raw"] is None and out["p2"]["error"] == "model unavailable"
+    routed = {r["persona_id"]: r for r in rs.route(rs.parse_answers(
+        spark.createDataFrame([(k, "n", "s", v["raw"], v["error"]) for k, v in out.items()],
+                              "persona_id string, persona_name string, segment string, raw string, error string")))
+        .collect()}
+    assert routed["p1"]["type"] == "result" and routed["p2"]["message"] == "model unavailable"
