@@ -72,15 +72,14 @@ def test_empty_inputs_rejected(spark):
         rs.require_non_empty(empty, "personas")
 
 
-class _Boom:
-    def respond(self, prompt):
-        if "bad" in prompt:
-            raise RuntimeError("model unavailable")
-        return '[{"question_id": "q1", "selected_option": "a", "rationale": "r", "cot": [], "integrity_score": 90.0}]'
-
-
 def test_responder_errors_are_captured_per_row(spark):
     from persona_engine.operators.responder import run_responder
+
+    class _Boom:          # defined locally so it ships to the Python workers by value
+        def respond(self, prompt):
+            if "bad" in prompt:
+                raise RuntimeError("model unavailable")
+            return '[{"question_id": "q1", "selected_option": "a", "rationale": "r", "cot": [], "integrity_score": 90.0}]'
     df = spark.createDataFrame([("p1", "good prompt"), ("p2", "bad prompt")], "persona_id string, prompt string")
     out = {r["persona_id"]: r for r in run_responder(df, ["persona_id"], "prompt", _Boom).collect()}
     assert out["p1"]["error"] is None and out["p1"]["raw"].startswith("[")
