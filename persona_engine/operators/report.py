@@ -180,3 +180,20 @@ def parse_report(raw: DataFrame, key: str, report_type: str = fixed.DEFAULT_REPO
         key, F.when(ok, "model").otherwise("fallback").alias("source"),
         F.when(ok, parsed["title"]).alias("title"), F.lit(report_type).alias("type"),
         F.when(ok, F.coalesce(F.size(parsed["sections"]), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_sections"))
+
+
+def question_strength(distribution: DataFrame) -> DataFrame:
+    """J7 'question-strength' series: the leading option's share per question (percent, 1 decimal)."""
+    top = distribution.where(F.col("is_top") == 1)
+    return top.select("question_id", F.col("selected_option").alias("top_option"),
+                      rnd(F.col("share") * 100.0, 1).alias("strength"))
+
+
+def chart_index(counts: dict, top_question_title: str | None) -> list:
+    """The five chart datasets (id, type, title, number of points) in their fixed order."""
+    out = []
+    for cid, ctype, title in fixed.CHARTS:
+        if cid == "question-distribution" and top_question_title:
+            title = top_question_title
+        out.append((cid, ctype, title, int(counts.get(cid, 0))))
+    return out

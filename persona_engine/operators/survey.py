@@ -111,7 +111,9 @@ def draft_metadata(questions: DataFrame) -> DataFrame:
     return questions.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("question_count"),
         F.first("generation_source").alias("generation_source"),
-        F.lit(None).cast("string").alias("template_id"))
+        F.lit(None).cast("string").alias("template_id"),
+        F.lit(None).cast("string").alias("template_version"),
+        F.lit(None).cast("string").alias("segment_source"))
 
 
 def segments_text(segments: DataFrame) -> tuple[str, int]:

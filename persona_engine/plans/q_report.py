@@ -274,3 +274,46 @@ def q_report_prompt(src):
     from persona_engine.operators.report_prompt import build_report_prompt
     return build_report_prompt(src.spark, _cards(src), rp.keyword_items(src.documents), _answers(src),
                                cv.sim_personas(src), PROJECT)
+
+
+STRENGTH_SQL = """SELECT question_id, selected_option AS top_option, round_even(share * 100.0, 1) AS strength FROM (
+    SELECT question_id, selected_option, n / sum(n) OVER (PARTITION BY question_id) AS share,
+           row_number() OVER (PARTITION BY question_id ORDER BY n DESC, selected_option NULLS LAST) AS r
+    FROM (SELECT question_id, selected_option, count(*) AS n FROM ans GROUP BY question_id, selected_option))
+    WHERE r = 1"""
+
+
+@register("question_strength", with_ctes(STRENGTH_SQL))
+def q_question_strength(src):
+    """Leading-option strength per question (the area chart series)."""
+    return rp.question_strength(rp.option_distribution(_answers(src)))
+
+
+_CHART_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS ord, {_q(cid)} AS chart_id, {_q(ctype)} AS chart_type, "
+    + (f"coalesce((SELECT top_question FROM topq), {_q(title)})" if cid == "question-distribution" else _q(title))
+    + " AS title, "
+    + {"keyword-radar": "(SELECT count(*) FROM kwtop)",
+       "question-strength": "(SELECT count(DISTINCT question_id) FROM ans)",
+       "age-distribution": """(SELECT count(*) FROM (SELECT DISTINCT CASE WHEN usr_age > 0 AND usr_age <= 29 THEN '20s'
+            WHEN usr_age > 29 AND usr_age <= 39 THEN '30s' WHEN usr_age > 39 AND usr_age <= 49 THEN '40s'
+            WHEN usr_age > 49 AND usr_age <= 59 THEN '50s' WHEN usr_age > 59 AND usr_age <= 100 THEN '60s+' END FROM demo))""",
+       "question-distribution": "(SELECT count(*) FROM (SELECT DISTINCT question_id, selected_option FROM ans))",
+       "segment-cards": "(SELECT count(*) FROM cards)"}[cid]
+    + " AS n_points"
+    for i, (cid, ctype, title) in enumerate(fixed.CHARTS))
+
+
+@register("report_charts", with_ctes(f"SELECT chart_id, chart_type, title, CAST(n_points AS BIGINT) AS n_points FROM ({_CHART_ROWS})"))
+def q_report_charts(src):
+    """The five chart datasets attached to every report (id, type, title, points)."""
+    ans = _answers(src)
+    dist = rp.option_distribution(ans)
+    counts = {"keyword-radar": rp.keyword_items(src.documents).count(),
+              "question-strength": rp.question_strength(dist).count(),
+              "age-distribution": rp.age_buckets(views.demo(src)).count(),
+              "question-distribution": dist.count(),
+              "segment-cards": _cards(src).count()}
+    top = rp.top_question(ans).first()
+    rows = rp.chart_index(counts, top["top_question"] if top else None)
+    return src.spark.createDataFrame(rows, "chart_id string, chart_type string, title string, n_points long")

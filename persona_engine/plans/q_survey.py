@@ -146,8 +146,10 @@ def q_survey_prompt(src):
 
 
 @register("draft_metadata", with_ctes("""SELECT project_id, count(*) AS question_count, 'model' AS generation_source,
-    CAST(NULL AS VARCHAR) AS template_id FROM parsed GROUP BY project_id
-    UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR) FROM req
+    CAST(NULL AS VARCHAR) AS template_id, CAST(NULL AS VARCHAR) AS template_version,
+    CAST(NULL AS VARCHAR) AS segment_source FROM parsed GROUP BY project_id
+    UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+    CAST(NULL AS VARCHAR) FROM req
     WHERE project_id NOT IN (SELECT project_id FROM parsed)"""))
 def q_metadata(src):
     """H8: draft metadata (count, source, template id) per project."""
