@@ -52,10 +52,20 @@ def question_lines(questions: DataFrame, key: str) -> DataFrame:
     return g.select(key, F.array_join(lines, "\n").alias("questions_text"), F.size("qs").cast("long").alias("n_questions"))
 
 
-def build_prompts(personas: DataFrame, questions: DataFrame, key: str, project_name: str = "",
+def build_prompts(personas: DataFrame, questions: DataFrame, key: str | None, project_name: str = "",
                   project_purpose: str = "") -> DataFrame:
-    """One prompt per persona over its ordered questions."""
-    d = personas.join(question_lines(questions, key), key)
+    """One prompt per persona over its ordered questions.
+
+    With ``key`` the questions are per persona (joined on it); with ``key=None``
+    every persona answers the same survey: the list is validated (1–20
+    questions), collected once and attached as a literal, so the prompts are a
+    projection over the personas (no join, no grouping).
+    """
+    if key is None:
+        block, n = shared_question_block(questions)
+        d = personas.withColumns({"questions_text": F.lit(block), "n_questions": F.lit(n).cast("long")})
+    else:
+        d = personas.join(question_lines(questions, key), key)
     body = render(fixed.SIMULATION_PROMPT_TEMPLATE, name=_txt(d, "persona_name"), age=_txt(d, "age"),
                   gender=_txt(d, "gender"), occupation=_txt(d, "occupation"),
                   occupation_category=_txt(d, "occupation_category"), segment=_txt(d, "segment"),
@@ -65,7 +75,26 @@ def build_prompts(personas: DataFrame, questions: DataFrame, key: str, project_n
                   brand_attitude=_score(d, "brand_attitude"), marketing_acceptance=_score(d, "marketing_acceptance"),
                   profile=_txt(d, "profile"), project_name=project_name, project_purpose=project_purpose,
                   questions=F.col("questions_text"), n_questions=F.col("n_questions"))
-    return d.select(key, "persona_id", "n_questions", body.alias("prompt"))
+    cols = ([key] if key else []) + ["persona_id", "n_questions"]
+    return d.select(*cols, body.alias("prompt"))
+
+
+MAX_QUESTIONS = 20
+
+
+def shared_question_block(questions: DataFrame) -> tuple[str, int]:
+    """The survey's ordered question block (1–20 questions, validated before collecting)."""
+    rows = questions.orderBy("q_order").limit(MAX_QUESTIONS + 1).collect()
+    if not rows:
+        raise ValueError("questions is empty")
+    if len(rows) > MAX_QUESTIONS:
+        raise ValueError(f"a survey has at most {MAX_QUESTIONS} questions")
+    lines = []
+    for i, r in enumerate(rows, start=1):
+        opts = "[" + ", ".join(f'"{o}"' for o in (r["options"] or [])) + "]"
+        lines.append(fixed.SIMULATION_QUESTION_LINE.format(i=i, id=r["question_id"], type=r["question_type"],
+                                                           text=r["question_text"], options=opts))
+    return "\n".join(lines), len(rows)
 
 
 def parse_answers(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
@@ -124,7 +153,8 @@ def run_simulation(personas: DataFrame, questions: DataFrame, key: str, factory,
     from persona_engine.operators.responder import run_responder
     require_non_empty(personas, "personas")
     require_non_empty(questions, "questions")
-    prompts = build_prompts(personas, questions, key, project_name, project_purpose)
+    shared = key is None or key not in questions.columns
+    prompts = build_prompts(personas, questions, None if shared else key, project_name, project_purpose)
     raw = run_responder(prompts, ["persona_id"], "prompt", factory)
     events = route(parse_answers(raw.join(personas, "persona_id")))
     return events, progress(personas, [key], batch_size)

@@ -89,3 +89,24 @@ def test_responder_errors_are_captured_per_row(spark):
                               "persona_id string, persona_name string, segment string, raw string, error string")))
         .collect()}
     assert routed["p1"]["type"] == "result" and routed["p2"]["message"] == "model unavailable"
+
+
+def test_shared_survey_prompts_and_validation(spark):
+    import pytest
+
+    from persona_engine.operators import responder as rp
+    personas = spark.createDataFrame([("p1", "Ann", "heavy"), ("p2", "Bo", "light")],
+                                     "persona_id string, persona_name string, segment string")
+    qs = spark.createDataFrame([(1, "q-a", "단일선택", "Q one", ["x", "y"]), (2, "q-b", "주관식", "Q two", [])],
+                               "q_order long, question_id string, question_type string, question_text string, "
+                               "options array<string>")
+    pr = {r["persona_id"]: r for r in rs.build_prompts(personas, qs, None).collect()}
+    assert pr["p1"]["n_questions"] == 2
+    assert '1. [q-a] (단일선택) Q one\n   선택지: ["x", "y"]' in pr["p1"]["prompt"] and "Bo" in pr["p2"]["prompt"]
+    events, _ = rs.run_simulation(personas, qs, "persona_id", rp.FirstOptionResponder, 1)
+    got = {r["persona_id"]: r for r in events.collect()}
+    assert got["p1"]["n_answers"] == 2 and got["p2"]["type"] == "result"
+    many = spark.range(1, 23).selectExpr("id AS q_order", "concat('q', id) AS question_id", "'단일선택' AS question_type",
+                                         "'t' AS question_text", "array() AS options")
+    with pytest.raises(ValueError):
+        rs.build_prompts(personas, many, None)
