@@ -2,13 +2,15 @@
 
 Two K-Means paths:
 
-* ``lloyd_kmeans`` — seeded, fully deterministic Lloyd iterations. Seeds are the
-  k rows with the smallest md5(seed:init:id); each iteration is one job whose
-  assignment is a pure projection (centroids are ≤20×~25 literals, so no join
-  and no shuffle), followed by a k-row ``groupBy(label).avg``. Results do not
-  depend on partitioning, so they are checkable against SQL.
-* ``fit_kmeans`` — ``pyspark.ml`` K-Means with ``n_init`` restarts (k-means||),
-  keeping the lowest training cost, as the original's n_init=10.
+* ``lloyd_kmeans`` — seeded, deterministic Lloyd iterations. Seeds are the k rows
+  with the smallest md5(seed:init:id) (a distributed top-k). Each iteration is one
+  job: tasks assign their rows with numpy against broadcast centroids and emit
+  per-cluster partial sums; only those (≤ k per partition) are shuffled. The final
+  labels come from ``assign_nearest``, a JVM projection over the ≤20 centroids
+  written as one SQL expression. Results do not depend on partitioning, so they
+  are checkable against SQL.
+* ``fit_kmeans`` — ``pyspark.ml`` K-Means (k-means||) with ``n_init`` restarts run
+  as concurrent jobs, keeping the lowest training cost, as the original's n_init=10.
 
 The silhouette is exact Euclidean on a hash sample of at most 2,000 points:
 the sample (bounded: 2000 × d doubles) is broadcast and each task scores its

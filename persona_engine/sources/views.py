@@ -8,11 +8,11 @@ the original data); the aggregation logic around them is the engine's own.
 
 Scale notes: nation/region are fixed 25/5-row TPC-H dimensions and are
 broadcast; every other join is left to Catalyst/AQE (size-checked broadcast or
-sort-merge). Purchases are rolled up order-first: the order-level aggregation
-reuses the lineitem⋈orders partitioning on the order key, and only order-level
-rows (¼ of the lines) are shuffled to the customer grain, with map-side partial
-aggregation so a customer holding a third of all orders is pre-combined per
-task before the shuffle.
+sort-merge). Purchases are rolled up order-first: when lineitem⋈orders is a
+sort-merge join (the large-scale case) the order-level aggregation reuses its
+order-key partitioning, and only order-level rows (¼ of the lines) are shuffled
+to the customer grain, with map-side partial aggregation so a customer holding a
+third of all orders is pre-combined per task before the shuffle.
 """
 
 from __future__ import annotations
