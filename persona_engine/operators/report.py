@@ -88,18 +88,23 @@ def segment_lines(cards: DataFrame, n: int = T["segments"]) -> DataFrame:
 
 
 def response_patterns(answers: DataFrame, personas: DataFrame) -> DataFrame:
-    """Per segment (first 5) × question (first 3): top option and its first rationale (80 chars)."""
+    """Per segment (first 5) × question (first 3): top option and its first rationale (80 chars).
+
+    Answers are aggregated to (segment, question, option) first — partial
+    aggregation, so a segment holding most answers is pre-combined per task — and
+    questions are ranked over those few aggregated rows.
+    """
     a = answers.join(personas.select("persona_id", "segment"), "persona_id")
     # first 5 segments: distributed top-k, then a window over ≤ 5 rows
     segs = a.select("segment").distinct().orderBy("segment").limit(T["pattern_segments"]) \
         .withColumn("seg_rank", F.row_number().over(Window.orderBy("segment")))
     a = a.join(F.broadcast(segs), "segment")      # ≤ 5 rows
-    qn = F.regexp_extract("question_id", r"(\d+)$", 1).cast("long")
-    qrank = F.dense_rank().over(Window.partitionBy("segment").orderBy(qn, "question_id"))
-    a = a.withColumn("q_rank", qrank).where(F.col("q_rank") <= T["pattern_questions"])
-    opt = a.groupBy("segment", "seg_rank", "question_id", "q_rank", "selected_option").agg(
+    opt = a.groupBy("segment", "seg_rank", "question_id", "selected_option").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by("rationale", "persona_id").alias("rationale"))
+    qn = F.regexp_extract("question_id", r"(\d+)$", 1).cast("long")
+    opt = opt.withColumn("q_rank", F.dense_rank().over(Window.partitionBy("segment").orderBy(qn, "question_id"))) \
+        .where(F.col("q_rank") <= T["pattern_questions"])
     w = Window.partitionBy("segment", "question_id").orderBy(F.desc("n"), F.asc_nulls_last("selected_option"))
     top = opt.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
     return top.select(F.col("seg_rank").cast("long"), "segment", F.col("q_rank").cast("long"), "question_id",
