@@ -145,3 +145,36 @@ def scale_exprs(medians: dict, moments: dict, prefix: str = "z__") -> list:
             e = (x - F.lit(m)) / F.lit(s)
         out.append(e.alias(prefix + c))
     return out
+
+
+def fit_scaling_one_pass(df: DataFrame, cols: list[str], n_rows: int) -> tuple[dict, dict]:
+    """C6 + C7 in one aggregate: medians and the moments of the *imputed* columns.
+
+    One pass computes, per column, the median and the non-null count, mean and
+    population variance. Imputation adds (N − c) copies of the median, so the
+    imputed moments follow from the pooled-variance combination of two groups
+    (Chan et al.): mean = (c·μ + (N−c)·m) / N and
+    M2 = c·σ² + (m − μ)²·c·(N−c) / N — no second scan of the table.
+    """
+    if n_rows <= EXACT_MEDIAN_MAX_ROWS:
+        med = [F.median(F.col(c).cast("double")).alias(f"{c}__med") for c in cols]
+    else:
+        med = [F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_MEDIAN_ACCURACY).alias(f"{c}__med")
+               for c in cols]
+    aggs = list(med)
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mu"), F.var_pop(x).alias(f"{c}__var")]
+    row = df.agg(*aggs).first()
+    medians, moments = {}, {}
+    for c in cols:
+        m, cnt, mu, var = row[f"{c}__med"], row[f"{c}__n"], row[f"{c}__mu"], row[f"{c}__var"]
+        medians[c] = m
+        if m is None or not cnt:
+            moments[c] = (None, None)
+            continue
+        n_imp = n_rows - cnt
+        mean = (cnt * mu + n_imp * m) / n_rows
+        m2 = cnt * (var or 0.0) + (m - mu) ** 2 * cnt * n_imp / n_rows
+        moments[c] = (mean, (m2 / n_rows) ** 0.5)
+    return medians, moments

@@ -54,9 +54,8 @@ def encoded_customers(src: Sources, checkpoint: bool = True):
 
 
 def fit_scaling(enc: DataFrame, cols: list, n_rows: int):
-    medians = fe.fit_medians(enc, cols, n_rows)
-    moments = fe.fit_moments(fe.impute(enc.select(*cols), medians), cols)
-    return medians, moments
+    """Medians and imputed moments from one aggregate over the feature table."""
+    return fe.fit_scaling_one_pass(enc, cols, n_rows)
 
 
 def segment_table(enc: DataFrame, cols: list, n_personas: int = 7, seed: int = 42, n_iter: int = 5,

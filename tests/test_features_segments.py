@@ -76,3 +76,17 @@ def test_cluster_stats_sizes_sum_to_n(spark):
 def test_numeric_columns_only(spark):
     df = spark.createDataFrame([(1, "a", 2.0, True)], "i int, s string, d double, b boolean")
     assert fe.numeric_columns(df, ["i", "s", "d", "b", "missing"]) == ["i", "d"]
+
+
+def test_one_pass_scaling_equals_two_pass(spark):
+    rows = [(1.0, None), (2.0, 5.0), (None, 5.0), (4.0, None), (10.0, 7.0), (None, None)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    med2 = fe.fit_medians(df, ["a", "b"])
+    mom2 = fe.fit_moments(fe.impute(df, med2), ["a", "b"])
+    med1, mom1 = fe.fit_scaling_one_pass(df, ["a", "b"], df.count())
+    assert med1 == med2
+    for c in ["a", "b"]:
+        assert abs(mom1[c][0] - mom2[c][0]) < 1e-12 and abs(mom1[c][1] - mom2[c][1]) < 1e-12
+    allnull = spark.createDataFrame([(None,), (None,)], "x double")
+    m, s = fe.fit_scaling_one_pass(allnull, ["x"], 2)
+    assert m["x"] is None and s["x"] == (None, None)
