@@ -7,9 +7,20 @@ import __spark_entry__ as E
 from conftest import SF001
 from persona_engine.sources.tables import TABLE_NAMES
 
-# a representative slice (the full set runs in tools/check_oracle.py)
-KEYS = ["personas", "clv_rollup", "weekly_usage", "price_waterfall", "synth_customers", "question_fallback",
-        "response_events", "keyword_items", "static_report", "marginal_shares", "device_seq", "silhouette_exact"]
+def _keys():
+    """Every oracle-backed key except those that re-run the segmentation (the full set,
+    including those, runs in tools/check_oracle.py); two segmentation keys stay in."""
+    import re
+
+    import persona_engine.plans.q_personas as qp
+    import persona_engine.plans.q_segments as qs
+    seg_keys = set()
+    for m in (qp, qs):
+        seg_keys |= set(re.findall(r'@register\("([a-z_0-9]+)"', open(m.__file__).read()))
+    return sorted(k for k in E.oracle_sql() if k not in seg_keys) + ["personas", "silhouette_exact"]
+
+
+KEYS = _keys()
 
 
 @pytest.fixture(scope="module")
