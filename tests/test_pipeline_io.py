@@ -99,3 +99,9 @@ def test_run_pipeline_clusters_on_projection(spark, tmp_out):
     assert meta["n_personas_generated"] == 3
     clu = spark.read.parquet(meta["outputs"]["clustered_data"])
     assert clu.count() == 400 and clu.select("persona_cluster").distinct().count() == 3
+
+
+def test_run_eda_writes_summary(spark, tmp_out):
+    path = pl.run_eda(spark, SF001, tmp_out)
+    lines = [r["value"] for r in spark.read.text(path).collect()]
+    assert lines == ["=== EDA Summary ===", "Total customers: 150", "Purchase count: 6000"]
