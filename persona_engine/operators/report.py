@@ -202,3 +202,39 @@ def chart_index(counts: dict, top_question_title: str | None) -> list:
             title = top_question_title
         out.append((cid, ctype, title, int(counts.get(cid, 0))))
     return out
+
+
+def report_document(summary: DataFrame, charts: list, project_name: str,
+                    report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
+    """J1 + J7 as one nested document row: title, type, sections (with evidence and
+    action), kpis, key_findings and the chart index.
+
+    ``summary`` is the one-row aggregate (persona_count, response_count,
+    response_progress, dominant_segment); ``charts`` is the five-entry chart index
+    from ``chart_index`` (a fixed-size list), attached as a literal array.
+    """
+    pc, rc = F.col("persona_count").cast("string"), F.col("response_count").cast("string")
+    prog = F.concat(F.col("response_progress").cast("string"), F.lit("%"))
+    dom = F.col("dominant_segment")
+    ev = "array<struct<label:string,value:string>>"
+
+    def sec(i, t, c, e=None, a=None):
+        return F.struct(F.lit(i).alias("id"), F.lit(t).alias("title"), c.alias("content"),
+                        (e if e is not None else F.lit(None).cast(ev)).alias("evidence"),
+                        (a if a is not None else F.lit(None).cast("string")).alias("action"))
+
+    def kv(k, v):
+        return F.struct(F.lit(k).alias("label"), v.alias("value"))
+
+    chart_col = F.array(*[F.struct(F.lit(cid).alias("id"), F.lit(ctype).alias("type"), F.lit(title).alias("title"),
+                                   F.lit(int(n)).cast("long").alias("n_points"))
+                          for cid, ctype, title, n in charts])
+    return summary.select(
+        F.lit(project_name + S["title_suffix"]).alias("title"), F.lit(report_type).alias("type"),
+        F.array(sec("summary", S["summary_title"], F.format_string(S["summary_body"], F.lit(project_name), pc, rc)),
+                sec("findings", S["findings_title"], F.format_string(S["findings_body"], dom),
+                    F.array(kv(S["evidence_segment"], dom), kv(S["evidence_progress"], prog)),
+                    F.format_string(S["action"], dom))).alias("sections"),
+        F.array(kv(S["kpi_progress"], prog), kv(S["kpi_personas"], pc), kv(S["kpi_responses"], rc)).alias("kpis"),
+        F.array(F.format_string(S["finding_segment"], dom), F.format_string(S["finding_total"], rc)).alias("key_findings"),
+        chart_col.alias("charts"))

@@ -110,3 +110,21 @@ def test_shared_survey_prompts_and_validation(spark):
                                          "'t' AS question_text", "array() AS options")
     with pytest.raises(ValueError):
         rs.build_prompts(personas, many, None)
+
+
+def test_report_document_nested_and_json(spark, tmp_path):
+    import json
+
+    from persona_engine.functions import fixed
+    summary = spark.createDataFrame([(10, 7, 70, "ASIA")], "persona_count long, response_count long, "
+                                                          "response_progress long, dominant_segment string")
+    charts = rp.chart_index({"keyword-radar": 10, "segment-cards": 5}, None)
+    doc = rp.report_document(summary, charts, "proj")
+    out = str(tmp_path / "report")
+    doc.coalesce(1).write.mode("overwrite").json(out)
+    rec = json.loads(spark.read.text(out).first()["value"])
+    assert rec["title"] == "proj" + fixed.STATIC_REPORT_TEXT["title_suffix"] and rec["type"] == "strategy"
+    assert [s["id"] for s in rec["sections"]] == ["summary", "findings"]
+    assert "evidence" not in rec["sections"][0] and rec["sections"][1]["evidence"][1]["value"] == "70%"
+    assert [c["id"] for c in rec["charts"]] == [c[0] for c in fixed.CHARTS]
+    assert rec["charts"][0]["n_points"] == 10 and rec["key_findings"][0].endswith("ASIA")
