@@ -11,8 +11,8 @@ from persona_engine.operators import responder as rp
 from persona_engine.operators import segment as sg
 from persona_engine.plans import pipeline as pl
 from persona_engine.plans.oracle_views import py_float_sql, with_views
-from persona_engine.plans.q_segments import (K, N_ITER, PERSONA_SELECT, RULES_SQL, SEED, SEG_CTES, SEG_VIEWS,
-                                             STATS_SQL, _seg)
+from persona_engine.plans.q_segments import (K, PERSONA_SELECT, RULES_SQL, SEED, SEG_CTES, SEG_VIEWS, STATS_SQL,
+                                             _seg)
 from persona_engine.plans.registry import register
 from persona_engine.sources.tables import Sources
 
@@ -193,6 +193,3 @@ def q_run_metadata(src):
     return src.spark.createDataFrame([("success", SEED, n, K, len(seg.centroids))],
                                      "status string, random_state long, n_synthetic_customers long, "
                                      "n_personas_requested long, n_personas_generated long")
-
-
-_ = N_ITER

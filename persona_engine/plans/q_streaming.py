@@ -3,7 +3,7 @@ queries', so they share the batch oracles."""
 
 from __future__ import annotations
 
-from persona_engine.plans import q_derive, q_responses
+from persona_engine.plans import q_derive, q_responses  # noqa: F401  (their oracles are reused below)
 from persona_engine.plans.registry import ORACLES, register
 from persona_engine.sources import conversations as cv
 from persona_engine.streaming.simulation_stream import run_simulation_stream
@@ -21,6 +21,3 @@ def q_simulation_stream(src):
     """Personas + responder output fed as a file stream; events appended per micro-batch."""
     personas = cv.sim_personas(src).join(cv.sim_model_output(src), "conv_id", "left")
     return run_simulation_stream(src.spark, personas)
-
-
-_ = (q_derive, q_responses)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
-from persona_engine.operators import marginals as mg
 from persona_engine.operators import synth as sy
 from persona_engine.plans.oracle_views import _q, with_views
 from persona_engine.plans.q_derive import hash_unit_sql
@@ -242,6 +241,3 @@ def q_drift(src):
     df, _ = _population(src)
     d = sy.drift(views.demo(src), df, sy.DEMO_CATEGORICAL)
     return _r6(d, ["source_share", "synth_share", "diff"])
-
-
-_ = mg
