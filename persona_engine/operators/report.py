@@ -176,15 +176,20 @@ REPORT_SCHEMA = "struct<title:string,sections:array<struct<id:string,title:strin
 
 
 def parse_report(raw: DataFrame, key: str, report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
-    """Greedy {...} → must have 'sections' → model report with forced type; else fallback."""
+    """Greedy {...} → must have 'sections' → model report with forced type; else
+    the fallback, with the reason recorded instead of swallowed (Q13)."""
     block = F.regexp_extract(F.col("raw"), r"(?s)\{.*\}", 0)
     obj = F.nullif(block, F.lit(""))
-    ok = F.coalesce(F.array_contains(F.json_object_keys(obj), "sections"), F.lit(False))
+    keys = F.json_object_keys(obj)
+    ok = F.coalesce(F.array_contains(keys, "sections"), F.lit(False))
     parsed = F.from_json(obj, REPORT_SCHEMA)
+    reason = (F.when(ok, F.lit(None).cast("string")).when(obj.isNull(), "no_json_object")
+              .when(keys.isNull(), "invalid_json").otherwise("no_sections"))
     return raw.select(
         key, F.when(ok, "model").otherwise("fallback").alias("source"),
         F.when(ok, parsed["title"]).alias("title"), F.lit(report_type).alias("type"),
-        F.when(ok, F.coalesce(F.size(parsed["sections"]), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_sections"))
+        F.when(ok, F.coalesce(F.size(parsed["sections"]), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_sections"),
+        reason.alias("fallback_reason"))
 
 
 def question_strength(distribution: DataFrame) -> DataFrame:

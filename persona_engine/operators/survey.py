@@ -106,14 +106,21 @@ def evidence_text(c: F.Column) -> F.Column:
     return F.array_join(F.transform(c, lambda e: F.concat_ws("=", e["label"], e["value"])), "|")
 
 
-def draft_metadata(questions: DataFrame) -> DataFrame:
-    """H8: count, source and template fields per project."""
-    return questions.groupBy("project_id").agg(
+def draft_metadata(questions: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """H8: count, source and template fields per project; with the requests, also the
+    requested count and whether the drafted count differs from it (the model's count
+    is not enforced, Q11)."""
+    m = questions.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("question_count"),
         F.first("generation_source").alias("generation_source"),
         F.lit(None).cast("string").alias("template_id"),
         F.lit(None).cast("string").alias("template_version"),
         F.lit(None).cast("string").alias("segment_source"))
+    if requests is None:
+        return m
+    r = requests.select("project_id", F.col("question_count").cast("long").alias("requested_count"))
+    return m.join(r, "project_id", "left").withColumn(
+        "count_mismatch", (F.col("question_count") != F.col("requested_count")).cast("long"))
 
 
 def segments_text(segments: DataFrame) -> tuple[str, int]:

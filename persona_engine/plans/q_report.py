@@ -230,7 +230,10 @@ def report_model_output(src):
 
 @register("parse_report", """SELECT doc_id, CASE WHEN ok THEN 'model' ELSE 'fallback' END AS source,
     CASE WHEN ok THEN b->>'$.title' END AS title, 'strategy' AS type,
-    CAST(CASE WHEN ok THEN coalesce(json_array_length(b, '$.sections'), 0) ELSE 0 END AS BIGINT) AS n_sections
+    CAST(CASE WHEN ok THEN coalesce(json_array_length(b, '$.sections'), 0) ELSE 0 END AS BIGINT) AS n_sections,
+    CASE WHEN ok THEN NULL WHEN b = '' THEN 'no_json_object'
+         WHEN NOT json_valid(b) OR json_type(b) <> 'OBJECT' THEN 'invalid_json' ELSE 'no_sections' END
+      AS fallback_reason
     FROM (SELECT doc_id, b, CASE WHEN b <> '' AND json_valid(b) THEN json_type(b) = 'OBJECT'
             AND json_exists(b, '$.sections') ELSE false END AS ok
           FROM (SELECT doc_id, regexp_extract(raw, '(?s)\\{.*\\}', 0) AS b FROM (

@@ -145,13 +145,16 @@ def q_survey_prompt(src):
     return sv.survey_prompt(cv.survey_requests(src), segs)
 
 
-@register("draft_metadata", with_ctes("""SELECT project_id, count(*) AS question_count, 'model' AS generation_source,
-    CAST(NULL AS VARCHAR) AS template_id, CAST(NULL AS VARCHAR) AS template_version,
-    CAST(NULL AS VARCHAR) AS segment_source FROM parsed GROUP BY project_id
-    UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
-    CAST(NULL AS VARCHAR) FROM req
-    WHERE project_id NOT IN (SELECT project_id FROM parsed)"""))
+@register("draft_metadata", with_ctes("""SELECT m.*, r.question_count AS requested_count,
+    CAST(m.question_count <> r.question_count AS BIGINT) AS count_mismatch FROM (
+      SELECT project_id, count(*) AS question_count, 'model' AS generation_source,
+        CAST(NULL AS VARCHAR) AS template_id, CAST(NULL AS VARCHAR) AS template_version,
+        CAST(NULL AS VARCHAR) AS segment_source FROM parsed GROUP BY project_id
+      UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+        CAST(NULL AS VARCHAR) FROM req WHERE project_id NOT IN (SELECT project_id FROM parsed)) m
+    LEFT JOIN req r ON m.project_id = r.project_id"""))
 def q_metadata(src):
     """H8: draft metadata (count, source, template id) per project."""
-    q = sv.with_fallback(cv.survey_requests(src), sv.parse_questions(cv.survey_model_output(src)))
-    return sv.draft_metadata(q)
+    req = cv.survey_requests(src)
+    q = sv.with_fallback(req, sv.parse_questions(cv.survey_model_output(src)))
+    return sv.draft_metadata(q, req)

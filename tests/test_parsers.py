@@ -63,6 +63,8 @@ def test_parse_report_requires_sections(spark):
     got = {r["doc_id"]: r for r in rp.parse_report(raw, "doc_id").collect()}
     assert got[1]["source"] == "model" and got[1]["n_sections"] == 1 and got[1]["title"] == "T"
     assert got[2]["source"] == got[3]["source"] == "fallback"
+    assert got[1]["fallback_reason"] is None and got[2]["fallback_reason"] == "no_sections"
+    assert got[3]["fallback_reason"] == "no_json_object"
 
 
 def test_empty_inputs_rejected(spark):
