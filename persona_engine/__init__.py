@@ -5,7 +5,20 @@ ever sees fitted scalars (means, medians, centroids, shares), never rows.
 """
 
 from persona_engine.config import PipelineConfig, SimulationConfig, SurveyConfig
-from persona_engine.session import get_session, ensure_checkpoint_dir
+from persona_engine.session import ensure_checkpoint_dir, get_session
+
+
+def run_pipeline(spark, config):
+    """End-to-end persona job (see ``persona_engine.plans.pipeline.run_pipeline``)."""
+    from persona_engine.plans.pipeline import run_pipeline as _run
+    return _run(spark, config)
+
+
+def run_eda(spark, source_dir, output_dir):
+    """EDA summary sink (see ``persona_engine.plans.pipeline.run_eda``)."""
+    from persona_engine.plans.pipeline import run_eda as _run
+    return _run(spark, source_dir, output_dir)
+
 
 __all__ = [
     "PipelineConfig",
@@ -13,4 +26,6 @@ __all__ = [
     "SurveyConfig",
     "get_session",
     "ensure_checkpoint_dir",
+    "run_pipeline",
+    "run_eda",
 ]

@@ -90,3 +90,13 @@ def test_one_pass_scaling_equals_two_pass(spark):
     allnull = spark.createDataFrame([(None,), (None,)], "x double")
     m, s = fe.fit_scaling_one_pass(allnull, ["x"], 2)
     assert m["x"] is None and s["x"] == (None, None)
+
+
+def test_approximate_median_path_at_scale_threshold(spark, monkeypatch):
+    """Above the exact-median row bound the fit switches to percentile_approx."""
+    df = spark.range(0, 10001).selectExpr("CAST(id AS DOUBLE) AS a",
+                                          "CASE WHEN id % 10 = 0 THEN NULL ELSE CAST(id AS DOUBLE) END AS b")
+    monkeypatch.setattr(fe, "EXACT_MEDIAN_MAX_ROWS", 0)
+    med, mom = fe.fit_scaling_one_pass(df, ["a", "b"], 10001)
+    assert abs(med["a"] - 5000.0) <= 1.0 and abs(med["b"] - 5000.0) <= 5.0
+    assert abs(mom["a"][0] - 5000.0) < 1e-9
