@@ -28,3 +28,23 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_sentencepiece"] = op9_sentencepiece
+
+
+def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdicts of every document, hosts being the sources."""
+    from persona_engine.llm.host_rules import host_rules
+
+    return host_rules(documents(spark, sf_dir))
+
+
+QUERIES["op5_host_rules"] = op5_host_rules
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    from persona_engine.llm.mixing import mix_sources
+
+    return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["op7_mixing"] = op7_mixing
