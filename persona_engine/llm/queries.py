@@ -48,3 +48,23 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_mixing"] = op7_mixing
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License places and labels of every document."""
+    from persona_engine.llm.licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir))
+
+
+QUERIES["op3_license_scan"] = op3_license_scan
+
+
+def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that give it away, in every document."""
+    from persona_engine.llm.private_terms import find_private
+
+    return find_private(documents(spark, sf_dir)).drop("rid", "found")
+
+
+QUERIES["op10_private_terms"] = op10_private_terms
