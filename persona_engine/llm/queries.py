@@ -68,3 +68,18 @@ def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_private_terms"] = op10_private_terms
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels of four fifths of them."""
+    from persona_engine.llm.toxicity import score_toxicity, train_toxicity
+
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, train_toxicity(docs, labels(spark, sf_dir)))
+
+
+QUERIES["op4_toxicity"] = op4_toxicity
