@@ -83,3 +83,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_toxicity"] = op4_toxicity
+
+
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from persona_engine.llm.ngram_join import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
+QUERIES["op2_ngram_jaccard"] = op2_ngram_jaccard
