@@ -93,3 +93,13 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_ngram_jaccard"] = op2_ngram_jaccard
+
+
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and class-bigram scores of every document, learned from nine tenths of them."""
+    from persona_engine.llm.brown import score_documents
+
+    return score_documents(documents(spark, sf_dir))
+
+
+QUERIES["op1_brown_lm"] = op1_brown_lm
