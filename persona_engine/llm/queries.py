@@ -103,3 +103,13 @@ def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_brown_lm"] = op1_brown_lm
+
+
+def op8_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    from persona_engine.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+QUERIES["op8_multiprobe_lsh"] = op8_multiprobe_lsh
