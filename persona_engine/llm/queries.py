@@ -113,3 +113,13 @@ def op8_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_multiprobe_lsh"] = op8_multiprobe_lsh
+
+
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that start anywhere else too."""
+    from persona_engine.llm.repeats import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir))
+
+
+QUERIES["op6_repeated_strings"] = op6_repeated_strings
