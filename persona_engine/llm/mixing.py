@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from persona_engine.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Sources up to this many are broadcast; beyond, they are joined by shuffle.
+BROADCAST_SOURCES = 100_000
 #: Divisors tried in one pass over the cells.
 _GRID = 48
 
@@ -112,10 +114,12 @@ def mix_sources(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     p = plan
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     rows = materialize(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                                   size.alias("size"))
+                                   size.alias("size"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
                        .withColumn("is_null", F.col("source").isNull()).withColumn("key", F.coalesce("source", F.lit(""))))
     sources = materialize(source_targets(rows, p))
-    placed = rows.join(sources, ["key", "is_null"]).withColumn(
+    # one row per source: broadcast if there are few; a source with a third of all rows is then not moved
+    few = F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
+    placed = rows.join(few, ["key", "is_null"]).withColumn(
         "shard", F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.ceil(F.col("n_docs") / p.shard_docs)))
     cells = (placed.groupBy("key", "is_null", "shard")
              .agg(F.sum("size").alias("ring"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
@@ -140,4 +144,29 @@ def mix_sources(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     parts = F.filter(F.array(part(F.col("ring")), part(F.lit(0))), lambda r: r["to_word"] > r["from_word"])
     out = out.withColumn("parts", parts)
     taken = F.col("copies") * F.col("size") + F.aggregate("parts", F.lit(0).cast("long"), lambda s, r: s + r["to_word"] - r["from_word"])
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "copies", "parts")
+    return out.select("doc_id", "source", "text_key", "size", "source_size", "target", taken.alias("taken"), "copies", "parts")
+
+
+def take_mix(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
+    """The mix itself, with all columns: a row for each time a document is taken whole, and one with the
+    words taken for each part; n_chars (where there is one) is counted anew for parts.
+
+    What is taken of rows with the same doc_id, source and text is added up over them.
+    """
+    mix = mix_sources(docs, plan).where("taken > 0")
+    name = lambda c: F.to_json(F.struct(c.cast("string").alias("v")))  # noqa: E731  null is a value of its own
+    whole = F.transform(F.sequence(F.lit(1), F.col("copies").cast("int")), lambda _: F.lit(None).cast("struct<from_word:bigint,to_word:bigint>"))
+    takes = F.concat(F.when(F.col("copies") > 0, whole).otherwise(F.array().cast("array<struct<from_word:bigint,to_word:bigint>>")), F.col("parts"))
+    taken = (mix.select(name(F.col("doc_id")).alias("_id"), name(F.col("source")).alias("_source"), F.col("text_key").alias("_key"), takes.alias("_takes"))
+             .groupBy("_id", "_source", "_key").agg(F.flatten(F.collect_list("_takes")).alias("_takes")))
+    keyed = docs.withColumns({"_i": name(F.col("doc_id").cast("bigint")), "_s": name(F.col("source")), "_k": F.xxhash64(F.col("text").cast("string"))})
+    keyed = keyed.dropDuplicates(["_i", "_s", "_k"])
+    rows = (keyed.join(taken, (F.col("_i") == F.col("_id")) & (F.col("_s") == F.col("_source")) & (F.col("_k") == F.col("_key")))
+            .withColumn("_take", F.explode("_takes")))
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.slice(words, (F.col("_take.from_word") + 1).cast("int"), (F.col("_take.to_word") - F.col("_take.from_word")).cast("int")), "")
+    text = F.when(F.col("_take").isNull(), F.col("text")).otherwise(F.regexp_replace(part, r"^[\x20\x09-\x0D]+", ""))
+    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("_take").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[v.alias(k) for k, v in columns.items()])

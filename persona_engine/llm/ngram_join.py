@@ -313,3 +313,15 @@ def jaccard_components(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> Da
     single = info.where("doc_id is null or n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     rest = info.where("doc_id is not null and n > 0").join(found, ["n", "d1", "d2"]).select("doc_id", "n", "component_id")
     return rest.union(single).withColumnRenamed("n", "n_shingles")
+
+
+def keep_one_of_each(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> DataFrame:
+    """One document of each component, with all its columns: the one of smallest doc_id.
+
+    Rows that repeat a kept row's doc_id and text go too; rows with null doc_id stay.
+    """
+    found = jaccard_components(docs, plan).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    known = docs.where(F.col("doc_id").isNotNull())
+    kept = known.join(found, F.col("doc_id").cast("bigint") == F.col("_kept_id"), "left_semi")
+    kept = kept.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))

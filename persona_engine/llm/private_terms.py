@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from persona_engine.llm import textbytes as tb
 from persona_engine.session import materialize
@@ -119,7 +120,7 @@ def _nearby(text: str, spans: list[tuple[int, int, int]], width: int) -> list[tu
     return out
 
 
-_BASE = "rid bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string"
+_BASE = "rid bigint, doc_id bigint, text_key bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string"
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 _NEAR = "array<struct<entity:string,term:bigint,start:bigint,end:bigint>>"
 
@@ -131,23 +132,23 @@ def find_base(docs: DataFrame, plan: DisclosurePlan) -> DataFrame:
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, key, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 spans = base_spans(text) if text else []
                 joined = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
                 kinds = [k for _, k, _ in spans]
-                rows.append({"rid": rid, "doc_id": doc_id, **{f"n_{KINDS[k]}": kinds.count(k) for k in range(4)},
+                rows.append({"rid": rid, "doc_id": doc_id, "text_key": key, **{f"n_{KINDS[k]}": kinds.count(k) for k in range(4)},
                              "base_sha256": hashlib.sha256(joined.encode()).hexdigest(),
                              "base": [{"start": a, "kind": k, "end": b} for a, k, b in spans],
                              "near": [dict(zip(("entity", "term", "start", "end"), x)) for x in _nearby(text, spans, plan.window_words)] if spans else []})
                 rid += 1
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
-    return (docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
+    return (docs.selectExpr("cast(doc_id as bigint) doc_id", "xxhash64(cast(text as string)) text_key", "cast(text as string) text")
             .mapInArrow(run, f"{_BASE}, base {_SPAN}, near {_NEAR}"))
 
 
 _L, _S = pa.int64(), pa.string()
-_ARROW = pa.schema([("rid", _L), ("doc_id", _L), ("n_email", _L), ("n_ip", _L), ("n_card", _L), ("n_phone", _L), ("base_sha256", _S),
+_ARROW = pa.schema([("rid", _L), ("doc_id", _L), ("text_key", _L), ("n_email", _L), ("n_ip", _L), ("n_card", _L), ("n_phone", _L), ("base_sha256", _S),
                     ("base", pa.list_(pa.struct([("start", _L), ("kind", pa.int32()), ("end", _L)]))),
                     ("near", pa.list_(pa.struct([("entity", _S), ("term", _L), ("start", _L), ("end", _L)])))])
 
@@ -183,7 +184,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
 def find_private(docs: DataFrame, plan: DisclosurePlan = DisclosurePlan()) -> DataFrame:
     """Base and term spans of each row's whole text; one row per input row.
 
-    Columns: rid (a number of the row), doc_id, n_email, n_ip, n_card, n_phone, base_sha256,
+    Columns: rid (a number of the row), doc_id, text_key (hash of the text), n_email, n_ip, n_card, n_phone, base_sha256,
     spans (``kind:start:end`` by start, then kind; code points, end exclusive) and found
     (array of start, kind number, end, remove).
 
@@ -222,7 +223,7 @@ def find_private(docs: DataFrame, plan: DisclosurePlan = DisclosurePlan()) -> Da
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.array_join(F.transform("found", lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
     return (base.join(hits, "rid", "left").withColumn("found", found).withColumn("spans", text)
-            .select("rid", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "found"))
+            .select("rid", "doc_id", "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "found"))
 
 
 def sanitise(text: str, found: list[tuple[int, int, int, bool]]) -> str:
@@ -236,3 +237,32 @@ def sanitise(text: str, found: list[tuple[int, int, int, bool]]) -> str:
         out += [text[at:start], "" if remove else f"[{KINDS[kind].upper()}]"]
         at = end
     return "".join([*out, text[at:]])
+
+
+def sanitise_documents(docs: DataFrame, plan: DisclosurePlan = DisclosurePlan()) -> DataFrame:
+    """The rows, with all their columns, their texts sanitised and n_chars (where there is one) counted anew.
+
+    Null texts stay null. Rows of the same doc_id and text get the same spans.
+    """
+    spans = (find_private(docs, plan).where(F.size("found") > 0).dropDuplicates(["doc_id", "text_key"])
+             .select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no_id"), F.col("text_key").alias("_key"), F.col("found").alias("_found")))
+    id_ = F.col("doc_id").cast("bigint")
+    joined = docs.join(spans, (F.coalesce(id_, F.lit(0)) == F.col("_id")) & (id_.isNull() == F.col("_no_id"))
+                       & (F.xxhash64(F.col("text").cast("string")) == F.col("_key")), "left")
+    rows = joined.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col("text").cast("string").alias("text"), F.col("_found").alias("found"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1)
+            found = batch.column(2)
+            hit = np.flatnonzero(np.asarray(found.is_valid())).tolist()
+            new = {i: sanitise(texts[i].as_py(), [(s["start"], s["kind"], s["end"], s["remove"]) for s in found[i].as_py()]) for i in hit}
+            column = pa.array([new.get(i) for i in range(batch.num_rows)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["kept", "changed"])
+
+    out = rows.mapInArrow(run, T.StructType([rows.schema["kept"], T.StructField("changed", T.StringType())]))
+    text = F.coalesce("changed", "kept.text")
+    columns = {c: F.col(f"kept.`{c}`") for c in docs.columns} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("changed").isNotNull(), F.length("changed")).otherwise(F.col("kept.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[v.alias(k) for k, v in columns.items()])

@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from persona_engine.llm import textbytes as tb
 from persona_engine.llm.private_terms import TERM_SEPARATOR
@@ -172,19 +173,17 @@ def _around(raw: bytes, p: int, low: int, high: int) -> str:
     return (left + right).decode("utf-8", "ignore").lower()
 
 
-def feature_rows(docs: DataFrame, lex: Lexicon, keep: str = "") -> DataFrame:
-    """doc_id, the ``keep`` column if named, and the features of every row's whole text."""
-    kept = ["doc_id", *([keep] if keep else [])]
+def feature_rows(docs: DataFrame, kept: Column, lex: Lexicon) -> DataFrame:
+    """``kept`` (whatever the caller wants back, as one column) and the features of every row's whole text."""
+    rows = docs.select(kept.alias("kept"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in tb.chunks(batch.column(len(kept))):
+            for c in tb.chunks(batch.column(1)):
                 f = text_features(c, lex)
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(c.first, c.n) for k in range(len(kept))],
-                                                  *[pa.array(f[k]) for k in FEATURES]], names=[*kept, *FEATURES])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.n), *[pa.array(f[k]) for k in FEATURES]], names=["kept", *FEATURES])
 
-    return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *kept[1:], F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, ", ".join([f"{k} bigint" for k in kept] + [f"{k} double" for k in FEATURES])))
+    return rows.mapInArrow(run, T.StructType([rows.schema["kept"], *[T.StructField(k, T.DoubleType()) for k in FEATURES]]))
 
 
 def learn_lexicon(rows: DataFrame, plan: ToxicityPlan) -> Lexicon:
@@ -246,8 +245,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, plan: ToxicityPlan = Toxi
                          .join(F.broadcast(known), "doc_id")
                          .withColumn("part", F.pmod(F.xxhash64(F.lit(plan.seed + 1), "doc_id"), F.lit(10))))
     lexicon = learn_lexicon(sample.where("part < 8"), plan)
-    rows = materialize(feature_rows(sample.withColumn("mark", F.col("toxic") * 16 + F.col("part")), lexicon, "mark")
-                       .withColumns({"toxic": F.floor(F.col("mark") / 16).cast("double"), "part": F.col("mark") % 16}).coalesce(6))
+    rows = feature_rows(sample, F.struct(F.col("toxic").cast("double").alias("toxic"), "part"), lexicon)
+    rows = materialize(rows.select("kept.*", *FEATURES).coalesce(6))
     fit, tune = rows.where("part < 8"), rows.where("part >= 8")
     counts = rows.groupBy((F.col("part") >= 8).alias("tune"), "toxic").count().collect()
     total = sum(r["count"] for r in counts)
@@ -270,6 +269,18 @@ def _raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     return trees.transform(_vector(rows)).withColumn("raw", vector_to_array("probability")[1]).drop("prediction")
 
 
+def _scored(docs: DataFrame, kept: Column, model: ToxicityModel) -> DataFrame:
+    """``kept`` and the score of every row's whole text."""
+    rows = feature_rows(docs, kept, model.lexicon)
+    if model.trees is None:
+        score = F.lit(float(model.rate))
+    else:
+        rows, score = _raw(model.trees, rows), F.col("raw")
+        if model.calibration is not None:
+            rows, score = model.calibration.transform(rows), F.col("prediction")
+    return rows.select("kept", F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)).alias("score"))
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel, plan: ToxicityPlan = ToxicityPlan()) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5) of each row's whole text; one row per input row.
 
@@ -277,16 +288,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, plan: ToxicityPlan = T
     rows return each; an empty table gives an empty result. Extra columns are not read.
     Without toxic and other labelled rows to learn from, every score is their toxic share.
     """
-    rows = feature_rows(docs, model.lexicon)
-    if model.trees is None:
-        rows = rows.withColumn("score", F.lit(float(model.rate)))
-    else:
-        rows = _raw(model.trees, rows)
-        if model.calibration is None:
-            rows = rows.withColumn("score", F.col("raw"))
-        else:
-            rows = model.calibration.transform(rows).withColumn("score", F.col("prediction"))
-    score = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    return rows.select("doc_id", held_out(plan).alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = _scored(docs, F.col("doc_id").cast("bigint"), model).withColumnRenamed("kept", "doc_id")
+    return rows.select("doc_id", held_out(plan).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows, with all their columns, whose score is below 0.5 (any other column may have any name)."""
+    rows = _scored(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), model)
+    return rows.where("score < 0.5").select("kept.*")
