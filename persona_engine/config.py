@@ -22,7 +22,7 @@ class PipelineConfig:
     n_synthetic_customers: int = 1000
     n_personas: int = 7
     n_init: int = 10
-    max_iter: int = 20
+    max_iter: int = 300
     silhouette_sample: int = 2000
     stories_per_cluster: int = 3
     stats_on: str = "raw"            # "raw" | "scaled" (parity with scaled statistics)

@@ -11,13 +11,18 @@ def col(c) -> Column:
 
 
 def clip(c, lo=None, hi=None) -> Column:
-    """least(greatest(x, lo), hi); either bound may be omitted."""
-    out = col(c)
+    """least(greatest(x, lo), hi); either bound may be omitted. Null and NaN are missing and give null."""
+    x = out = col(c)
     if lo is not None:
         out = F.greatest(out, F.lit(lo))
     if hi is not None:
         out = F.least(out, F.lit(hi))
-    return out
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), out)
+
+
+def present(c) -> Column:
+    """The value as double; NaN is missing, as null is."""
+    return F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def safe_default(c, default: float = 0.0) -> Column:

@@ -12,14 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from persona_engine.functions import fixed
-from persona_engine.functions.expr import flag, starts_with_active
+from persona_engine.functions.expr import flag, present, starts_with_active
 
-# Above this many rows the exact median (whose final merge holds every distinct
-# value in one task) is replaced by percentile_approx with a tight accuracy.
-EXACT_MEDIAN_MAX_ROWS = 20_000_000
-APPROX_MEDIAN_ACCURACY = 1_000_000
-# One-hot columns are collected as distinct values; refuse unbounded domains.
-MAX_ONE_HOT_VALUES = 1000
+# Precision of the quantiles that bracket a median: the bracket holds about 4 / accuracy of the rows.
+BRACKET_ACCURACY = 10_000
+# Distinct values of all brackets that are counted one by one on the driver; wider brackets are narrowed first.
+BRACKET_VALUES = 200_000
 
 
 def encode_gender(df: DataFrame, src: str = "usr_gndr", out: str = "usr_gndr_enc") -> DataFrame:
@@ -32,11 +30,9 @@ def encode_active(df: DataFrame, src: str = "sa_activeness", out: str = "is_acti
     return df.withColumn(out, starts_with_active(src))
 
 
-def one_hot_values(df: DataFrame, column: str, max_values: int = MAX_ONE_HOT_VALUES) -> list:
-    """Sorted distinct non-null values of a low-cardinality column (size-checked)."""
-    vals = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; not one-hot encodable")
+def one_hot_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values of a column (each becomes a column of the result)."""
+    vals = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in vals)
 
 
@@ -64,22 +60,60 @@ def numeric_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if isinstance(types.get(c), NumericType)]
 
 
-def fit_medians(df: DataFrame, cols: list[str], n_rows: int | None = None) -> dict:
-    """C6 fit: interpolated median per column in one aggregate (null → column all-null)."""
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows <= EXACT_MEDIAN_MAX_ROWS:
-        exprs = [F.median(F.col(c).cast("double")).alias(c) for c in cols]
-    else:
-        exprs = [F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_MEDIAN_ACCURACY).alias(c)
-                 for c in cols]
-    row = df.agg(*exprs).first()
-    return {c: row[c] for c in cols}
+def fit_medians(df: DataFrame, cols: list[str]) -> dict:
+    """C6 fit: interpolated median per column over its present values (none → null), one way at every size.
+
+    One aggregate counts the values and brackets each median between two quantiles that
+    are sure to lie on either side of it. A second pass counts the values below each
+    bracket and each distinct value inside it (partial counts per task); the middle ranks
+    are then looked up. Brackets that hold too many distinct values are narrowed by
+    another round of quantiles inside them.
+    """
+    if not cols:
+        return {}
+    x = {c: present(c) for c in cols}
+    wide = [0.5 - 2 / BRACKET_ACCURACY, 0.5 + 2 / BRACKET_ACCURACY]
+    row = df.agg(*[F.count(x[c]).alias(f"{c}__n") for c in cols],
+                 *[F.percentile_approx(x[c], wide, BRACKET_ACCURACY).alias(f"{c}__q") for c in cols]).first()
+    n = {c: row[f"{c}__n"] for c in cols}
+    bracket = {c: tuple(row[f"{c}__q"]) for c in cols if n[c]}
+    long = df.select(*[x[c].alias(c) for c in bracket]).unpivot([], list(bracket), "feature", "value").where("value is not null") \
+        if bracket else None
+    counts: dict = {c: [] for c in bracket}
+    while bracket:
+        lo = F.create_map(*[F.lit(v) for c, (a, _) in bracket.items() for v in (c, a)])[F.col("feature")]
+        hi = F.create_map(*[F.lit(v) for c, (_, b) in bracket.items() for v in (c, b)])[F.col("feature")]
+        place = F.when(F.col("value") < lo, F.lit(float("-inf"))).when(F.col("value") > hi, F.lit(float("inf"))).otherwise(F.col("value"))
+        at = long.where(F.col("feature").isin(list(bracket))).groupBy("feature", place.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        got = at.limit(BRACKET_VALUES + 1).collect()
+        if len(got) <= BRACKET_VALUES:
+            for r in got:
+                counts[r["feature"]].append((r["value"], r["n"]))
+            break
+        # the middle's rank inside the bracket, from the counts below it
+        below = {r["feature"]: r["n"] for r in at.where(F.col("value") == float("-inf")).collect()}
+        inside = {r["feature"]: r["n"] for r in at.where(F.abs("value") < float("inf")).groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+        mid = {c: (n[c] / 2 - below.get(c, 0)) / inside[c] for c in bracket}
+        one = long.where((F.col("value") >= lo) & (F.col("value") <= hi))
+        q = one.groupBy("feature").agg(*[F.percentile_approx("value", [max(0.0, mid[c] - 2 / BRACKET_ACCURACY), min(1.0, mid[c] + 2 / BRACKET_ACCURACY)],
+                                                             BRACKET_ACCURACY).alias(c) for c in bracket]).collect()
+        bracket = {r["feature"]: tuple(r[r["feature"]]) for r in q}
+    out = {}
+    for c in cols:
+        if not n[c]:
+            out[c] = None
+            continue
+        want, seen, mids = [(n[c] - 1) // 2, n[c] // 2], 0, []
+        for value, k in sorted(counts[c]):
+            mids += [value for w in want if seen <= w < seen + k]
+            seen += k
+        out[c] = mids[0] if mids[0] == mids[1] else (mids[0] + mids[1]) / 2
+    return out
 
 
 def impute(df: DataFrame, medians: dict) -> DataFrame:
-    """C6 apply: coalesce(x, median) as double."""
-    rep = {c: (F.coalesce(F.col(c).cast("double"), F.lit(m)) if m is not None else F.col(c).cast("double"))
-           for c, m in medians.items()}
+    """C6 apply: the present value, else the median, as double."""
+    rep = {c: (F.coalesce(present(c), F.lit(m)) if m is not None else present(c)) for c, m in medians.items()}
     return df.withColumns(rep)
 
 
@@ -87,7 +121,7 @@ def fit_moments(df: DataFrame, cols: list[str]) -> dict:
     """C7 fit: mean and population std per column (one aggregate)."""
     exprs = []
     for c in cols:
-        exprs += [F.avg(F.col(c)).alias(f"{c}__m"), F.stddev_pop(F.col(c)).alias(f"{c}__s")]
+        exprs += [F.avg(present(c)).alias(f"{c}__m"), F.stddev_pop(present(c)).alias(f"{c}__s")]
     row = df.agg(*exprs).first()
     return {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}
 
@@ -134,7 +168,7 @@ def scale_exprs(medians: dict, moments: dict, prefix: str = "z__") -> list:
     """Imputed + standardised expressions as new columns (raw columns stay untouched)."""
     out = []
     for c, (m, s) in moments.items():
-        x = F.col(c).cast("double")
+        x = present(c)
         if medians.get(c) is not None:
             x = F.coalesce(x, F.lit(medians[c]))
         if m is None:
@@ -147,29 +181,23 @@ def scale_exprs(medians: dict, moments: dict, prefix: str = "z__") -> list:
     return out
 
 
-def fit_scaling_one_pass(df: DataFrame, cols: list[str], n_rows: int) -> tuple[dict, dict]:
-    """C6 + C7 in one aggregate: medians and the moments of the *imputed* columns.
+def fit_scaling(df: DataFrame, cols: list[str]) -> tuple[dict, dict, int]:
+    """C6 + C7: medians, the moments of the *imputed* columns, and the number of rows.
 
-    One pass computes, per column, the median and the non-null count, mean and
-    population variance. Imputation adds (N − c) copies of the median, so the
-    imputed moments follow from the pooled-variance combination of two groups
-    (Chan et al.): mean = (c·μ + (N−c)·m) / N and
-    M2 = c·σ² + (m − μ)²·c·(N−c) / N — no second scan of the table.
+    Per column, one aggregate gives the count, mean and population variance of the
+    present values. Imputation adds (N − c) copies of the median, so the imputed moments
+    follow from the pooled-variance combination of two groups (Chan et al.):
+    mean = (c·μ + (N−c)·m) / N and M2 = c·σ² + (m − μ)²·c·(N−c) / N.
     """
-    if n_rows <= EXACT_MEDIAN_MAX_ROWS:
-        med = [F.median(F.col(c).cast("double")).alias(f"{c}__med") for c in cols]
-    else:
-        med = [F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_MEDIAN_ACCURACY).alias(f"{c}__med")
-               for c in cols]
-    aggs = list(med)
+    medians = fit_medians(df, cols)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
-        x = F.col(c).cast("double")
+        x = present(c)
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mu"), F.var_pop(x).alias(f"{c}__var")]
     row = df.agg(*aggs).first()
-    medians, moments = {}, {}
+    n_rows, moments = row["__rows"], {}
     for c in cols:
-        m, cnt, mu, var = row[f"{c}__med"], row[f"{c}__n"], row[f"{c}__mu"], row[f"{c}__var"]
-        medians[c] = m
+        m, cnt, mu, var = medians[c], row[f"{c}__n"], row[f"{c}__mu"], row[f"{c}__var"]
         if m is None or not cnt:
             moments[c] = (None, None)
             continue
@@ -177,4 +205,4 @@ def fit_scaling_one_pass(df: DataFrame, cols: list[str], n_rows: int) -> tuple[d
         mean = (cnt * mu + n_imp * m) / n_rows
         m2 = cnt * (var or 0.0) + (m - mu) ** 2 * cnt * n_imp / n_rows
         moments[c] = (mean, (m2 / n_rows) ** 0.5)
-    return medians, moments
+    return medians, moments, n_rows

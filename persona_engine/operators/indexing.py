@@ -16,14 +16,13 @@ from persona_engine.session import materialize
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "rn",
-                      partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """1-based consecutive row number per group in (order_cols) order; ties must be broken by the caller."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
-    sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
-    if checkpoint:
-        sliced = materialize(sliced)        # slice ids are fixed once written
+    # slice ids are fixed once written
+    sliced = materialize(df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()))
     local = sliced.withColumn("_local", F.row_number().over(
         Window.partitionBy("_slice", *group_cols).orderBy(*order_cols)))
     sizes = sliced.groupBy("_slice", *group_cols).agg(F.count(F.lit(1)).alias("_n"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
+from persona_engine.functions.expr import clip
 
 
 def categorical_shares(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -59,8 +60,8 @@ def flag_rates(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def lognormal_params(df: DataFrame, col: str, sigma: float | None = None) -> DataFrame:
-    """C4: after clipping at 1, mu = ln(mean), sigma = std / mean (or fixed)."""
-    x = F.greatest(F.col(col).cast("double"), F.lit(1.0))
+    """C4: after clipping at 1, mu = ln(mean), sigma = std / mean (or fixed); missing values don't count."""
+    x = clip(F.col(col).cast("double"), 1.0)
     m = F.avg(x)
     s = F.lit(float(sigma)) if sigma is not None else F.stddev_samp(x) / m
     return df.agg(F.log(m).alias("mu"), s.alias("sigma")).select(F.lit(col).alias("column"), "mu", "sigma")

@@ -20,7 +20,7 @@ S = fixed.STATIC_REPORT_TEXT
 
 
 def segment_cards(customers: DataFrame, segment_col: str = "usr_cnty_ap2") -> DataFrame:
-    """Per segment — size, mean purchase intent and brand attitude."""
+    """Per segment — size, mean purchase intent and brand attitude over the customers that have a value."""
     return customers.groupBy(F.col(segment_col).alias("segment")).agg(
         F.count(F.lit(1)).alias("n"),
         rnd(F.avg(clip(F.col("ltv_r") / 10000.0, 0.0, 100.0)), 1).alias("purchase_intent"),
@@ -64,10 +64,12 @@ def age_buckets(demo: DataFrame) -> DataFrame:
 def option_distribution(answers: DataFrame) -> DataFrame:
     """Option counts per question, share, and the leading option's flag."""
     c = answers.groupBy("question_id", "selected_option").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("question_id")
-    return c.select("question_id", "selected_option", "n", (F.col("n") / F.sum("n").over(w)).alias("share"),
-                    (F.row_number().over(w.orderBy(F.desc("n"), F.asc_nulls_last("selected_option"))) == 1)
-                    .cast("long").alias("is_top"))
+    # totals and leaders are aggregated per task first, so a question with very many options is no single task's
+    first = F.min(F.struct((-F.col("n")).alias("less"), F.col("selected_option").isNull().alias("none"), "selected_option"))
+    q = c.groupBy("question_id").agg(F.sum("n").alias("total"), first.alias("top")).withColumnRenamed("question_id", "q")
+    return c.join(q, F.col("question_id").eqNullSafe(F.col("q"))).select(
+        "question_id", "selected_option", "n", (F.col("n") / F.col("total")).alias("share"),
+        F.col("selected_option").eqNullSafe(F.col("top.selected_option")).cast("long").alias("is_top"))
 
 
 def response_progress(events: DataFrame) -> DataFrame:

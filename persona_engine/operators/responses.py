@@ -1,7 +1,7 @@
 """Persona responses (I1–I8): prompts, parsing, routing, progress.
 
-Every persona is one row; its ordered question list is bounded by the survey
-validation (1–20 questions) and is assembled with ``collect_list`` per persona.
+Every persona is one row; its ordered question list (the run's own, of any length)
+is assembled with ``collect_list`` per persona.
 The batch barrier of a sequential driver loop disappears: batches are only a
 label (``floor((rank−1)/batch_size)``) used for progress rows; the rank is a
 skew-safe global row number, not a single-partition window.
@@ -9,6 +9,8 @@ skew-safe global row number, not a single-partition window.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,13 @@ def _score(df: DataFrame, c: str) -> F.Column:
 
 def options_json(c: F.Column) -> F.Column:
     """Python-style JSON text of a string list: ["a", "b"]."""
-    return F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", "),
-                    F.lit("]"))
+    # to_json of a one-entry list escapes the text; its brackets go
+    quoted = F.transform(c, lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", ""))
+    return F.concat(F.lit("["), F.coalesce(F.array_join(quoted, ", "), F.lit("")), F.lit("]"))
 
 
 def question_lines(questions: DataFrame, key: str) -> DataFrame:
-    """Per persona key: the numbered question block and the question count (≤ 20 questions per survey)."""
+    """Per persona key: the numbered question block and the question count ."""
     q = questions.select(key, F.struct("q_order", "question_id", "question_type", "question_text",
                                        options_json(F.col("options")).alias("opts")).alias("q"))
     g = q.groupBy(key).agg(F.sort_array(F.collect_list("q")).alias("qs"))
@@ -57,8 +60,7 @@ def build_prompts(personas: DataFrame, questions: DataFrame, key: str | None, pr
     """One prompt per persona over its ordered questions.
 
     With ``key`` the questions are per persona (joined on it); with ``key=None``
-    every persona answers the same survey: the list is validated (1–20
-    questions), collected once and attached as a literal, so the prompts are a
+    every persona answers the same survey: the list is collected once and attached as a literal, so the prompts are a
     projection over the personas (no join, no grouping).
     """
     if key is None:
@@ -79,19 +81,14 @@ def build_prompts(personas: DataFrame, questions: DataFrame, key: str | None, pr
     return d.select(*cols, body.alias("prompt"))
 
 
-MAX_QUESTIONS = 20
-
-
 def shared_question_block(questions: DataFrame) -> tuple[str, int]:
-    """The survey's ordered question block (1–20 questions, validated before collecting)."""
-    rows = questions.orderBy("q_order").limit(MAX_QUESTIONS + 1).collect()
+    """The survey's ordered question block: the run's own question list, of any length but not empty."""
+    rows = questions.orderBy("q_order").collect()
     if not rows:
         raise ValueError("questions is empty")
-    if len(rows) > MAX_QUESTIONS:
-        raise ValueError(f"a survey has at most {MAX_QUESTIONS} questions")
     lines = []
     for i, r in enumerate(rows, start=1):
-        opts = "[" + ", ".join(f'"{o}"' for o in (r["options"] or [])) + "]"
+        opts = json.dumps(list(r["options"] or []), ensure_ascii=False)
         lines.append(fixed.SIMULATION_QUESTION_LINE.format(i=i, id=r["question_id"], type=r["question_type"],
                                                            text=r["question_text"], options=opts))
     return "\n".join(lines), len(rows)

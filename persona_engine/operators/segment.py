@@ -2,13 +2,13 @@
 
 Two K-Means paths:
 
-* ``lloyd_kmeans`` — seeded, deterministic Lloyd iterations. Seeds are the k rows
-  with the smallest md5(seed:init:id) (a distributed top-k). Each iteration is one
-  job: tasks assign their rows with numpy against broadcast centroids and emit
-  per-cluster partial sums; only those (≤ k per partition) are shuffled. The final
-  labels come from ``assign_nearest``, a JVM projection over the ≤20 centroids
-  written as one SQL expression. Results do not depend on partitioning, so they
-  are checkable against SQL.
+* ``lloyd_kmeans`` — seeded, deterministic Lloyd iterations with restarts, each to
+  convergence. Seeds are the k rows with the smallest md5(seed:init:restart:id) (a
+  distributed top-k). Each iteration is one job for all restarts that still move: tasks
+  assign their rows with numpy against broadcast centroids and emit one row of sums per
+  restart and cluster; only those are shuffled. The final labels come from
+  ``assign_nearest``, a JVM projection over the centroids written as one SQL expression.
+  Results do not depend on partitioning, so they are checkable against SQL.
 * ``fit_kmeans`` — ``pyspark.ml`` K-Means (k-means||) with ``n_init`` restarts run
   as concurrent jobs, keeping the lowest training cost, as the original's n_init=10.
 
@@ -19,6 +19,8 @@ share of sample points against it with numpy inside ``mapInPandas``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -75,71 +77,88 @@ def assign_nearest(df: DataFrame, cols: list[str], centroids: dict, label: str =
                           dist: F.array_min("_d")}).drop("_d")
 
 
-def seed_centroids(df: DataFrame, cols: list[str], k: int, seed: int, id_col: str = "cust_id") -> dict:
-    """k seed rows by smallest md5(seed:init:id) — a distributed top-k, then ≤k rows collected."""
-    rows = (df.select(id_col, *cols).orderBy(hash_order(seed, "init", id_col)).limit(k).collect())
-    return {i: [r[c] for c in cols] for i, r in enumerate(rows)}
+def seed_centroids(df: DataFrame, cols: list[str], k: int, seed: int, id_col: str = "cust_id", restarts: int = 1) -> list[dict]:
+    """Per restart, the k rows of smallest md5(seed:init:restart:id): one job of distributed top-k's, ≤ k rows each."""
+    tops = []
+    for r in range(restarts):
+        h = hash_order(seed, f"init:{r}", id_col)
+        tops.append(df.select(F.lit(r).alias("_r"), h.alias("_h"), *cols).orderBy("_h").limit(k))
+    rows = reduce(DataFrame.unionByName, tops).collect()
+    out = []
+    for r in range(restarts):
+        mine = sorted((x for x in rows if x["_r"] == r), key=lambda x: x["_h"])
+        out.append({i: [x[c] for c in cols] for i, x in enumerate(mine)})
+    return out
+
+
+_CHUNK_ROWS = 2_048
 
 
-def lloyd_partials(df: DataFrame, cols: list[str], centroids: dict) -> dict:
-    """One Lloyd step: per-cluster (count, cost, coordinate sums) of the nearest-centroid assignment.
+def lloyd_partials(df: DataFrame, cols: list[str], centroids: dict[int, dict]) -> dict:
+    """One Lloyd step of several restarts: {restart: {cluster: (count, cost, coordinate sums)}}.
 
-    Each task assigns its rows with numpy against the broadcast centroids
-    (k×d doubles) and emits one partial row per cluster it saw; only those
-    partials (≤ k per partition) are shuffled and combined. The plan is the
-    same every iteration, so nothing is re-planned or re-compiled.
+    Each task assigns its rows with numpy against the broadcast centroids (restarts × k × d
+    doubles), adds up over all its batches, and emits one row per restart and cluster; those
+    rows (≤ restarts × k per partition) are summed in the JVM with map-side combine.
     """
     spark = df.sparkSession
-    ids = sorted(centroids)
-    bc = spark.sparkContext.broadcast((np.array(ids, dtype=np.int64),
-                                       np.array([centroids[i] for i in ids], dtype=float)))
+    keys = [(r, i) for r in sorted(centroids) for i in sorted(centroids[r])]
+    bc = spark.sparkContext.broadcast((keys, np.array([centroids[r][i] for r, i in keys], dtype=float)))
+    d = len(cols)
 
     def step(batches):
-        id_arr, C = bc.value
+        names, c = bc.value
+        cut = [j for j in range(len(names)) if j == 0 or names[j][0] != names[j - 1][0]] + [len(names)]
+        n, cost, sums = np.zeros(len(names), np.int64), np.zeros(len(names)), np.zeros((len(names), d))
         for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf.to_numpy(dtype=float)
-            D = ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2)
-            j = D.argmin(axis=1)                  # ties → first, i.e. the smallest cluster id
-            d = D[np.arange(len(X)), j]
-            cid, n, cost, sums = [], [], [], []
-            for jj in np.unique(j):
-                m = j == jj
-                cid.append(int(id_arr[jj]))
-                n.append(int(m.sum()))
-                cost.append(float(d[m].sum()))
-                sums.append(X[m].sum(axis=0).tolist())
-            yield pd.DataFrame({"cid": cid, "n": n, "cost": cost, "s": sums})
-
-    part = df.select(*cols).mapInPandas(step, "cid long, n long, cost double, s array<double>")
-    rows = (part.groupBy("cid").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                                    F.collect_list("s").alias("s"))      # ≤ one partial per partition
-            .collect())
+            every = pdf.to_numpy(dtype=float)
+            for lo in range(0, len(every), _CHUNK_ROWS):
+                x = every[lo:lo + _CHUNK_ROWS]
+                dist = np.stack([((x - v) ** 2).sum(axis=1) for v in c], axis=1)
+                for a, b in zip(cut[:-1], cut[1:]):
+                    j = dist[:, a:b].argmin(axis=1) + a      # ties → the smallest cluster id
+                    n += np.bincount(j, minlength=len(names))
+                    cost += np.bincount(j, dist[np.arange(len(x)), j], len(names))
+                    np.add.at(sums, j, x)
+        hit = np.flatnonzero(n)
+        if len(hit):
+            yield pd.DataFrame({"r": [names[j][0] for j in hit], "cid": [names[j][1] for j in hit], "n": n[hit], "cost": cost[hit],
+                                **{f"s{k}": sums[hit, k] for k in range(d)}})
+
+    part = df.select(*cols).mapInPandas(step, "r long, cid long, n long, cost double, " + ", ".join(f"s{k} double" for k in range(d)))
+    rows = part.groupBy("r", "cid").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                        *[F.sum(f"s{k}").alias(f"s{k}") for k in range(d)]).collect()
     bc.unpersist()
-    return {int(r["cid"]): (int(r["n"]), float(r["cost"]), np.sum(np.array(r["s"], dtype=float), axis=0))
-            for r in rows}
+    out: dict = {r: {} for r in centroids}
+    for x in rows:
+        out[x["r"]][x["cid"]] = (x["n"], x["cost"], np.array([x[f"s{k}"] for k in range(d)]))
+    return out
 
 
-def lloyd_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_iter: int = 5,
-                 id_col: str = "cust_id", tol: float = 0.0) -> tuple[dict, list]:
-    """Deterministic Lloyd K-Means; returns (centroids, per-iteration cost history).
+def lloyd_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = fixed.N_INIT, max_iter: int = 300,
+                 id_col: str = "cust_id", tol: float = 1e-9) -> tuple[dict, list]:
+    """Lloyd K-Means with ``n_init`` seeded restarts, each until its centroids stop moving.
 
-    Empty clusters drop out (their id is not reused); ``tol`` = 0 runs all iterations
-    unless the centroids stop moving.
+    All restarts that still move share each pass over the data. Returns the centroids of the
+    restart with the lowest cost (of equal costs to six digits, the first) and its cost per
+    iteration. Empty clusters drop out (their id is not reused). ``df`` is scanned once per
+    iteration: the caller persists it.
     """
-    cents = seed_centroids(df, cols, k, seed, id_col)
-    history = []
-    for _ in range(n_iter):
-        parts = lloyd_partials(df, cols, cents)
-        new = {i: (s / n).tolist() for i, (n, _c, s) in parts.items()}
-        history.append(sum(c for _n, c, _s in parts.values()))
-        moved = new.keys() != cents.keys() or any(
-            max(abs(x - y) for x, y in zip(new[i], cents[i])) > tol for i in new)
-        cents = new
-        if not moved:
+    cents = dict(enumerate(seed_centroids(df, cols, k, seed, id_col, n_init)))
+    history: dict = {r: [] for r in cents}
+    moving = set(cents)
+    for _ in range(max_iter):
+        if not moving:
             break
-    return cents, history
+        parts = lloyd_partials(df, cols, {r: cents[r] for r in moving})
+        for r in sorted(moving):
+            new = {i: (s / n).tolist() for i, (n, _c, s) in parts[r].items()}
+            history[r].append(sum(c for _n, c, _s in parts[r].values()))
+            if new.keys() == cents[r].keys() and all(np.linalg.norm(np.subtract(new[i], cents[r][i])) <= tol for i in new):
+                moving.discard(r)
+            cents[r] = new
+    best = min(cents, key=lambda r: (round(history[r][-1], 6) if history[r] else 0.0, r))
+    return cents[best], history[best]
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -147,7 +166,7 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def fit_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = fixed.N_INIT,
-               max_iter: int = 20, features_col: str | None = None, parallel: int | None = None):
+               max_iter: int = 300, features_col: str | None = None, parallel: int | None = None):
     """pyspark.ml K-Means with n_init restarts; keeps the lowest training cost (ties → earlier seed).
 
     Restarts are independent, so they are submitted as concurrent Spark jobs
@@ -223,7 +242,8 @@ def silhouette_points(df: DataFrame, cols: list[str], label: str = "persona_clus
             yield pd.DataFrame({id_col: part[id_col].astype("int64"), label: part[label].astype("int64"),
                                 "silhouette": out})
 
-    return (sample.repartition(partitions, id_col)
+    # the rows scored are those collected, so the sample is computed once
+    return (spark.createDataFrame(pdf, sample.schema).repartition(partitions, id_col)
             .mapInPandas(score, f"{id_col} long, {label} long, silhouette double"))
 
 
@@ -234,17 +254,19 @@ def silhouette_score(df: DataFrame, cols: list[str], label: str = "persona_clust
     return pts.agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("n_sampled"))
 
 
-def k_sweep(df: DataFrame, cols: list[str], k_values, seed: int = 42, n_init: int = 1,
-            max_iter: int = 20, id_col: str = "cust_id") -> DataFrame:
-    """(k, inertia, silhouette) per k."""
-    data = assemble(df, cols).cache()
+def k_sweep(df: DataFrame, cols: list[str], k_values, seed: int = 42, n_init: int = fixed.N_INIT,
+            max_iter: int = 300, id_col: str = "cust_id") -> DataFrame:
+    """(k, inertia, silhouette) per k, each with ``n_init`` restarts to convergence."""
+    data = df.select(id_col, *cols).persist()
     rows = []
-    for k in k_values:
-        model, cost = fit_kmeans(data, cols, k, seed, n_init, max_iter, features_col="features")
-        labelled = model.transform(data).select(id_col, *cols, "persona_cluster")
-        sil = silhouette_score(labelled, cols, "persona_cluster", seed, id_col=id_col).first()["silhouette"]
-        rows.append((int(k), float(cost), float(sil) if sil is not None else None))
-    data.unpersist()
+    try:
+        for k in k_values:
+            cents, history = lloyd_kmeans(data, cols, k, seed, n_init, max_iter, id_col)
+            labelled = assign_nearest(data, cols, cents)
+            sil = silhouette_score(labelled, cols, "persona_cluster", seed, id_col=id_col).first()["silhouette"]
+            rows.append((int(k), float(history[-1]), float(sil) if sil is not None else None))
+    finally:
+        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double, silhouette double")
 
 

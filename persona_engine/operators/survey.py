@@ -19,7 +19,6 @@ from persona_engine.functions.expr import render
 
 TYPES_WITH_TEMPLATES = sorted({t for t, _, _ in fixed.QUESTION_TEMPLATES if t != "*"})
 EVIDENCE_SCHEMA = "array<struct<label:string,value:string>>"
-MAX_SEGMENTS = 1000          # segment lists are collected for the prompt: size-checked
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -126,8 +125,6 @@ def draft_metadata(questions: DataFrame, requests: DataFrame | None = None) -> D
 def segments_text(segments: DataFrame) -> tuple[str, int]:
     """Segment lines and target count for the prompt — one row per segment
     (bounded by the number of segments), collected once as a fitted value."""
-    if segments.limit(MAX_SEGMENTS + 1).count() > MAX_SEGMENTS:
-        raise ValueError(f"more than {MAX_SEGMENTS} segments; the prompt lists every segment")
     row = segments.agg(F.sort_array(F.collect_list(F.struct("name", "count"))).alias("segs"),
                        F.sum("count").alias("target")).first()
     segs = row["segs"] or []

@@ -1,8 +1,8 @@
 """Synthetic population (E1–E12): fit marginals with aggregates, sample on ``spark.range``.
 
 Fitting is one small aggregate per source table (shares, means, stds, rates);
-the fitted parameters are scalars or short cumulative-share lists (bounded by
-the categorical cardinality, checked). Sampling is a single map-only projection
+the fitted parameters are scalars and cumulative-share lists (one entry per
+category). Sampling is a single map-only projection
 over ``spark.range(1, n+1)``: every draw is a pure function of
 (seed, salt, id) — md5-derived uniforms, Box-Muller normals, order-statistic
 betas — so the output does not depend on partitioning, survives task retries
@@ -20,7 +20,6 @@ from persona_engine.functions import fixed
 from persona_engine.functions.expr import clip, hash_unit, normalize_feature, std_normal
 from persona_engine.operators import marginals as mg
 
-MAX_CATEGORIES = 1000
 DEMO_CATEGORICAL = ["usr_gndr", "sa_activeness", "usr_cnty_ap2"]
 CLV_FLAGS = ["cum_repchs_flg", "samsunghealth_flag", "samsungwallet_flag", "smartthings_flag"]
 
@@ -40,9 +39,7 @@ class SynthParams:
 def fit_shares(df: DataFrame, cols: list[str]) -> dict:
     """Cumulative shares per categorical column, ordered by count desc, value asc."""
     cum = mg.cumulative_shares(mg.categorical_shares(df, cols))
-    rows = cum.select("column", "value", "hi", "rank").limit(MAX_CATEGORIES * len(cols) + 1).collect()
-    if len(rows) > MAX_CATEGORIES * len(cols):
-        raise ValueError("categorical column too wide to sample from")
+    rows = cum.select("column", "value", "hi", "rank").collect()     # one row per category
     out: dict = {c: [] for c in cols}
     for r in sorted(rows, key=lambda r: (r["column"], r["rank"])):
         out[r["column"]].append((r["value"], r["hi"]))
@@ -70,8 +67,8 @@ def _fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFram
     p.shares = fit_shares(demo, DEMO_CATEGORICAL)
     a = demo.agg(F.avg(F.col("usr_age").cast("double")), F.stddev_samp(F.col("usr_age").cast("double"))).first()
     p.age = (a[0], a[1])
-    x = F.greatest(F.col("ltv_r"), F.lit(1.0))
-    v = F.greatest(F.col("val_p"), F.lit(1.0))
+    x = clip("ltv_r", 1.0)
+    v = clip("val_p", 1.0)
     c = clv.agg(F.avg("retention_score"), F.stddev_samp("retention_score"), F.log(F.avg(x)),
                 F.stddev_samp(x) / F.avg(x), F.log(F.avg(v)),
                 *[F.avg(F.col(f).cast("double")) for f in CLV_FLAGS]).first()
@@ -99,13 +96,14 @@ def z(seed, salt):
 
 
 def categorical(seed, salt: str, levels: list) -> F.Column:
-    """Weighted draw — first level whose cumulative bound exceeds u."""
-    uu = u(seed, salt)
-    out = None
-    for value, hi in levels[:-1]:
-        out = F.when(uu < F.lit(float(hi)), F.lit(value)) if out is None else out.when(uu < F.lit(float(hi)), F.lit(value))
-    last = F.lit(levels[-1][0])
-    return last if out is None else out.otherwise(last)
+    """Weighted draw — first level whose cumulative bound exceeds u. The levels are one
+    array literal and their bounds another, so a wide domain is no deeper expression."""
+    if len(levels) == 1:
+        return F.lit(levels[0][0])
+    bounds = F.array(*[F.lit(float(hi)) for _, hi in levels[:-1]])
+    values = F.array(*[F.lit(v) for v, _ in levels])
+    passed = F.size(F.filter(bounds, lambda hi: hi <= u(seed, salt)))
+    return F.element_at(values, (passed + 1).cast("int"))
 
 
 def fixed_levels(values: list, shares: list | None) -> list:
@@ -194,9 +192,7 @@ def synth_population(spark: SparkSession, n: int, p: SynthParams, seed: int = 42
     if interests:
         cols.update(interest_block(p, seed))
     cols.update(home_block(seed))
-    base = spine(spark, n, partitions).withColumnRenamed("id", "id")
-    return base.select(F.col("id").alias("index"), *[c.alias(k) for k, c in cols.items()]) \
-        .withColumnRenamed("index", "index")
+    return spine(spark, n, partitions).select(F.col("id").alias("index"), *[c.alias(k) for k, c in cols.items()])
 
 
 def drift(source: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame:

@@ -129,30 +129,45 @@ def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None
     """Prepend the view CTEs (and extra (name, sql) CTEs, in order) to a query body."""
     ctes = [f"{n} AS ({VIEW_SQL[n][1]})" for n in _order(names)]
     ctes += [f"{n} AS ({s})" for n, s in (extra or [])]
-    return "WITH " + ",\n".join(ctes) + "\n" + body if ctes else body
-
-
-def kmeans_ctes(k: int = 7, seed: int = 42, n_iter: int = 5) -> list[tuple[str, str]]:
-    """Seeded Lloyd iterations over the long z table (oracle of segment.lloyd_kmeans)."""
-    ctes = [
-        ("kk", f"""SELECT CASE WHEN least({k}, n) = n THEN greatest(2, n - 1) ELSE least({k}, n) END AS k
-            FROM (SELECT count(DISTINCT cust_id) AS n FROM z)"""),
-        ("seeds", f"""SELECT cust_id, cid FROM (
-            SELECT cust_id, row_number() OVER (ORDER BY md5('{seed}:init:' || CAST(cust_id AS VARCHAR))) - 1 AS cid
-            FROM (SELECT DISTINCT cust_id FROM z)) WHERE cid < (SELECT k FROM kk)"""),
-        ("c0", "SELECT s.cid, z.feature, z.value FROM seeds s JOIN z ON s.cust_id = z.cust_id"),
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body if ctes else body
+
+
+def kmeans_ctes(k: int = 7, seed: int = 42, n_init: int = 10, max_iter: int = 300, points: str | None = None,
+                id_col: str = "cust_id", p: str = "") -> list[tuple[str, str]]:
+    """Seeded Lloyd restarts to convergence as a recursive CTE (oracle of segment.lloyd_kmeans).
+
+    ``points``: a query of (id, v list), by default the standardised features; ``p`` prefixes the names.
+    """
+    pt = points or "SELECT cust_id, list(value ORDER BY feature) AS v FROM z GROUP BY cust_id"
+    return [
+        (f"{p}pt", pt),
+        (f"{p}kk", f"""SELECT CASE WHEN least({k}, n) = n THEN greatest(2, n - 1) ELSE least({k}, n) END AS k
+            FROM (SELECT count(*) AS n FROM {p}pt)"""),
+        (f"{p}seeds", f"""SELECT r, cid, v FROM (SELECT r, v, row_number() OVER (PARTITION BY r
+                ORDER BY md5('{seed}:init:' || CAST(r AS VARCHAR) || ':' || CAST({id_col} AS VARCHAR))) - 1 AS cid
+            FROM {p}pt, range({max(n_init, 1)}) t(r)) WHERE cid < (SELECT k FROM {p}kk)"""),
+        (f"{p}lloyd(it, r, cid, v, moved)", f"""SELECT 0, r, cid, v, true FROM {p}seeds
+            UNION ALL (
+            WITH a AS (SELECT l.it, l.r, p.{id_col} AS id, arg_min(l.cid, (list_distance(p.v, l.v), l.cid)) AS cid
+                       FROM {p}lloyd l, {p}pt p WHERE l.moved AND l.it < {max_iter} GROUP BY l.it, l.r, p.{id_col}),
+                 m AS (SELECT it, r, cid, d, avg(x) AS x FROM (
+                         SELECT a.it, a.r, a.cid, unnest(p.v) AS x, unnest(range(len(p.v))) AS d FROM a JOIN {p}pt p ON a.id = p.{id_col})
+                       GROUP BY ALL),
+                 n AS (SELECT it, r, cid, list(x ORDER BY d) AS v FROM m GROUP BY it, r, cid),
+                 f AS (SELECT n.r, max(CASE WHEN o.v IS NULL OR list_distance(n.v, o.v) > 1e-9 THEN 1 ELSE 0 END) = 1 AS moved
+                       FROM n LEFT JOIN {p}lloyd o ON o.r = n.r AND o.cid = n.cid GROUP BY n.r)
+            SELECT n.it + 1, n.r, n.cid, n.v, f.moved FROM n JOIN f ON n.r = f.r)"""),
+        (f"{p}cents", f"SELECT r, cid, v FROM {p}lloyd QUALIFY it = max(it) OVER (PARTITION BY r)" if n_init else
+         f"SELECT r, cid, v FROM {p}seeds"),
+        (f"{p}near", f"""SELECT r, {id_col}, cid, d FROM (SELECT c.r, p.{id_col}, c.cid, list_distance(p.v, c.v) ** 2 AS d
+            FROM {p}cents c, {p}pt p) QUALIFY row_number() OVER (PARTITION BY r, {id_col} ORDER BY d, cid) = 1"""),
+        (f"{p}cost", f"SELECT r, sum(d) AS cost FROM {p}near GROUP BY r ORDER BY round(sum(d), 6), r LIMIT 1"),
+        (f"{p}assigned", f"""SELECT n.{id_col}, n.cid AS persona_cluster, n.d AS sq_dist FROM {p}near n
+            WHERE n.r = (SELECT r FROM {p}cost)"""),
     ]
-    for i in range(n_iter + 1):
-        ctes.append((f"a{i}", f"""SELECT cust_id, cid, d FROM (
-            SELECT z.cust_id, c.cid, sum((z.value - c.value) * (z.value - c.value)) AS d
-            FROM z JOIN c{i} c ON z.feature = c.feature GROUP BY z.cust_id, c.cid)
-            QUALIFY row_number() OVER (PARTITION BY cust_id ORDER BY d, cid) = 1"""))
-        if i < n_iter:
-            ctes.append((f"c{i + 1}", f"""SELECT a.cid, z.feature, avg(z.value) AS value
-                FROM a{i} a JOIN z ON a.cust_id = z.cust_id GROUP BY a.cid, z.feature"""))
-    ctes.append(("assigned", f"SELECT cust_id, cid AS persona_cluster, d AS sq_dist FROM a{n_iter}"))
-    ctes.append(("lab", "SELECT e.*, a.persona_cluster, a.sq_dist FROM enc e JOIN assigned a ON e.cust_id = a.cust_id"))
-    return ctes
+
+
+LAB_CTE = ("lab", "SELECT e.*, a.persona_cluster, a.sq_dist FROM enc e JOIN assigned a ON e.cust_id = a.cust_id")
 
 
 def py_float_sql(x: str) -> str:

@@ -1,10 +1,10 @@
 """End-to-end persona plans: customers → features → segments → personas.
 
 Jobs run by a plan, in order: (1) the customer table (joins + rollups) is
-checkpointed once; (2) one aggregate fits the medians; (3) one aggregate fits
-means and population stds; (4) ≤ n_iter Lloyd jobs, each a map-only
-projection + a k-row aggregate; (5) the final lazy projection feeding the
-single ``groupBy(persona_cluster)`` of the statistics.
+checkpointed once; (2) three aggregates fit medians, means and population stds;
+(3) one job per Lloyd iteration for all restarts that still move, each a map-only
+pass + an aggregate of restarts × k rows; (4) the final lazy projection feeding
+the single ``groupBy(persona_cluster)`` of the statistics.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from persona_engine.functions import fixed
 from persona_engine.operators import features as fe
 from persona_engine.operators import personas as pe
 from persona_engine.operators import segment as sg
@@ -34,6 +35,7 @@ class Segmentation:
     centroids: dict
     k: int
     history: list
+    cluster_cols: list        # the columns clustered on
 
     @property
     def z_cols(self):
@@ -53,30 +55,38 @@ def encoded_customers(src: Sources, checkpoint: bool = True):
     return encode_table(views.customers(src), views.region_values(src), checkpoint)
 
 
-def fit_scaling(enc: DataFrame, cols: list, n_rows: int):
-    """Medians and imputed moments from one aggregate over the feature table."""
-    return fe.fit_scaling_one_pass(enc, cols, n_rows)
+def _clustered(df: DataFrame, cols: list, k: int, seed: int, n_init: int, max_iter: int, id_col: str):
+    """Centroids and cost history of the best restart; the rows scanned by every iteration are held in memory
+    (spilling to disk) only while it runs."""
+    points = df.select(id_col, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return sg.lloyd_kmeans(points, cols, k, seed, n_init, max_iter, id_col)
+    finally:
+        points.unpersist()
 
 
-def segment_table(enc: DataFrame, cols: list, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
-                  id_col: str = "cust_id") -> Segmentation:
-    """Median-impute, standardise and run the seeded K-Means on an encoded table."""
-    n = enc.count()
+def segment_table(enc: DataFrame, cols: list, n_personas: int = 7, seed: int = 42, n_init: int = fixed.N_INIT,
+                  max_iter: int = 300, id_col: str = "cust_id", cluster_on: str = "features") -> Segmentation:
+    """Median-impute, standardise and run the seeded K-Means on an encoded table.
+
+    ``cluster_on="projection"`` clusters the 2-D linear projection of the standardised
+    features (as the original clusters its 2-D embedding) instead of the features themselves.
+    """
+    medians, moments, n = fe.fit_scaling(enc, cols)
     k = sg.clamp_k(n, n_personas)
-    medians, moments = fit_scaling(enc, cols, n)
-    # the standardised table is rescanned by every Lloyd iteration: keep it in
-    # memory (spilling to disk), as an iterative fit over a cached input
-    z = enc.select("*", *fe.scale_exprs(medians, moments, Z)).persist(StorageLevel.MEMORY_AND_DISK)
+    z = enc.select("*", *fe.scale_exprs(medians, moments, Z))
     zc = [Z + c for c in cols]
-    cents, hist = sg.lloyd_kmeans(z, zc, k, seed, n_iter, id_col)
-    labelled = sg.assign_nearest(z, zc, cents)
-    return Segmentation(enc, labelled, cols, {"medians": medians, "moments": moments}, cents, k, hist)
+    on = zc
+    if cluster_on == "projection":
+        z, on = sg.pca_projection(z, zc), ["x", "y"]
+    cents, hist = _clustered(z, on, k, seed, n_init, max_iter, id_col)
+    labelled = sg.assign_nearest(z, on, cents)
+    return Segmentation(enc, labelled, cols, {"medians": medians, "moments": moments}, cents, k, hist, on)
 
 
-def segment(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
-            checkpoint: bool = True) -> Segmentation:
+def segment(src: Sources, n_personas: int = 7, seed: int = 42, checkpoint: bool = True) -> Segmentation:
     enc, cols = encoded_customers(src, checkpoint)
-    return segment_table(enc, cols, n_personas, seed, n_iter)
+    return segment_table(enc, cols, n_personas, seed)
 
 
 def stats_frame(seg: Segmentation, stats_on: str = "raw") -> DataFrame:
@@ -88,9 +98,8 @@ def stats_frame(seg: Segmentation, stats_on: str = "raw") -> DataFrame:
     return pe.cluster_stats(df)
 
 
-def persona_table(src: Sources, n_personas: int = 7, seed: int = 42, n_iter: int = 5,
-                  stats_on: str = "raw") -> DataFrame:
-    seg = segment(src, n_personas, seed, n_iter)
+def persona_table(src: Sources, n_personas: int = 7, seed: int = 42, stats_on: str = "raw") -> DataFrame:
+    seg = segment(src, n_personas, seed)
     return pe.personas(stats_frame(seg, stats_on))
 
 
@@ -98,10 +107,10 @@ def run_pipeline(spark, cfg, responder_factory=None) -> dict:
     """End-to-end job: fit marginals on the sources → synthetic population →
     features → segments → personas, with parquet / JSON sinks (A3, A4, A6).
 
-    Every stage is written to ``cfg.output_dir`` and re-read, so each later
-    stage starts from files (a lost executor re-reads them, it does not re-run
-    upstream stages). The clustered table is partitioned by cluster for
-    partition-pruned drill-downs.
+    The synthetic and the clustered table are written to ``cfg.output_dir`` and
+    re-read, so what follows starts from files (a lost executor re-reads them);
+    the feature table is a sink. The clustered table is partitioned by cluster
+    for partition-pruned drill-downs.
     """
     from persona_engine.operators import responder as rp
     from persona_engine.operators import synth as sy
@@ -114,35 +123,32 @@ def run_pipeline(spark, cfg, responder_factory=None) -> dict:
                              f"{out}/synthetic_customers.parquet")
     syn = spark.read.parquet(syn_path)
     enc, cols = encode_table(syn, checkpoint=False)
-    seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.max_iter, id_col="index")
-    if cfg.cluster_on == "projection":
-        # cluster on the 2-D linear projection of the standardised features (as the
-        # original clusters its 2-D embedding) instead of on the features themselves
-        proj2 = sg.pca_projection(seg.labelled.drop("persona_cluster", "sq_dist"), seg.z_cols)
-        proj2 = proj2.persist(StorageLevel.MEMORY_AND_DISK)
-        cents, hist = sg.lloyd_kmeans(proj2, ["x", "y"], seg.k, cfg.random_state, cfg.max_iter, "index")
-        labelled = sg.assign_nearest(proj2, ["x", "y"], cents).drop("x", "y")
-        seg = Segmentation(seg.encoded, labelled, seg.feature_cols, seg.params, cents, seg.k, hist)
-    feat_path = write_parquet(seg.labelled.drop("persona_cluster", "sq_dist"), f"{out}/features.parquet")
-    proj = sg.pca_projection(seg.labelled.select("index", "persona_cluster", *seg.z_cols), seg.z_cols,
-                             keep=["index", "persona_cluster"])
-    clustered = seg.labelled.join(proj.select("index", F.col("x").alias("proj_x"), F.col("y").alias("proj_y")),
-                                  "index")
-    clu_path = write_parquet(clustered, f"{out}/clustered_customers.parquet", partition_by=["persona_cluster"])
+    seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.n_init, cfg.max_iter, "index", cfg.cluster_on)
+    labelled = seg.labelled
+    if cfg.cluster_on != "projection":     # the 2-D map of the features, as a projection of each row
+        labelled = sg.pca_projection(labelled, seg.z_cols)
+    labelled = labelled.withColumnsRenamed({"x": "proj_x", "y": "proj_y"})
+    feat_path = write_parquet(labelled.drop("persona_cluster", "sq_dist", "proj_x", "proj_y"), f"{out}/features.parquet")
+    clu_path = write_parquet(labelled, f"{out}/clustered_customers.parquet", partition_by=["persona_cluster"])
     clu = spark.read.parquet(clu_path)
+    on = {"x": "proj_x", "y": "proj_y"}
+    silhouette = sg.silhouette_score(clu, [on.get(c, c) for c in seg.cluster_cols], seed=cfg.random_state,
+                                     sample_size=cfg.silhouette_sample, id_col="index").first()["silhouette"]
     stats = stats_frame(Segmentation(seg.encoded, clu, seg.feature_cols, seg.params, seg.centroids, seg.k,
-                                     seg.history), cfg.stats_on)
+                                     seg.history, seg.cluster_cols), cfg.stats_on)
     factory = responder_factory or rp.NoModelResponder
     personas = pe.profile_via_responder(stats, factory)
     samples = pe.cluster_sample(clu, cfg.stories_per_cluster, cfg.random_state, id_col="index")
-    stories = pe.individual_stories(samples, factory, ["index", "usr_gndr", "usr_age", "pchs_cnt"])
+    rows = [c for c in samples.columns if not c.startswith(Z) and c not in ("persona_cluster", "sample_rank", "sq_dist", "proj_x", "proj_y")]
+    stories = pe.individual_stories(samples, factory, rows)      # from the whole sampled row
     full = personas.join(stories.select("cluster_id", "individual_stories"), "cluster_id", "left") \
         .orderBy("cluster_id")
     per_path = write_json(full.coalesce(1), f"{out}/personas.json")
     n_generated = spark.read.json(per_path).count()
     meta = {"status": "success", "random_state": cfg.random_state,
             "n_synthetic_customers": cfg.n_synthetic_customers, "n_personas_requested": cfg.n_personas,
-            "n_personas_generated": n_generated,
+            "n_personas_generated": n_generated, "clustering_cost": seg.history[-1] if seg.history else None,
+            "silhouette": silhouette,
             "outputs": {"synthetic_data": syn_path, "features": feat_path, "clustered_data": clu_path,
                         "personas": per_path}}
     metadata_frame(spark, meta).coalesce(1).write.mode("overwrite").json(f"{out}/pipeline_metadata.json")
@@ -156,7 +162,7 @@ def run_eda(spark, source_dir: str, output_dir: str) -> str:
     """
     src = Sources(spark, source_dir)
     n_cust = views.demo(src).agg(F.countDistinct("cust_id")).first()[0]
-    n_lines = views.purchase_lines(src).agg(F.count(F.lit(1))).first()[0]
+    n_lines = src.lineitem.agg(F.count(F.lit(1))).first()[0]
     lines = ["=== EDA Summary ===", f"Total customers: {n_cust}", f"Purchase count: {n_lines}"]
     path = f"{output_dir.rstrip('/')}/eda_summary.txt"
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -54,10 +54,8 @@ EDA_SQL = with_views(["demo", "lines"], """SELECT 'total_customers' AS metric, c
 @register("eda_summary", EDA_SQL)
 def q_eda_summary(src):
     """Distinct customers and purchase-line count."""
-    d = views.demo(src).agg(F.countDistinct("cust_id").alias("value")).select(F.lit("total_customers").alias("metric"),
-                                                                              "value")
-    p = views.purchase_lines(src).agg(F.count(F.lit(1)).alias("value")).select(F.lit("purchase_count").alias("metric"),
-                                                                                "value")
+    d = src.customer.agg(F.countDistinct("c_custkey").alias("value")).select(F.lit("total_customers").alias("metric"), "value")
+    p = src.lineitem.agg(F.count(F.lit(1)).alias("value")).select(F.lit("purchase_count").alias("metric"), "value")
     return d.unionByName(p)
 
 
@@ -128,9 +126,8 @@ PRICE_SQL = with_views(["lines", "demo"], f"""SELECT order_id, line_no, currency
 @register("price_waterfall", PRICE_SQL)
 def q_price_waterfall(src):
     """Price waterfall with FX from the customer's region."""
-    lines = views.purchase_lines(src)
     fx = dv.with_region_dim(views.customer_region(src)).select("cust_id", "currency", "exchange_rate")
-    return dv.price_waterfall(lines.join(fx, "cust_id"))
+    return dv.price_waterfall(views.purchase_lines(src, product=False, per_customer=fx))
 
 
 @register("order_key", """SELECT o.o_orderkey AS order_id,
@@ -197,15 +194,27 @@ def q_tier_lookup(src):
                                                    "tier_level")
 
 
+GAP_COLS = ["ltv_r", "val_p", "retention_score"]
+# null and NaN by customer number (views.with_gaps); a missing value stays missing
+GAPS = ("gaps", "SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN cust_id % 7 = 3 THEN NULL WHEN cust_id % 11 = 5 THEN CAST('NaN' AS DOUBLE) ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for c in GAP_COLS) + ") FROM customers")
+
+
+def _there(c: str) -> str:
+    return f"({c} IS NOT NULL AND NOT isnan({c}))"
+
+
 @register("clip_values", with_views(["customers"], f"""SELECT cust_id,
-    least(greatest(ltv_r, {fixed.LTV_CLIP[0]}), {fixed.LTV_CLIP[1]}) AS ltv_clipped,
-    least(greatest(val_p, {fixed.VAL_P_CLIP[0]}), {fixed.VAL_P_CLIP[1]}) AS val_p_clipped,
+    CASE WHEN {_there('ltv_r')} THEN least(greatest(ltv_r, {fixed.LTV_CLIP[0]}), {fixed.LTV_CLIP[1]}) END AS ltv_clipped,
+    CASE WHEN {_there('val_p')} THEN least(greatest(val_p, {fixed.VAL_P_CLIP[0]}), {fixed.VAL_P_CLIP[1]}) END AS val_p_clipped,
     CAST(least(greatest(usr_age, {fixed.AGE_CLIP[0]}), {fixed.AGE_CLIP[1]}) AS BIGINT) AS age_clipped,
-    round_even(least(greatest(retention_score * 0.9, {fixed.RETENTION_ADJ_CLIP[0]}), {fixed.RETENTION_ADJ_CLIP[1]}), 6) AS retention_adj,
-    greatest(ltv_r, 1.0) AS ltv_floor1 FROM customers"""))
+    CASE WHEN {_there('retention_score')} THEN round_even(least(greatest(retention_score * 0.9, {fixed.RETENTION_ADJ_CLIP[0]}),
+        {fixed.RETENTION_ADJ_CLIP[1]}), 6) END AS retention_adj,
+    CASE WHEN {_there('ltv_r')} THEN greatest(ltv_r, 1.0) END AS ltv_floor1 FROM gaps""", [GAPS]))
 def q_clip_values(src):
-    """Two-sided and one-sided clips."""
-    c = views.customers(src)
+    """Two-sided and one-sided clips, with null and NaN values put in."""
+    c = views.with_gaps(views.customers(src), GAP_COLS)
     return c.select("cust_id", clip("ltv_r", *fixed.LTV_CLIP).alias("ltv_clipped"),
                     clip("val_p", *fixed.VAL_P_CLIP).alias("val_p_clipped"),
                     clip("usr_age", *fixed.AGE_CLIP).alias("age_clipped"),
@@ -330,13 +339,13 @@ def q_flag_rates(src):
     return mg.flag_rates(views.customers(src), FLAG_COLS)
 
 
-@register("lognormal_fit", with_views(["customers"], """SELECT 'ltv_r' AS "column",
+@register("lognormal_fit", with_views(["customers"], f"""SELECT 'ltv_r' AS "column",
     round_even(ln(avg(greatest(ltv_r, 1.0))), 6) AS mu,
-    round_even(stddev_samp(greatest(ltv_r, 1.0)) / avg(greatest(ltv_r, 1.0)), 6) AS sigma FROM customers
-    UNION ALL SELECT 'val_p', round_even(ln(avg(greatest(val_p, 1.0))), 6), CAST(0.8 AS DOUBLE) FROM customers"""))
+    round_even(stddev_samp(greatest(ltv_r, 1.0)) / avg(greatest(ltv_r, 1.0)), 6) AS sigma FROM gaps WHERE {_there('ltv_r')}
+    UNION ALL SELECT 'val_p', round_even(ln(avg(greatest(val_p, 1.0))), 6), CAST(0.8 AS DOUBLE) FROM gaps WHERE {_there('val_p')}""", [GAPS]))
 def q_lognormal_fit(src):
-    """C4: log-normal parameters after clipping at 1 (val_p sigma fixed 0.8)."""
-    c = views.customers(src)
+    """C4: log-normal parameters after clipping at 1 (val_p sigma fixed 0.8), with null and NaN values put in."""
+    c = views.with_gaps(views.customers(src), GAP_COLS)
     out = mg.lognormal_params(c, "ltv_r").unionByName(mg.lognormal_params(c, "val_p", fixed.VAL_P_SIGMA))
     return out.select("column", F.bround("mu", 6).alias("mu"), F.bround("sigma", 6).alias("sigma"))
 
@@ -408,7 +417,7 @@ def q_weekly_usage(src):
     row_number() OVER (PARTITION BY cust_id ORDER BY order_date, order_id, line_no) AS dvc_index FROM lines"""))
 def q_device_seq(src):
     """Consecutive child sequence per customer (skew-safe numbering)."""
-    lines = views.purchase_lines(src).select("cust_id", "order_id", "line_no", "order_date")
+    lines = views.purchase_lines(src, product=False).select("cust_id", "order_id", "line_no", "order_date")
     out = row_number_within(lines, ["cust_id"], ["order_date", "order_id", "line_no"], "dvc_index")
     return out.select("cust_id", "order_id", "line_no", "dvc_index")
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
 from persona_engine.operators import segment as sg
+from persona_engine.plans.oracle_views import kmeans_ctes
 from persona_engine.plans.registry import register
 
-K, SEED, N_ITER = 7, 42, 5
+K, SEED = 7, 42
 DIM = 64
 E_COLS = [f"e{i}" for i in range(DIM)]
 
@@ -27,32 +28,21 @@ z AS (SELECT vec_id, printf('e%02d', i - 1) AS feature, v[i] AS value FROM (
         SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS i FROM emb))"""
 
 
-def lloyd_sql(k=K, seed=SEED, n_iter=N_ITER):
-    ctes = [f"""seeds AS (SELECT vec_id, cid FROM (
-        SELECT vec_id, row_number() OVER (ORDER BY md5('{seed}:init:' || CAST(vec_id AS VARCHAR))) - 1 AS cid
-        FROM emb) WHERE cid < {k})""",
-            "c0 AS (SELECT s.cid, z.feature, z.value FROM seeds s JOIN z ON s.vec_id = z.vec_id)"]
-    for i in range(n_iter + 1):
-        ctes.append(f"""a{i} AS (SELECT vec_id, cid, d FROM (
-            SELECT z.vec_id, c.cid, sum((z.value - c.value) * (z.value - c.value)) AS d
-            FROM z JOIN c{i} c ON z.feature = c.feature GROUP BY z.vec_id, c.cid)
-            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cid) = 1)""")
-        if i < n_iter:
-            ctes.append(f"""c{i + 1} AS (SELECT a.cid, z.feature, avg(z.value) AS value
-                FROM a{i} a JOIN z ON a.vec_id = z.vec_id GROUP BY a.cid, z.feature)""")
-    return ",\n".join(ctes)
-
-
-ASSIGN_SQL = f"""WITH {LONG_SQL}, {lloyd_sql()}
-SELECT vec_id, cid AS cluster, round_even(d, 6) AS sq_dist FROM a{N_ITER}"""
+ASSIGN_SQL = "WITH RECURSIVE " + ",\n".join(f"{n} AS ({q})" for n, q in [
+    ("emb", "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"),
+    *kmeans_ctes(K, SEED, points="SELECT vec_id, v FROM emb", id_col="vec_id")]) + """
+SELECT vec_id, persona_cluster AS cluster, round_even(sq_dist, 6) AS sq_dist FROM assigned"""
 
 
 @register("embedding_kmeans_assign", ASSIGN_SQL)
 def q_embedding_assign(src):
-    """F3/F4 on 64-D embeddings: seeded Lloyd (k=7, 5 iterations), nearest-centroid labels."""
+    """F3/F4 on 64-D embeddings: seeded Lloyd (k=7, 10 restarts to convergence), nearest-centroid labels."""
     pts = points(src).select("vec_id", *E_COLS)
-    k = sg.clamp_k(pts.count(), K)
-    cents, _ = sg.lloyd_kmeans(pts, E_COLS, k, SEED, N_ITER, id_col="vec_id")
+    held = pts.persist()
+    try:
+        cents, _ = sg.lloyd_kmeans(held, E_COLS, sg.clamp_k(held.count(), K), SEED, id_col="vec_id")
+    finally:
+        held.unpersist()
     out = sg.assign_nearest(pts, E_COLS, cents, label="cluster")
     return out.select("vec_id", "cluster", F.bround("sq_dist", 6).alias("sq_dist"))
 
@@ -80,9 +70,11 @@ def q_embedding_silhouette(src):
 def q_embedding_kmeans_fit(src):
     """F3 on 64-D embeddings: pyspark.ml K-Means, k=7, 10 restarts (seeds 42–51), lowest cost kept (rows-only)."""
     pts = points(src)
-    data = sg.assemble(pts.select("vec_id", *E_COLS), E_COLS).cache()
-    k = sg.clamp_k(data.count(), K)
-    model, cost = sg.fit_kmeans(data, E_COLS, k, SEED, fixed.N_INIT, max_iter=50, features_col="features")
-    out = model.transform(data).select("vec_id", F.col("persona_cluster").cast("long").alias("cluster"),
-                                       F.lit(float(cost)).alias("training_cost"))
-    return out
+    data = sg.assemble(pts.select("vec_id", *E_COLS), E_COLS)
+    held = data.persist()
+    try:
+        model, cost = sg.fit_kmeans(held, E_COLS, sg.clamp_k(held.count(), K), SEED, fixed.N_INIT, features_col="features")
+    finally:
+        held.unpersist()
+    return model.transform(data).select("vec_id", F.col("persona_cluster").cast("long").alias("cluster"),
+                                        F.lit(float(cost)).alias("training_cost"))

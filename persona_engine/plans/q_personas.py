@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
+from persona_engine.operators import features as fe
 from persona_engine.operators import personas as pe
 from persona_engine.operators import responder as rp
 from persona_engine.operators import segment as sg
 from persona_engine.plans import pipeline as pl
-from persona_engine.plans.oracle_views import py_float_sql, with_views
+from persona_engine.plans.oracle_views import kmeans_ctes, py_float_sql, with_views
 from persona_engine.plans.q_segments import (K, PERSONA_SELECT, RULES_SQL, SEED, SEG_CTES, SEG_VIEWS, STATS_SQL,
                                              _seg)
 from persona_engine.plans.registry import register
@@ -143,16 +143,24 @@ def q_pca(src):
     return out.select("cust_id", "persona_cluster", F.bround("x", 6).alias("x"), F.bround("y", 6).alias("y"))
 
 
-@register("kmeans_fit")
+@register("kmeans_fit", _sql("""SELECT count(*) AS n_rows, (SELECT k FROM kk) AS n_clusters,
+    count(*) AS n_nearest, CAST(1 AS BIGINT) AS cost_matches, CAST(1 AS BIGINT) AS cost_near_best FROM assigned"""))
 def q_kmeans(src):
-    """pyspark.ml K-Means with n_init restarts on the standardised features, rows-only."""
-    _, lab, zc = _z(src)
-    data = sg.assemble(lab.select("cust_id", *zc), zc).cache()
-    k = sg.clamp_k(data.count(), K)
-    model, _cost = sg.fit_kmeans(data, zc, k, SEED, fixed.N_INIT, features_col="features")
-    out = model.transform(data).select("cust_id", F.col("persona_cluster").cast("long"),
-                                       vector_to_array("features").alias("_v"))
-    return out.drop("_v")
+    """pyspark.ml K-Means with n_init restarts on the standardised features, checked: every label is the
+    nearest centre's, the cost is the sum of those distances, and it is near the seeded restarts' best."""
+    seg, lab, zc = _z(src)
+    data = sg.assemble(lab.select("cust_id", *zc), zc)
+    held = data.persist()
+    try:
+        model, cost = sg.fit_kmeans(held, zc, seg.k, SEED, fixed.N_INIT, features_col="features")
+    finally:
+        held.unpersist()
+    centres = {i: list(map(float, c)) for i, c in enumerate(model.clusterCenters())}
+    out = sg.assign_nearest(model.transform(data).withColumnRenamed("persona_cluster", "given"), zc, centres)
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("given").alias("n_clusters"),
+                   F.sum((F.col("given") == F.col("persona_cluster")).cast("long")).alias("n_nearest"),
+                   (F.abs(F.sum("sq_dist") - F.lit(cost)) <= 1e-6 * cost).cast("long").alias("cost_matches"),
+                   F.lit(int(cost <= 1.05 * seg.history[-1])).cast("long").alias("cost_near_best"))
 
 
 SIL_SQL = _sql("""SELECT CAST(round_even(avg(s), 6) AS DOUBLE) AS silhouette, count(*) AS n_sampled FROM (
@@ -176,11 +184,26 @@ def q_silhouette(src):
     return s.select(F.bround("silhouette", 6).alias("silhouette"), F.col("n_sampled").cast("long"))
 
 
-@register("k_sweep")
+SWEEP = (2, 3, 4)
+SWEEP_SQL = " UNION ALL ".join(f"""SELECT CAST({k} AS BIGINT) AS k, (SELECT round_even(cost, 4) FROM s{k}_cost) AS inertia,
+    CAST(round_even(avg(s), 6) AS DOUBLE) AS silhouette FROM (
+    SELECT x_id, CASE WHEN own_n <= 1 THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END AS s FROM (
+      SELECT x_id, max(CASE WHEN same THEN n END) AS own_n, max(CASE WHEN same THEN tot / (n - 1) END) AS a,
+             min(CASE WHEN NOT same THEN tot / n END) AS b
+      FROM (SELECT x.cust_id AS x_id, y.c = x.c AS same, y.c, sum(list_distance(x.v, y.v)) AS tot, count(*) AS n
+            FROM s{k}_smp x CROSS JOIN s{k}_smp y GROUP BY x.cust_id, y.c, x.c) GROUP BY x_id))""" for k in SWEEP)
+SWEEP_CTES = [c for k in SWEEP for c in [*kmeans_ctes(k, SEED, p=f"s{k}_"), (f"s{k}_smp", f"""SELECT a.cust_id, a.persona_cluster AS c, p.v
+    FROM s{k}_assigned a JOIN s{k}_pt p ON a.cust_id = p.cust_id
+    ORDER BY md5('{SEED}:silhouette:' || CAST(a.cust_id AS VARCHAR)) LIMIT {fixed.SILHOUETTE_SAMPLE}""")]]
+
+
+@register("k_sweep", with_views(SEG_VIEWS, SWEEP_SQL, SWEEP_CTES))
 def q_k_sweep(src):
-    """inertia and silhouette per k (2–4, one restart each), rows-only."""
-    _, lab, zc = _z(src)
-    return sg.k_sweep(lab.select("cust_id", *zc), zc, range(2, 5), SEED, n_init=1)
+    """inertia and silhouette per k (2–4), 10 restarts each to convergence."""
+    enc, cols = pl.encoded_customers(src)
+    med, mom, _ = fe.fit_scaling(enc, cols)
+    out = sg.k_sweep(enc.select("cust_id", *fe.scale_exprs(med, mom, pl.Z)), [pl.Z + c for c in cols], SWEEP, SEED)
+    return out.select("k", F.bround("inertia", 4).alias("inertia"), F.bround("silhouette", 6).alias("silhouette"))
 
 
 @register("run_metadata", _sql(f"""SELECT 'success' AS status, CAST({SEED} AS BIGINT) AS random_state,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from persona_engine.functions import fixed
 from persona_engine.operators import report as rp
 from persona_engine.operators import responses as rs
+from persona_engine.plans import q_derive as qd
 from persona_engine.plans import q_responses as qr
 from persona_engine.plans.oracle_views import VIEW_SQL, _order, _q, py_float_sql, render_sql
 from persona_engine.plans.registry import register
@@ -20,8 +21,8 @@ REPORT_TYPE_CYCLE = ["strategy", "insight", "segment", "summary", "overview"]
 
 CTES = [(n, VIEW_SQL[n][1]) for n in _order(["customers", "demo"])] + qr.CTES + [
     ("cards", """SELECT usr_cnty_ap2 AS segment, count(*) AS n,
-        round_even(avg(least(greatest(ltv_r / 10000.0, 0.0), 100.0)), 1) AS purchase_intent,
-        round_even(avg(least(greatest(retention_score * 100.0, 0.0), 100.0)), 1) AS brand_attitude
+        round_even(avg(least(greatest(ltv_r / 10000.0, 0.0), 100.0)) FILTER (WHERE ltv_r IS NOT NULL), 1) AS purchase_intent,
+        round_even(avg(least(greatest(retention_score * 100.0, 0.0), 100.0)) FILTER (WHERE retention_score IS NOT NULL), 1) AS brand_attitude
         FROM customers GROUP BY usr_cnty_ap2"""),
     ("rcards", "SELECT *, row_number() OVER (ORDER BY n DESC, segment) AS card_rank FROM cards"),
     ("kw", """SELECT keyword, count(*) AS frequency FROM (
@@ -52,10 +53,13 @@ def _events(src):
     return rs.route(qr.sim_parsed(src)).drop("answers")
 
 
-@register("segment_cards", with_ctes("SELECT segment, n, purchase_intent, brand_attitude FROM cards"))
+@register("segment_cards", with_ctes(f"""SELECT usr_cnty_ap2 AS segment, count(*) AS n,
+    round_even(avg(least(greatest(ltv_r / 10000.0, 0.0), 100.0)) FILTER (WHERE {qd._there('ltv_r')}), 1) AS purchase_intent,
+    round_even(avg(least(greatest(retention_score * 100.0, 0.0), 100.0)) FILTER (WHERE {qd._there('retention_score')}), 1) AS brand_attitude
+    FROM gaps GROUP BY usr_cnty_ap2""", [qd.GAPS]))
 def q_segment_cards(src):
-    """Segment cards (size, mean intent, mean attitude)."""
-    return _cards(src)
+    """Segment cards (size, mean intent, mean attitude), with null and NaN values put in."""
+    return rp.segment_cards(views.with_gaps(views.customers(src), qd.GAP_COLS))
 
 
 @register("dominant_segment", with_ctes("SELECT segment AS dominant_segment FROM rcards WHERE card_rank = 1"))

@@ -9,11 +9,11 @@ from persona_engine.operators import features as fe
 from persona_engine.operators import personas as pe
 from persona_engine.operators import segment as sg
 from persona_engine.plans import pipeline as pl
-from persona_engine.plans.oracle_views import _q, kmeans_ctes, py_float_sql, with_views
+from persona_engine.plans.oracle_views import LAB_CTE, _q, kmeans_ctes, py_float_sql, with_views
 from persona_engine.plans.registry import register
 from persona_engine.sources import views
 
-K, SEED, N_ITER = 7, 42, 5
+K, SEED = 7, 42
 
 # ---------------------------------------------------------------- SQL pieces
 STATS_SQL = [
@@ -71,12 +71,12 @@ PERSONA_SELECT = f"""SELECT cluster_id, persona_name, persona_name_en,
     top_region || '|' || preferred_channel || '|' || 'cluster-' || CAST(cluster_id AS VARCHAR) AS segment_tags,
     churn_risk, size FROM rules"""
 
-SEG_CTES = kmeans_ctes(K, SEED, N_ITER)
+SEG_CTES = [*kmeans_ctes(K, SEED), LAB_CTE]
 SEG_VIEWS = ["z", "enc"]
 
 
 def _seg(src):
-    return pl.segment(src, K, SEED, N_ITER)
+    return pl.segment(src, K, SEED)
 
 
 # ---------------------------------------------------------------- queries
@@ -135,15 +135,14 @@ def q_cluster_filter(src):
 
 
 @register("assign_nearest", with_views(SEG_VIEWS, """SELECT cust_id, cid AS persona_cluster,
-    round_even(d, 6) AS sq_dist FROM a0""", kmeans_ctes(K, SEED, 0)))
+    round_even(d, 6) AS sq_dist FROM near""", kmeans_ctes(K, SEED, 0)))
 def q_assign_nearest(src):
     """assignment to the seeded centroids (no iterations)."""
     enc, cols = pl.encoded_customers(src)
-    n = enc.count()
-    med, mom = pl.fit_scaling(enc, cols, n)
+    med, mom, n = fe.fit_scaling(enc, cols)
     z = enc.select("cust_id", *fe.scale_exprs(med, mom, pl.Z))
     zc = [pl.Z + c for c in cols]
-    cents = sg.seed_centroids(z, zc, sg.clamp_k(n, K), SEED)
+    cents = sg.seed_centroids(z, zc, sg.clamp_k(n, K), SEED)[0]
     return sg.assign_nearest(z, zc, cents).select("cust_id", "persona_cluster",
                                                   F.bround("sq_dist", 6).alias("sq_dist"))
 
@@ -162,30 +161,41 @@ def q_cluster_density(src):
 def q_feature_matrix(src):
     """standardised feature matrix, reported long (cust_id, feature, value)."""
     enc, cols = pl.encoded_customers(src)
-    med, mom = pl.fit_scaling(enc, cols, enc.count())
+    med, mom, _ = fe.fit_scaling(enc, cols)
     z = enc.select("cust_id", *[e for e in fe.scale_exprs(med, mom, "")])
     return fe.to_long(z, "cust_id", cols)
 
 
-@register("median_impute", with_views(["imp", "med"], """SELECT i.cust_id, i.feature, i.value
-    FROM imp i WHERE i.feature IN ('app_game_ratio', 'app_social_ratio', 'app_samsung_ratio', 'avg_daily_usage_min',
-    'ltv_r', 'val_p', 'retention_score')"""))
-def q_median_impute(src):
-    """Median imputation of the features that have gaps (customers without events/orders)."""
+# the same features with missing values put in: null and NaN by customer number (views.with_gaps)
+GAP_CTES = [
+    ("gap_long", """SELECT cust_id, feature, CASE WHEN cust_id % 7 = 3 OR cust_id % 11 = 5 THEN NULL ELSE value END AS value
+        FROM raw_long WHERE feature NOT LIKE 'region_%' AND feature NOT IN ('usr_gndr_enc', 'is_active')"""),
+    ("gap_med", "SELECT feature, median(value) AS med FROM gap_long WHERE value IS NOT NULL GROUP BY feature"),
+    ("gap_imp", "SELECT r.cust_id, r.feature, coalesce(r.value, m.med) AS value FROM gap_long r JOIN gap_med m ON r.feature = m.feature"),
+]
+
+
+def _gapped(src):
     enc, cols = pl.encoded_customers(src)
-    gap = ["app_game_ratio", "app_social_ratio", "app_samsung_ratio", "avg_daily_usage_min",
-           "ltv_r", "val_p", "retention_score"]
-    med = fe.fit_medians(enc, gap)
+    cols = [c for c in cols if c in fixed.FEATURE_COLS]
+    return views.with_gaps(enc, cols), cols
+
+
+@register("median_impute", with_views(["raw_long"], "SELECT cust_id, feature, value FROM gap_imp", GAP_CTES))
+def q_median_impute(src):
+    """Median imputation of every feature, with null and NaN values put in."""
+    enc, cols = _gapped(src)
+    med = fe.fit_medians(enc, cols)
     # values are exact quotients of integer sums (or medians of them): no rounding needed
-    return fe.to_long(fe.impute(enc.select("cust_id", *gap), med), "cust_id", gap, digits=None)
+    return fe.to_long(fe.impute(enc.select("cust_id", *cols), med), "cust_id", cols, digits=None)
 
 
-@register("standardize", with_views(["mom"], """SELECT feature, round_even(mu, 3) AS mean,
-    round_even(sd, 3) AS std_pop FROM mom"""))
+@register("standardize", with_views(["raw_long"], """SELECT feature, round_even(avg(value), 3) AS mean,
+    round_even(stddev_pop(value), 3) AS std_pop FROM gap_imp GROUP BY feature""", GAP_CTES))
 def q_standardize(src):
-    """Fitted mean and population std per feature."""
-    enc, cols = pl.encoded_customers(src)
-    med, mom = pl.fit_scaling(enc, cols, enc.count())
+    """Fitted mean and population std per imputed feature, with null and NaN values put in."""
+    enc, cols = _gapped(src)
+    _, mom, _ = fe.fit_scaling(enc, cols)
     rows = [(c, m, s) for c, (m, s) in mom.items()]
     df = src.spark.createDataFrame(rows, "feature string, mean double, std_pop double")
     return df.select("feature", F.bround("mean", 3).alias("mean"), F.bround("std_pop", 3).alias("std_pop"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +43,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests, the bench) is a scratch folder chosen.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a scratch
+    folder is chosen in local mode only (tests, the bench); on a cluster the executors
+    would not share it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,7 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = os.environ.get("PERSONA_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="persona-ckpt-")
+        conf_dir = os.environ.get("PERSONA_CHECKPOINT_DIR")
+    if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="persona-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

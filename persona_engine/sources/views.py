@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
-from persona_engine.functions.expr import clip, rnd
+from persona_engine.functions.expr import clip, flag, rnd
 from persona_engine.sources.tables import Sources, scalar
 
 
@@ -42,9 +42,7 @@ def region_values(src: Sources) -> list:
                  F.col("c_nationkey") == F.col("n_nationkey"))
            .join(F.broadcast(src.region.select("r_regionkey", "r_name")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    vals = geo.select("r_name").where(F.col("r_name").isNotNull()).distinct().limit(1001).collect()
-    if len(vals) > 1000:
-        raise ValueError("region domain too wide to one-hot encode")
+    vals = geo.select("r_name").where(F.col("r_name").isNotNull()).distinct().collect()   # one column each
     return sorted(r[0] for r in vals)
 
 
@@ -92,18 +90,25 @@ def demo(src: Sources) -> DataFrame:
     )
 
 
-def purchase_lines(src: Sources) -> DataFrame:
-    """One row per order line with order, customer and product attributes.
+def purchase_lines(src: Sources, product: bool = True, per_customer: DataFrame | None = None) -> DataFrame:
+    """One row per order line with order, customer and, if asked for, product attributes.
 
-    lineitem⋈part first, then ⋈orders, so the result stays partitioned by the
-    order key for the order-level rollup.
+    lineitem⟕part first, then ⋈orders, so the result stays partitioned by the order key for
+    the order-level rollup. Lines whose part is unknown stay, with null product columns.
+    ``per_customer`` (cust_id and more columns) is joined to the orders, a quarter of the
+    rows, before they meet the lines.
     """
     li = src.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
                              "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    pt = src.part.select("p_partkey", "p_type", "p_brand", "p_name")
     od = src.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                            "o_orderpriority")
-    j = li.join(pt, li.l_partkey == pt.p_partkey).join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    extra = []
+    if per_customer is not None:
+        extra = [c for c in per_customer.columns if c != "cust_id"]
+        od = od.join(per_customer, od.o_custkey == F.col("cust_id"), "left").drop("cust_id")
+    if product:
+        li = li.join(src.part.select("p_partkey", "p_type", "p_brand", "p_name"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     base = F.col("l_extendedprice")
     # exact money: price in cents × (100 − discount in %) = net in 1e-4 units (integer sums are exact)
     units = (F.round(base * 100).cast("long") * (F.lit(100) - F.round(F.col("l_discount") * 100).cast("long")))
@@ -113,10 +118,8 @@ def purchase_lines(src: Sources) -> DataFrame:
         F.to_date("o_orderdate").alias("order_date"),
         F.col("l_linenumber").cast("long").alias("line_no"),
         F.col("l_partkey").alias("part_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").isin(fixed.PREMIUM_PTYPES).cast("long").alias("premium_flg"),
+        *([F.col("p_type").alias("category"), F.col("p_brand").alias("brand"), F.col("p_name").alias("product_name"),
+           flag(F.col("p_type").isin(fixed.PREMIUM_PTYPES)).alias("premium_flg")] if product else []),
         F.col("l_quantity").alias("quantity"),
         base.alias("price_base"),
         (base * F.col("l_discount")).alias("price_discount"),
@@ -129,6 +132,7 @@ def purchase_lines(src: Sources) -> DataFrame:
         F.col("l_linestatus").alias("line_status"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderpriority").alias("order_priority"),
+        *extra,
     )
 
 
@@ -228,3 +232,9 @@ def app_usage_events(src: Sources) -> DataFrame:
     """Event rows with a timestamp usable for watermarks (TIMESTAMP_NTZ → TIMESTAMP)."""
     return src.events.select(F.col("user_id").alias("cust_id"), F.col("event_type").alias("app_id"),
                              F.col("ts").cast("timestamp").alias("ts"), "value")
+
+
+def with_gaps(df: DataFrame, cols: list[str], key: str = "cust_id") -> DataFrame:
+    """Missing values for checks: null and NaN by customer number (the tables have hardly any)."""
+    return df.withColumns({c: F.when(F.col(key) % 7 == 3, F.lit(None).cast("double")).when(F.col(key) % 11 == 5, F.lit(float("nan")))
+                           .otherwise(F.col(c).cast("double")) for c in cols})

@@ -2,10 +2,11 @@
 
 Event time is ``ts`` (TIMESTAMP_NTZ in the files, cast to TIMESTAMP because
 watermarks need it). Windows are 7-day tumbling windows shifted by 4 days so
-they start on Mondays (the epoch is a Thursday), i.e. ISO weeks. The state is
-bounded by the watermark; ``complete`` mode re-emits the whole table each
-trigger and equals the batch result, ``append`` emits a window once the
-watermark passes its end.
+they start on Mondays (the epoch is a Thursday), i.e. ISO weeks. Each trigger
+emits only the windows it changed (``update`` mode), and a window's state goes when
+the watermark passes its end. A feed in rough time order needs a watermark of its
+lateness; a replay of a table whose files are in no order needs one of the table's
+span, or late rows would be dropped.
 """
 
 from __future__ import annotations
@@ -36,20 +37,28 @@ def weekly_usage_streaming(events: DataFrame, watermark: str = "7 days") -> Data
                     (F.col("usage_cents") / F.lit(100.0)).alias("usage_value"), "fst_usage_date", "lst_usage_date")
 
 
-def run_weekly_usage_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def run_weekly_usage_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1,
+                            watermark: str | None = None) -> DataFrame:
     """Drive the stream over the events files to completion (availableNow) and read the result back.
 
-    Each micro-batch overwrites the sink with the complete aggregate (idempotent
-    per batch id), state and offsets live in the shared checkpoint folder, so a
-    restarted query resumes instead of recounting.
+    The table may be one file or a folder of part files. Each micro-batch writes the
+    windows it changed to a folder of its own, overwritten on retry; the latest version of
+    a window is the result. State and offsets live in the shared checkpoint folder, so a
+    restarted query resumes instead of recounting. Without ``watermark`` the table's span
+    is taken (a replay).
     """
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-usage-{uuid.uuid4().hex}"
     out = f"{base}/out"
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    if watermark is None:
+        span = spark.read.parquet(table).agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+        watermark = f"{span + 8} days"
+    # a glob of one name: a file and a folder are both found by it
     src = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+           .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
 
     def sink(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     # the files hold wall-clock TIMESTAMP_NTZ; the watermark needs TIMESTAMP, and that
     # cast uses the session zone — pin UTC while the stream runs so the Monday-aligned
@@ -57,9 +66,12 @@ def run_weekly_usage_stream(spark: SparkSession, sf_dir: str, max_files_per_trig
     prev_tz = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        q = (weekly_usage_streaming(src).writeStream.outputMode("complete").foreachBatch(sink)
+        q = (weekly_usage_streaming(src, watermark).writeStream.outputMode("update").foreachBatch(sink)
              .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev_tz)
-    return spark.read.parquet(out)
+    versions = spark.read.parquet(out)
+    keys = ["cust_id", "app_id", "week_start"]
+    rest = [c for c in versions.columns if c not in (*keys, "batch")]
+    return versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")

@@ -86,3 +86,16 @@ def test_age_truncates_toward_zero_then_clips(spark):
     out = rows(df.select(X.clip(truncated_int(F.col("x")), 18, 75).alias("a")), "a")
     assert out == [18, 18, 18, 75]
     assert rows(df.select(truncated_int(F.col("x")).alias("t")), "t") == [2, -2, 17, 80]
+
+
+def test_clip_keeps_missing_values_missing(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (7.0,), (300.0,)], "x double")
+    assert rows(df.select(X.clip("x", 50.0, 200.0).alias("r")), "r") == [None, None, 50.0, 200.0]
+
+
+def test_options_are_valid_json(spark):
+    import json
+
+    from persona_engine.operators.responses import options_json
+    df = spark.createDataFrame([(['say "hi"', "b\\c", "line\nbreak"],)], "o array<string>")
+    assert json.loads(df.select(options_json(F.col("o")).alias("j")).first()["j"]) == ['say "hi"', "b\\c", "line\nbreak"]

@@ -48,8 +48,8 @@ def test_lloyd_is_partition_independent(spark):
     pts = spark.range(0, 400).select(F.col("id").alias("cust_id"),
                                      (F.col("id") % 4 * 10 + F.col("id") % 7 * 0.1).cast("double").alias("x"),
                                      (F.col("id") % 3 * 5.0).alias("y"))
-    a, _ = sg.lloyd_kmeans(pts.repartition(1), ["x", "y"], 4, 42, 6)
-    b, _ = sg.lloyd_kmeans(pts.repartition(16), ["x", "y"], 4, 42, 6)
+    a, _ = sg.lloyd_kmeans(pts.repartition(1), ["x", "y"], 4, 42)
+    b, _ = sg.lloyd_kmeans(pts.repartition(16), ["x", "y"], 4, 42)
     assert a.keys() == b.keys()
     for i in a:
         assert [round(v, 9) for v in a[i]] == [round(v, 9) for v in b[i]]
@@ -83,20 +83,53 @@ def test_one_pass_scaling_equals_two_pass(spark):
     df = spark.createDataFrame(rows, "a double, b double")
     med2 = fe.fit_medians(df, ["a", "b"])
     mom2 = fe.fit_moments(fe.impute(df, med2), ["a", "b"])
-    med1, mom1 = fe.fit_scaling_one_pass(df, ["a", "b"], df.count())
+    med1, mom1, n = fe.fit_scaling(df, ["a", "b"])
+    assert n == 6
     assert med1 == med2
     for c in ["a", "b"]:
         assert abs(mom1[c][0] - mom2[c][0]) < 1e-12 and abs(mom1[c][1] - mom2[c][1]) < 1e-12
     allnull = spark.createDataFrame([(None,), (None,)], "x double")
-    m, s = fe.fit_scaling_one_pass(allnull, ["x"], 2)
+    m, s, _ = fe.fit_scaling(allnull, ["x"])
     assert m["x"] is None and s["x"] == (None, None)
 
 
-def test_approximate_median_path_at_scale_threshold(spark, monkeypatch):
-    """Above the exact-median row bound the fit switches to percentile_approx."""
-    df = spark.range(0, 10001).selectExpr("CAST(id AS DOUBLE) AS a",
-                                          "CASE WHEN id % 10 = 0 THEN NULL ELSE CAST(id AS DOUBLE) END AS b")
-    monkeypatch.setattr(fe, "EXACT_MEDIAN_MAX_ROWS", 0)
-    med, mom = fe.fit_scaling_one_pass(df, ["a", "b"], 10001)
-    assert abs(med["a"] - 5000.0) <= 1.0 and abs(med["b"] - 5000.0) <= 5.0
-    assert abs(mom["a"][0] - 5000.0) < 1e-9
+def test_median_is_exact_with_narrowed_brackets(spark, monkeypatch):
+    """Wide brackets are narrowed, not cut: the result is the exact interpolated median at any bound."""
+    df = spark.range(0, 10002).selectExpr("CAST((id * 7919) % 10002 AS DOUBLE) AS a", "CASE WHEN id % 10 = 0 THEN NULL ELSE CAST(id AS DOUBLE) END AS b",
+                                          "CAST(id % 3 AS DOUBLE) AS c")
+    want = df.toPandas().median()
+    for bound in (200_000, 10):
+        monkeypatch.setattr(fe, "BRACKET_VALUES", bound)
+        med = fe.fit_medians(df, ["a", "b", "c"])
+        assert med == {c: want[c] for c in "abc"}
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (nan,), (3.0,), (None,), (8.0,)], "x double")
+    med, mom, _ = fe.fit_scaling(df, ["x"])
+    assert med["x"] == 3.0
+    assert abs(mom["x"][0] - 18 / 5) < 1e-12
+    assert [r["x"] for r in fe.impute(df, med).collect()] == [1.0, 3.0, 3.0, 3.0, 8.0]
+
+
+def test_lloyd_partials_are_bounded_by_partitions(spark):
+    pts = spark.range(0, 50_000, 1, 2).select(F.col("id").alias("cust_id"), (F.col("id") % 10).cast("double").alias("x"))
+    seeds = sg.seed_centroids(pts, ["x"], 2, 1, restarts=3)
+    parts = sg.lloyd_partials(pts, ["x"], dict(enumerate(seeds)))
+    assert sorted(parts) == [0, 1, 2]
+    for r in parts:
+        assert sum(n for n, _, _ in parts[r].values()) == 50_000
+
+
+def test_restarts_keep_the_lowest_cost(spark):
+    rows = [(i, float(i % 3) * 50 + (i % 7) * 0.1) for i in range(90)]
+    pts = spark.createDataFrame(rows, "cust_id long, x double")
+    one = [sg.lloyd_kmeans(pts, ["x"], 3, seed, 1)[1][-1] for seed in (42,)]
+    many = sg.lloyd_kmeans(pts, ["x"], 3, 42, 10)[1][-1]
+    assert many <= min(one) + 1e-9 and many < 90
+
+
+def test_wide_one_hot_domain(spark):
+    df = spark.range(0, 1200).select(F.col("id").cast("string").alias("usr_cnty_ap2"))
+    assert len(fe.one_hot_values(df, "usr_cnty_ap2")) == 1200
