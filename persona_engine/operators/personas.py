@@ -164,10 +164,9 @@ INT_FIELDS = {"cluster_id", "size"}
 
 
 def json_text(c) -> F.Column:
-    """JSON string literal of a text column (backslash and quote escaped)."""
-    x = F.replace(F.replace(F.col(c) if isinstance(c, str) else c, F.lit("\\"), F.lit("\\\\")),
-                  F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), x, F.lit('"'))
+    """JSON string literal of a text column: to_json of a one-entry list without its brackets."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
 
 
 def stats_json(df: DataFrame) -> F.Column:
@@ -216,7 +215,8 @@ def profile_via_responder(stats: DataFrame, factory) -> DataFrame:
                                                            PROFILE_SCHEMA).alias("m"))
     base = personas(stats).join(parsed, "cluster_id", "left")
     ok = F.col("m.persona_name").isNotNull()
-    cols = {c: F.when(ok, F.col(f"m.{c}")).otherwise(F.col(c)) for c in
+    # a field that the model left out keeps the rule-based value
+    cols = {c: F.when(ok, F.coalesce(F.col(f"m.{c}"), F.col(c))).otherwise(F.col(c)) for c in
             ["persona_name", "persona_name_en", "age_range", "description", "key_characteristics",
              "preferred_channel", "keywords", "interests", "segment_tags"]}
     return base.withColumns(cols).withColumn("source", F.when(ok, "model").otherwise("fallback")).drop("m")

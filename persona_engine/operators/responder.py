@@ -8,12 +8,16 @@ in an ``error`` column instead of failing the batch.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from persona_engine.session import materialize
+
 
 class Responder:
     """Protocol: ``respond(prompt) -> raw text``; may raise."""
@@ -47,26 +51,55 @@ class FirstOptionResponder(Responder):
         return "[" + ", ".join(out) + "]"
 
 
+class PersonaStubResponder(Responder):
+    """Deterministic stub for profile and story prompts: whole, partial and broken answers in turn."""
+
+    def respond(self, prompt: str) -> str:
+        if prompt.startswith("Customer rows:"):
+            rows = json.loads(prompt[prompt.index("["):prompt.rindex("]\nReturn") + 1])
+            if rows and rows[0]["cust_id"] % 3 == 0:
+                return "[{broken"
+            return "Stories:\n" + json.dumps([{"index": i, "name": f"N{r['cust_id']}", "job": "stub", "personality": r["usr_gndr"],
+                                               "samsung_experience": "stub"} for i, r in enumerate(rows)])
+        cluster = int(re.search(r"cluster_id=(\d+)", prompt).group(1))
+        if cluster % 3 == 2:
+            return "no profile today"
+        profile = {"persona_name": f"Model {cluster}"}
+        if cluster % 3 == 0:
+            profile |= {"description": 'says "hi"', "keywords": ["k1", "k2"], "age_range": "30-39"}
+        return "Profile: " + json.dumps(profile)
+
+
 def run_responder(df: DataFrame, key_cols: list[str], prompt_col: str,
-                  factory: Callable[[], Responder] = NoModelResponder) -> DataFrame:
-    """(keys, prompt) → (keys, raw, error), one responder per task."""
+                  factory: Callable[[], Responder] = NoModelResponder, tasks: int | None = None,
+                  calls_at_once: int = 1) -> DataFrame:
+    """(keys, prompt) → (keys, raw, error), one responder per task.
+
+    ``tasks`` spreads the prompts over that many partitions; each task has up to
+    ``calls_at_once`` calls under way. The raw answers are written to the shared checkpoint
+    folder, so no later action calls the model again.
+    """
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.select(*key_cols).schema.fields]
                        + ["raw string", "error string"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         responder = factory()
-        for b in batches:
-            raws, errs = [], []
-            for p in b[prompt_col].tolist():
-                try:
-                    raws.append(responder.respond(p or ""))
-                    errs.append(None)
-                except Exception as e:  # noqa: BLE001 - per-row capture is the contract
-                    raws.append(None)
-                    errs.append(str(e))
-            out = b[key_cols].copy()
-            out["raw"] = raws
-            out["error"] = errs
-            yield out
-
-    return df.select(*key_cols, prompt_col).mapInPandas(run, schema)
+
+        def call(prompt):
+            try:
+                return responder.respond(prompt or ""), None
+            except Exception as e:  # noqa: BLE001 - per-row capture is the contract
+                return None, str(e)
+
+        with ThreadPoolExecutor(max_workers=max(1, calls_at_once)) as pool:
+            for b in batches:
+                got = list(pool.map(call, b[prompt_col].tolist()))
+                out = b[key_cols].copy()
+                out["raw"] = [r for r, _ in got]
+                out["error"] = [e for _, e in got]
+                yield out
+
+    prompts = df.select(*key_cols, prompt_col)
+    if tasks:
+        prompts = prompts.repartition(tasks)
+    return materialize(prompts.mapInPandas(run, schema))

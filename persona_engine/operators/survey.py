@@ -95,6 +95,22 @@ def parse_questions(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
     )
 
 
+QUESTION_COUNT = (1, 20)       # of a draft request
+
+
+def valid_requests(requests: DataFrame) -> DataFrame:
+    """Requests whose question count a draft may have; the others are rejected, not clamped."""
+    return requests.where(F.col("question_count").between(*QUESTION_COUNT))
+
+
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """One error row per request outside the bounds (a missing count too)."""
+    lo, hi = QUESTION_COUNT
+    return requests.where(~F.coalesce(F.col("question_count").between(lo, hi), F.lit(False))).select(
+        "project_id", F.col("question_count").cast("long").alias("requested_count"),
+        F.lit(f"question_count must be between {lo} and {hi}").alias("error"))
+
+
 def with_fallback(requests: DataFrame, parsed: DataFrame) -> DataFrame:
     """H6: projects with no valid parsed question get the fallback set."""
     missing = requests.join(parsed.select("project_id").distinct(), "project_id", "left_anti")
@@ -108,7 +124,7 @@ def evidence_text(c: F.Column) -> F.Column:
 def draft_metadata(questions: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """H8: count, source and template fields per project; with the requests, also the
     requested count and whether the drafted count differs from it (the model's count
-    is not enforced, Q11)."""
+    is not enforced, Q11); rejected requests are rows with an error and no draft."""
     m = questions.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("question_count"),
         F.first("generation_source").alias("generation_source"),
@@ -118,8 +134,9 @@ def draft_metadata(questions: DataFrame, requests: DataFrame | None = None) -> D
     if requests is None:
         return m
     r = requests.select("project_id", F.col("question_count").cast("long").alias("requested_count"))
-    return m.join(r, "project_id", "left").withColumn(
-        "count_mismatch", (F.col("question_count") != F.col("requested_count")).cast("long"))
+    m = m.join(r, "project_id", "left").withColumns({
+        "count_mismatch": (F.col("question_count") != F.col("requested_count")).cast("long"), "error": F.lit(None).cast("string")})
+    return m.unionByName(rejected_requests(requests), allowMissingColumns=True)
 
 
 def segments_text(segments: DataFrame) -> tuple[str, int]:

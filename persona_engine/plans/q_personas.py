@@ -112,22 +112,32 @@ def q_profile_prompt(src):
     return pe.profile_prompt(_stats(src))
 
 
-PROFILE_SQL = _sql("SELECT *, 'fallback' AS source, CAST(NULL AS VARCHAR) AS error FROM (" + PERSONA_SELECT + ")")
+PROFILE_SQL = _sql("""SELECT * REPLACE (
+    CASE WHEN cluster_id % 3 < 2 THEN 'Model ' || CAST(cluster_id AS VARCHAR) ELSE persona_name END AS persona_name,
+    CASE WHEN cluster_id % 3 = 0 THEN 'says "hi"' ELSE description END AS description,
+    CASE WHEN cluster_id % 3 = 0 THEN 'k1|k2' ELSE keywords END AS keywords,
+    CASE WHEN cluster_id % 3 = 0 THEN '30-39' ELSE age_range END AS age_range),
+    CASE WHEN cluster_id % 3 < 2 THEN 'model' ELSE 'fallback' END AS source, CAST(NULL AS VARCHAR) AS error FROM (""" + PERSONA_SELECT + ")")
 
 
 @register("persona_profile", PROFILE_SQL)
 def q_profile(src):
-    """Profile through the responder (no model configured → the rule-based persona)."""
-    return pe.profile_via_responder(_stats(src), rp.NoModelResponder)
+    """Profiles through the responder: whole, partial (the rest by rule) and without JSON (all by rule)."""
+    return pe.profile_via_responder(_stats(src), rp.PersonaStubResponder)
 
 
-@register("individual_stories", _sql("""SELECT DISTINCT persona_cluster AS cluster_id, CAST(0 AS BIGINT) AS n_stories,
-    CAST(NULL AS VARCHAR) AS error FROM smp""", [SAMPLE_SQL]))
+@register("individual_stories", _sql("""SELECT persona_cluster AS cluster_id,
+    CAST(CASE WHEN arg_min(cust_id, sample_rank) % 3 = 0 THEN 0 ELSE count(*) END AS BIGINT) AS n_stories,
+    CASE WHEN arg_min(cust_id, sample_rank) % 3 = 0 THEN ''
+         ELSE string_agg('N' || CAST(cust_id AS VARCHAR) || ':' || usr_gndr, '|' ORDER BY sample_rank) END AS stories,
+    CAST(NULL AS VARCHAR) AS error FROM smp GROUP BY persona_cluster""", [SAMPLE_SQL]))
 def q_stories(src):
-    """Stories for the sampled customers (no model configured → none)."""
+    """Stories for the sampled customers, prompted from their whole rows; a broken answer gives none."""
     s = pe.cluster_sample(_seg(src).labelled, 3, SEED)
-    out = pe.individual_stories(s, rp.NoModelResponder, SAMPLE_COLS)
-    return out.select("cluster_id", F.size("individual_stories").cast("long").alias("n_stories"), "error")
+    rows = [c for c in s.columns if not c.startswith(pl.Z) and c not in ("persona_cluster", "sample_rank", "sq_dist")]
+    out = pe.individual_stories(s, rp.PersonaStubResponder, rows)
+    return out.select("cluster_id", F.size("individual_stories").cast("long").alias("n_stories"),
+                      F.array_join(F.transform("individual_stories", lambda x: F.concat_ws(":", x["name"], x["personality"])), "|").alias("stories"), "error")
 
 
 def _z(src):

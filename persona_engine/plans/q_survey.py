@@ -35,10 +35,11 @@ TMPL_SQL = "SELECT * FROM (VALUES " + ", ".join(
 TKEY = f"CASE WHEN survey_type IN ({sql_list(sv.TYPES_WITH_TEMPLATES)}) THEN survey_type ELSE '*' END"
 
 CTES = [
-    ("req", f"""SELECT 'p-' || CAST(conv_id AS VARCHAR) AS project_id, conv_id, arg_min(text, turn) AS user_prompt,
+    ("every", f"""SELECT 'p-' || CAST(conv_id AS VARCHAR) AS project_id, conv_id, arg_min(text, turn) AS user_prompt,
         [{TYPES}][(conv_id % {len(cv.SURVEY_TYPES)}) + 1] AS survey_type,
-        CAST(least(greatest(count(*), 1), 20) AS BIGINT) AS question_count, '' AS project_purpose
+        count(*) AS question_count, '' AS project_purpose
         FROM conversations WHERE role = 'user' GROUP BY conv_id"""),
+    ("req", "SELECT * FROM every WHERE question_count BETWEEN 1 AND 20"),
     ("tmpl", TMPL_SQL),
     ("asst", "SELECT conv_id, arg_min(text, turn) AS answer_text FROM conversations WHERE role = 'assistant' GROUP BY conv_id"),
     ("raw", f"""SELECT r.project_id, CASE r.conv_id % 5
@@ -93,7 +94,7 @@ def _flat(df):
     CAST((SELECT count(*) FROM tmpl t WHERE t.type_key = {TKEY}) AS BIGINT) AS n_templates FROM req"""))
 def q_templates(src):
     """H1: template set used per request (default set for unknown types)."""
-    req = cv.survey_requests(src)
+    req = sv.valid_requests(cv.survey_requests(src))
     t = sv.templates(src.spark).groupBy("type_key").agg(F.count(F.lit(1)).alias("n_templates"))
     r = req.select("project_id", "survey_type", sv.template_key(F.col("survey_type")).alias("template_type"))
     return r.join(F.broadcast(t), r.template_type == t.type_key).drop("type_key")
@@ -102,7 +103,7 @@ def q_templates(src):
 @register("draft_questions", with_ctes(fallback_sql("req")))
 def q_draft(src):
     """H2/H3: template-cycled fallback questions with repeatable ids."""
-    return _flat(sv.fallback_questions(cv.survey_requests(src)))
+    return _flat(sv.fallback_questions(sv.valid_requests(cv.survey_requests(src))))
 
 
 @register("parse_questions", with_ctes("SELECT * FROM parsed"))
@@ -121,7 +122,7 @@ def q_rationale(src):
     "(SELECT * FROM req WHERE project_id NOT IN (SELECT project_id FROM parsed))")))
 def q_fallback(src):
     """H6: parsed questions, or the fallback set when nothing valid was parsed."""
-    return _flat(sv.with_fallback(cv.survey_requests(src), sv.parse_questions(cv.survey_model_output(src))))
+    return _flat(sv.with_fallback(sv.valid_requests(cv.survey_requests(src)), sv.parse_questions(cv.survey_model_output(src))))
 
 
 SEG_CTE = ("segs", """SELECT segment AS name, count(*) AS count FROM (
@@ -142,19 +143,21 @@ SURVEY_PROMPT_SQL = render_sql(
 def q_survey_prompt(src):
     """H7: draft prompt per request with the segment block."""
     segs = cv.sim_personas(src).groupBy(F.col("segment").alias("name")).agg(F.count(F.lit(1)).alias("count"))
-    return sv.survey_prompt(cv.survey_requests(src), segs)
+    return sv.survey_prompt(sv.valid_requests(cv.survey_requests(src)), segs)
 
 
 @register("draft_metadata", with_ctes("""SELECT m.*, r.question_count AS requested_count,
-    CAST(m.question_count <> r.question_count AS BIGINT) AS count_mismatch FROM (
+    CAST(m.question_count <> r.question_count AS BIGINT) AS count_mismatch, CAST(NULL AS VARCHAR) AS error FROM (
       SELECT project_id, count(*) AS question_count, 'model' AS generation_source,
         CAST(NULL AS VARCHAR) AS template_id, CAST(NULL AS VARCHAR) AS template_version,
         CAST(NULL AS VARCHAR) AS segment_source FROM parsed GROUP BY project_id
       UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
         CAST(NULL AS VARCHAR) FROM req WHERE project_id NOT IN (SELECT project_id FROM parsed)) m
-    LEFT JOIN req r ON m.project_id = r.project_id"""))
+    LEFT JOIN req r ON m.project_id = r.project_id
+    UNION ALL SELECT project_id, NULL, NULL, NULL, NULL, NULL, question_count, NULL, 'question_count must be between 1 and 20'
+    FROM every WHERE question_count NOT BETWEEN 1 AND 20"""))
 def q_metadata(src):
     """H8: draft metadata (count, source, template id) per project."""
     req = cv.survey_requests(src)
-    q = sv.with_fallback(req, sv.parse_questions(cv.survey_model_output(src)))
+    q = sv.with_fallback(sv.valid_requests(req), sv.parse_questions(cv.survey_model_output(src)))
     return sv.draft_metadata(q, req)

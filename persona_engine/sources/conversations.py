@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from persona_engine.operators.survey import valid_requests
 from persona_engine.sources.tables import Sources
 
 SURVEY_TYPES = ["concept", "ad", "usage"]          # 'usage' has no templates → default set
@@ -20,14 +21,14 @@ PROSE_TAIL = "\nHope it helps."
 
 
 def survey_requests(src: Sources) -> DataFrame:
-    """One draft request per conversation: first user turn = prompt, #user turns (1–20) = count."""
+    """One draft request per conversation: first user turn = prompt, #user turns = count."""
     u = (src.conversations.where(F.col("role") == "user").groupBy("conv_id")
          .agg(F.min_by("text", "turn").alias("user_prompt"), F.count(F.lit(1)).alias("n_user")))
     types = F.array(*[F.lit(t) for t in SURVEY_TYPES])
     return u.select(
         F.concat(F.lit("p-"), F.col("conv_id").cast("string")).alias("project_id"), "conv_id", "user_prompt",
         F.element_at(types, (F.pmod(F.col("conv_id"), F.lit(len(SURVEY_TYPES))) + 1).cast("int")).alias("survey_type"),
-        F.least(F.greatest(F.col("n_user"), F.lit(1)), F.lit(20)).cast("long").alias("question_count"),
+        F.col("n_user").cast("long").alias("question_count"),
         F.lit("").alias("project_purpose"))
 
 
@@ -39,7 +40,7 @@ def first_assistant(src: Sources) -> DataFrame:
 def survey_model_output(src: Sources) -> DataFrame:
     """Raw model output per project, five shapes by conversation."""
     a = first_assistant(src)
-    req = survey_requests(src).select("project_id", "conv_id")
+    req = valid_requests(survey_requests(src)).select("project_id", "conv_id")     # a rejected request reaches no model
     j = req.join(a, "conv_id")
     t = F.col("answer_text")
     obj1 = F.to_json(F.struct(t.alias("text"), F.lit("리커트척도").alias("type"),

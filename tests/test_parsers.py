@@ -130,3 +130,27 @@ def test_report_document_nested_and_json(spark, tmp_path):
     assert "evidence" not in rec["sections"][0] and rec["sections"][1]["evidence"][1]["value"] == "70%"
     assert [c["id"] for c in rec["charts"]] == [c[0] for c in fixed.CHARTS]
     assert rec["charts"][0]["n_points"] == 10 and rec["key_findings"][0].endswith("ASIA")
+
+
+def test_draft_requests_outside_the_bounds_are_rejected(spark):
+    from persona_engine.operators import survey as sv
+    req = spark.createDataFrame([("a", 1), ("b", 20), ("c", 21), ("d", 0), ("e", None)], "project_id string, question_count bigint")
+    assert [r["project_id"] for r in sv.valid_requests(req).orderBy("project_id").collect()] == ["a", "b"]
+    bad = sv.rejected_requests(req).orderBy("project_id").collect()
+    assert [(r["project_id"], r["requested_count"]) for r in bad] == [("c", 21), ("d", 0), ("e", None)] and all(r["error"] for r in bad)
+
+
+def test_a_run_takes_any_number_of_questions(spark):
+    from persona_engine.operators.responses import shared_question_block
+    q = spark.createDataFrame([(i, f"q{i}", "t", f"text {i}", ["a"]) for i in range(30)],
+                              "q_order int, question_id string, question_type string, question_text string, options array<string>")
+    block, n = shared_question_block(q)
+    assert n == 30 and "[q29]" in block
+
+
+def test_responder_spreads_and_keeps_answers(spark):
+    from persona_engine.operators.responder import PersonaStubResponder, run_responder
+    df = spark.createDataFrame([(i, f"cluster_id={i},") for i in range(6)], "cluster_id bigint, prompt string")
+    out = run_responder(df, ["cluster_id"], "prompt", PersonaStubResponder, tasks=3, calls_at_once=2)
+    got = {r["cluster_id"]: r["raw"] for r in out.collect()}
+    assert "Model 0" in got[0] and "keywords" not in got[1] and got[2] == "no profile today"
