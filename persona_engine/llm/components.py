@@ -16,15 +16,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     A node with very many neighbours is pre-aggregated before the shuffle. No links: no rows.
     """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"))
-    if labels.isEmpty():
-        return labels.withColumnRenamed("label", "component")
+    labels = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label"))
+    labels = materialize(labels)
     while True:
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near")))
-        nxt = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("next"))
-        up = labels.select(F.col("node").alias("next"), F.col("label").alias("up"))
-        nxt = materialize(nxt.join(up, "next", "left").select("node", "label", F.least("next", F.coalesce("up", "next")).alias("next")))
-        done = nxt.where("next <> label").isEmpty()
-        labels = nxt.select("node", F.col("next").alias("label"))
-        if done:
-            return labels.withColumnRenamed("label", "component")
+        heard = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
+        least = labels.withColumn("own", F.col("label")).unionByName(heard, allowMissingColumns=True).groupBy("node").agg(
+            F.min("label").alias("label"), F.max("own").alias("own"))
+        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        labels = materialize(least.join(up, "label", "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "own"))
+        if labels.where("label <> own").isEmpty():
+            return labels.select("node", F.col("label").alias("component"))
+        labels = labels.select("node", "label")

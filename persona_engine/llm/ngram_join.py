@@ -12,15 +12,19 @@ less than t of the set have no partner, and only the rest is kept and ordered. T
 ships packed, sorted token hashes of blocks of texts to the token's bucket (a token held
 by several texts of a block is sent once for the block), and gets back places, not pairs.
 
-Pairs are not enumerated within a token's group. Each round verifies every document of a
-group against one hub, and joins what links into components; groups inside one component
-are done. Only what is left after ``ROUNDS`` rounds is compared across components.
+Pairs are not enumerated within a token's group. Tokens with the same members are one
+group. First every document is verified against one hub of its groups, and what links
+gets the hub's label; groups of one label are done. In the groups left, only documents of
+different labels are compared: in small groups as pairs, in large ones block by block in
+numpy (the documents outside a group's main label against all of it), where each block
+returns only links that connect something new.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,10 @@ BLOCK_TOKENS = 2_000_000
 BLOCK_TEXTS = 60_000
 #: Rows up to which a table of document ids is broadcast; beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
-#: Rounds against hubs before components are compared with each other.
-ROUNDS = 3
+#: Groups up to this many members are compared as pairs of rows; larger ones in blocks.
+PAIR_MEMBERS = 32
+#: Documents on either side of a block.
+BLOCK_MEMBERS = 1_024
 _ID = 6   # bytes of a token hash that the first pass ships
 
 
@@ -253,41 +259,102 @@ def _verify(pairs: DataFrame, index: DataFrame, plan: JaccardPlan) -> DataFrame:
     return met.where(100 * both >= plan.percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common tokens of each set on the left with each on the right (sets of distinct numbers)."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    sides = [(np.concatenate(x) if x else np.zeros(0, np.int64), np.repeat(np.arange(len(x)), [len(v) for v in x])) for x in (left, right)]
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    places = []
+    for token, row in sides:
+        at = np.searchsorted(both, token)
+        hit = at < len(both)
+        hit[hit] = both[at[hit]] == token[hit]
+        order = np.argsort(at[hit], kind="stable")
+        places.append((at[hit][order], row[hit][order]))
+    for lo in range(0, len(both), 4096):   # dense columns, some at a time
+        width = min(4096, len(both) - lo)
+        dense = []
+        for (at, row), n in zip(places, out.shape):
+            i, j = np.searchsorted(at, [lo, lo + width])
+            m = np.zeros((n, width), np.float32)
+            m[row[i:j], at[i:j] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out.astype(np.int64)
+
+
+def _block_links(group: pa.Table, percent: int) -> pa.Table:
+    """Links between a block's documents outside the main label and its documents of other labels, those only
+    that connect something the block's labels and earlier links don't."""
+    rest = np.asarray(group.column("rest").combine_chunks())
+    cid, label, n = (np.asarray(group.column(k).combine_chunks()) for k in ("cid", "label", "n"))
+    sets = {k: group.column(k).to_pylist() for k in ("tokens", "p2", "p3")}
+    a, b = np.flatnonzero(rest), np.flatnonzero(~rest)
+    side = lambda k, at: [np.array(sets[k][i], np.int64) for i in at]
+    small, large = np.minimum.outer(n[a], n[b]), np.maximum.outer(n[a], n[b])
+    may = (label[a][:, None] != label[b][None, :]) & (100 * small >= percent * large)
+    for k in ("p2", "p3"):
+        may &= _shared(side(k, a), side(k, b)) > 0
+    both = _shared(side("tokens", a), side("tokens", b)) if may.any() else np.zeros(may.shape, np.int64)
+    hit = may & (100 * both >= percent * (n[a][:, None] + n[b][None, :] - both))
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out: list[tuple] = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(hit))):
+        x, y = root(int(label[a[i]])), root(int(label[b[j]]))
+        if x != y:
+            parent[x] = y
+            out.append((int(cid[a[i]]), int(cid[b[j]])))
+    left, right = zip(*out) if out else ((), ())
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+
+def _large_groups(rest: DataFrame, index: DataFrame, plan: JaccardPlan) -> DataFrame:
+    """Links across labels in groups of many members (rest: token, m, cid, label)."""
+    main = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+        F.max(F.struct("k", "label"))["label"].alias("main"), F.sum("k").alias("m"), F.max("k").alias("most"))
+    rows = rest.select("token", "cid", "label").join(main, "token").withColumns({
+        "n_rest": F.ceil((F.col("m") - F.col("most")) / BLOCK_MEMBERS).cast("int"), "n_all": F.ceil(F.col("m") / BLOCK_MEMBERS).cast("int")})
+    block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    sides = [rows.select("token", "cid", "label", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1)).alias("i"), block("n_all").alias("j"), F.lit(False).alias("rest")),
+             rows.where("label <> main").select("token", "cid", "label", block("n_rest").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"), F.lit(True).alias("rest"))]
+    whole = sides[0].union(sides[1]).join(index.select("cid", "n", "tokens", "p2", "p3"), "cid")
+    return whole.groupBy("token", "i", "j").applyInArrow(lambda g: _block_links(g, plan.percent), "a bigint, b bigint").distinct()
+
+
 def link_classes(index: DataFrame, plan: JaccardPlan) -> DataFrame:
-    """cid, component of the classes that link with another."""
-    posts = materialize(index.select("cid", "n", F.explode("p1").alias("token")))
-    links, labels, reached = None, None, None
-    close = (100 * F.least("na", "nb") >= plan.percent * F.greatest("na", "nb"))
-    for turn in range(ROUNDS + 1):
-        now = posts.withColumn("comp", F.col("cid"))
-        if labels is not None:
-            now = posts.join(labels, posts["cid"] == labels["node"], "left").select(
-                "cid", "n", "token", F.coalesce("component", "cid").alias("comp"))
-        groups = now.groupBy("token").agg(
-            F.min("comp").alias("least"), F.max("comp").alias("most"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "comp", "cid").alias("h"), F.col("cid"), F.col("n"), F.col("comp"))).alias("hub"))
-        groups = materialize(groups.where("least <> most").select("token", "hub"))
-        if groups.isEmpty():
-            break
-        if turn < ROUNDS:
-            pairs = (now.join(groups, "token").where("comp <> hub.comp")
-                     .select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("hub.cid").alias("b"), F.col("hub.n").alias("nb")))
-        else:   # what is left, across components
-            rest = materialize(now.join(groups.select("token"), "token"))
-            other = rest.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("comp_b"))
-            pairs = (rest.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), "comp").join(other, "token")
-                     .where("comp < comp_b").select("a", "na", "b", "nb"))
-        pairs = pairs.where(close).select("a", "b").distinct()
-        if reached is not None:   # a pair is verified once
-            pairs = pairs.join(reached, ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
-        reached = pairs.union(pairs.select("b", "a")) if reached is None else reached.union(pairs).union(pairs.select("b", "a"))
-        new = materialize(_verify(pairs, index, plan))
-        if new.isEmpty():
-            continue
-        links = new if links is None else links.union(new)
-        labels = connected_components(links)
-    return labels if labels is not None else index.select(F.col("cid").alias("node"), F.col("cid").alias("component")).limit(0)
+    """node, component of the classes that link with another."""
+    posts = index.select("cid", "n", F.explode("p1").alias("token"))
+    # tokens with the same members are one group, named by one of them
+    members = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("y"))
+    named = members.where("m > 1").groupBy("m", "x", "y").agg(F.min("token").alias("token")).select("token", "m")
+    posts = materialize(posts.join(named, "token").select("token", "m", "cid", "n"))
+    close = 100 * F.least("na", "nb") >= plan.percent * F.greatest("na", "nb")
+    # every class against one hub: of its groups' members of smallest hash, the smallest that is near in size
+    hubs = posts.groupBy("token").agg(F.min(F.struct(F.xxhash64("cid").alias("h"), F.col("cid").alias("b"), F.col("n").alias("nb"))).alias("hub"))
+    pairs = (posts.withColumnRenamed("n", "na").join(hubs, "token").select(F.col("cid").alias("a"), "na", "hub.*").where("a <> b").where(close)
+             .groupBy("a").agg(F.min(F.struct("h", "b"))["b"].alias("b")))
+    links = materialize(_verify(pairs, index, plan))
+    up = links.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    labels = links.join(up, "b", "left").select("a", F.coalesce("c", "b").alias("b")).join(up, "b", "left").select(
+        F.col("a").alias("cid"), F.coalesce("c", "b").alias("label"))
+    now = posts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+    rest = materialize(now.join(mixed, "token").select("token", "m", "cid", "n", "label"))
+    few = rest.where(F.col("m") <= PAIR_MEMBERS)
+    other = few.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
+    pairs = (few.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), "label").join(other, "token")
+             .where("label < label_b").where(close).select("a", "b").distinct())
+    many = rest.where(F.col("m") > PAIR_MEMBERS)
+    more = [links, _verify(pairs, index, plan)]
+    if not many.isEmpty():
+        more.append(_large_groups(many, index, plan))
+    return connected_components(reduce(DataFrame.union, more)).select("node", "component")
 
 
 def jaccard_components(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> DataFrame:
