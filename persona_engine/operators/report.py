@@ -174,12 +174,16 @@ def static_report(summary: DataFrame, project_name: str, report_type: str = fixe
         .alias("key_findings"))
 
 
-REPORT_SCHEMA = "struct<title:string,sections:array<struct<id:string,title:string,content:string>>>"
+_PAIRS = "array<struct<label:string,value:string>>"
+REPORT_SCHEMA = (f"struct<title:string,sections:array<struct<id:string,title:string,content:string,evidence:{_PAIRS},action:string>>,"
+                 f"kpis:{_PAIRS},key_findings:array<string>>")
 
 
-def parse_report(raw: DataFrame, key: str, report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
-    """Greedy {...} → must have 'sections' → model report with forced type; else
-    the fallback, with the reason recorded instead of swallowed (Q13)."""
+def parse_report(raw: DataFrame, key: str, fallback: DataFrame, report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
+    """Greedy {...} → must have 'sections' → model report with forced type; else the
+    fallback document (one row of ``report_document``), with the reason recorded instead of
+    swallowed (Q13). The charts are the fallback document's in either case: they come from
+    the data, not from the model."""
     block = F.regexp_extract(F.col("raw"), r"(?s)\{.*\}", 0)
     obj = F.nullif(block, F.lit(""))
     keys = F.json_object_keys(obj)
@@ -187,11 +191,22 @@ def parse_report(raw: DataFrame, key: str, report_type: str = fixed.DEFAULT_REPO
     parsed = F.from_json(obj, REPORT_SCHEMA)
     reason = (F.when(ok, F.lit(None).cast("string")).when(obj.isNull(), "no_json_object")
               .when(keys.isNull(), "invalid_json").otherwise("no_sections"))
-    return raw.select(
-        key, F.when(ok, "model").otherwise("fallback").alias("source"),
-        F.when(ok, parsed["title"]).alias("title"), F.lit(report_type).alias("type"),
-        F.when(ok, F.coalesce(F.size(parsed["sections"]), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_sections"),
-        reason.alias("fallback_reason"))
+    doc = fallback.select(F.to_json(F.struct("title", "sections", "kpis", "key_findings")).alias("d"), F.to_json("charts").alias("c")).first()
+    own = F.from_json(F.lit(doc["d"]), REPORT_SCHEMA)
+    charts = F.from_json(F.lit(doc["c"]), fallback.schema["charts"].dataType)
+    got = raw.select(key, F.when(ok, "model").otherwise("fallback").alias("source"), F.when(ok, parsed).otherwise(own).alias("r"),
+                     charts.alias("charts"), reason.alias("fallback_reason"))
+    return got.select(key, "source", "r.title", F.lit(report_type).alias("type"), "r.sections", "r.kpis", "r.key_findings", "charts", "fallback_reason")
+
+
+def report_text(reports: DataFrame) -> DataFrame:
+    """Parsed reports with their nested fields as text (one line per section, '|' between parts)."""
+    pairs = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("=", x["label"], x["value"])), "|")
+    sections = F.transform("sections", lambda s: F.concat_ws("|", s["id"], s["title"], s["content"], s["action"]))
+    evidence = pairs(F.flatten(F.filter(F.transform("sections", lambda s: s["evidence"]), lambda e: e.isNotNull())))
+    return reports.withColumns({
+        "n_sections": F.coalesce(F.size("sections"), F.lit(0)).cast("long"), "n_charts": F.size("charts").cast("long"),
+        "evidence": evidence, "sections": F.array_join(sections, "\n"), "kpis": pairs("kpis"), "key_findings": F.array_join("key_findings", "|")}).drop("charts")
 
 
 def question_strength(distribution: DataFrame) -> DataFrame:

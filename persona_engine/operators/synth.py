@@ -201,3 +201,14 @@ def drift(source: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame
     b = mg.categorical_shares(synthetic, cols).select("column", "value", F.col("share").alias("synth_share"))
     j = a.join(b, ["column", "value"], "full_outer")
     return j.withColumn("diff", F.coalesce("synth_share", F.lit(0.0)) - F.coalesce("source_share", F.lit(0.0)))
+
+
+def numeric_drift(source: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame:
+    """E12, numbers: mean and sample std per column in the source and the synthetic table, in the shape of ``drift``."""
+    def stats(df, name):
+        aggs = [F.array(*[F.struct(F.lit(s).alias("value"), f(F.col(c).cast("double")).alias(name)) for s, f in (("mean", F.avg), ("std", F.stddev_samp))]).alias(c)
+                for c in cols]
+        return df.agg(*aggs).unpivot([], cols, "column", "x").select("column", F.explode("x").alias("x")).select("column", "x.*")
+
+    j = stats(source, "source_share").join(stats(synthetic, "synth_share"), ["column", "value"])
+    return j.withColumn("diff", F.col("synth_share") - F.col("source_share"))

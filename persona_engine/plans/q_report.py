@@ -207,48 +207,79 @@ def _summary_sql():
 @register("static_report", with_ctes(_summary_sql()))
 def q_static_report(src):
     """The fallback report document (one row)."""
+    return rp.static_report(_summary(src), PROJECT)
+
+
+def _summary(src):
     ev = _events(src)
     prog = rp.response_progress(ev).first()
     dom = rp.dominant_segment(_cards(src)).first()
     n_pers = cv.sim_personas(src).count()
-    summary = src.spark.createDataFrame(
+    return src.spark.createDataFrame(
         [(n_pers, prog["response_count"] or 0, prog["response_progress"],
           dom["dominant_segment"] if dom else fixed.DOMINANT_DEFAULT)],
         "persona_count long, response_count long, response_progress long, dominant_segment string")
-    return rp.static_report(summary, PROJECT)
 
 
 def report_model_output(src):
     """Model report texts composed around documents: valid, missing sections, broken."""
     d = src.documents
     obj = F.to_json(F.struct(F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"),
-                             F.array(F.struct(F.lit("s1").alias("id"), F.col("lang").alias("title"),
-                                              F.col("text").alias("content")),
-                                     F.struct(F.lit("s2").alias("id"), F.col("source").alias("title"),
-                                              F.col("source").alias("content"))).alias("sections")))
+                             F.array(F.struct(F.lit("s1").alias("id"), F.col("lang").alias("title"), F.col("text").alias("content"),
+                                              F.array(F.struct(F.lit("lang").alias("label"), F.col("lang").alias("value"))).alias("evidence"),
+                                              F.concat(F.lit("see "), F.col("source")).alias("action")),
+                                     F.struct(F.lit("s2").alias("id"), F.col("source").alias("title"), F.col("source").alias("content"),
+                                              F.lit(None).cast("array<struct<label:string,value:string>>").alias("evidence"),
+                                              F.lit(None).cast("string").alias("action"))).alias("sections"),
+                             F.array(F.struct(F.lit("chars").alias("label"), F.col("n_chars").cast("string").alias("value"))).alias("kpis"),
+                             F.array("lang", "source").alias("key_findings")))
     v = F.pmod(F.col("doc_id"), F.lit(3))
     raw = (F.when(v == 0, F.concat(F.lit("Report follows:\n"), obj, F.lit("\nEOF")))
            .when(v == 1, F.lit('{"title": "only title"}')).otherwise(F.lit('{"title": ')))
     return d.select("doc_id", raw.alias("raw"))
 
 
-@register("parse_report", """SELECT doc_id, CASE WHEN ok THEN 'model' ELSE 'fallback' END AS source,
-    CASE WHEN ok THEN b->>'$.title' END AS title, 'strategy' AS type,
-    CAST(CASE WHEN ok THEN coalesce(json_array_length(b, '$.sections'), 0) ELSE 0 END AS BIGINT) AS n_sections,
+_PAIRS_SQL = '[{"label": "VARCHAR", "value": "VARCHAR"}]'
+
+
+def _pairs_sql(x: str) -> str:
+    return f"array_to_string(list_transform(from_json({x}, '{_PAIRS_SQL}'), lambda e: concat_ws('=', e.label, e.value)), '|')"
+
+
+PARSE_REPORT_SQL = with_ctes(f"""SELECT doc_id, CASE WHEN ok THEN 'model' ELSE 'fallback' END AS source,
+    CASE WHEN ok THEN b->>'$.title' ELSE st.title END AS title, st.type,
+    CASE WHEN ok THEN array_to_string(list_transform(from_json(b->'$.sections',
+           '[{{"id": "VARCHAR", "title": "VARCHAR", "content": "VARCHAR", "action": "VARCHAR"}}]'),
+           lambda s: concat_ws('|', s.id, s.title, s.content, s.action)), chr(10))
+         ELSE {_q('summary|' + S['summary_title'] + '|')} || st.summary || chr(10) || {_q('findings|' + S['findings_title'] + '|')}
+           || st.findings || '|' || st.action END AS sections,
+    CASE WHEN ok THEN {_pairs_sql("b->'$.kpis'")} ELSE st.kpis END AS kpis,
+    CASE WHEN ok THEN array_to_string(from_json(b->'$.key_findings', '["VARCHAR"]'), '|') ELSE st.key_findings END AS key_findings,
+    CASE WHEN ok THEN {_pairs_sql("b->'$.sections[0].evidence'")} ELSE st.evidence END AS evidence,
+    CAST(CASE WHEN ok THEN coalesce(json_array_length(b, '$.sections'), 0) ELSE 2 END AS BIGINT) AS n_sections,
+    CAST({len(fixed.CHARTS)} AS BIGINT) AS n_charts,
     CASE WHEN ok THEN NULL WHEN b = '' THEN 'no_json_object'
          WHEN NOT json_valid(b) OR json_type(b) <> 'OBJECT' THEN 'invalid_json' ELSE 'no_sections' END
       AS fallback_reason
-    FROM (SELECT doc_id, b, CASE WHEN b <> '' AND json_valid(b) THEN json_type(b) = 'OBJECT'
+    FROM st, (SELECT doc_id, b, CASE WHEN b <> '' AND json_valid(b) THEN json_type(b) = 'OBJECT'
             AND json_exists(b, '$.sections') ELSE false END AS ok
-          FROM (SELECT doc_id, regexp_extract(raw, '(?s)\\{.*\\}', 0) AS b FROM (
+          FROM (SELECT doc_id, regexp_extract(raw, '(?s)\\{{.*\\}}', 0) AS b FROM (
             SELECT doc_id, CASE doc_id % 3
               WHEN 0 THEN 'Report follows:' || chr(10) || CAST(json_object('title', 'Doc ' || CAST(doc_id AS VARCHAR),
-                'sections', [json_object('id', 's1', 'title', lang, 'content', text),
-                             json_object('id', 's2', 'title', source, 'content', source)]) AS VARCHAR) || chr(10) || 'EOF'
-              WHEN 1 THEN '{"title": "only title"}' ELSE '{"title": ' END AS raw FROM documents)))""")
+                'sections', [json_object('id', 's1', 'title', lang, 'content', text, 'evidence', [json_object('label', 'lang', 'value', lang)],
+                                         'action', 'see ' || source),
+                             json_object('id', 's2', 'title', source, 'content', source)],
+                'kpis', [json_object('label', 'chars', 'value', CAST(n_chars AS VARCHAR))], 'key_findings', [lang, source]) AS VARCHAR)
+                || chr(10) || 'EOF'
+              WHEN 1 THEN '{{"title": "only title"}}' ELSE '{{"title": ' END AS raw FROM documents)))""", [("st", _summary_sql())])
+
+
+@register("parse_report", PARSE_REPORT_SQL)
 def q_parse_report(src):
-    """Model report parse — needs a sections key, type forced, else the fallback."""
-    return rp.parse_report(report_model_output(src), "doc_id")
+    """Model report parse — needs a sections key, type forced, else the fallback document; whole content."""
+    charts = rp.chart_index({}, None)
+    document = rp.report_document(_summary(src), charts, PROJECT)
+    return rp.report_text(rp.parse_report(report_model_output(src), "doc_id", document))
 
 
 _NLS = "chr(10)"

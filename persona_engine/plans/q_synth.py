@@ -180,6 +180,20 @@ def q_beta(src):
                ["app_game_ratio", "app_social_ratio"])
 
 
+TOP8_CTE = ("top8", """SELECT interest, mean_score, rank FROM (SELECT interest, round_even(avg(interest_score), 9) AS mean_score,
+        row_number() OVER (ORDER BY round_even(avg(interest_score), 9) DESC, interest) AS rank
+        FROM interests GROUP BY interest) WHERE rank <= 8""")
+TOP8_WIDE_CTE = ("top8w", "SELECT " + ", ".join(f"max(interest) FILTER (WHERE rank = {r}) AS i{r}, max(mean_score) FILTER (WHERE rank = {r}) AS m{r}"
+                                                for r in range(1, 9)) + " FROM top8")
+
+
+def interest_score_sql(r: int) -> str:
+    """E9 score of the interest of rank r for spine.id, from top8w."""
+    u = (f"((CAST(CAST(('0x' || substr(md5('{SEED}:interest:' || t8.i{r} || ':' || CAST(spine.id AS VARCHAR)), 1, 8)) AS BIGINT) AS DOUBLE)"
+         " + 0.5) / 4294967296.0)")
+    return f"round_even(least(greatest(-t8.m{r} * ln(1.0 - {u}), 0.0), 1.0), 6)"
+
+
 INTEREST_SQL = with_views(["interests"], f"""SELECT s.id, 'interest_' || replace(replace(lower(t.interest), ' & ', '_'), ' ', '_') AS interest,
     round_even(least(greatest(-t.mean_score * ln(1.0 - ((CAST(CAST(('0x' || substr(md5('{SEED}:interest:' || t.interest || ':' || CAST(s.id AS VARCHAR)), 1, 8)) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296.0)), 0.0), 1.0), 6) AS score
     FROM spine s CROSS JOIN top8 t""", [
@@ -218,15 +232,31 @@ WIDE = {"usr_age": AGE_SQL, "usr_gndr": "spine.usr_gndr", "sa_activeness": "spin
         **HOME}
 
 
-@register("synth_customers", synth_sql("spine.id AS \"index\", " + ", ".join(f"{v} AS {k}" for k, v in WIDE.items()),
-                                       "FROM (SELECT cat.* FROM cat) spine CROSS JOIN pd CROSS JOIN pc CROSS JOIN pe"))
+INTEREST_COLS = {f"interest_{r}": interest_score_sql(r) for r in range(1, 9)}
+
+
+@register("synth_customers", with_views(
+    [*SYN_VIEWS, "interests"], "SELECT spine.id AS \"index\", " + ", ".join(f"{v} AS {k}" for k, v in (WIDE | INTEREST_COLS).items())
+    + " FROM (SELECT cat.* FROM cat) spine CROSS JOIN pd CROSS JOIN pc CROSS JOIN pe CROSS JOIN top8w t8", [*PARAM_CTES, TOP8_CTE, TOP8_WIDE_CTE]))
 def q_synth_customers(src):
-    """The assembled wide synthetic table (interest columns: see synth_interest)."""
-    df, _ = _population(src)
+    """The assembled wide synthetic table; its interest columns are named by rank here, as the interests differ by table."""
+    df, p = _population(src, interests=True)
+    df = df.withColumnsRenamed({sy.interest_column_name(i): f"interest_{r}" for r, (i, _) in enumerate(p.interests, start=1)})
+    df = _r6(df, [f"interest_{r}" for r in range(1, len(p.interests) + 1)])
     df = _r6(df, ["retention_score", "app_game_ratio", "app_social_ratio", "app_samsung_ratio", "avg_daily_usage_min"])
     return _r6(df, ["ltv_r", "val_p"], 4)
 
 
+DRIFT_NUMBERS = {"usr_age": AGE_SQL, "retention_score": RET_SQL, "ltv_r": LTV_SQL, "val_p": VALP_SQL}
+
+
+def _drift_number_sql(c: str) -> str:
+    source = "demo" if c == "usr_age" else "clv"
+    return " UNION ALL ".join(f"""SELECT '{c}' AS "column", '{stat}' AS value, round_even(a.v, 3) AS source_share, round_even(b.v, 3) AS synth_share,
+        round_even(abs(b.v - a.v), 3) AS diff FROM (SELECT {fn}(CAST({c} AS DOUBLE)) AS v FROM {source}) a,
+        (SELECT {fn}(CAST({DRIFT_NUMBERS[c]} AS DOUBLE)) AS v {FROM_PARAMS}) b""" for stat, fn in (("mean", "avg"), ("std", "stddev_samp")))
+
+
 @register("synth_drift", with_views(SYN_VIEWS, """SELECT coalesce(a."column", b."column") AS "column",
     coalesce(a.value, b.value) AS value, round_even(a.share, 6) AS source_share, round_even(b.share, 6) AS synth_share,
     round_even(coalesce(b.share, 0.0) - coalesce(a.share, 0.0), 6) AS diff
@@ -235,9 +265,13 @@ def q_synth_customers(src):
         SELECT "column", value, count(*) AS n FROM (
           SELECT unnest(['usr_gndr', 'sa_activeness', 'usr_cnty_ap2']) AS "column",
                  unnest([usr_gndr, sa_activeness, usr_cnty_ap2]) AS value FROM cat) WHERE value IS NOT NULL
-        GROUP BY "column", value)) b ON a."column" = b."column" AND a.value = b.value""", PARAM_CTES))
+        GROUP BY "column", value)) b ON a."column" = b."column" AND a.value = b.value
+    UNION ALL """ + " UNION ALL ".join(_drift_number_sql(c) for c in DRIFT_NUMBERS), PARAM_CTES))
 def q_drift(src):
-    """Source vs synthetic categorical shares."""
+    """Source vs synthetic categorical shares, and means and sample stds of the fitted numbers."""
     df, _ = _population(src)
-    d = sy.drift(views.demo(src), df, sy.DEMO_CATEGORICAL)
-    return _r6(d, ["source_share", "synth_share", "diff"])
+    d = _r6(sy.drift(views.demo(src), df, sy.DEMO_CATEGORICAL), ["source_share", "synth_share", "diff"])
+    numbers = sy.numeric_drift(views.demo(src).select("usr_age"), df, ["usr_age"]).unionByName(
+        sy.numeric_drift(views.clv(src), df, [c for c in DRIFT_NUMBERS if c != "usr_age"]))
+    numbers = numbers.withColumn("diff", F.abs("diff"))
+    return d.unionByName(_r6(numbers, ["source_share", "synth_share", "diff"], 3))

@@ -57,12 +57,18 @@ def test_parse_answers_and_route(spark):
     assert ev["p4"]["message"] == "응답 파싱 실패"
 
 
+def _fallback_report(spark):
+    summary = spark.createDataFrame([(3, 2, 66, "heavy")], "persona_count long, response_count long, response_progress long, dominant_segment string")
+    return rp.report_document(summary, rp.chart_index({}, None), "P")
+
+
 def test_parse_report_requires_sections(spark):
     raw = spark.createDataFrame([(1, 'x {"title": "T", "sections": [{"id": "a", "title": "b", "content": "c"}]} y'),
                                  (2, '{"title": "T"}'), (3, "{broken")], "doc_id long, raw string")
-    got = {r["doc_id"]: r for r in rp.parse_report(raw, "doc_id").collect()}
+    got = {r["doc_id"]: r for r in rp.report_text(rp.parse_report(raw, "doc_id", _fallback_report(spark))).collect()}
     assert got[1]["source"] == "model" and got[1]["n_sections"] == 1 and got[1]["title"] == "T"
     assert got[2]["source"] == got[3]["source"] == "fallback"
+    assert got[2]["title"].startswith("P") and got[2]["n_sections"] == 2 and got[2]["kpis"] and got[2]["n_charts"] == 5
     assert got[1]["fallback_reason"] is None and got[2]["fallback_reason"] == "no_sections"
     assert got[3]["fallback_reason"] == "no_json_object"
 
@@ -110,8 +116,9 @@ def test_shared_survey_prompts_and_validation(spark):
     assert got["p1"]["n_answers"] == 2 and got["p2"]["type"] == "result"
     many = spark.range(1, 23).selectExpr("id AS q_order", "concat('q', id) AS question_id", "'단일선택' AS question_type",
                                          "'t' AS question_text", "array() AS options")
+    assert rs.build_prompts(personas, many, None).first()["n_questions"] == 22
     with pytest.raises(ValueError):
-        rs.build_prompts(personas, many, None)
+        rs.build_prompts(personas, many.limit(0), None)
 
 
 def test_report_document_nested_and_json(spark, tmp_path):
