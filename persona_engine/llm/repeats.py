@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 
 from persona_engine.llm import textbytes as tb
 from persona_engine.llm.suffix_sort import suffix_array
-from persona_engine.session import materialize
+from persona_engine.llm.tables import broadcast_if_small, store
 
 _PLACE = np.uint64((1 << 28) - 1)
+#: Tables up to this many rows (of at most some 50 bytes) are broadcast to the runs or texts; beyond, joins are by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -91,20 +93,25 @@ def _runs(docs: DataFrame, plan: RepeatPlan) -> DataFrame:
 
 
 def _cut(docs: DataFrame, wanted: DataFrame, plan: RepeatPlan) -> DataFrame:
-    """anchor, passage, bytes of the wanted passages (wanted: id, text_key, lo, n, anchor, passage)."""
+    """anchor, passage, many, bytes of the wanted passages (wanted: id, text_key, lo, n, anchor, passage, many).
+
+    Rows of the same id and text give a passage more than once, which is found twice then, as ``many`` says.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for text, want in zip(batch.column(0), batch.column(1).to_pylist()):
                 raw = text.as_buffer().to_pybytes()
-                out += [(w["anchor"], w["passage"], raw[w["lo"]:w["lo"] + w["n"] - 1 + plan.length]) for w in want]
+                out += [(w["anchor"], w["passage"], w["many"], raw[w["lo"]:w["lo"] + w["n"] - 1 + plan.length]) for w in want]
             for lo in range(0, len(out), 2000):
-                a, p, b = zip(*out[lo:lo + 2000])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(p, pa.int64()), pa.array(b, pa.binary())], names=["anchor", "passage", "bytes"])
+                a, p, m, b = zip(*out[lo:lo + 2000])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(p, pa.int64()), pa.array(m, pa.bool_()), pa.array(b, pa.binary())],
+                                                 names=["anchor", "passage", "many", "bytes"])
 
-    by_text = wanted.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "anchor", "passage")).alias("want"))
-    return docs.join(by_text, ["id", "text_key"]).select("text", "want").mapInArrow(run, "anchor bigint, passage bigint, bytes binary").dropDuplicates(["anchor", "passage"])
+    by_text = wanted.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "anchor", "passage", "many")).alias("want"))
+    by_text = F.broadcast(by_text) if wanted.count() <= BROADCAST_ROWS else by_text
+    return docs.join(by_text, ["id", "text_key"]).select("text", "want").mapInArrow(run, "anchor bigint, passage bigint, many boolean, bytes binary")
 
 
 def repeated_starts(passages: list[bytes], plan: RepeatPlan) -> list[np.ndarray]:
@@ -177,19 +184,21 @@ def remove_repeats(docs: DataFrame, plan: RepeatPlan = RepeatPlan(), keep_text:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # rows of the same id and text get the same result, so these two name a text
     docs = docs.withColumns({"id": F.coalesce("doc_id", F.lit(0)), "text_key": F.xxhash64("text")})
-    runs = materialize(_runs(docs, plan))
-    often = materialize(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
-    runs = materialize(runs.join(often, "anchor"))
-    found = materialize(runs.groupBy("anchor", "passage").agg(
+    runs = store(_runs(docs, plan))
+    often = store(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
+    runs = store(runs.join(broadcast_if_small(often, BROADCAST_ROWS), "anchor"))
+    found = store(runs.groupBy("anchor", "passage").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "text_key", "lo", "n")).alias("one")))
-    wanted = found.select("anchor", "passage", "one.*")
+    wanted = found.select("anchor", "passage", (F.col("times") > 1).alias("many"), "one.*")
     size = found.agg(F.sum(F.col("one.n") + plan.length)).first()[0] or 0
     shards = max(1, -(-size // plan.shard_bytes))
-    passages = (_cut(docs, wanted, plan).join(found.select("anchor", "passage", (F.col("times") > 1).alias("many")), ["anchor", "passage"])
-                .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))))
-    hits = materialize(_sorted_shards(passages, plan).where(F.size("ranges") > 0))
+    passages = _cut(docs, wanted, plan).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    hits = store(_sorted_shards(passages, plan).where(F.size("ranges") > 0))
     places = (runs.join(hits, ["anchor", "passage"])
               .select("id", "text_key", F.explode(F.transform("ranges", lambda r: F.struct(
                   (F.col("lo") + r["first"]).alias("first"), (F.col("lo") + r["last"]).alias("last")))).alias("range"))
               .groupBy("id", "text_key").agg(F.collect_set("range").alias("ranges")))
+    places = store(places)
+    n_ranges = places.agg(F.sum(F.size("ranges"))).first()[0] or 0
+    places = F.broadcast(places) if n_ranges <= BROADCAST_ROWS else places
     return _removed(docs.join(places, ["id", "text_key"], "left").select("doc_id", "text", "ranges"), plan, keep_text)
