@@ -33,14 +33,14 @@ from persona_engine.llm.suffix_sort import suffix_array
 from persona_engine.llm.tables import broadcast_if_small, store
 
 _PLACE = np.uint64((1 << 28) - 1)
-#: Tables up to this many rows (of at most some 50 bytes) are broadcast to the runs or texts; beyond, joins are by shuffle.
+#: Repeated anchors (8 bytes each) up to this many are broadcast to the runs; beyond, the join is by shuffle.
 BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
 class RepeatPlan:
     length: int = 400            # bytes of a string
-    anchor: int = 128            # bytes of an anchor
+    anchor: int = 64             # bytes of an anchor
     shard_bytes: int = 2 << 20   # of passages in a shard, about
 
 
@@ -110,7 +110,6 @@ def _cut(docs: DataFrame, wanted: DataFrame, plan: RepeatPlan) -> DataFrame:
                                                  names=["anchor", "passage", "many", "bytes"])
 
     by_text = wanted.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "anchor", "passage", "many")).alias("want"))
-    by_text = F.broadcast(by_text) if wanted.count() <= BROADCAST_ROWS else by_text
     return docs.join(by_text, ["id", "text_key"]).select("text", "want").mapInArrow(run, "anchor bigint, passage bigint, many boolean, bytes binary")
 
 
@@ -198,7 +197,4 @@ def remove_repeats(docs: DataFrame, plan: RepeatPlan = RepeatPlan(), keep_text:
               .select("id", "text_key", F.explode(F.transform("ranges", lambda r: F.struct(
                   (F.col("lo") + r["first"]).alias("first"), (F.col("lo") + r["last"]).alias("last")))).alias("range"))
               .groupBy("id", "text_key").agg(F.collect_set("range").alias("ranges")))
-    places = store(places)
-    n_ranges = places.agg(F.sum(F.size("ranges"))).first()[0] or 0
-    places = F.broadcast(places) if n_ranges <= BROADCAST_ROWS else places
     return _removed(docs.join(places, ["id", "text_key"], "left").select("doc_id", "text", "ranges"), plan, keep_text)
