@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from persona_engine.llm import textbytes as tb
 from persona_engine.llm.components import connected_components
+from persona_engine.llm.tables import broadcast_if_small
 from persona_engine.session import materialize
 
 #: Tokens and texts of a block, at most (memory of a task in the first pass).
@@ -207,7 +208,8 @@ def _least_overlap(n: Column, percent: int) -> Column:
 
 
 def _live_sets(docs: DataFrame, live: DataFrame, plan: JaccardPlan) -> DataFrame:
-    """cid (d1), n and the sorted tokens of the live classes (live: doc_id, d1, d2, one row per class)."""
+    """cid (d1), n and the tokens of the live classes (live: doc_id, d1, d2, one row per class; a row that
+    repeats its doc_id and text gives its class again)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,38 +224,44 @@ def _live_sets(docs: DataFrame, live: DataFrame, plan: JaccardPlan) -> DataFrame
                     [pa.array(d1[right]), pa.array(n[right]), pa.ListArray.from_arrays(ends, pa.array(token[keep].view(np.int64)))],
                     names=["cid", "n", "tokens"])
 
-    if live.count() <= BROADCAST_IDS:
-        live = F.broadcast(live)
-    return (docs.join(live, "doc_id").select("text", "d1", "d2")
-            .mapInArrow(run, "cid bigint, n bigint, tokens array<bigint>").dropDuplicates(["cid"]))
+    return (docs.join(broadcast_if_small(live, BROADCAST_IDS), "doc_id").select("text", "d1", "d2")
+            .mapInArrow(run, "cid bigint, n bigint, tokens array<bigint>"))
 
 
 def _prefixes(sets: DataFrame, plan: JaccardPlan) -> DataFrame:
-    """cid, n, tokens and the prefix under each order (p1, p2, p3), of sets that can have a partner.
+    """cid, n, its tokens that other classes hold, and of these the prefix under each order (p1, p2, p3), of
+    sets that can have a partner.
 
-    A token's frequency is counted over the live classes; a token of one class is in no
-    prefix group, so it only shortens the rest of the prefix.
+    A token's frequency is counted over the live classes. A token of one class comes first in
+    every order and is in no other set, so it only shortens the rest of the prefix.
     """
-    tokens = sets.select("cid", F.explode("tokens").alias("token"))
+    tokens = sets.select("cid", "n", F.explode("tokens").alias("token"))
     often = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    held = tokens.join(often, "token").groupBy("cid").agg(F.collect_list(F.struct("df", "token")).alias("held"))
     # a class's own tokens: bounded by its text
-    length = (F.col("n") - _least_overlap(F.col("n"), plan.percent) + 1 - (F.col("n") - F.size("held"))).cast("int")
-    df = sets.join(held, "cid").withColumn("length", length).where("length > 0")
+    held = tokens.join(often, "token").groupBy("cid").agg(F.first("n").alias("n"), F.collect_set(F.struct("df", "token")).alias("held"))
+    length = (F.size("held") - _least_overlap(F.col("n"), plan.percent) + 1).cast("int")
+    df = held.withColumn("length", length).where("length > 0")
     band = lambda x: F.floor(F.log2(x["df"].cast("double")))
     orders = {
         "p1": lambda x: F.struct(x["df"].alias("a"), F.lit(0).cast("long").alias("b"), x["token"].alias("token")),
         "p2": lambda x: F.struct(band(x).alias("a"), F.xxhash64(F.lit(2), x["token"]).alias("b"), x["token"].alias("token")),
         "p3": lambda x: F.struct(band(x).alias("a"), F.xxhash64(F.lit(3), x["token"]).alias("b"), x["token"].alias("token")),
     }
-    return df.select("cid", "n", "tokens", *[F.slice(F.array_sort(F.transform("held", f)), F.lit(1), F.col("length"))["token"].alias(k)
-                                             for k, f in orders.items()])
+    return df.select("cid", "n", F.col("held.token").alias("tokens"), *[
+        F.slice(F.array_sort(F.transform("held", f)), F.lit(1), F.col("length"))["token"].alias(k) for k, f in orders.items()])
+
+
+def _of(index: DataFrame, ids: DataFrame) -> DataFrame:
+    """The index rows of the named classes (ids: cid, not null)."""
+    return index.join(broadcast_if_small(ids.distinct(), BROADCAST_IDS), "cid", "left_semi")
 
 
 def _verify(pairs: DataFrame, index: DataFrame, plan: JaccardPlan) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; first the other orders' prefixes must meet."""
-    left = index.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
-    right = index.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
+    pairs = materialize(pairs)
+    left, right = (_of(index, pairs.select(F.col(k).alias("cid"))).select(
+        F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"), F.col("p2").alias(f"{k}2"), F.col("p3").alias(f"{k}3"))
+        for k in ("a", "b"))
     met = pairs.join(left, "a").join(right, "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
     both = F.size(F.array_intersect("ta", "tb"))
     return met.where(100 * both >= plan.percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
@@ -323,7 +331,7 @@ def _large_groups(rest: DataFrame, index: DataFrame, plan: JaccardPlan) -> DataF
     block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     sides = [rows.select("token", "cid", "label", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1)).alias("i"), block("n_all").alias("j"), F.lit(False).alias("rest")),
              rows.where("label <> main").select("token", "cid", "label", block("n_rest").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"), F.lit(True).alias("rest"))]
-    whole = sides[0].union(sides[1]).join(index.select("cid", "n", "tokens", "p2", "p3"), "cid")
+    whole = sides[0].union(sides[1]).join(_of(index, rest.select("cid")).select("cid", "n", "tokens", "p2", "p3"), "cid")
     return whole.groupBy("token", "i", "j").applyInArrow(lambda g: _block_links(g, plan.percent), "a bigint, b bigint").distinct()
 
 
@@ -351,9 +359,9 @@ def link_classes(index: DataFrame, plan: JaccardPlan) -> DataFrame:
     pairs = (few.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), "label").join(other, "token")
              .where("label < label_b").where(close).select("a", "b").distinct())
     many = rest.where(F.col("m") > PAIR_MEMBERS)
-    more = [links, _verify(pairs, index, plan)]
+    more = [links, materialize(_verify(pairs, index, plan))]
     if not many.isEmpty():
-        more.append(_large_groups(many, index, plan))
+        more.append(materialize(_large_groups(many, index, plan)))
     return connected_components(reduce(DataFrame.union, more)).select("node", "component")
 
 
@@ -370,7 +378,7 @@ def jaccard_components(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> Da
     classes = materialize(info.where("doc_id is not null and n > 0").groupBy("n", "d1", "d2")
                           .agg(F.min("doc_id").alias("rep"), F.max("shared").alias("shared")))
     live = classes.where(F.col("shared") >= _least_overlap(F.col("n"), plan.percent)).select(F.col("rep").alias("doc_id"), "d1", "d2")
-    index = materialize(_prefixes(materialize(_live_sets(docs, live, plan)), plan))
+    index = materialize(_prefixes(materialize(_live_sets(docs, live, plan)), plan))   # tokens of one class left out
     nodes = link_classes(index, plan)
     member = classes.join(nodes, classes["d1"] == nodes["node"]).select("n", "d1", "d2", "rep", "component")
     least = member.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -385,10 +393,20 @@ def jaccard_components(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> Da
 def keep_one_of_each(docs: DataFrame, plan: JaccardPlan = JaccardPlan()) -> DataFrame:
     """One document of each component, with all its columns: the one of smallest doc_id.
 
-    Rows that repeat a kept row's doc_id and text go too; rows with null doc_id stay.
+    Rows that repeat a kept row's doc_id and text go too; rows with null doc_id stay. Texts
+    are shuffled only where the ids that go are too many to broadcast, and for repeated rows.
     """
-    found = jaccard_components(docs, plan).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    kept = known.join(found, F.col("doc_id").cast("bigint") == F.col("_kept_id"), "left_semi")
-    kept = kept.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    found = materialize(jaccard_components(docs, plan).where("doc_id is not null"))
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_gone"))   # an id may stand for several texts
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct().join(stays, "_gone", "left_anti"))
+    id_ = F.col("doc_id").cast("bigint")
+    kept = docs.join(broadcast_if_small(gone, BROADCAST_IDS), id_ == F.col("_gone"), "left_anti")
+    again = (docs.where(id_.isNotNull()).groupBy(id_.alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_key"))
+             .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id", "_key"))
+    again = materialize(again)
+    if again.isEmpty():
+        return kept
+    same = (id_ == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_key"))
+    again = broadcast_if_small(again, BROADCAST_IDS)
+    one = kept.join(again, same).dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    return kept.join(again, same, "left_anti").unionByName(one)
