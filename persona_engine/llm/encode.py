@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 #: A worker's cache of encoded words is emptied beyond this many (bounded memory; results don't depend on it).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: Texts whose words are encoded together.
-GROUP_TEXTS = 512
+GROUP_TEXTS = 256
 _INF = np.int64(1) << 40
 
 

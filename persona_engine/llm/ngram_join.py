@@ -38,7 +38,7 @@ from persona_engine.llm.tables import broadcast_if_small
 from persona_engine.session import materialize
 
 #: Tokens and texts of a block, at most (memory of a task in the first pass).
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 BLOCK_TEXTS = 60_000
 #: Rows up to which a table of document ids is broadcast; beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
