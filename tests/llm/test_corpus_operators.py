@@ -165,6 +165,34 @@ def test_neighbours_odd_cases(spark):
     assert neighbours.nearest_neighbours(df.where("vec_id = 0")).count() == 0
 
 
+def test_isolated_and_sparse_queries_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(11)
+    dense = rng.normal(0, 0.01, (1500, 8)) + 5
+    loose = rng.normal(0, 3.0, (300, 8)) - 40
+    alone = rng.normal(0, 500.0, (40, 8))
+    x = np.concatenate([dense, loose, alone])
+    rows = [(k, v) for k, v in zip(rng.permutation(len(x)).tolist(), x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = plain_neighbours(rows, 4, 10)
+    for exact_rows in (4096, 7):
+        plan = neighbours.NeighbourPlan(every=4, exact_rows=exact_rows)
+        got = neighbours.nearest_neighbours(df, plan).toPandas().sort_values(["query_id", "rank"])
+        assert got.groupby("query_id").size().to_dict() == {q: 10 for q in want}
+        mine = got.groupby("query_id").vec_id.apply(list).to_dict()
+        groups = {name: [k for k, v in rows if k % 4 == 0 and name == ("dense" if abs(v[0] - 5) < 1 else "loose" if abs(v[0] + 40) < 20 else "alone")]
+                  for name in ("dense", "loose", "alone")}
+        recall = {name: [len({v for v, _ in want[q]} & set(mine[q])) / 10 for q in qs] for name, qs in groups.items()}
+        assert min(recall["alone"]) == 1 and np.mean(recall["loose"]) >= 0.9 and np.mean(recall["dense"]) >= 0.9
+
+
+def test_rarer_lengths_are_searched_among_themselves(spark):
+    rows = [(k, [float(k), 1.0]) for k in range(200)] + [(1000 + k, [float(k), 0.0, 2.0]) for k in range(0, 105, 5)]
+    got = neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).toPandas()
+    mine = got[got.query_id == 1000].sort_values("rank")
+    assert mine.vec_id.tolist() == list(range(1005, 1055, 5)) and mine.score.tolist() == [5.0 * k for k in range(1, 11)]
+    assert got.groupby("query_id").size().to_dict() == {0: 10, 100: 10, 1000: 10, 1100: 10} and (got[got.query_id < 200].vec_id < 200).all()
+
+
 # -- encoding ---------------------------------------------------------------------------
 
 
