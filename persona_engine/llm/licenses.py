@@ -20,54 +20,55 @@ WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# FIXED VALUES: label, keyword that every match holds, name as a pattern, SPDX ids as a pattern, address as a pattern
+# FIXED VALUES: label, ways to spell its name (a word that every match holds, pattern), SPDX ids as a pattern, address as a pattern.
+# A keyword has no white space: the patterns allow any of it between words.
 LICENSES = (
-    ("mit", "mit", r"(?:the )?(?:mit|expat)", r"mit", r"opensource\.org/licenses/mit"),
-    ("apache-1.1", "apache", r"(?:the )?apache(?: software)?(?: license)?,? (?:version |v\.? ?)?1\.1", r"apache-1\.1", r"apache\.org/licenses/license-1\.1"),
-    ("apache-2.0", "apache", r"(?:the )?apache(?: software)?(?: license)?,? (?:version |v\.? ?)?2(?:\.0)?", r"apache-2\.0", r"apache\.org/licenses/license-2\.0"),
-    ("gpl-1.0", "general public", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?1(?:\.0)?", r"gpl-1\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
-    ("gpl-2.0", "general public", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?", r"gpl-2\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
-    ("gpl-3.0", "general public", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?3(?:\.0)?", r"gpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/gpl-3\.0"),
-    ("lgpl-2.1", "general public", r"(?:the )?(?:gnu )?(?:lesser|library) general public licen[sc]e,? (?:version |v\.? ?)?2(?:\.[01])?", r"lgpl-2\.[01](?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.[01]"),
-    ("lgpl-3.0", "general public", r"(?:the )?(?:gnu )?lesser general public licen[sc]e,? (?:version |v\.? ?)?3(?:\.0)?", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/lgpl-3\.0"),
-    ("agpl-3.0", "affero", r"(?:the )?(?:gnu )?affero general public licen[sc]e(?:,? (?:version |v\.? ?)?3(?:\.0)?)?", r"agpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/agpl-3\.0"),
-    ("gfdl", "free documentation", r"(?:the )?(?:gnu )?free documentation licen[sc]e", r"gfdl-1\.[123](?:-only|-or-later)?", r"gnu\.org/licenses/fdl"),
-    ("bsd-0", "0bsd", r"(?:the )?(?:0bsd|zero[- ]clause bsd)", r"0bsd", r"opensource\.org/licenses/0bsd"),
-    ("bsd-2-clause", "bsd", r"(?:the )?(?:(?:simplified|2[- ]clause|two[- ]clause) bsd|bsd[- ]2(?:[- ]clause)?)", r"bsd-2-clause", r"opensource\.org/licenses/bsd-2-clause"),
-    ("bsd-3-clause", "bsd", r"(?:the )?(?:(?:new|revised|modified|3[- ]clause|three[- ]clause) bsd|bsd[- ]3(?:[- ]clause)?)", r"bsd-3-clause", r"opensource\.org/licenses/bsd-3-clause"),
-    ("bsd-4-clause", "bsd", r"(?:the )?(?:(?:original|4[- ]clause|four[- ]clause) bsd|bsd[- ]4(?:[- ]clause)?)", r"bsd-4-clause", r"opensource\.org/licenses/bsd-4-clause"),
-    ("mpl-1.1", "mozilla public", r"(?:the )?mozilla public licen[sc]e,? (?:version |v\.? ?)?1\.1", r"mpl-1\.1", r"mozilla\.org/mpl/1\.1"),
-    ("mpl-2.0", "mozilla public", r"(?:the )?mozilla public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?", r"mpl-2\.0", r"mozilla\.org/mpl/2\.0"),
-    ("epl-1.0", "eclipse public", r"(?:the )?eclipse public licen[sc]e,? (?:version |v\.? ?)?1(?:\.0)?", r"epl-1\.0", r"eclipse\.org/legal/epl-v10"),
-    ("epl-2.0", "eclipse public", r"(?:the )?eclipse public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?", r"epl-2\.0", r"eclipse\.org/legal/epl-(?:v20|2\.0)"),
-    ("cddl", "common development", r"(?:the )?common development and distribution licen[sc]e", r"cddl-1\.[01]", r"opensource\.org/licenses/cddl"),
-    ("cpl", "common public", r"(?:the )?common public licen[sc]e", r"cpl-1\.0", r"opensource\.org/licenses/cpl"),
-    ("artistic", "artistic", r"(?:the )?artistic licen[sc]e", r"artistic-[12]\.0", r"opensource\.org/licenses/artistic"),
-    ("isc", "isc", r"(?:the )?isc", r"isc", r"opensource\.org/licenses/isc"),
-    ("zlib", "zlib", r"(?:the )?zlib(?:/libpng)?", r"zlib", r"zlib\.net/zlib_license"),
-    ("libpng", "libpng", r"(?:the )?(?:png reference library|libpng)", r"libpng(?:-2\.0)?", r"libpng\.org/pub/png/src/libpng-license"),
-    ("boost", "boost", r"(?:the )?boost software", r"bsl-1\.0", r"boost\.org/license_1_0"),
-    ("unlicense", "unlicense", r"(?:the )?unlicense", r"unlicense", r"unlicense\.org"),
-    ("wtfpl", "wtfpl", r"(?:the )?wtfpl", r"wtfpl", r"wtfpl\.net"),
-    ("python", "python", r"(?:the )?python software foundation", r"psf-2\.0|python-2\.0", r"python\.org/psf/license"),
-    ("postgresql", "postgresql", r"(?:the )?postgresql", r"postgresql", r"postgresql\.org/about/licence"),
-    ("openssl", "openssl", r"(?:the )?openssl", r"openssl", r"openssl\.org/source/license"),
-    ("openldap", "openldap", r"(?:the )?openldap public", r"oldap-2\.8", r"openldap\.org/software/release/license"),
-    ("ruby", "ruby", r"(?:the )?ruby", r"ruby", r"ruby-lang\.org/en/about/license"),
-    ("php", "php", r"(?:the )?php(?: licen[sc]e)?,? (?:version |v\.? ?)?3\.01", r"php-3\.01", r"php\.net/license"),
-    ("eupl", "european union public", r"(?:the )?european union public licen[sc]e", r"eupl-1\.[12]", r"joinup\.ec\.europa\.eu/.{0,40}eupl"),
-    ("cecill", "cecill", r"(?:the )?cecill", r"cecill-2\.[01]", r"cecill\.info/licences"),
-    ("ms-pl", "microsoft public", r"(?:the )?microsoft public licen[sc]e", r"ms-pl", r"opensource\.org/licenses/ms-pl"),
-    ("ofl", "open font", r"(?:the )?(?:sil )?open font licen[sc]e", r"ofl-1\.[01]", r"scripts\.sil\.org/ofl"),
-    ("odbl", "open database", r"(?:the )?open database licen[sc]e", r"odbl-1\.0", r"opendatacommons\.org/licenses/odbl"),
-    ("odc-by", "open data commons", r"(?:the )?open data commons attribution licen[sc]e", r"odc-by-1\.0", r"opendatacommons\.org/licenses/by"),
-    ("cc0", "cc0", r"(?:the )?(?:creative commons )?(?:cc0|cc zero)(?:[- ]1\.0)?", r"cc0-1\.0", r"creativecommons\.org/publicdomain/zero"),
-    ("cc-by", "cc", r"(?:a |the )?(?:creative commons attribution|cc[- ]by)(?: [1-4]\.0)?", r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/"),
-    ("cc-by-sa", "cc", r"(?:a |the )?(?:creative commons attribution[- ]share ?alike|cc[- ]by[- ]sa)(?: [1-4]\.0)?", r"cc-by-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-sa"),
-    ("cc-by-nc", "cc", r"(?:a |the )?(?:creative commons attribution[- ]non ?commercial|cc[- ]by[- ]nc)(?: [1-4]\.0)?", r"cc-by-nc-[1-4]\.0", r"creativecommons\.org/licenses/by-nc/"),
-    ("cc-by-nd", "cc", r"(?:a |the )?(?:creative commons attribution[- ]no ?derivatives|cc[- ]by[- ]nd)(?: [1-4]\.0)?", r"cc-by-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nd/"),
-    ("cc-by-nc-sa", "cc", r"(?:a |the )?(?:creative commons attribution[- ]non ?commercial[- ]share ?alike|cc[- ]by[- ]nc[- ]sa)(?: [1-4]\.0)?", r"cc-by-nc-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-sa"),
-    ("cc-by-nc-nd", "cc", r"(?:a |the )?(?:creative commons attribution[- ]non ?commercial[- ]no ?derivatives|cc[- ]by[- ]nc[- ]nd)(?: [1-4]\.0)?", r"cc-by-nc-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-nd"),
+    ("mit", (("mit", r"(?:the )?mit"), ("expat", r"(?:the )?expat")), r"mit", r"opensource\.org/licenses/mit"),
+    ("apache-1.1", (("apache", r"(?:the )?apache(?: software)?(?: license)?,? (?:version |v\.? ?)?1\.1"),), r"apache-1\.1", r"apache\.org/licenses/license-1\.1"),
+    ("apache-2.0", (("apache", r"(?:the )?apache(?: software)?(?: license)?,? (?:version |v\.? ?)?2(?:\.0)?"),), r"apache-2\.0", r"apache\.org/licenses/license-2\.0"),
+    ("gpl-1.0", (("general", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?1(?:\.0)?"),), r"gpl-1\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
+    ("gpl-2.0", (("general", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?"),), r"gpl-2\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("gpl-3.0", (("general", r"(?:the )?(?:gnu )?general public licen[sc]e,? (?:version |v\.? ?)?3(?:\.0)?"),), r"gpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/gpl-3\.0"),
+    ("lgpl-2.1", (("general", r"(?:the )?(?:gnu )?(?:lesser|library) general public licen[sc]e,? (?:version |v\.? ?)?2(?:\.[01])?"),), r"lgpl-2\.[01](?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.[01]"),
+    ("lgpl-3.0", (("general", r"(?:the )?(?:gnu )?lesser general public licen[sc]e,? (?:version |v\.? ?)?3(?:\.0)?"),), r"lgpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("agpl-3.0", (("affero", r"(?:the )?(?:gnu )?affero general public licen[sc]e(?:,? (?:version |v\.? ?)?3(?:\.0)?)?"),), r"agpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/agpl-3\.0"),
+    ("gfdl", (("documentation", r"(?:the )?(?:gnu )?free documentation licen[sc]e"),), r"gfdl-1\.[123](?:-only|-or-later)?", r"gnu\.org/licenses/fdl"),
+    ("bsd-0", (("0bsd", r"(?:the )?0bsd"), ("zero", r"(?:the )?zero[- ]clause bsd")), r"0bsd", r"opensource\.org/licenses/0bsd"),
+    ("bsd-2-clause", (("bsd", r"(?:the )?(?:(?:simplified|2[- ]clause|two[- ]clause) bsd|bsd[- ]2(?:[- ]clause)?)"),), r"bsd-2-clause", r"opensource\.org/licenses/bsd-2-clause"),
+    ("bsd-3-clause", (("bsd", r"(?:the )?(?:(?:new|revised|modified|3[- ]clause|three[- ]clause) bsd|bsd[- ]3(?:[- ]clause)?)"),), r"bsd-3-clause", r"opensource\.org/licenses/bsd-3-clause"),
+    ("bsd-4-clause", (("bsd", r"(?:the )?(?:(?:original|4[- ]clause|four[- ]clause) bsd|bsd[- ]4(?:[- ]clause)?)"),), r"bsd-4-clause", r"opensource\.org/licenses/bsd-4-clause"),
+    ("mpl-1.1", (("mozilla", r"(?:the )?mozilla public licen[sc]e,? (?:version |v\.? ?)?1\.1"),), r"mpl-1\.1", r"mozilla\.org/mpl/1\.1"),
+    ("mpl-2.0", (("mozilla", r"(?:the )?mozilla public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?"),), r"mpl-2\.0", r"mozilla\.org/mpl/2\.0"),
+    ("epl-1.0", (("eclipse", r"(?:the )?eclipse public licen[sc]e,? (?:version |v\.? ?)?1(?:\.0)?"),), r"epl-1\.0", r"eclipse\.org/legal/epl-v10"),
+    ("epl-2.0", (("eclipse", r"(?:the )?eclipse public licen[sc]e,? (?:version |v\.? ?)?2(?:\.0)?"),), r"epl-2\.0", r"eclipse\.org/legal/epl-(?:v20|2\.0)"),
+    ("cddl", (("distribution", r"(?:the )?common development and distribution licen[sc]e"),), r"cddl-1\.[01]", r"opensource\.org/licenses/cddl"),
+    ("cpl", (("common", r"(?:the )?common public licen[sc]e"),), r"cpl-1\.0", r"opensource\.org/licenses/cpl"),
+    ("artistic", (("artistic", r"(?:the )?artistic licen[sc]e"),), r"artistic-[12]\.0", r"opensource\.org/licenses/artistic"),
+    ("isc", (("isc", r"(?:the )?isc"),), r"isc", r"opensource\.org/licenses/isc"),
+    ("zlib", (("zlib", r"(?:the )?zlib(?:/libpng)?"),), r"zlib", r"zlib\.net/zlib_license"),
+    ("libpng", (("png", r"(?:the )?png reference library"), ("libpng", r"(?:the )?libpng")), r"libpng(?:-2\.0)?", r"libpng\.org/pub/png/src/libpng-license"),
+    ("boost", (("boost", r"(?:the )?boost software"),), r"bsl-1\.0", r"boost\.org/license_1_0"),
+    ("unlicense", (("unlicense", r"(?:the )?unlicense"),), r"unlicense", r"unlicense\.org"),
+    ("wtfpl", (("wtfpl", r"(?:the )?wtfpl"),), r"wtfpl", r"wtfpl\.net"),
+    ("python", (("python", r"(?:the )?python software foundation"),), r"psf-2\.0|python-2\.0", r"python\.org/psf/license"),
+    ("postgresql", (("postgresql", r"(?:the )?postgresql"),), r"postgresql", r"postgresql\.org/about/licence"),
+    ("openssl", (("openssl", r"(?:the )?openssl"),), r"openssl", r"openssl\.org/source/license"),
+    ("openldap", (("openldap", r"(?:the )?openldap public"),), r"oldap-2\.8", r"openldap\.org/software/release/license"),
+    ("ruby", (("ruby", r"(?:the )?ruby"),), r"ruby", r"ruby-lang\.org/en/about/license"),
+    ("php", (("php", r"(?:the )?php(?: licen[sc]e)?,? (?:version |v\.? ?)?3\.01"),), r"php-3\.01", r"php\.net/license"),
+    ("eupl", (("european", r"(?:the )?european union public licen[sc]e"),), r"eupl-1\.[12]", r"joinup\.ec\.europa\.eu/.{0,40}eupl"),
+    ("cecill", (("cecill", r"(?:the )?cecill"),), r"cecill-2\.[01]", r"cecill\.info/licences"),
+    ("ms-pl", (("microsoft", r"(?:the )?microsoft public licen[sc]e"),), r"ms-pl", r"opensource\.org/licenses/ms-pl"),
+    ("ofl", (("font", r"(?:the )?(?:sil )?open font licen[sc]e"),), r"ofl-1\.[01]", r"scripts\.sil\.org/ofl"),
+    ("odbl", (("database", r"(?:the )?open database licen[sc]e"),), r"odbl-1\.0", r"opendatacommons\.org/licenses/odbl"),
+    ("odc-by", (("commons", r"(?:the )?open data commons attribution licen[sc]e"),), r"odc-by-1\.0", r"opendatacommons\.org/licenses/by"),
+    ("cc0", (("cc0", r"(?:the )?(?:creative commons )?cc0(?:[- ]1\.0)?"), ("zero", r"(?:the )?(?:creative commons )?cc zero(?:[- ]1\.0)?")), r"cc0-1\.0", r"creativecommons\.org/publicdomain/zero"),
+    ("cc-by", (("creative", r"(?:a |the )?creative commons attribution(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by(?: [1-4]\.0)?")), r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/"),
+    ("cc-by-sa", (("creative", r"(?:a |the )?creative commons attribution[- ]share ?alike(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by[- ]sa(?: [1-4]\.0)?")), r"cc-by-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-sa"),
+    ("cc-by-nc", (("creative", r"(?:a |the )?creative commons attribution[- ]non ?commercial(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by[- ]nc(?: [1-4]\.0)?")), r"cc-by-nc-[1-4]\.0", r"creativecommons\.org/licenses/by-nc/"),
+    ("cc-by-nd", (("creative", r"(?:a |the )?creative commons attribution[- ]no ?derivatives(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by[- ]nd(?: [1-4]\.0)?")), r"cc-by-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nd/"),
+    ("cc-by-nc-sa", (("creative", r"(?:a |the )?creative commons attribution[- ]non ?commercial[- ]share ?alike(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by[- ]nc[- ]sa(?: [1-4]\.0)?")), r"cc-by-nc-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-sa"),
+    ("cc-by-nc-nd", (("creative", r"(?:a |the )?creative commons attribution[- ]non ?commercial[- ]no ?derivatives(?: [1-4]\.0)?"), ("cc", r"(?:a |the )?cc[- ]by[- ]nc[- ]nd(?: [1-4]\.0)?")), r"cc-by-nc-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-nd"),
 )
 #: Ways a text names a licence: what stands around the name, priority, confidence.
 WAYS = (
@@ -80,23 +81,23 @@ SPDX = (r"\bspdx-license-identifier:\s*(?:{spdx})(?![\w.+-])", 4, 1.0)
 ADDRESS = (r"\bhttps?://(?:www\.)?{address}", 4, 0.9)
 # FIXED VALUES: rules that belong to no single licence (label, keyword, pattern, priority, confidence)
 GENERAL = (
-    ("gpl", "general public", r"\b(?:gnu )?general public licen[sc]e\b", 1, 0.6),
-    ("lgpl", "general public", r"\b(?:lesser|library) general public licen[sc]e\b", 2, 0.6),
+    ("gpl", "general", r"\b(?:gnu )?general public licen[sc]e\b", 1, 0.6),
+    ("lgpl", "general", r"\b(?:lesser|library) general public licen[sc]e\b", 2, 0.6),
     ("apache", "apache", r"\bapache licen[sc]e\b", 1, 0.6),
-    ("cc", "creative commons", r"\bcreative commons(?: licen[sc]e)?\b", 0, 0.4),
-    ("public-domain", "public domain", r"\b(?:dedicated to|placed in(?:to)?|released into) the public domain\b", 2, 0.8),
-    ("proprietary", "all rights reserved", r"\ball rights reserved\b", 0, 0.3),
+    ("cc", "creative", r"\bcreative commons(?: licen[sc]e)?\b", 0, 0.4),
+    ("public-domain", "domain", r"\b(?:dedicated to|placed in(?:to)?|released into) the public domain\b", 2, 0.8),
+    ("proprietary", "reserved", r"\ball rights reserved\b", 0, 0.3),
     ("proprietary", "proprietary", r"\bproprietary and confidential\b", 2, 0.7),
-    ("mit", "permission is hereby granted", r"\bpermission is hereby granted, free of charge, to any person obtaining a copy\b", 4, 1.0),
-    ("bsd", "redistribution and use", r"\bredistribution and use in source and binary forms\b", 4, 0.9),
+    ("mit", "hereby", r"\bpermission is hereby granted, free of charge, to any person obtaining a copy\b", 4, 1.0),
+    ("bsd", "redistribution", r"\bredistribution and use in source and binary forms\b", 4, 0.9),
 )
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
     """(label, keyword, pattern, priority, confidence) of every rule, in order; spaces match any run of white space."""
     out = []
-    for label, keyword, name, spdx, address in LICENSES:
-        out += [(label, keyword, way.format(name=f"(?:{name})"), p, c) for way, p, c in WAYS]
+    for label, names, spdx, address in LICENSES:
+        out += [(label, keyword, way.format(name=f"(?:{name})"), p, c) for keyword, name in names for way, p, c in WAYS]
         out.append((label, "spdx-license", SPDX[0].format(spdx=spdx), *SPDX[1:]))
         out.append((label, "http", ADDRESS[0].format(address=address), *ADDRESS[1:]))
     out += list(GENERAL)

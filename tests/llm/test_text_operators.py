@@ -205,6 +205,30 @@ def test_licenses_odd_cases_and_no_python(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
 
 
+WRAPPED_AND_OTHER_NAMES = [
+    "GNU General\nPublic License, version 3", "GNU  General  Public\n * License", "under the terms of the GNU Lesser General\n   Public License version 2.1",
+    "licensed under the Mozilla\nPublic  License 2.0", "subject to the Eclipse\tPublic License v2.0", "GNU Free\nDocumentation License licence",
+    "licensed under Creative Commons Attribution 4.0", "released under the Creative  Commons Attribution-ShareAlike 3.0 license", "the Expat license",
+    "licensed under creative commons attribution-noncommercial-noderivatives 4.0", "published under creative commons attribution non commercial share alike",
+    "distributed under the zero-clause BSD license", "licensed under CC Zero", "subject to the PNG Reference Library license", "all\nrights\nreserved",
+    "permission is\nhereby granted, free of\ncharge, to any person obtaining a copy", "released\ninto the public\ndomain", "SIL Open\nFont License license",
+    "licensed under the open  database license", "open data\ncommons attribution license license", "common\npublic license license",
+    "licensed under the common development\nand distribution license", "european\nunion public licence license", "microsoft\npublic license license",
+]
+
+
+def test_no_match_is_lost_to_keywords(spark, monkeypatch):
+    table = licenses.rules()
+    assert not any(re.search(r"\s", k) for _, k, _, _, _ in table)
+    texts = dict(enumerate(WRAPPED_AND_OTHER_NAMES + LICENCE_TEXTS)) | {-k: t for k, t in documents(spark, SF001).items() if k > 0}
+    monkeypatch.setattr(licenses, "rules", lambda: [(a, "", p, n, c) for a, k, p, n, c in table])   # every pattern on every text
+    want = {k: plain_licenses(t) for k, t in texts.items()}
+    monkeypatch.undo()
+    assert all(want[k][5] for k in range(len(WRAPPED_AND_OTHER_NAMES)))
+    for r in rows_of(licenses.scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))):
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["score"]) == want[r["doc_id"]], texts[r["doc_id"]]
+
+
 # -- quality rules ----------------------------------------------------------------------
 
 
