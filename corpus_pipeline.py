@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from persona_engine.llm.encode import encode_documents
 from persona_engine.llm.mixing import take_mix
 from persona_engine.llm.ngram_join import keep_one_of_each
-from persona_engine.llm.private_terms import sanitise_documents
+from persona_engine.llm.private_terms import DisclosurePlan, sanitise_documents
 from persona_engine.llm.queries import documents, labels, tokenizer_path
 from persona_engine.llm.toxicity import drop_toxic, train_toxicity
 from persona_engine.session import ensure_checkpoint_dir
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that give it away replaced or removed."""
-    return sanitise_documents(docs)
+    return sanitise_documents(docs, DisclosurePlan(everywhere=True))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,12 @@
 """Personal data and the terms that give it away.
 
 Base spans (e-mail, IP, card, phone) come from patterns. The method then protects every
-value that a document states: an entity e. Over the whole corpus it counts in how many
-documents e occurs, in how many a term t occurs near e, and in how many t occurs at all;
+value that a document states: an entity e. Over whole documents it counts in how many e
+occurs, in how many a term t occurs with e, and in how many t occurs at all;
 ``disclosure = PMI(t, e) / IC(e)`` is the part of e's information that t gives away
-(1: t occurs only with e). Terms near e whose disclosure reaches a threshold, with enough
-documents to tell, become spans of kind ``term``: removed above one threshold,
-generalised above the other.
+(1: t occurs only with e). Terms whose disclosure reaches a threshold, with enough
+documents to tell, become spans of kind ``term``, wherever they stand: removed above one
+threshold, generalised above the other.
 
 Counting is pre-aggregated in the tasks and shuffled by (entity, term) or by term hash, so
 an entity or a term that a third of all documents hold is a few rows per task.
@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: Terms are runs of ASCII letters and digits and of non-ASCII characters.
 TERM_SEPARATOR = np.ones(256, bool)
 TERM_SEPARATOR[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
-#: Candidate terms up to this many are broadcast to thin the corpus counts before their shuffle; beyond, all are shuffled.
+#: Entities or terms up to this many travel to the tasks to thin what they hand over; beyond, all is shuffled.
 BROADCAST_TERMS = 500_000
 #: A task hands its term counts over when it holds this many.
 TASK_TERMS = 1_000_000
@@ -48,10 +51,10 @@ _DIGIT = re.compile("[0-9]")
 
 @dataclass(frozen=True)
 class DisclosurePlan:
-    window_words: int = 6      # terms on either side of a mention
-    min_docs: int = 3          # documents in which a term stands near the entity
+    min_docs: int = 3          # documents that hold both a term and the entity
     generalise: float = 0.8    # disclosure from which a term is generalised
     remove: float = 0.95       # and removed
+    everywhere: bool = False   # also in documents that don't state the value
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -97,60 +100,118 @@ def _entity(kind: int, text: str) -> str:
     return f"{KINDS[kind]}:{value}"
 
 
-def _nearby(text: str, spans: list[tuple[int, int, int]], width: int) -> list[tuple[str, int, int, int]]:
-    """(entity, term hash, start, end) of the terms near each span, outside all base spans."""
-    c = next(tb.chunks(pa.array([text], pa.large_string())))
-    a, b, _ = tb.word_spans(c, TERM_SEPARATOR)
-    if not len(a):
-        return []
-    h = tb.span_hash(tb.prefix_hash(tb.LOWER[c.buf]), a, b).view(np.int64)
-    point = np.zeros(len(c.buf) + 1, np.int64)
-    np.cumsum((c.buf & 0xC0) != 0x80, out=point[1:])
-    a, b = point[a], point[b]
-    free = np.ones(len(a), bool)
-    for s, _, e in spans:
-        free[np.searchsorted(b, s, side="right"):np.searchsorted(a, e, side="left")] = False
-    a, b, h = a[free], b[free], h[free]
-    out = []
-    for s, kind, e in spans:
-        left, right = np.searchsorted(b, s, side="right"), np.searchsorted(a, e, side="left")
-        key = _entity(kind, text[s:e])
-        for i in range(max(0, left - width), min(len(a), right + width)):
-            out.append((key, int(h[i]), int(a[i]), int(b[i])))
-    return out
+def _entity_hash(kind: int, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(_entity(kind, text).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _entities(text: str | None) -> list[int]:
+    """Hashes of the values a text states."""
+    return sorted({_entity_hash(kind, text[a:b]) for a, kind, b in base_spans(text)}) if text else []
+
+
+def _among(h: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
+    """Which of the hashes are in a sorted array; None: all."""
+    if wanted is None or not len(wanted):
+        return np.full(len(h), wanted is None)
+    return wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
+
+
+def _thin(hashes: DataFrame) -> np.ndarray | None:
+    """The one column's values, sorted, if there are few enough to travel to the tasks."""
+    if hashes.count() > BROADCAST_TERMS:
+        return None
+    return np.sort(np.asarray(hashes.toArrow().column(0).combine_chunks()).astype(np.int64))
+
+
+def _terms(c: tb.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, text index and hash of every term of a chunk."""
+    a, b, text = tb.word_spans(c, TERM_SEPARATOR)
+    return a, b, text, tb.span_hash(tb.prefix_hash(tb.LOWER[c.buf]), a, b).view(np.int64)
+
+
+def entity_terms(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+    """entity, term, n: partial counts of the documents that hold both, for the wanted entities (None: all)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            stated = [[e for e in _entities(t) if _among(np.array([e]), wanted)[0]] for t in texts.to_pylist()]
+            at = [i for i, e in enumerate(stated) if e]
+            for c in tb.chunks(texts.take(pa.array(at, pa.int64()))):
+                _, _, text, h = _terms(c)
+                holders: dict[int, list[np.ndarray]] = {}
+                for i in range(c.n):
+                    lo, hi = np.searchsorted(text, [i, i + 1])
+                    mine = np.unique(h[lo:hi])
+                    for e in stated[at[c.first + i]]:
+                        holders.setdefault(e, []).append(mine)
+                for e, parts in holders.items():
+                    term, n = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(term), e)), pa.array(term), pa.array(n.astype(np.int64))], names=["entity", "term", "n"])
+
+    return docs.selectExpr("cast(text as string) text").mapInArrow(run, "entity bigint, term bigint, n bigint")
 
 
 _BASE = "rid bigint, doc_id bigint, text_key bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string"
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
-_NEAR = "array<struct<entity:string,term:bigint,start:bigint,end:bigint>>"
+_PLACES = "array<struct<term:bigint,start:bigint,end:bigint>>"
+
+
+def entity_documents(docs: DataFrame) -> DataFrame:
+    """entity, n: partial counts of the documents that state each value; a row of a null entity counts the task's documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Counter(e for t in batch.column(0).to_pylist() for e in _entities(t))
+            yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.int64()), pa.array([batch.num_rows, *found.values()], pa.int64())], names=["entity", "n"])
+
+    return docs.selectExpr("cast(text as string) text").mapInArrow(run, "entity bigint, n bigint")
 
 
-def find_base(docs: DataFrame, plan: DisclosurePlan) -> DataFrame:
-    """Base counts, spans and the terms near them, for each row; rid numbers the rows."""
+def find_base(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+    """Base counts and spans, hashes of the values stated, and places of the wanted terms (None: all) outside base spans, for each row; rid numbers the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
+            texts = batch.column(2).to_pylist()
+            places: dict[int, list[tuple[int, int, int]]] = {}
+            for c in tb.chunks(batch.column(2)):
+                a, b, text, h = _terms(c)
+                hit = np.flatnonzero(_among(h, wanted))
+                if not len(hit):
+                    continue
+                point = np.zeros(len(c.buf) + 1, np.int64)
+                np.cumsum((c.buf & 0xC0) != 0x80, out=point[1:])
+                first = point[c.offsets[text[hit]]]
+                for i, *place in zip(text[hit].tolist(), h[hit].tolist(), (point[a[hit]] - first).tolist(), (point[b[hit]] - first).tolist()):
+                    places.setdefault(c.first + i, []).append(tuple(place))
             rows = []
-            for doc_id, key, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for i, (doc_id, key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts)):
                 spans = base_spans(text) if text else []
                 joined = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
                 kinds = [k for _, k, _ in spans]
+                mine = places.get(i, [])
+                if spans and mine:
+                    starts, reach = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
+                    # outside: every span that starts before the term's end has ended at its start
+                    mine = [x for x in mine if not (n := bisect_left(starts, x[2])) or reach[n - 1] <= x[1]]
                 rows.append({"rid": rid, "doc_id": doc_id, "text_key": key, **{f"n_{KINDS[k]}": kinds.count(k) for k in range(4)},
                              "base_sha256": hashlib.sha256(joined.encode()).hexdigest(),
                              "base": [{"start": a, "kind": k, "end": b} for a, k, b in spans],
-                             "near": [dict(zip(("entity", "term", "start", "end"), x)) for x in _nearby(text, spans, plan.window_words)] if spans else []})
+                             "entities": sorted({_entity_hash(k, text[a:b]) for a, k, b in spans}),
+                             "places": [dict(zip(("term", "start", "end"), x)) for x in mine]})
                 rid += 1
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
     return (docs.selectExpr("cast(doc_id as bigint) doc_id", "xxhash64(cast(text as string)) text_key", "cast(text as string) text")
-            .mapInArrow(run, f"{_BASE}, base {_SPAN}, near {_NEAR}"))
+            .mapInArrow(run, f"{_BASE}, base {_SPAN}, entities array<bigint>, places {_PLACES}"))
 
 
 _L, _S = pa.int64(), pa.string()
 _ARROW = pa.schema([("rid", _L), ("doc_id", _L), ("text_key", _L), ("n_email", _L), ("n_ip", _L), ("n_card", _L), ("n_phone", _L), ("base_sha256", _S),
                     ("base", pa.list_(pa.struct([("start", _L), ("kind", pa.int32()), ("end", _L)]))),
-                    ("near", pa.list_(pa.struct([("entity", _S), ("term", _L), ("start", _L), ("end", _L)])))])
+                    ("entities", pa.list_(_L)), ("places", pa.list_(pa.struct([("term", _L), ("start", _L), ("end", _L)])))])
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -190,31 +251,32 @@ def find_private(docs: DataFrame, plan: DisclosurePlan = DisclosurePlan()) -> Da
 
     Null or empty text: no spans. A null doc_id stays null; repeated rows count as
     documents and return each; an empty table gives an empty result. Extra columns are not
-    read. Texts are never cut. Terms are sought only near mentions, so a document without
-    personal data has no spans.
+    read. Texts are never cut. A term that gives a value away is a span at all its places
+    outside base spans, in the documents that state the value, or with ``plan.everywhere``
+    in all.
     """
-    base = materialize(find_base(docs, plan))
-    near = base.select("rid", F.explode("near").alias("x")).select("rid", "x.*")
-    one = near.groupBy("rid", "entity", "term").agg(F.collect_list(F.struct("start", "end")).alias("places"))
-    one = materialize(one)   # a row for each document, entity and term near it
-    both = one.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= plan.min_docs)
-    entities = (base.select("rid", F.explode(F.array_distinct("near.entity")).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    both = materialize(both.join(entities, "entity"))
+    counted = materialize(entity_documents(docs).groupBy("entity").agg(F.sum("n").alias("n_entity")))
+    total = F.lit(float(max(1, counted.where("entity is null").agg(F.sum("n_entity")).first()[0] or 0)))
+    # what every document holds carries no information: nothing gives it away
+    entities = counted.where(F.col("entity").isNotNull() & (F.col("n_entity") >= plan.min_docs) & (F.col("n_entity") < total))
+    both = entity_terms(docs, _thin(entities.select("entity"))).groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
+    both = materialize(both.where(F.col("n_both") >= plan.min_docs).join(entities, "entity"))
     terms = both.select("term").distinct()
     counts = term_documents(docs)
-    if both.count() <= BROADCAST_TERMS:
+    if terms.count() <= BROADCAST_TERMS:
         counts = counts.join(F.broadcast(terms), "term", "left_semi")
     counts = counts.groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = F.lit(float(max(1, base.count())))
     pmi = F.log2(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
-    # what every document holds carries no information: nothing gives it away
-    both = (both.join(counts, "term").where(F.col("n_entity") < total)
-            .withColumn("disclosure", pmi / F.log2(total / F.col("n_entity")))
-            .where(F.col("disclosure") >= plan.generalise))
-    hits = (one.join(both.select("entity", "term", "disclosure"), ["entity", "term"])
-            .select("rid", F.explode("places").alias("p"), "disclosure")
-            .groupBy("rid", "p").agg(F.max("disclosure").alias("disclosure"))
+    given = (both.join(counts, "term").withColumn("disclosure", pmi / F.log2(total / F.col("n_entity")))
+             .where(F.col("disclosure") >= plan.generalise).select("entity", "term", "disclosure"))
+    if plan.everywhere:
+        given = given.groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    given = materialize(given)
+    base = materialize(find_base(docs, _thin(given.select("term").distinct())))
+    places = base.where(F.size("places") > 0).select("rid", "entities", F.explode("places").alias("p")).join(given, F.col("p.term") == F.col("term"))
+    if not plan.everywhere:
+        places = places.where(F.array_contains("entities", F.col("entity")))
+    hits = (places.groupBy("rid", "p").agg(F.max("disclosure").alias("disclosure"))
             .groupBy("rid").agg(F.collect_list(F.struct(
                 F.col("p.start").alias("start"), F.lit(4).alias("kind"), F.col("p.end").alias("end"),
                 (F.col("disclosure") >= plan.remove).alias("remove"))).alias("terms")))

@@ -62,9 +62,9 @@ QUERIES["op3_license_scan"] = op3_license_scan
 
 def op10_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that give it away, in every document."""
-    from persona_engine.llm.private_terms import find_private
+    from persona_engine.llm.private_terms import DisclosurePlan, find_private
 
-    return find_private(documents(spark, sf_dir)).drop("rid", "text_key", "found")
+    return find_private(documents(spark, sf_dir), DisclosurePlan(everywhere=True)).drop("rid", "text_key", "found")
 
 
 QUERIES["op10_private_terms"] = op10_private_terms

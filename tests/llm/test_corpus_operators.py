@@ -262,6 +262,23 @@ def test_terms_that_give_an_entity_away(spark):
     assert "joe@" not in clean[0] and "zanzibar" not in clean[0] and "[EMAIL]" in clean[0] and clean[200] == rows[-1][1]
 
 
+def test_terms_are_spans_at_all_their_places(spark, monkeypatch):
+    filler = " ".join(f"common{k}" for k in range(30))
+    rows = [(k, f"Zanzibar é {filler} ask joe@corp.org or common1 {filler} zanzibar") for k in range(5)]
+    rows += [(100 + k, f"{filler} common words only, nothing {k}") for k in range(40)] + [(200, "far zanzibar, alone"), (201, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for most in (private_terms.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(private_terms, "BROADCAST_TERMS", most)
+        for everywhere in (True, False):
+            plan = private_terms.DisclosurePlan(everywhere=everywhere)
+            got = {r["doc_id"]: [s.split(":") for s in r["spans"].split(",") if s] for r in rows_of(private_terms.find_private(df, plan))}
+            for k in range(5):
+                text = rows[k][1]
+                found = [text[int(a):int(b)].lower() for kind, a, b in got[k] if kind == "term"]
+                assert found.count("zanzibar") == 2 and "corp" not in found and not any(t.startswith("common") for t in found)
+            assert got[200] == ([["term", "4", "12"]] if everywhere else []) and got[201] == got[100] == []
+
+
 def test_private_odd_cases(spark):
     got = {r["doc_id"]: r for r in rows_of(private_terms.find_private(messy(spark)))}
     assert private_terms.find_private(messy(spark)).count() == N_MESSY and private_terms.find_private(empty(spark)).count() == 0
