@@ -34,6 +34,9 @@ def build_report_prompt(spark: SparkSession, cards: DataFrame, keywords: DataFra
             lines.append(fixed.REPORT_PATTERN_OPTION.format(top_option=r["top_option"]))
         if r["rationale"]:
             lines.append(fixed.REPORT_PATTERN_RATIONALE.format(rationale=r["rationale"]))
+    if not pats:   # no response summary: the cards' top responses stand in
+        top = rp.top_question(answers).first()
+        lines = [r["line"] for r in rp.top_responses(cards, top["top_question"] if top else "").orderBy("card_rank").collect()]
     samples = [r["line"] for r in rp.persona_samples(answers, personas).orderBy("p_rank", "line_no").collect()]
     dom = rp.dominant_segment(cards).first()
     n_personas = personas.count()
@@ -42,7 +45,7 @@ def build_report_prompt(spark: SparkSession, cards: DataFrame, keywords: DataFra
         type_label=label, project_name=project_name, purpose=purpose, persona_count=n_personas,
         response_count=n_resp, dominant_segment=dom["dominant_segment"] if dom else fixed.DOMINANT_DEFAULT,
         segments="\n".join(seg_lines) or "  - " + fixed.NO_DATA,
-        patterns="\n".join(lines) or "  - " + fixed.NO_DATA,
+        patterns="\n".join(lines) or fixed.NO_RESPONSES,
         persona_section=fixed.REPORT_SAMPLES_SECTION.format(samples="\n".join(samples)) if samples else "",
         keywords=", ".join(kw) or fixed.NO_KEYWORDS,
         instruction=instr.get(report_type, instr[fixed.DEFAULT_REPORT_TYPE]))

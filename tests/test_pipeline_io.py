@@ -105,3 +105,21 @@ def test_run_eda_writes_summary(spark, tmp_out):
     path = pl.run_eda(spark, SF001, tmp_out)
     lines = [r["value"] for r in spark.read.text(path).collect()]
     assert lines == ["=== EDA Summary ===", "Total customers: 150", "Purchase count: 6000"]
+
+
+def test_report_prompt_without_a_response_summary(spark):
+    from persona_engine.functions import fixed
+    from persona_engine.operators import report as rp
+    from persona_engine.operators.report_prompt import build_report_prompt
+    from persona_engine.plans import q_report
+    from persona_engine.sources import conversations as cv
+    src = Sources(spark, SF001)
+    cards, answers = q_report._cards(src), q_report._answers(src).limit(0)
+
+    def prompt(cards):
+        return build_report_prompt(spark, cards, rp.keyword_items(src.documents), answers, cv.sim_personas(src), "p").first()["prompt"]
+
+    top = [r["line"] for r in rp.top_responses(cards, "").orderBy("card_rank").collect()]
+    text = prompt(cards)
+    assert top and "\n".join(top) in text and fixed.NO_RESPONSES not in text
+    assert fixed.NO_RESPONSES in prompt(cards.limit(0))
