@@ -14,10 +14,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,3 +123,33 @@ def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_repeated_strings"] = op6_repeated_strings
+
+
+def op11_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by n-gram ranks, learned from four fifths of them."""
+    from persona_engine.llm.rank_order import rank_order_language
+
+    return rank_order_language(documents(spark, sf_dir))
+
+
+QUERIES["op11_rank_order_language"] = op11_rank_order_language
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, a tenth of the documents given a periodic tail first."""
+    from persona_engine.llm.periodic import periodic_runs
+
+    return periodic_runs(documents(spark, sf_dir), planted=True)
+
+
+QUERIES["op12_periodic_runs"] = op12_periodic_runs
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How byte-level and piece tokens overlap in every document, and how common the linked pairs are."""
+    from persona_engine.llm.align import token_alignment
+
+    return token_alignment(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path())
+
+
+QUERIES["op13_token_alignment"] = op13_token_alignment

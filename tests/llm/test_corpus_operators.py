@@ -311,4 +311,4 @@ def test_entry_lists_all_operators():
     import __spark_entry__
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
