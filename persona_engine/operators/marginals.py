@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
 from persona_engine.functions.expr import clip
+from persona_engine.operators.indexing import running_sum_within
 
 
 def categorical_shares(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -22,14 +23,16 @@ def categorical_shares(df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.withColumn("share", F.col("n") / tot)
 
 
-def cumulative_shares(shares: DataFrame) -> DataFrame:
-    """Shares ordered by count desc, value asc, with [lo, hi) cumulative bounds (integer-exact)."""
-    w = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    tot = F.sum("n").over(Window.partitionBy("column"))
-    cum = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return shares.select("column", "value", "n", (F.col("n") / tot).alias("share"),
-                         ((cum - F.col("n")) / tot).alias("lo"), (cum / tot).alias("hi"),
-                         F.row_number().over(w).alias("rank"))
+def levels(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n, lo, hi): the values of each column by count desc, value asc, as neighbouring
+    intervals of [0, 1) of the width of their share; nulls excluded. However many values there are, they
+    are neither collected nor ordered in one task."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = running_sum_within(counts.withColumn("_less", -F.col("n")), ["column"], ["_less", "value"], "n", "upto")
+    total = upto.groupBy("column").agg(F.sum("n").alias("total"))       # one row a column
+    return upto.join(F.broadcast(total), "column").select(
+        "column", "value", "n", ((F.col("upto") - F.col("n")) / F.col("total")).alias("lo"), (F.col("upto") / F.col("total")).alias("hi"))
 
 
 def numeric_moments(df: DataFrame, cols: list[str]) -> DataFrame:

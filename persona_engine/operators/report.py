@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from persona_engine.functions import fixed
+from persona_engine.functions import fixed, prompts
 from persona_engine.functions.expr import age_band, clip, py_float_text, render, rnd
+from persona_engine.operators.indexing import row_number_within
 
 T = fixed.REPORT_TRUNCATIONS
 S = fixed.STATIC_REPORT_TEXT
@@ -27,13 +28,15 @@ def segment_cards(customers: DataFrame, segment_col: str = "usr_cnty_ap2") -> Da
         rnd(F.avg(clip(F.col("retention_score") * 100.0, 0.0, 100.0)), 1).alias("brand_attitude"))
 
 
-def ranked_cards(cards: DataFrame) -> DataFrame:
-    return cards.withColumn("card_rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("segment"))))
+def ranked_cards(cards: DataFrame, n: int) -> DataFrame:
+    """The n largest cards with their rank: a distributed top-k, then a window over at most n rows."""
+    order = [F.desc("n"), F.asc("segment")]
+    return cards.orderBy(*order).limit(n).withColumn("card_rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def dominant_segment(cards: DataFrame) -> DataFrame:
     """The largest segment (ties → name order)."""
-    return ranked_cards(cards).where(F.col("card_rank") == 1).select(F.col("segment").alias("dominant_segment"))
+    return ranked_cards(cards, 1).select(F.col("segment").alias("dominant_segment"))
 
 
 def tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -81,9 +84,9 @@ def response_progress(events: DataFrame) -> DataFrame:
 
 
 def segment_lines(cards: DataFrame, n: int = T["segments"]) -> DataFrame:
-    """J2: '  - seg: 구매의향 x%, 브랜드태도 y%' for the first n cards."""
-    r = ranked_cards(cards).where(F.col("card_rank") <= n)
-    line = render(fixed.REPORT_SEGMENT_LINE, segment=F.col("segment"),
+    """One line of intent and attitude for each of the first n cards."""
+    r = ranked_cards(cards, n)
+    line = render(prompts.REPORT_SEGMENT_LINE, segment=F.col("segment"),
                   purchase_intent=F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")),
                   brand_attitude=F.coalesce(py_float_text("brand_attitude"), F.lit("N/A")))
     return r.select(F.col("card_rank").cast("long"), "segment", line.alias("line"))
@@ -122,9 +125,9 @@ def top_question(answers: DataFrame) -> DataFrame:
 
 def top_responses(cards: DataFrame, top_q: str, n: int = T["top_responses"]) -> DataFrame:
     """Up to 10 lines from segment cards when no response summary exists."""
-    r = ranked_cards(cards).where(F.col("card_rank") <= n)
-    sel = render(fixed.REPORT_INTENT_OPTION, value=F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")))
-    line = render(fixed.REPORT_TOP_RESPONSE_LINE, name=F.col("segment"), segment=F.col("segment"),
+    r = ranked_cards(cards, n)
+    sel = render(prompts.REPORT_INTENT_OPTION, value=F.coalesce(py_float_text("purchase_intent"), F.lit("N/A")))
+    line = render(prompts.REPORT_TOP_RESPONSE_LINE, name=F.col("segment"), segment=F.col("segment"),
                   question=top_q[:T["question_chars"]], option=sel)
     return r.select(F.col("card_rank").cast("long"), line.alias("line"))
 
@@ -137,9 +140,9 @@ def persona_samples(answers: DataFrame, personas: DataFrame, n: int = T["samples
     p = p.withColumn("p_rank", F.row_number().over(Window.orderBy("conv_id")))
     a = answers.where(F.col("pos") <= k).join(F.broadcast(p), "persona_id")    # ≤ n personas
     head = p.select(F.col("p_rank").cast("long"), F.lit(0).cast("long").alias("line_no"),
-                    render(fixed.REPORT_SAMPLE_HEADER, name=F.col("persona_name"), segment=F.col("segment")).alias("line"))
+                    render(prompts.REPORT_SAMPLE_HEADER, name=F.col("persona_name"), segment=F.col("segment")).alias("line"))
     body = a.select(F.col("p_rank").cast("long"), F.col("pos").cast("long").alias("line_no"),
-                    render(fixed.REPORT_SAMPLE_ANSWER, option=F.coalesce("selected_option", F.lit("")),
+                    render(prompts.REPORT_SAMPLE_ANSWER, option=F.coalesce("selected_option", F.lit("")),
                            rationale=F.substring(F.coalesce("rationale", F.lit("")), 1, T["rationale_chars"]))
                     .alias("line"))
     return head.unionByName(body)
@@ -148,12 +151,12 @@ def persona_samples(answers: DataFrame, personas: DataFrame, n: int = T["samples
 def report_types(requested: DataFrame, type_col: str = "report_type") -> DataFrame:
     """Label and instruction per requested type (default 'strategy')."""
     labels = F.create_map(*[x for t, lab in fixed.REPORT_TYPES for x in (F.lit(t), F.lit(lab))])
-    instr = F.create_map(*[x for t, s in fixed.REPORT_TYPE_INSTRUCTIONS for x in (F.lit(t), F.lit(s))])
+    instr = F.create_map(*[x for t, s in prompts.REPORT_TYPE_INSTRUCTIONS for x in (F.lit(t), F.lit(s))])
     dflt = fixed.DEFAULT_REPORT_TYPE
     return requested.withColumns({
         "type_label": F.coalesce(F.element_at(labels, F.col(type_col)), F.lit(dict(fixed.REPORT_TYPES)[dflt])),
         "instruction": F.coalesce(F.element_at(instr, F.col(type_col)),
-                                  F.lit(dict(fixed.REPORT_TYPE_INSTRUCTIONS)[dflt]))})
+                                  F.lit(dict(prompts.REPORT_TYPE_INSTRUCTIONS)[dflt]))})
 
 
 def static_report(summary: DataFrame, project_name: str, report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
@@ -174,9 +177,7 @@ def static_report(summary: DataFrame, project_name: str, report_type: str = fixe
         .alias("key_findings"))
 
 
-_PAIRS = "array<struct<label:string,value:string>>"
-REPORT_SCHEMA = (f"struct<title:string,sections:array<struct<id:string,title:string,content:string,evidence:{_PAIRS},action:string>>,"
-                 f"kpis:{_PAIRS},key_findings:array<string>>")
+REPORT_SCHEMA = prompts.form_schema(prompts.REPORT_FORM)
 
 
 def parse_report(raw: DataFrame, key: str, fallback: DataFrame, report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
@@ -226,6 +227,49 @@ def chart_index(counts: dict, top_question_title: str | None) -> list:
     return out
 
 
+#: The columns of a point of each chart.
+CHART_POINTS = {
+    "keyword-radar": "subject string, dominant bigint, baseline bigint, fullMark bigint",
+    "question-strength": "question_id string, top_option string, strength double",
+    "age-distribution": "age_band string, n bigint",
+    "question-distribution": "question_id string, selected_option string, n bigint, share double, is_top bigint",
+    "segment-cards": "segment string, n bigint, purchase_intent double, brand_attitude double",
+}
+
+
+def chart_points(items: DataFrame, distribution: DataFrame, ages: DataFrame, cards: DataFrame, top_title: str | None) -> DataFrame:
+    """The data of all five charts, a row per point: chart_id, chart_type, title, ord, point.
+
+    ``point`` is the JSON text of the chart's own columns (``CHART_POINTS``; ``read_chart``
+    gives them back typed), ``ord`` its place in the chart. A question's options may be many,
+    so the points stay rows and are numbered over range partitions, not in one task.
+    """
+    nothing, text = F.lit(0.0), F.lit("")
+    strength = question_strength(distribution)
+    share = distribution.withColumn("share", rnd(F.col("share"), 3))
+    data = {   # chart → rows and what orders them: a text, a number, a text
+        "keyword-radar": (keyword_radar(items).join(items.select(F.col("keyword").alias("subject"), "rank"), "subject"), text, F.col("rank"), text),
+        "question-strength": (strength, F.col("question_id"), nothing, text),
+        "age-distribution": (ages, F.col("age_band"), nothing, text),
+        "question-distribution": (share, F.col("question_id"), -F.col("n"), F.col("selected_option")),
+        "segment-cards": (cards, text, -F.col("n"), F.col("segment")),
+    }
+    rows = None
+    for cid, ctype, title, _ in chart_index({}, top_title):
+        df, first, second, third = data[cid]
+        names = [c.split(" ")[0] for c in CHART_POINTS[cid].split(", ")]
+        part = df.select(F.lit(cid).alias("chart_id"), F.lit(ctype).alias("chart_type"), F.lit(title).alias("title"),
+                         F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("point"),
+                         first.alias("_a"), second.cast("double").alias("_b"), third.alias("_c"))
+        rows = part if rows is None else rows.unionByName(part)
+    return row_number_within(rows, ["chart_id"], ["_a", "_b", "_c"], "ord").select("chart_id", "chart_type", "title", "ord", "point")
+
+
+def read_chart(points: DataFrame, chart_id: str) -> DataFrame:
+    """One chart's points as typed columns, with ord."""
+    return points.where(F.col("chart_id") == chart_id).select("ord", F.from_json("point", CHART_POINTS[chart_id]).alias("p")).select("ord", "p.*")
+
+
 def report_document(summary: DataFrame, charts: list, project_name: str,
                     report_type: str = fixed.DEFAULT_REPORT_TYPE) -> DataFrame:
     """J1 + J7 as one nested document row: title, type, sections (with evidence and

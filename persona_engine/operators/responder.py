@@ -34,7 +34,7 @@ class NoModelResponder(Responder):
 
 
 _Q_LINE = re.compile(r"^\d+\. \[([^\]]*)\] \(([^)]*)\) .*$", re.M)
-_OPTS = re.compile(r"^   선택지: \[(.*)\]$", re.M)
+_OPTS = re.compile(r"^   options: \[(.*)\]$", re.M)
 
 
 class FirstOptionResponder(Responder):
@@ -51,6 +51,47 @@ class FirstOptionResponder(Responder):
         return "[" + ", ".join(out) + "]"
 
 
+class MoodyResponder(Responder):
+    """Deterministic stub: by the number in the persona's name it answers, breaks off, fails or stays silent."""
+
+    def respond(self, prompt: str) -> str:
+        number = int(re.search(r"^name=Persona (\d+)$", prompt, re.M).group(1))
+        if number % 4 == 3:
+            return '[{"question_id": '
+        if number % 5 == 4:
+            raise RuntimeError(f"no model for persona {number}")
+        if number % 7 == 5:
+            return ""
+        answers = [{"question_id": qid, "selected_option": f"choice {number % 3}", "rationale": f"{qid} suits persona {number}",
+                    "cot": ["read", qid], "integrity_score": 85.0 + number % 15} for qid, _ in _Q_LINE.findall(prompt)]
+        return "Answers:\n" + json.dumps(answers) + "\nend"
+
+
+class DraftStubResponder(Responder):
+    """Deterministic stub for survey drafts: by the number of questions asked for it fails, breaks off or drafts them."""
+
+    def respond(self, prompt: str) -> str:
+        n = int(re.match(r"Draft (\d+) questions", prompt).group(1))
+        if n % 3 == 0:
+            raise RuntimeError("no model for drafts")
+        if n % 5 == 1:
+            return '[{"text": '
+        return "Here:\n" + json.dumps([{"text": f"Question {i} of {n}", "options": ["a", f"b{i}"], "rationale": f"because {i}"}
+                                       for i in range(1, n + 1)])
+
+
+class LateResponder(FirstOptionResponder):
+    """Deterministic stub for restarts: fails for one segment unless ``up``."""
+
+    def __init__(self, down_for: str, up: bool):
+        self.down_for, self.up = down_for, up
+
+    def respond(self, prompt: str) -> str:
+        if not self.up and f"\nsegment={self.down_for}\n" in prompt:
+            raise RuntimeError("model is down")
+        return super().respond(prompt)
+
+
 class PersonaStubResponder(Responder):
     """Deterministic stub for profile and story prompts: whole, partial and broken answers in turn."""
 
@@ -70,14 +111,11 @@ class PersonaStubResponder(Responder):
         return "Profile: " + json.dumps(profile)
 
 
-def run_responder(df: DataFrame, key_cols: list[str], prompt_col: str,
-                  factory: Callable[[], Responder] = NoModelResponder, tasks: int | None = None,
-                  calls_at_once: int = 1) -> DataFrame:
-    """(keys, prompt) → (keys, raw, error), one responder per task.
+def map_responder(df: DataFrame, key_cols: list[str], prompt_col: str,
+                  factory: Callable[[], Responder] = NoModelResponder, calls_at_once: int = 1) -> DataFrame:
+    """(keys, prompt) → (keys, raw, error), one responder per task, up to ``calls_at_once`` calls of a task under way.
 
-    ``tasks`` spreads the prompts over that many partitions; each task has up to
-    ``calls_at_once`` calls under way. The raw answers are written to the shared checkpoint
-    folder, so no later action calls the model again.
+    Lazy: each action calls the model. A failing call is the row's ``error``.
     """
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.select(*key_cols).schema.fields]
                        + ["raw string", "error string"])
@@ -99,7 +137,14 @@ def run_responder(df: DataFrame, key_cols: list[str], prompt_col: str,
                 out["error"] = [e for _, e in got]
                 yield out
 
-    prompts = df.select(*key_cols, prompt_col)
-    if tasks:
-        prompts = prompts.repartition(tasks)
-    return materialize(prompts.mapInPandas(run, schema))
+    return df.select(*key_cols, prompt_col).mapInPandas(run, schema)
+
+
+def run_responder(df: DataFrame, key_cols: list[str], prompt_col: str,
+                  factory: Callable[[], Responder] = NoModelResponder, tasks: int | None = None,
+                  calls_at_once: int = 1) -> DataFrame:
+    """``map_responder`` over ``tasks`` partitions, the answers written to the shared
+    checkpoint folder, so no later action calls the model again. A job that should survive
+    a restart of its driver takes an ``AnswerStore`` instead.
+    """
+    return materialize(map_responder(df.repartition(tasks) if tasks else df, key_cols, prompt_col, factory, calls_at_once))

@@ -4,9 +4,9 @@ Two K-Means paths:
 
 * ``lloyd_kmeans`` — seeded, deterministic Lloyd iterations with restarts, each to
   convergence. Seeds are the k rows with the smallest md5(seed:init:restart:id) (a
-  distributed top-k). Each iteration is one job for all restarts that still move: tasks
-  assign their rows with numpy against broadcast centroids and emit one row of sums per
-  restart and cluster; only those are shuffled. The final labels come from
+  distributed top-k). ``pyspark.mllib`` K-Means iterates from them in the JVM; a pass of
+  exact distances for all restarts (numpy in the tasks against broadcast centroids, one row
+  of sums per restart and cluster) confirms the result. The final labels come from
   ``assign_nearest``, a JVM projection over the centroids written as one SQL expression.
   Results do not depend on partitioning, so they are checkable against SQL.
 * ``fit_kmeans`` — ``pyspark.ml`` K-Means (k-means||) with ``n_init`` restarts run
@@ -24,8 +24,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,16 +134,48 @@ def lloyd_partials(df: DataFrame, cols: list[str], centroids: dict[int, dict]) -
     return out
 
 
+def iterate_in_jvm(df: DataFrame, cols: list[str], starts: list[dict], max_iter: int, tol: float, parallel: int = 8) -> list[dict]:
+    """Centroids of ``pyspark.mllib`` K-Means after its iterations from each given start.
+
+    The points are turned into vectors once; the restarts' iterations run in the JVM, some
+    restarts at a time. A start whose clusters run empty keeps their old centroids here.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
+    from pyspark.mllib.clustering import KMeans as MLlibKMeans
+    from pyspark.mllib.clustering import KMeansModel as MLlibKMeansModel
+    from pyspark.mllib.linalg import DenseVector
+
+    points = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v")).rdd.map(lambda r: DenseVector(r[0]))
+    points.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(start: dict) -> dict:
+        ids = sorted(start)
+        model = MLlibKMeans.train(points, len(ids), maxIterations=max_iter, epsilon=tol, initialModel=MLlibKMeansModel([start[i] for i in ids]))
+        return {i: list(map(float, v)) for i, v in zip(ids, model.centers)}
+
+    try:
+        points.count()
+        with ThreadPoolExecutor(max_workers=min(parallel, len(starts))) as pool:
+            return list(pool.map(run, starts))
+    finally:
+        points.unpersist()
+
+
 def lloyd_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = fixed.N_INIT, max_iter: int = 300,
                  id_col: str = "cust_id", tol: float = 1e-9) -> tuple[dict, list]:
     """Lloyd K-Means with ``n_init`` seeded restarts, each until its centroids stop moving.
 
-    All restarts that still move share each pass over the data. Returns the centroids of the
-    restart with the lowest cost (of equal costs to six digits, the first) and its cost per
-    iteration. Empty clusters drop out (their id is not reused). ``df`` is scanned once per
-    iteration: the caller persists it.
+    ``pyspark.mllib`` iterates from the seeds; passes with exact distances, shared by all
+    restarts that still move, then confirm that nothing moves (its distances are rounded to
+    six digits where points lie far apart). Returns the centroids of the restart with the
+    lowest cost (of equal costs to six digits, the first) and its cost per exact pass. Empty
+    clusters drop out (their id is not reused): a restart that has one is iterated by exact
+    passes from its seeds. ``df`` is scanned by every pass: the caller persists it.
     """
-    cents = dict(enumerate(seed_centroids(df, cols, k, seed, id_col, n_init)))
+    seeds = seed_centroids(df, cols, k, seed, id_col, n_init)
+    cents = dict(enumerate(iterate_in_jvm(df, cols, seeds, max_iter, tol)))
     history: dict = {r: [] for r in cents}
     moving = set(cents)
     for _ in range(max_iter):
@@ -153,6 +184,9 @@ def lloyd_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init:
         parts = lloyd_partials(df, cols, {r: cents[r] for r in moving})
         for r in sorted(moving):
             new = {i: (s / n).tolist() for i, (n, _c, s) in parts[r].items()}
+            if not history[r] and len(new) < len(seeds[r]) and cents[r] is not seeds[r]:
+                cents[r] = seeds[r]
+                continue
             history[r].append(sum(c for _n, c, _s in parts[r].values()))
             if new.keys() == cents[r].keys() and all(np.linalg.norm(np.subtract(new[i], cents[r][i])) <= tol for i in new):
                 moving.discard(r)
@@ -188,13 +222,40 @@ def fit_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: i
     return model, cost
 
 
+def covariance(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Sample covariance matrix of the columns (missing values count as 0): one aggregation in the JVM, columns × columns on the driver."""
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    vectors = MLUtils.convertVectorColumnsFromML(assemble(filled, cols).select("features"), "features")
+    return RowMatrix(vectors).computeCovariance().toArray()
+
+
+def principal_axes(cov: np.ndarray, k: int = 2) -> np.ndarray:
+    """The first k eigenvectors by falling eigenvalue, each signed so that its largest component (the first of equals) is positive.
+
+    That makes them, and the coordinates along them, a function of the matrix alone, as long
+    as the eigenvalues differ.
+    """
+    value, vector = np.linalg.eigh(cov)
+    axes = vector[:, np.argsort(-value, kind="stable")[:k]].T
+    size = np.abs(axes)
+    lead = np.argmax(size >= size.max(axis=1, keepdims=True) - 1e-9, axis=1)
+    return axes * np.where(axes[np.arange(len(axes)), lead] < 0, -1.0, 1.0)[:, None]
+
+
 def pca_projection(df: DataFrame, cols: list[str], k: int = 2, keep: list[str] | None = None) -> DataFrame:
-    """F2 (re-aimed): linear 2-D projection with pyspark.ml PCA → x, y columns."""
-    data = assemble(df, cols)
-    model = PCA(k=k, inputCol="features", outputCol="proj").fit(data)
-    out = model.transform(data).withColumn("_p", vector_to_array("proj"))
+    """F2 (re-aimed): coordinates x, y along the first principal axes of the columns, with the canonical signs of ``principal_axes``.
+
+    A projection of each row; the axes are literals. A single column gives y = 0.
+    """
+    axes = principal_axes(covariance(df, cols), k)
+
+    def along(j):
+        return F.expr(" + ".join(f"coalesce(CAST(`{c}` AS DOUBLE), 0D) * {_dbl(w)}" for c, w in zip(cols, axes[j]))) if j < len(axes) else F.lit(0.0)
     keep = keep or [c for c in df.columns]
-    return out.select(*keep, F.col("_p")[0].alias("x"), F.col("_p")[1].alias("y"))
+    return df.select(*keep, along(0).alias("x"), along(1).alias("y"))
 
 
 def silhouette_sample(df: DataFrame, cols: list[str], label: str, seed: int = 42,

@@ -14,11 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from persona_engine.functions import fixed
+from persona_engine.functions import fixed, prompts
 from persona_engine.functions.expr import render
+from persona_engine.operators.answer_store import AnswerStore
+from persona_engine.operators.indexing import as_of
+from persona_engine.operators.responder import run_responder
 
 TYPES_WITH_TEMPLATES = sorted({t for t, _, _ in fixed.QUESTION_TEMPLATES if t != "*"})
-EVIDENCE_SCHEMA = "array<struct<label:string,value:string>>"
+QUESTION_TYPES = ", ".join(t for t, _ in fixed.QUESTION_TYPE_REASON)
+EVIDENCE_SCHEMA = f"array<{prompts.form_schema(prompts.EVIDENCE_FORM)}>"
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -121,19 +125,26 @@ def evidence_text(c: F.Column) -> F.Column:
     return F.array_join(F.transform(c, lambda e: F.concat_ws("=", e["label"], e["value"])), "|")
 
 
+TEMPLATE_FIELDS = ["template_id", "template_version", "segment_source"]
+
+
+def with_templates(requests: DataFrame, versions: DataFrame) -> DataFrame:
+    """Requests with template_id, template_version and required_blocks of the version valid on ``requested_on`` for their survey type."""
+    return as_of(requests, versions, "survey_type", "requested_on")
+
+
 def draft_metadata(questions: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """H8: count, source and template fields per project; with the requests, also the
     requested count and whether the drafted count differs from it (the model's count
-    is not enforced, Q11); rejected requests are rows with an error and no draft."""
+    is not enforced, Q11), and what template and source of segments the request had;
+    rejected requests are rows with an error and no draft."""
     m = questions.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("question_count"),
-        F.first("generation_source").alias("generation_source"),
-        F.lit(None).cast("string").alias("template_id"),
-        F.lit(None).cast("string").alias("template_version"),
-        F.lit(None).cast("string").alias("segment_source"))
+        F.first("generation_source").alias("generation_source"))
     if requests is None:
-        return m
-    r = requests.select("project_id", F.col("question_count").cast("long").alias("requested_count"))
+        return m.withColumns({c: F.lit(None).cast("string") for c in TEMPLATE_FIELDS})
+    fields = [F.col(c) if c in requests.columns else F.lit(None).cast("string").alias(c) for c in TEMPLATE_FIELDS]
+    r = requests.select("project_id", F.col("question_count").cast("long").alias("requested_count"), *fields)
     m = m.join(r, "project_id", "left").withColumns({
         "count_mismatch": (F.col("question_count") != F.col("requested_count")).cast("long"), "error": F.lit(None).cast("string")})
     return m.unionByName(rejected_requests(requests), allowMissingColumns=True)
@@ -145,16 +156,41 @@ def segments_text(segments: DataFrame) -> tuple[str, int]:
     row = segments.agg(F.sort_array(F.collect_list(F.struct("name", "count"))).alias("segs"),
                        F.sum("count").alias("target")).first()
     segs = row["segs"] or []
-    text = "\n".join(fixed.SURVEY_SEGMENT_LINE.format(name=s["name"], count=s["count"]) for s in segs)
-    return text or fixed.SURVEY_PROMPT_NO_SEGMENTS, int(row["target"] or 0)
+    text = "\n".join(prompts.SURVEY_SEGMENT_LINE.format(name=s["name"], count=s["count"]) for s in segs)
+    return text or prompts.SURVEY_PROMPT_NO_SEGMENTS, int(row["target"] or 0)
 
 
 def survey_prompt(requests: DataFrame, segments: DataFrame) -> DataFrame:
-    """H7: draft prompt per request (projection with the segment block as a literal)."""
+    """H7: draft prompt per request (projection with the segment block as a literal).
+
+    Filter summary, required blocks and template come from the request's columns of these
+    names where it has them (see ``with_templates``); missing or empty ones have defaults.
+    """
     seg_text, target = segments_text(segments)
+    has = lambda c: c in requests.columns
     purpose = F.coalesce(F.nullif(F.col("project_purpose"), F.lit("")), F.col("user_prompt"))
-    text = render(fixed.SURVEY_PROMPT_TEMPLATE, question_count=F.col("question_count"), purpose=purpose,
-                  user_prompt=F.col("user_prompt"), filter_summary=fixed.SURVEY_FILTER_DEFAULT,
-                  target_count=target, segments=seg_text, survey_type=F.col("survey_type"),
-                  required_blocks=fixed.SURVEY_PROMPT_FREE_BLOCKS)
+    filters = F.coalesce(F.nullif(F.col("filter_summary"), F.lit("")), F.lit(prompts.SURVEY_FILTER_DEFAULT)) if has("filter_summary") \
+        else prompts.SURVEY_FILTER_DEFAULT
+    blocks = F.coalesce(F.nullif(F.array_join("required_blocks", ", "), F.lit("")), F.lit(prompts.SURVEY_PROMPT_FREE_BLOCKS)) \
+        if has("required_blocks") else prompts.SURVEY_PROMPT_FREE_BLOCKS
+    note = F.coalesce(render(prompts.SURVEY_TEMPLATE_NOTE, template_id=F.col("template_id"), template_version=F.col("template_version")),
+                      F.lit("")) if has("template_id") else ""
+    text = render(prompts.SURVEY_PROMPT_TEMPLATE, question_count=F.col("question_count"), purpose=purpose,
+                  user_prompt=F.col("user_prompt"), filter_summary=filters, target_count=target, segments=seg_text,
+                  survey_type=F.col("survey_type"), required_blocks=blocks, template_note=note,
+                  form=prompts.form_example(prompts.QUESTION_FORM), types=QUESTION_TYPES, open_type=fixed.OPEN_ENDED_TYPE)
     return requests.select("project_id", text.alias("prompt"))
+
+
+def draft_surveys(requests: DataFrame, segments: DataFrame, versions: DataFrame, factory, store: AnswerStore | None = None,
+                  **calls) -> tuple[DataFrame, DataFrame]:
+    """H1–H8 in one job: templates, prompts, model, parse, fallback; returns (questions, metadata).
+
+    With a ``store``, a job run again calls the model only for what is open.
+    """
+    r = with_templates(requests, versions)
+    valid = valid_requests(r)
+    asked = survey_prompt(valid, segments)
+    raw = store.answer(asked, ["project_id"], "prompt", factory, **calls) if store else run_responder(asked, ["project_id"], "prompt", factory)
+    questions = with_fallback(valid, parse_questions(raw))
+    return questions, draft_metadata(questions, r)

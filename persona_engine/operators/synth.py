@@ -1,12 +1,13 @@
 """Synthetic population (E1–E12): fit marginals with aggregates, sample on ``spark.range``.
 
 Fitting is one small aggregate per source table (shares, means, stds, rates);
-the fitted parameters are scalars and cumulative-share lists (one entry per
-category). Sampling is a single map-only projection
-over ``spark.range(1, n+1)``: every draw is a pure function of
+the fitted parameters are scalars and, for categories, a table of intervals. Sampling is
+a projection over ``spark.range(1, n+1)``: every draw is a pure function of
 (seed, salt, id) — md5-derived uniforms, Box-Muller normals, order-statistic
 betas — so the output does not depend on partitioning, survives task retries
-bit-for-bit, and scales linearly with n and the number of executors.
+bit-for-bit, and scales linearly with n and the number of executors. A categorical draw
+looks its uniform up in the table of intervals: a join on a bucket of [0, 1), by
+broadcast up to a counted size.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from persona_engine.functions import fixed
 from persona_engine.functions.expr import clip, hash_unit, normalize_feature, std_normal
 from persona_engine.operators import marginals as mg
+from persona_engine.session import materialize
 
 DEMO_CATEGORICAL = ["usr_gndr", "sa_activeness", "usr_cnty_ap2"]
 CLV_FLAGS = ["cum_repchs_flg", "samsunghealth_flag", "samsungwallet_flag", "smartthings_flag"]
@@ -26,7 +28,7 @@ CLV_FLAGS = ["cum_repchs_flg", "samsunghealth_flag", "samsungwallet_flag", "smar
 
 @dataclass
 class SynthParams:
-    shares: dict = field(default_factory=dict)      # column → [(value, hi)] in draw order
+    levels: DataFrame | None = None                 # column, value, lo, hi (marginals.levels)
     age: tuple = (0.0, 0.0)                         # mean, sample std
     retention: tuple = (0.0, 0.0)
     ltv: tuple = (0.0, 0.0)                         # mu, sigma
@@ -36,16 +38,6 @@ class SynthParams:
     interests: list = field(default_factory=list)   # [(interest, mean)] top-8
 
 
-def fit_shares(df: DataFrame, cols: list[str]) -> dict:
-    """Cumulative shares per categorical column, ordered by count desc, value asc."""
-    cum = mg.cumulative_shares(mg.categorical_shares(df, cols))
-    rows = cum.select("column", "value", "hi", "rank").collect()     # one row per category
-    out: dict = {c: [] for c in cols}
-    for r in sorted(rows, key=lambda r: (r["column"], r["rank"])):
-        out[r["column"]].append((r["value"], r["hi"]))
-    return out
-
-
 def fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFrame) -> SynthParams:
     """Fit every marginal with one aggregate per source.
 
@@ -64,7 +56,7 @@ def fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFrame
 
 def _fit(demo: DataFrame, clv: DataFrame, events: DataFrame, interests: DataFrame) -> SynthParams:
     p = SynthParams()
-    p.shares = fit_shares(demo, DEMO_CATEGORICAL)
+    p.levels = materialize(mg.levels(demo, DEMO_CATEGORICAL))
     a = demo.agg(F.avg(F.col("usr_age").cast("double")), F.stddev_samp(F.col("usr_age").cast("double"))).first()
     p.age = (a[0], a[1])
     x = clip("ltv_r", 1.0)
@@ -96,8 +88,7 @@ def z(seed, salt):
 
 
 def categorical(seed, salt: str, levels: list) -> F.Column:
-    """Weighted draw — first level whose cumulative bound exceeds u. The levels are one
-    array literal and their bounds another, so a wide domain is no deeper expression."""
+    """E2, a few levels fixed by the code: the first whose cumulative bound exceeds u."""
     if len(levels) == 1:
         return F.lit(levels[0][0])
     bounds = F.array(*[F.lit(float(hi)) for _, hi in levels[:-1]])
@@ -106,6 +97,35 @@ def categorical(seed, salt: str, levels: list) -> F.Column:
     return F.element_at(values, (passed + 1).cast("int"))
 
 
+# Rows of a table of intervals that may travel to every task.
+BROADCAST_LEVELS = 200_000
+
+
+def draw_categories(df: DataFrame, levels: DataFrame, cols: list[str], seed, broadcast_rows: int = BROADCAST_LEVELS) -> DataFrame:
+    """E2, fitted levels: each column of ``cols`` drawn for every id, null where a column has no level.
+
+    [0, 1) is cut into about as many equal buckets as the column has levels; a level's row
+    stands in each bucket that its interval touches (two rows a level on average). Buckets
+    are hit equally often whatever the shares, so the join by shuffle that more than
+    ``broadcast_rows`` rows take has no hot key.
+    """
+    sizes = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}     # one row a column
+    for c in cols:
+        n = sizes.get(c, 0)
+        if not n:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+            continue
+        buckets = 1 << min(24, (n - 1).bit_length())
+        touched = F.sequence(F.floor(F.col("lo") * buckets), F.least(F.floor(F.col("hi") * buckets), F.lit(buckets - 1)))
+        table = levels.where(F.col("column") == c).select(F.col("value").alias(c), "lo", "hi", F.explode(touched).alias("_bucket"))
+        if n + buckets <= broadcast_rows:
+            table = F.broadcast(table)
+        df = df.withColumn("_u", u(seed, c)).withColumn("_bucket", F.floor(F.col("_u") * buckets))
+        within = (F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi"))
+        df = df.join(table, (df["_bucket"] == table["_bucket"]) & within, "left").drop("_u", "_bucket", "lo", "hi")
+    return df
+
+
 def fixed_levels(values: list, shares: list | None) -> list:
     """Cumulative bounds for fixed shares (uniform when none are given)."""
     shares = shares or [1.0 / len(values)] * len(values)
@@ -131,9 +151,7 @@ def demo_block(p: SynthParams, seed) -> dict:
     lo, hi = fixed.AGE_CLIP
     return {
         "usr_age": clip(truncated_int(F.lit(m) + F.lit(s) * z(seed, "age")), lo, hi),
-        "usr_gndr": categorical(seed, "usr_gndr", p.shares["usr_gndr"]),
-        "sa_activeness": categorical(seed, "sa_activeness", p.shares["sa_activeness"]),
-        "usr_cnty_ap2": categorical(seed, "usr_cnty_ap2", p.shares["usr_cnty_ap2"]),
+        **{c: F.col(c) for c in DEMO_CATEGORICAL},      # drawn before
     }
 
 
@@ -187,12 +205,13 @@ def interest_block(p: SynthParams, seed) -> dict:
 
 def synth_population(spark: SparkSession, n: int, p: SynthParams, seed: int = 42,
                      interests: bool = True, partitions: int | None = None) -> DataFrame:
-    """The wide synthetic table in one projection over the id spine."""
+    """The wide synthetic table: fitted categories joined to the id spine, all else in one projection over it."""
     cols = {**demo_block(p, seed), **clv_block(p, seed), **app_block(p, seed)}
     if interests:
         cols.update(interest_block(p, seed))
     cols.update(home_block(seed))
-    return spine(spark, n, partitions).select(F.col("id").alias("index"), *[c.alias(k) for k, c in cols.items()])
+    ids = draw_categories(spine(spark, n, partitions), p.levels, DEMO_CATEGORICAL, seed)
+    return ids.select(F.col("id").alias("index"), *[c.alias(k) for k, c in cols.items()])
 
 
 def drift(source: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame:

@@ -167,6 +167,43 @@ def kmeans_ctes(k: int = 7, seed: int = 42, n_init: int = 10, max_iter: int = 30
     ]
 
 
+def projection_ctes(points: str = "SELECT cust_id, list(coalesce(value, 0.0) ORDER BY feature) AS v FROM z GROUP BY cust_id",
+                    id_col: str = "cust_id", squarings: int = 40) -> list[tuple[str, str]]:
+    """proj (id, x, y): coordinates along the first two principal axes (oracle of segment.pca_projection).
+
+    An axis is the covariance matrix squared and rescaled again and again: what is left is
+    the outer product of the first eigenvector with itself. The second comes from the
+    matrix without the first's share.
+    """
+    def power(name: str, start: str) -> tuple[str, str]:
+        square = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c)))"
+        trace = "list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i][i]))"
+        return (f"{name}(it, m)", f"""SELECT 0, m FROM {start} UNION ALL
+            SELECT it + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / t))
+            FROM (SELECT it, q, {trace} AS t FROM (SELECT it, {square} AS q FROM {name} WHERE it < {squarings}))""")
+
+    def axis(name: str, powers: str) -> tuple[str, str]:
+        lead = "list_position(list_transform(u, lambda x: abs(x)), list_max(list_transform(u, lambda x: abs(x))))"
+        return (name, f"""SELECT list_transform(u, lambda x: x * sign(u[{lead}]) / sqrt(list_dot_product(u, u))) AS v FROM (
+            SELECT m[list_position(d, list_max(d))] AS u FROM (
+              SELECT m, list_transform(range(1, len(m) + 1), lambda i: m[i][i]) AS d FROM {powers} WHERE it = {squarings}))""")
+
+    return [
+        ("ppt", points),
+        ("pmean", "SELECT i, avg(x) AS mu FROM (SELECT unnest(v) AS x, unnest(range(len(v))) AS i FROM ppt) GROUP BY i"),
+        ("pcen", f"""SELECT {id_col}, p.i, p.x - m.mu AS x FROM (SELECT {id_col}, unnest(v) AS x, unnest(range(len(v))) AS i FROM ppt) p
+            JOIN pmean m ON p.i = m.i"""),
+        ("pcov", f"""SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM (
+            SELECT a.i, b.i AS j, sum(a.x * b.x) / (SELECT count(*) - 1 FROM ppt) AS c FROM pcen a JOIN pcen b ON a.{id_col} = b.{id_col}
+            GROUP BY a.i, b.i) GROUP BY i)"""),
+        power("ppow1", "pcov"), axis("pax1", "ppow1"),
+        ("pcov2", """SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * v[i] * v[j])) AS m FROM (
+            SELECT m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l FROM pcov, pax1)"""),
+        power("ppow2", "pcov2"), axis("pax2", "ppow2"),
+        ("proj", f"SELECT {id_col}, list_dot_product(p.v, a.v) AS x, list_dot_product(p.v, b.v) AS y FROM ppt p, pax1 a, pax2 b"),
+    ]
+
+
 LAB_CTE = ("lab", "SELECT e.*, a.persona_cluster, a.sq_dist FROM enc e JOIN assigned a ON e.cust_id = a.cust_id")
 
 

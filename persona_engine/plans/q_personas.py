@@ -10,7 +10,7 @@ from persona_engine.operators import personas as pe
 from persona_engine.operators import responder as rp
 from persona_engine.operators import segment as sg
 from persona_engine.plans import pipeline as pl
-from persona_engine.plans.oracle_views import kmeans_ctes, py_float_sql, with_views
+from persona_engine.plans.oracle_views import kmeans_ctes, projection_ctes, py_float_sql, with_views
 from persona_engine.plans.q_segments import (K, PERSONA_SELECT, RULES_SQL, SEED, SEG_CTES, SEG_VIEWS, STATS_SQL,
                                              _seg)
 from persona_engine.plans.registry import register
@@ -145,12 +145,14 @@ def _z(src):
     return seg, seg.labelled, seg.z_cols
 
 
-@register("pca_projection")
+@register("pca_projection", with_views(["z"], "SELECT cust_id, round_even(x, 4) AS x, round_even(y, 4) AS y FROM proj", projection_ctes()))
 def q_pca(src):
-    """F2 (re-aimed): 2-D PCA projection of the standardised features, rows-only."""
-    _, lab, zc = _z(src)
-    out = sg.pca_projection(lab.select("cust_id", "persona_cluster", *zc), zc, keep=["cust_id", "persona_cluster"])
-    return out.select("cust_id", "persona_cluster", F.bround("x", 6).alias("x"), F.bround("y", 6).alias("y"))
+    """F2 (re-aimed): 2-D coordinates of the standardised features along their principal axes, signs canonical."""
+    enc, cols = pl.encoded_customers(src)
+    med, mom, _ = fe.fit_scaling(enc, cols)
+    z = enc.select("cust_id", *fe.scale_exprs(med, mom, pl.Z))
+    out = sg.pca_projection(z, [pl.Z + c for c in cols], keep=["cust_id"])
+    return out.select("cust_id", F.bround("x", 4).alias("x"), F.bround("y", 4).alias("y"))
 
 
 @register("kmeans_fit", _sql("""SELECT count(*) AS n_rows, (SELECT k FROM kk) AS n_clusters,

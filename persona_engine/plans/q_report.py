@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from persona_engine.functions import fixed
+from persona_engine.functions import fixed, prompts
 from persona_engine.operators import report as rp
+from persona_engine.operators.indexing import row_number_within
 from persona_engine.operators import responses as rs
 from persona_engine.plans import q_derive as qd
 from persona_engine.plans import q_responses as qr
@@ -108,7 +109,7 @@ def q_progress(src):
     return rp.response_progress(_events(src))
 
 
-SEG_LINES_SQL = f"""SELECT card_rank, segment, {render_sql(fixed.REPORT_SEGMENT_LINE, segment='segment',
+SEG_LINES_SQL = f"""SELECT card_rank, segment, {render_sql(prompts.REPORT_SEGMENT_LINE, segment='segment',
     purchase_intent=f"coalesce({py_float_sql('purchase_intent')}, 'N/A')",
     brand_attitude=f"coalesce({py_float_sql('brand_attitude')}, 'N/A')")} AS line
     FROM rcards WHERE card_rank <= {T['segments']}"""
@@ -142,9 +143,9 @@ def q_patterns(src):
     return rp.response_patterns(_answers(src), cv.sim_personas(src))
 
 
-@register("top_responses", with_ctes(f"""SELECT card_rank, {render_sql(fixed.REPORT_TOP_RESPONSE_LINE,
+@register("top_responses", with_ctes(f"""SELECT card_rank, {render_sql(prompts.REPORT_TOP_RESPONSE_LINE,
     name='segment', segment='segment', question=f"substring((SELECT top_question FROM topq), 1, {T['question_chars']})",
-    option=render_sql(fixed.REPORT_INTENT_OPTION, value=f"coalesce({py_float_sql('purchase_intent')}, 'N/A')"))} AS line
+    option=render_sql(prompts.REPORT_INTENT_OPTION, value=f"coalesce({py_float_sql('purchase_intent')}, 'N/A')"))} AS line
     FROM rcards WHERE card_rank <= {T['top_responses']}"""))
 def q_top_responses(src):
     """Top-response lines built from segment cards (no response summary)."""
@@ -153,10 +154,10 @@ def q_top_responses(src):
 
 
 SAMPLES_SQL = f"""SELECT CAST(p_rank AS BIGINT) AS p_rank, CAST(0 AS BIGINT) AS line_no,
-           {render_sql(fixed.REPORT_SAMPLE_HEADER, name='persona_name', segment='segment')} AS line
+           {render_sql(prompts.REPORT_SAMPLE_HEADER, name='persona_name', segment='segment')} AS line
     FROM ap WHERE p_rank <= {T['samples']}
     UNION ALL
-    SELECT CAST(ap.p_rank AS BIGINT), a.pos, {render_sql(fixed.REPORT_SAMPLE_ANSWER,
+    SELECT CAST(ap.p_rank AS BIGINT), a.pos, {render_sql(prompts.REPORT_SAMPLE_ANSWER,
         option="coalesce(a.selected_option, '')", rationale=f"substring(coalesce(a.rationale, ''), 1, {T['rationale_chars']})")}
     FROM ans a JOIN ap ON a.persona_id = ap.persona_id WHERE ap.p_rank <= {T['samples']} AND a.pos <= {T['sample_answers']}"""
 AP_CTE = ("ap", """SELECT p.*, row_number() OVER (ORDER BY p.conv_id) AS p_rank
@@ -170,19 +171,20 @@ def q_samples(src):
 
 
 _labels = " ".join(f"WHEN {_q(t)} THEN {_q(lab)}" for t, lab in fixed.REPORT_TYPES)
-_instr = " ".join(f"WHEN {_q(t)} THEN {_q(s)}" for t, s in fixed.REPORT_TYPE_INSTRUCTIONS)
+_instr = " ".join(f"WHEN {_q(t)} THEN {_q(s)}" for t, s in prompts.REPORT_TYPE_INSTRUCTIONS)
 _dflt = fixed.DEFAULT_REPORT_TYPE
 
 
 @register("report_types", with_ctes(f"""SELECT segment, report_type,
     CASE report_type {_labels} ELSE {_q(dict(fixed.REPORT_TYPES)[_dflt])} END AS type_label,
-    CASE report_type {_instr} ELSE {_q(dict(fixed.REPORT_TYPE_INSTRUCTIONS)[_dflt])} END AS instruction
+    CASE report_type {_instr} ELSE {_q(dict(prompts.REPORT_TYPE_INSTRUCTIONS)[_dflt])} END AS instruction
     FROM (SELECT segment, [{", ".join(_q(t) for t in REPORT_TYPE_CYCLE)}][((card_rank - 1) % {len(REPORT_TYPE_CYCLE)}) + 1]
           AS report_type FROM rcards)"""))
 def q_report_types(src):
     """Report type label / instruction lookup with the 'strategy' default."""
     cycle = F.array(*[F.lit(t) for t in REPORT_TYPE_CYCLE])
-    r = rp.ranked_cards(_cards(src)).select(
+    ranked = row_number_within(_cards(src).withColumn("_less", -F.col("n")), [], ["_less", "segment"], "card_rank")
+    r = ranked.select(
         "segment", F.element_at(cycle, ((F.col("card_rank") - 1) % len(REPORT_TYPE_CYCLE) + 1).cast("int"))
         .alias("report_type"))
     return rp.report_types(r)
@@ -284,26 +286,26 @@ def q_parse_report(src):
 
 _NLS = "chr(10)"
 RP_CTES = [AP_CTE, ("seglines", SEG_LINES_SQL), ("pats", PATTERNS_SQL), ("samps", SAMPLES_SQL),
-           ("patlines", f"""SELECT seg_rank, 0 AS q_rank, 0 AS k, {render_sql(fixed.REPORT_PATTERN_HEADER, segment='segment')} AS line
+           ("patlines", f"""SELECT seg_rank, 0 AS q_rank, 0 AS k, {render_sql(prompts.REPORT_PATTERN_HEADER, segment='segment')} AS line
                 FROM (SELECT DISTINCT seg_rank, segment FROM pats)
-              UNION ALL SELECT seg_rank, q_rank, 1, {render_sql(fixed.REPORT_PATTERN_OPTION, top_option='top_option')}
+              UNION ALL SELECT seg_rank, q_rank, 1, {render_sql(prompts.REPORT_PATTERN_OPTION, top_option='top_option')}
                 FROM pats WHERE top_option IS NOT NULL AND top_option <> ''
-              UNION ALL SELECT seg_rank, q_rank, 2, {render_sql(fixed.REPORT_PATTERN_RATIONALE, rationale='rationale')}
+              UNION ALL SELECT seg_rank, q_rank, 2, {render_sql(prompts.REPORT_PATTERN_RATIONALE, rationale='rationale')}
                 FROM pats WHERE rationale IS NOT NULL AND rationale <> ''""")]
 _label = dict(fixed.REPORT_TYPES)[_dflt]
-_instr_text = dict(fixed.REPORT_TYPE_INSTRUCTIONS)[_dflt]
+_instr_text = dict(prompts.REPORT_TYPE_INSTRUCTIONS)[_dflt]
 _SAMPLES_AGG = f"(SELECT string_agg(line, {_NLS} ORDER BY p_rank, line_no) FROM samps)"
 REPORT_PROMPT_SQL = with_ctes(f"""SELECT {_q(PROJECT)} AS project_name, {_q(_dflt)} AS report_type,
     (SELECT count(*) FROM pers) AS persona_count, (SELECT count(DISTINCT persona_id) FROM ans) AS response_count,
-    {render_sql(fixed.REPORT_PROMPT_TEMPLATE, type_label=_q(_label), project_name=_q(PROJECT), purpose="''",
+    {render_sql(prompts.REPORT_PROMPT_TEMPLATE, type_label=_q(_label), project_name=_q(PROJECT), purpose="''",
         persona_count="(SELECT count(*) FROM pers)", response_count="(SELECT count(DISTINCT persona_id) FROM ans)",
         dominant_segment=f"coalesce((SELECT segment FROM rcards WHERE card_rank = 1), {_q(fixed.DOMINANT_DEFAULT)})",
-        segments=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY card_rank) FROM seglines), {_q('  - ' + fixed.NO_DATA)})",
-        patterns=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY seg_rank, q_rank, k) FROM patlines), {_q('  - ' + fixed.NO_DATA)})",
-        persona_section=f"coalesce({render_sql(fixed.REPORT_SAMPLES_SECTION, samples=_SAMPLES_AGG)}, '')",
-        keywords=f"""coalesce((SELECT string_agg({render_sql(fixed.REPORT_KEYWORD_ITEM, keyword='keyword', frequency='frequency')},
-            ', ' ORDER BY rank) FROM kwtop), {_q(fixed.NO_KEYWORDS)})""",
-        instruction=_q(_instr_text))} AS prompt""", RP_CTES)
+        segments=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY card_rank) FROM seglines), {_q(prompts.REPORT_NO_DATA)})",
+        patterns=f"coalesce((SELECT string_agg(line, {_NLS} ORDER BY seg_rank, q_rank, k) FROM patlines), {_q(prompts.REPORT_NO_DATA)})",
+        persona_section=f"coalesce({render_sql(prompts.REPORT_SAMPLES_SECTION, samples=_SAMPLES_AGG)}, '')",
+        keywords=f"""coalesce((SELECT string_agg({render_sql(prompts.REPORT_KEYWORD_ITEM, keyword='keyword', frequency='frequency')},
+            ', ' ORDER BY rank) FROM kwtop), {_q(prompts.REPORT_NO_KEYWORDS)})""",
+        instruction=_q(_instr_text), form=_q(prompts.form_example(prompts.REPORT_FORM)))} AS prompt""", RP_CTES)
 
 
 @register("report_prompt", REPORT_PROMPT_SQL)
@@ -327,31 +329,33 @@ def q_question_strength(src):
     return rp.question_strength(rp.option_distribution(_answers(src)))
 
 
-_CHART_ROWS = " UNION ALL ".join(
-    f"SELECT {i} AS ord, {_q(cid)} AS chart_id, {_q(ctype)} AS chart_type, "
-    + (f"coalesce((SELECT top_question FROM topq), {_q(title)})" if cid == "question-distribution" else _q(title))
-    + " AS title, "
-    + {"keyword-radar": "(SELECT count(*) FROM kwtop)",
-       "question-strength": "(SELECT count(DISTINCT question_id) FROM ans)",
-       "age-distribution": """(SELECT count(*) FROM (SELECT DISTINCT CASE WHEN usr_age > 0 AND usr_age <= 29 THEN '20s'
-            WHEN usr_age > 29 AND usr_age <= 39 THEN '30s' WHEN usr_age > 39 AND usr_age <= 49 THEN '40s'
-            WHEN usr_age > 49 AND usr_age <= 59 THEN '50s' WHEN usr_age > 59 AND usr_age <= 100 THEN '60s+' END FROM demo))""",
-       "question-distribution": "(SELECT count(*) FROM (SELECT DISTINCT question_id, selected_option FROM ans))",
-       "segment-cards": "(SELECT count(*) FROM cards)"}[cid]
-    + " AS n_points"
-    for i, (cid, ctype, title) in enumerate(fixed.CHARTS))
-
-
-@register("report_charts", with_ctes(f"SELECT chart_id, chart_type, title, CAST(n_points AS BIGINT) AS n_points FROM ({_CHART_ROWS})"))
+_TITLES = {cid: (ctype, title) for cid, ctype, title in fixed.CHARTS}
+_POINTS = {   # chart → rows, what orders them, its JSON members
+    "keyword-radar": ("kwtop", "rank", f"""'subject', keyword, 'dominant', frequency, 'baseline', {fixed.RADAR_BASELINE}, 'fullMark', {fixed.RADAR_FULL_MARK}"""),
+    "question-strength": (f"({STRENGTH_SQL})", "question_id", "'question_id', question_id, 'top_option', top_option, 'strength', strength"),
+    "age-distribution": ("""(SELECT CASE WHEN usr_age > 0 AND usr_age <= 29 THEN '20s' WHEN usr_age > 29 AND usr_age <= 39 THEN '30s'
+            WHEN usr_age > 39 AND usr_age <= 49 THEN '40s' WHEN usr_age > 49 AND usr_age <= 59 THEN '50s'
+            WHEN usr_age > 59 AND usr_age <= 100 THEN '60s+' END AS age_band, count(*) AS n FROM demo GROUP BY ALL)""",
+                         "age_band NULLS FIRST", "'age_band', age_band, 'n', n"),
+    "question-distribution": ("""(SELECT question_id, selected_option, n, round_even(n / sum(n) OVER (PARTITION BY question_id), 3) AS share,
+            CAST(row_number() OVER (PARTITION BY question_id ORDER BY n DESC, selected_option NULLS LAST) = 1 AS BIGINT) AS is_top
+            FROM (SELECT question_id, selected_option, count(*) AS n FROM ans GROUP BY question_id, selected_option))""",
+                              "question_id NULLS FIRST, n DESC, selected_option NULLS FIRST",
+                              "'question_id', question_id, 'selected_option', selected_option, 'n', n, 'share', share, 'is_top', is_top"),
+    "segment-cards": ("cards", "n DESC, segment NULLS FIRST",
+                      "'segment', segment, 'n', n, 'purchase_intent', purchase_intent, 'brand_attitude', brand_attitude"),
+}
+CHARTS_SQL = " UNION ALL ".join(
+    f"SELECT {_q(cid)} AS chart_id, {_q(_TITLES[cid][0])} AS chart_type, "
+    + (f"coalesce((SELECT top_question FROM topq), {_q(_TITLES[cid][1])})" if cid == "question-distribution" else _q(_TITLES[cid][1]))
+    + f" AS title, row_number() OVER (ORDER BY {order}) AS ord, CAST(json_object({members}) AS VARCHAR) AS point FROM {rows}"
+    for cid, (rows, order, members) in _POINTS.items())
+
+
+@register("report_charts", with_ctes(CHARTS_SQL))
 def q_report_charts(src):
-    """The five chart datasets attached to every report (id, type, title, points)."""
+    """The points of the five charts attached to every report."""
     ans = _answers(src)
-    dist = rp.option_distribution(ans)
-    counts = {"keyword-radar": rp.keyword_items(src.documents).count(),
-              "question-strength": rp.question_strength(dist).count(),
-              "age-distribution": rp.age_buckets(views.demo(src)).count(),
-              "question-distribution": dist.count(),
-              "segment-cards": _cards(src).count()}
     top = rp.top_question(ans).first()
-    rows = rp.chart_index(counts, top["top_question"] if top else None)
-    return src.spark.createDataFrame(rows, "chart_id string, chart_type string, title string, n_points long")
+    return rp.chart_points(rp.keyword_items(src.documents), rp.option_distribution(ans), rp.age_buckets(views.demo(src)), _cards(src),
+                           top["top_question"] if top else None)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from persona_engine.functions import fixed
+from persona_engine.functions import fixed, prompts
 from persona_engine.operators import responder as rp
 from persona_engine.operators import responses as rs
+from persona_engine.operators.answer_store import AnswerStore
 from persona_engine.plans.oracle_views import _q, render_sql
 from persona_engine.plans.registry import register
+from persona_engine.session import ensure_checkpoint_dir
 from persona_engine.sources import conversations as cv
 
 BATCH = fixed.DEFAULT_BATCH_SIZE
@@ -31,7 +36,7 @@ SEG = """CASE WHEN sum(length(text)) >= 3000 THEN 'heavy' WHEN sum(length(text))
 CTES = [
     ("pers", f"""SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS persona_id, conv_id,
         'Persona ' || CAST(conv_id AS VARCHAR) AS persona_name, {SEG} AS segment FROM conversations GROUP BY conv_id"""),
-    ("qs", f"""SELECT conv_id, count(*) AS n_questions, string_agg({render_sql(fixed.SIMULATION_QUESTION_LINE, i='rn',
+    ("qs", f"""SELECT conv_id, count(*) AS n_questions, string_agg({render_sql(prompts.SIMULATION_QUESTION_LINE, i='rn',
         id="'q' || CAST(turn AS VARCHAR)", type=_q(fixed.DEFAULT_QUESTION_TYPE), text='text', options="'[]'")},
         chr(10) ORDER BY turn) AS questions_text
         FROM (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
@@ -64,11 +69,11 @@ def with_ctes(body: str) -> str:
 
 
 PROMPT_SQL = with_ctes(f"""SELECT p.conv_id, p.persona_id, q.n_questions, {render_sql(
-    fixed.SIMULATION_PROMPT_TEMPLATE, name='p.persona_name', age="''", gender="''", occupation="''",
+    prompts.SIMULATION_PROMPT_TEMPLATE, name='p.persona_name', age="''", gender="''", occupation="''",
     occupation_category="''", segment='p.segment', region="''", interests="''", keywords="''",
     preferred_channel="''", buy_channel="''", purchase_history="''", purchase_intent="'0'", brand_attitude="'0'",
     marketing_acceptance="'0'", profile="''", project_name="''", project_purpose="''",
-    questions='q.questions_text', n_questions='q.n_questions')} AS prompt
+    questions='q.questions_text', n_questions='q.n_questions', form=_q(prompts.form_example(prompts.ANSWER_FORM)))} AS prompt
     FROM pers p JOIN qs q ON p.conv_id = q.conv_id""")
 
 
@@ -87,6 +92,78 @@ def q_batch_inference(src):
     return rs.route(rs.parse_answers(out.join(cv.sim_personas(src), "persona_id"))).drop("answers")
 
 
+def store_path(src, name: str) -> str:
+    return f"{ensure_checkpoint_dir(src.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("resumed_inference", with_ctes("""SELECT p.persona_id, p.segment, q.n_questions AS n_answers,
+    CAST(CASE WHEN p.segment = 'heavy' THEN 2 ELSE 1 END AS BIGINT) AS attempt, CAST(NULL AS VARCHAR) AS error
+    FROM pers p JOIN qs q ON p.conv_id = q.conv_id"""))
+def q_resumed_inference(src):
+    """A job that the model fails for one segment, made again on its answer store: the rest is not asked twice."""
+    personas = cv.sim_personas(src)
+    asked = rs.build_prompts(personas, sim_questions(src), "conv_id")
+    path = store_path(src, "answers")
+    for up in (False, True):
+        out = AnswerStore(src.spark, path).answer(asked, ["persona_id"], "prompt", partial(rp.LateResponder, "heavy", up),
+                                                  prompts_per_task=1000)
+    return rs.parse_answers(out.join(personas, "persona_id")).select(
+        "persona_id", "segment", F.size("answers").cast("long").alias("n_answers"), "attempt", "error")
+
+
+STUB_CTES = [
+    ("stub", """SELECT p.conv_id, p.persona_id, p.persona_name, p.segment, row_number() OVER (ORDER BY p.conv_id) AS rnk,
+        CASE WHEN n IS NULL THEN 'none' WHEN p.conv_id % 4 = 3 THEN 'broken' WHEN p.conv_id % 5 = 4 THEN 'failed'
+             WHEN p.conv_id % 7 = 5 THEN 'silent' ELSE 'answered' END AS mood, s.answers
+        FROM pers p LEFT JOIN (
+          SELECT conv_id, count(*) AS n, list({'question_id': 'q' || CAST(turn AS VARCHAR), 'selected_option': 'choice ' || CAST(conv_id % 3 AS VARCHAR),
+            'rationale': 'q' || CAST(turn AS VARCHAR) || ' suits persona ' || CAST(conv_id AS VARCHAR),
+            'cot': ['read', 'q' || CAST(turn AS VARCHAR)], 'integrity_score': 85.0::DOUBLE + conv_id % 15} ORDER BY turn) AS answers
+          FROM conversations WHERE role = 'user' GROUP BY conv_id) s ON p.conv_id = s.conv_id"""),
+    ("total", "SELECT count(*) AS n FROM pers"),
+]
+LOG_SQL = f"""SELECT CAST(rnk + (rnk - 1) // {BATCH} AS BIGINT) AS seq, CAST((rnk - 1) // {BATCH} AS BIGINT) AS batch,
+      CASE WHEN mood = 'answered' THEN 'result' ELSE 'error' END AS type,
+      CASE WHEN mood = 'answered' THEN CAST(json_object('type', 'result', 'persona_id', persona_id, 'persona_name', persona_name,
+                                                        'segment', segment, 'answers', answers) AS VARCHAR)
+           ELSE CAST(json_object('type', 'error', 'persona_id', persona_id, 'persona_name', persona_name, 'message',
+             CASE mood WHEN 'broken' THEN '[{{"question_id": ' WHEN 'failed' THEN 'no model for persona ' || CAST(conv_id AS VARCHAR)
+                       ELSE {_q(fixed.PARSE_FAILURE_MESSAGE)} END) AS VARCHAR) END AS payload
+    FROM stub
+    UNION ALL SELECT done + b + 1, b, 'progress',
+      '{{"type":"progress","done":' || CAST(done AS VARCHAR) || ',"total":' || CAST(n AS VARCHAR) || '}}'
+    FROM (SELECT CAST(b AS BIGINT) AS b, least((b + 1) * {BATCH}, n) AS done, n FROM total, range((n + {BATCH - 1}) // {BATCH}) AS r(b))
+    UNION ALL SELECT n + (n + {BATCH - 1}) // {BATCH} + 1, (n + {BATCH - 1}) // {BATCH}, 'done',
+      '{{"type":"done","total":' || CAST(n AS VARCHAR) || '}}' FROM total"""
+
+
+def with_stub(body: str) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in CTES + STUB_CTES) + "\n" + body
+
+
+def _run(src):
+    return rs.run_simulation(cv.sim_personas(src), sim_questions(src), "conv_id", rp.MoodyResponder, store_path(src, "answers"),
+                             ["conv_id"], BATCH, prompts_per_task=1000)
+
+
+@register("response_event_log", with_stub(LOG_SQL))
+def q_event_log(src):
+    """The whole job in one batch; its event log as written and read back."""
+    path = store_path(src, "event-log")
+    _run(src)[1].write.mode("append").parquet(path)
+    return src.spark.read.parquet(path)
+
+
+@register("simulated_answers", with_stub("""SELECT rank, persona_id, question_id, selected_option, rationale, integrity_score FROM (
+    SELECT rnk AS rank, persona_id, unnest(answers, recursive := true) FROM stub WHERE mood = 'answered')"""))
+def q_simulated_answers(src):
+    """The job's answers, read back from its event log, one row per question."""
+    log = _run(src)[1]
+    events = rs.read_events(log).where("type = 'result'")
+    return events.select((F.col("seq") - F.col("batch")).alias("rank"), "persona_id", F.explode("answers").alias("a")).select(
+        "rank", "persona_id", "a.question_id", "a.selected_option", "a.rationale", "a.integrity_score")
+
+
 @register("parse_answers", with_ctes("SELECT persona_id, CAST(coalesce(len(answers), 0) AS BIGINT) AS n_answers FROM pa"))
 def q_parse_answers(src):
     """Answer array extracted from free text."""

@@ -9,7 +9,7 @@ from persona_engine.operators import features as fe
 from persona_engine.operators import personas as pe
 from persona_engine.operators import segment as sg
 from persona_engine.plans import pipeline as pl
-from persona_engine.plans.oracle_views import LAB_CTE, _q, kmeans_ctes, py_float_sql, with_views
+from persona_engine.plans.oracle_views import LAB_CTE, _q, kmeans_ctes, projection_ctes, py_float_sql, with_views
 from persona_engine.plans.registry import register
 from persona_engine.sources import views
 
@@ -120,11 +120,18 @@ def q_cluster_sizes(src):
     return s.withColumn("n_total", F.sum("size").over(Window.partitionBy())).orderBy("cluster_id")
 
 
-@register("clustered_customers", with_views(SEG_VIEWS, """SELECT cust_id, persona_cluster,
-    round_even(sq_dist, 6) AS sq_dist FROM assigned""", SEG_CTES))
+def _mapped(src):
+    """Labelled customers with their coordinates on the 2-D map of the standardised features."""
+    seg = _seg(src)
+    return sg.pca_projection(seg.labelled, seg.z_cols)
+
+
+@register("clustered_customers", with_views(SEG_VIEWS, """SELECT a.cust_id, a.persona_cluster, round_even(a.sq_dist, 6) AS sq_dist,
+    round_even(p.x, 4) AS x, round_even(p.y, 4) AS y FROM assigned a JOIN proj p ON a.cust_id = p.cust_id""", SEG_CTES + projection_ctes()))
 def q_clustered(src):
-    """label and distance attached to every customer."""
-    return _seg(src).labelled.select("cust_id", "persona_cluster", F.bround("sq_dist", 6).alias("sq_dist"))
+    """label, distance and 2-D coordinates attached to every customer."""
+    return _mapped(src).select("cust_id", "persona_cluster", F.bround("sq_dist", 6).alias("sq_dist"),
+                               F.bround("x", 4).alias("x"), F.bround("y", 4).alias("y"))
 
 
 @register("cluster_filter", with_views(SEG_VIEWS, """SELECT cust_id, usr_age, ltv_r FROM lab
@@ -147,14 +154,12 @@ def q_assign_nearest(src):
                                                   F.bround("sq_dist", 6).alias("sq_dist"))
 
 
-@register("cluster_density", with_views(SEG_VIEWS, """SELECT a.persona_cluster,
-    CAST(floor(x.value / 0.5) AS BIGINT) AS bin_x, CAST(floor(y.value / 0.5) AS BIGINT) AS bin_y, count(*) AS n_points
-    FROM assigned a JOIN z x ON a.cust_id = x.cust_id AND x.feature = 'usr_age'
-    JOIN z y ON a.cust_id = y.cust_id AND y.feature = 'ltv_r' GROUP BY ALL""", SEG_CTES))
+@register("cluster_density", with_views(SEG_VIEWS, """SELECT a.persona_cluster, CAST(floor(p.x / 0.5) AS BIGINT) AS bin_x,
+    CAST(floor(p.y / 0.5) AS BIGINT) AS bin_y, count(*) AS n_points
+    FROM assigned a JOIN proj p ON a.cust_id = p.cust_id GROUP BY ALL""", SEG_CTES + projection_ctes()))
 def q_cluster_density(src):
-    """F8: binned 2-D density per cluster over (scaled age, scaled LTV)."""
-    lab = _seg(src).labelled
-    return sg.cluster_density(lab, pl.Z + "usr_age", pl.Z + "ltv_r", 0.5)
+    """F8: the cluster map as a binned density over the 2-D coordinates."""
+    return sg.cluster_density(_mapped(src), "x", "y", 0.5)
 
 
 @register("feature_matrix", with_views(["z"], "SELECT cust_id, feature, round_even(value, 6) AS value FROM z"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from persona_engine.functions import fixed
+from persona_engine.functions import fixed, prompts
 from persona_engine.operators import survey as sv
+from persona_engine.operators.responder import DraftStubResponder
 from persona_engine.plans.oracle_views import _q, render_sql, sql_list
 from persona_engine.plans.registry import register
 from persona_engine.sources import conversations as cv
@@ -37,9 +38,17 @@ TKEY = f"CASE WHEN survey_type IN ({sql_list(sv.TYPES_WITH_TEMPLATES)}) THEN sur
 CTES = [
     ("every", f"""SELECT 'p-' || CAST(conv_id AS VARCHAR) AS project_id, conv_id, arg_min(text, turn) AS user_prompt,
         [{TYPES}][(conv_id % {len(cv.SURVEY_TYPES)}) + 1] AS survey_type,
-        count(*) AS question_count, '' AS project_purpose
+        count(*) AS question_count, '' AS project_purpose,
+        CAST('{cv.TEMPLATE_EPOCH}' AS DATE) + CAST(conv_id % 365 AS INTEGER) AS requested_on,
+        CASE WHEN conv_id % 3 = 0 THEN '' ELSE 'at least ' || CAST(count(*) AS VARCHAR) || ' turns' END AS filter_summary,
+        CASE WHEN conv_id % 2 = 0 THEN 'conversations' END AS segment_source
         FROM conversations WHERE role = 'user' GROUP BY conv_id"""),
-    ("req", "SELECT * FROM every WHERE question_count BETWEEN 1 AND 20"),
+    ("tversions", "SELECT * FROM (VALUES " + ", ".join(
+        f"({_q(t)}, {_q(i)}, {_q(v)}, CAST({_q(d)} AS DATE), {_q(', '.join(b))})" for t, i, v, d, b in cv.TEMPLATE_VERSIONS)
+     + ") AS t(survey_type, template_id, template_version, valid_from, blocks)"),
+    ("everyt", "SELECT e.*, t.template_id, t.template_version, t.blocks FROM every e ASOF LEFT JOIN tversions t "
+               "ON e.survey_type = t.survey_type AND e.requested_on >= t.valid_from"),
+    ("req", "SELECT * FROM everyt WHERE question_count BETWEEN 1 AND 20"),
     ("tmpl", TMPL_SQL),
     ("asst", "SELECT conv_id, arg_min(text, turn) AS answer_text FROM conversations WHERE role = 'assistant' GROUP BY conv_id"),
     ("raw", f"""SELECT r.project_id, CASE r.conv_id % 5
@@ -131,33 +140,74 @@ SEG_CTE = ("segs", """SELECT segment AS name, count(*) AS count FROM (
 
 
 SURVEY_PROMPT_SQL = render_sql(
-    fixed.SURVEY_PROMPT_TEMPLATE, question_count="question_count", purpose="coalesce(nullif(project_purpose, ''), user_prompt)",
-    user_prompt="user_prompt", filter_summary=_q(fixed.SURVEY_FILTER_DEFAULT),
+    prompts.SURVEY_PROMPT_TEMPLATE, question_count="question_count", purpose="coalesce(nullif(project_purpose, ''), user_prompt)",
+    user_prompt="user_prompt", filter_summary=f"coalesce(nullif(filter_summary, ''), {_q(prompts.SURVEY_FILTER_DEFAULT)})",
     target_count="(SELECT coalesce(sum(count), 0) FROM segs)",
-    segments=f"""coalesce((SELECT string_agg({render_sql(fixed.SURVEY_SEGMENT_LINE, name='name', count='count')}, {NL}
-        ORDER BY name, count) FROM segs), {_q(fixed.SURVEY_PROMPT_NO_SEGMENTS)})""",
-    survey_type="survey_type", required_blocks=_q(fixed.SURVEY_PROMPT_FREE_BLOCKS))
+    segments=f"""coalesce((SELECT string_agg({render_sql(prompts.SURVEY_SEGMENT_LINE, name='name', count='count')}, {NL}
+        ORDER BY name, count) FROM segs), {_q(prompts.SURVEY_PROMPT_NO_SEGMENTS)})""",
+    survey_type="survey_type", required_blocks=f"coalesce(nullif(blocks, ''), {_q(prompts.SURVEY_PROMPT_FREE_BLOCKS)})",
+    template_note=f"""CASE WHEN template_id IS NULL THEN '' ELSE {render_sql(prompts.SURVEY_TEMPLATE_NOTE, template_id='template_id',
+        template_version='template_version')} END""",
+    form=_q(prompts.form_example(prompts.QUESTION_FORM)), types=_q(sv.QUESTION_TYPES), open_type=_q(fixed.OPEN_ENDED_TYPE))
+
+
+def _segments(src):
+    return cv.sim_personas(src).groupBy(F.col("segment").alias("name")).agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("survey_prompt", with_ctes(f"SELECT project_id, {SURVEY_PROMPT_SQL} AS prompt FROM req", [SEG_CTE]))
 def q_survey_prompt(src):
-    """H7: draft prompt per request with the segment block."""
-    segs = cv.sim_personas(src).groupBy(F.col("segment").alias("name")).agg(F.count(F.lit(1)).alias("count"))
-    return sv.survey_prompt(sv.valid_requests(cv.survey_requests(src)), segs)
-
-
-@register("draft_metadata", with_ctes("""SELECT m.*, r.question_count AS requested_count,
-    CAST(m.question_count <> r.question_count AS BIGINT) AS count_mismatch, CAST(NULL AS VARCHAR) AS error FROM (
-      SELECT project_id, count(*) AS question_count, 'model' AS generation_source,
-        CAST(NULL AS VARCHAR) AS template_id, CAST(NULL AS VARCHAR) AS template_version,
-        CAST(NULL AS VARCHAR) AS segment_source FROM parsed GROUP BY project_id
-      UNION ALL SELECT project_id, question_count, 'fallback', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
-        CAST(NULL AS VARCHAR) FROM req WHERE project_id NOT IN (SELECT project_id FROM parsed)) m
-    LEFT JOIN req r ON m.project_id = r.project_id
+    """H7: draft prompt per request: segments, filter, and the blocks of the template valid when it was made."""
+    requests = sv.with_templates(sv.valid_requests(cv.survey_requests(src)), cv.survey_templates(src))
+    return sv.survey_prompt(requests, _segments(src))
+
+
+METADATA_SQL = """SELECT m.project_id, m.question_count, m.generation_source, r.template_id, r.template_version, r.segment_source,
+    r.question_count AS requested_count, CAST(m.question_count <> r.question_count AS BIGINT) AS count_mismatch, CAST(NULL AS VARCHAR) AS error
+    FROM ({drafts}) m LEFT JOIN req r ON m.project_id = r.project_id
     UNION ALL SELECT project_id, NULL, NULL, NULL, NULL, NULL, question_count, NULL, 'question_count must be between 1 and 20'
-    FROM every WHERE question_count NOT BETWEEN 1 AND 20"""))
+    FROM every WHERE question_count NOT BETWEEN 1 AND 20"""
+
+
+@register("draft_metadata", with_ctes(METADATA_SQL.format(drafts="""
+      SELECT project_id, count(*) AS question_count, 'model' AS generation_source FROM parsed GROUP BY project_id
+      UNION ALL SELECT project_id, question_count, 'fallback' FROM req WHERE project_id NOT IN (SELECT project_id FROM parsed)""")))
 def q_metadata(src):
-    """H8: draft metadata (count, source, template id) per project."""
-    req = cv.survey_requests(src)
+    """H8: draft metadata (count, source, template id and version, source of the segments) per project."""
+    req = sv.with_templates(cv.survey_requests(src), cv.survey_templates(src))
     q = sv.with_fallback(sv.valid_requests(req), sv.parse_questions(cv.survey_model_output(src)))
     return sv.draft_metadata(q, req)
+
+
+@register("request_templates", with_ctes("SELECT project_id, survey_type, CAST(requested_on AS VARCHAR) AS requested_on, template_id, "
+                                         "template_version, CASE WHEN template_id IS NULL THEN NULL ELSE replace(blocks, ', ', '|') END "
+                                         "AS required_blocks FROM everyt"))
+def q_request_templates(src):
+    """H7/H8: the template version valid for each request (as-of join)."""
+    return sv.with_templates(cv.survey_requests(src), cv.survey_templates(src)).select(
+        "project_id", "survey_type", "requested_on", "template_id", "template_version", "required_blocks")
+
+
+DRAFTED = "question_count % 3 <> 0 AND question_count % 5 <> 1"
+
+
+def _drafts(src):
+    return sv.draft_surveys(cv.survey_requests(src), _segments(src), cv.survey_templates(src), DraftStubResponder)
+
+
+@register("survey_drafts", with_ctes(f"""SELECT project_id, 'q-' || substr(md5(project_id || ':' || CAST(i AS VARCHAR)), 1, 8) AS id,
+      'Question ' || CAST(i AS VARCHAR) || ' of ' || CAST(question_count AS VARCHAR) AS text, {_q(fixed.DEFAULT_QUESTION_TYPE)} AS type,
+      'a|b' || CAST(i AS VARCHAR) AS options, CAST(i AS BIGINT) AS "order", 'draft' AS status, 'model' AS generation_source,
+      'because ' || CAST(i AS VARCHAR) AS ai_rationale, '' AS ai_evidence
+    FROM (SELECT *, unnest(range(1, question_count + 1)) AS i FROM req WHERE {DRAFTED})
+    UNION ALL """ + fallback_sql(f"(SELECT * FROM req WHERE NOT ({DRAFTED}))")))
+def q_survey_drafts(src):
+    """H1–H8 as one job: the questions of every valid request, by the model or the templates."""
+    return _flat(_drafts(src)[0])
+
+
+@register("survey_draft_metadata", with_ctes(METADATA_SQL.format(drafts=f"""SELECT project_id, question_count,
+    CASE WHEN {DRAFTED} THEN 'model' ELSE 'fallback' END AS generation_source FROM req""")))
+def q_survey_draft_metadata(src):
+    """H8 of that job."""
+    return _drafts(src)[1]

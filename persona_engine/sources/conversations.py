@@ -16,12 +16,22 @@ from persona_engine.operators.survey import valid_requests
 from persona_engine.sources.tables import Sources
 
 SURVEY_TYPES = ["concept", "ad", "usage"]          # 'usage' has no templates → default set
+TEMPLATE_EPOCH = "2024-01-01"
+TEMPLATE_VERSIONS = [
+    ("concept", "t-concept", "1", "2024-01-01", ["screening", "concept"]),
+    ("concept", "t-concept", "2", "2024-05-01", ["screening", "concept", "price"]),
+    ("ad", "t-ad", "1", "2024-01-01", ["recall"]),
+    ("ad", "t-ad", "2", "2024-03-15", ["recall", "liking"]),
+    ("ad", "t-ad-open", "1", "2024-09-01", []),
+    ("usage", "t-usage", "1", "2024-02-01", ["habits"]),      # none is valid in January
+]
 PROSE_HEAD = "Sure, here is the list:\n"
 PROSE_TAIL = "\nHope it helps."
 
 
 def survey_requests(src: Sources) -> DataFrame:
-    """One draft request per conversation: first user turn = prompt, #user turns = count."""
+    """One draft request per conversation: first user turn = prompt, #user turns = count; its date, filter and
+    source of segments are told by the conversation's number."""
     u = (src.conversations.where(F.col("role") == "user").groupBy("conv_id")
          .agg(F.min_by("text", "turn").alias("user_prompt"), F.count(F.lit(1)).alias("n_user")))
     types = F.array(*[F.lit(t) for t in SURVEY_TYPES])
@@ -29,7 +39,17 @@ def survey_requests(src: Sources) -> DataFrame:
         F.concat(F.lit("p-"), F.col("conv_id").cast("string")).alias("project_id"), "conv_id", "user_prompt",
         F.element_at(types, (F.pmod(F.col("conv_id"), F.lit(len(SURVEY_TYPES))) + 1).cast("int")).alias("survey_type"),
         F.col("n_user").cast("long").alias("question_count"),
-        F.lit("").alias("project_purpose"))
+        F.lit("").alias("project_purpose"),
+        F.date_add(F.lit(TEMPLATE_EPOCH).cast("date"), F.pmod(F.col("conv_id"), F.lit(365)).cast("int")).alias("requested_on"),
+        F.when(F.pmod(F.col("conv_id"), F.lit(3)) == 0, F.lit("")).otherwise(F.concat(F.lit("at least "), F.col("n_user").cast("string"), F.lit(" turns")))
+        .alias("filter_summary"),
+        F.when(F.pmod(F.col("conv_id"), F.lit(2)) == 0, F.lit("conversations")).alias("segment_source"))
+
+
+def survey_templates(src: Sources) -> DataFrame:
+    """Versions of survey templates with the date from which each is valid."""
+    return src.spark.createDataFrame(TEMPLATE_VERSIONS, "survey_type string, template_id string, template_version string, "
+                                     "valid_from string, required_blocks array<string>").withColumn("valid_from", F.col("valid_from").cast("date"))
 
 
 def first_assistant(src: Sources) -> DataFrame:

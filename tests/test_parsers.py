@@ -110,8 +110,8 @@ def test_shared_survey_prompts_and_validation(spark):
                                "options array<string>")
     pr = {r["persona_id"]: r for r in rs.build_prompts(personas, qs, None).collect()}
     assert pr["p1"]["n_questions"] == 2
-    assert '1. [q-a] (단일선택) Q one\n   선택지: ["x", "y"]' in pr["p1"]["prompt"] and "Bo" in pr["p2"]["prompt"]
-    events, _ = rs.run_simulation(personas, qs, "persona_id", rp.FirstOptionResponder, 1)
+    assert '1. [q-a] (단일선택) Q one\n   options: ["x", "y"]' in pr["p1"]["prompt"] and "Bo" in pr["p2"]["prompt"]
+    events, _ = rs.run_simulation(personas, qs, "persona_id", rp.FirstOptionResponder, batch_size=1)
     got = {r["persona_id"]: r for r in events.collect()}
     assert got["p1"]["n_answers"] == 2 and got["p2"]["type"] == "result"
     many = spark.range(1, 23).selectExpr("id AS q_order", "concat('q', id) AS question_id", "'단일선택' AS question_type",

@@ -33,7 +33,7 @@ def test_run_pipeline_writes_and_reads_back(spark, tmp_out):
 def test_weekly_usage_stream_equals_batch(spark):
     src = Sources(spark, SF001)
     batch = weekly_usage(views.app_usage_events(src))
-    stream = run_weekly_usage_stream(spark, SF001)
+    stream, _ = run_weekly_usage_stream(spark, SF001)
     cols = sorted(batch.columns)
     assert sorted(map(tuple, batch.select(cols).collect())) == sorted(map(tuple, stream.select(cols).collect()))
 
@@ -41,7 +41,7 @@ def test_weekly_usage_stream_equals_batch(spark):
 def test_simulation_stream_equals_batch(spark):
     import __spark_entry__ as E
     q = E.queries()
-    a = q["response_events"](spark, SF001)
+    a = q["response_event_log"](spark, SF001)
     b = q["simulation_stream"](spark, SF001)
     cols = sorted(a.columns)
     key = lambda r: tuple(map(str, r))
@@ -54,7 +54,7 @@ def test_weekly_usage_stream_independent_of_session_zone(spark):
     try:
         src = Sources(spark, SF001)
         batch = weekly_usage(views.app_usage_events(src))
-        stream = run_weekly_usage_stream(spark, SF001)
+        stream, _ = run_weekly_usage_stream(spark, SF001)
         cols = sorted(batch.columns)
         assert sorted(map(tuple, batch.select(cols).collect())) == sorted(map(tuple, stream.select(cols).collect()))
     finally:
@@ -68,13 +68,13 @@ def test_run_simulation_end_to_end(spark):
     from persona_engine.sources import conversations as cv
     src = Sources(spark, SF001)
     personas = cv.sim_personas(src)
-    events, progress = rs.run_simulation(personas, sim_questions(src), "conv_id", rp.FirstOptionResponder, 5)
+    events, log = rs.run_simulation(personas, sim_questions(src), "conv_id", rp.FirstOptionResponder, batch_size=5)
     ev = events.collect()
     assert len(ev) == personas.count()
     assert all(r["type"] == "result" and r["n_answers"] >= 1 for r in ev)
-    pr = progress.orderBy("type", "batch").collect()
-    done = [r for r in pr if r["type"] == "done"][0]
-    assert done["total"] == len(ev) and max(r["done"] for r in pr if r["type"] == "progress") == len(ev)
+    pr = rs.read_events(log).where("done is not null or total is not null").collect()
+    assert [r["total"] for r in pr if r["type"] == "done"] == [len(ev)]
+    assert max(r["done"] for r in pr if r["type"] == "progress") == len(ev)
 
 
 def test_synthetic_shares_within_three_standard_errors(spark):
@@ -108,7 +108,7 @@ def test_run_eda_writes_summary(spark, tmp_out):
 
 
 def test_report_prompt_without_a_response_summary(spark):
-    from persona_engine.functions import fixed
+    from persona_engine.functions import fixed, prompts
     from persona_engine.operators import report as rp
     from persona_engine.operators.report_prompt import build_report_prompt
     from persona_engine.plans import q_report
@@ -121,5 +121,5 @@ def test_report_prompt_without_a_response_summary(spark):
 
     top = [r["line"] for r in rp.top_responses(cards, "").orderBy("card_rank").collect()]
     text = prompt(cards)
-    assert top and "\n".join(top) in text and fixed.NO_RESPONSES not in text
-    assert fixed.NO_RESPONSES in prompt(cards.limit(0))
+    assert top and "\n".join(top) in text and prompts.REPORT_NO_RESPONSES not in text
+    assert prompts.REPORT_NO_RESPONSES in prompt(cards.limit(0))

@@ -40,6 +40,6 @@ def test_price_and_sequence_do_not_read_parts(spark):
 def test_stream_reads_a_table_of_part_files(spark, tmp_out):
     from persona_engine.streaming.usage_stream import run_weekly_usage_stream
     spark.read.parquet(f"{SF001}/events.parquet").repartition(3).write.parquet(f"{tmp_out}/events.parquet")
-    got = run_weekly_usage_stream(spark, tmp_out).toPandas()
+    got = run_weekly_usage_stream(spark, tmp_out)[0].toPandas()
     want = E.queries()["weekly_usage"](spark, SF001).toPandas()
     assert len(got) == len(want) and got["usage_cnt"].sum() == want["usage_cnt"].sum()
