@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from persona_engine.llm.memory import release_memory
+
 MARK = "▁"
 #: A worker's cache of encoded words is emptied beyond this many (bounded memory; results don't depend on it).
 CACHE_WORDS = 100_000
@@ -236,5 +238,7 @@ def encode_documents(docs: DataFrame, model_file: str, keep_ids: bool = False) -
                 out += [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(out, names=names)
+        enc.cache.clear()       # the worker lives on
+        release_memory()
 
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text").mapInArrow(run, schema)
