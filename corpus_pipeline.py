@@ -1,7 +1,9 @@
 """A training corpus from documents, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps or changes of ``docs``
-with the columns of documents; the last returns what encoding gives. Each result is
+with the columns of documents; the last returns what encoding gives. Null and empty texts
+and repeated rows pass through by the rules of each stage's operator, a null text as an
+empty one; an empty table gives an empty result; columns beyond those of documents stay. Each result is
 written as Parquet and read again as the next stage's docs. ``run`` does that in the
 shared checkpoint folder.
 """
@@ -21,28 +23,41 @@ from persona_engine.llm.toxicity import drop_toxic, train_toxicity
 from persona_engine.session import ensure_checkpoint_dir
 
 
+#: Rows that travel to a Python worker at once: whole texts, some of them long.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject (learned from the labels of four fifths of them)."""
+    small_batches(spark)
     return drop_toxic(docs, train_toxicity(docs, labels(spark, sf_dir)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that give it away replaced or removed."""
+    small_batches(spark)
     return sanitise_documents(docs, DisclosurePlan(everywhere=True))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: documents as often as they are taken, parts cut."""
+    small_batches(spark)
     return take_mix(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded texts."""
+    small_batches(spark)
     return encode_documents(docs, tokenizer_path())
 
 
