@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from persona_engine.operators.indexing import row_number_within, running_sum_within
 from persona_engine.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,7 +34,7 @@ class MixPlan:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)   # by source in code-point order, repeating
     share: float = 1.5                             # of all sizes
     max_repeat: int = 2                            # targets and documents stop at this many times their size
-    block_words: int = 32
+    block_words: int = 4                           # quotas are whole blocks; only a cell's last may be cut
     shard_docs: int = 4096                         # documents of a cell, about
     seed: int = 17
 
@@ -45,22 +46,23 @@ def source_targets(rows: DataFrame, plan: MixPlan) -> DataFrame:
     level is what remains of the total, per weight of the sources not yet stopped.
     """
     s = rows.groupBy("key", "is_null").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"))
-    # one row per source from here on
+    # sources may be many (hosts): their order and the sums up to each are taken over range partitions
     weights = F.array(*[F.lit(float(w)) for w in plan.weights])
-    order = F.row_number().over(Window.orderBy("is_null", "key")) - 1
-    s = s.withColumn("w", F.element_at(weights, (order % len(plan.weights) + 1).cast("int")))
+    s = row_number_within(s, [], ["is_null", "key"], "place")
+    s = s.withColumn("w", F.element_at(weights, ((F.col("place") - 1) % len(plan.weights) + 1).cast("int")))
     s = s.withColumn("cap", (plan.max_repeat * F.col("source_size")).cast("double"))
-    everything = Window.partitionBy()
-    before = Window.orderBy((F.col("cap") / F.col("w")).asc(), "is_null", "key").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("total", plan.share * F.sum("source_size").over(everything))
-    s = s.withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-                     / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))))
+    s = s.withColumn("ratio", F.col("cap") / F.col("w"))
+    whole = s.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    if not whole["w"]:
+        return s.select("key", "is_null", "n_docs", "source_size", F.lit(0.0).alias("target"))
+    order = ["ratio", "is_null", "key"]
+    upto = running_sum_within(running_sum_within(s, [], order, "cap", "cap_upto"), [], order, "w", "w_upto")
+    level = (F.lit(plan.share * whole["size"]) - F.col("cap_upto") + F.col("cap")) / (F.lit(whole["w"]) - F.col("w_upto") + F.col("w"))
     # the level before the first source that doesn't stop is final
-    place = F.row_number().over(Window.orderBy((F.col("cap") / F.col("w")).asc(), "is_null", "key"))
-    stays = F.when(F.col("cap") >= F.col("level") * F.col("w"), F.struct(place.alias("place"), "level"))
-    s = s.withColumn("stays", stays).withColumn("final", F.coalesce(F.min("stays").over(everything)["level"], F.lit(0.0)))
-    return s.select("key", "is_null", "n_docs", "source_size",
-                    F.least("cap", F.col("final") * F.col("w")).alias("target"))
+    stays = F.when(F.col("cap") >= level * F.col("w"), F.struct(*order, level.alias("level")))
+    final = upto.agg(F.min(stays)["level"].alias("level")).first()["level"]
+    return s.select("key", "is_null", "n_docs", "source_size", F.least("cap", F.lit(float(final or 0.0)) * F.col("w")).alias("target")
+                    if final is not None else F.col("cap").alias("target"))
 
 
 def apportion(cells: DataFrame, seats: int) -> DataFrame:
@@ -79,7 +81,7 @@ def apportion(cells: DataFrame, seats: int) -> DataFrame:
     if not whole["claim"] or seats <= 0:
         return cells.withColumn("quota", F.lit(0).cast("long"))
     low, high = whole["claim"] / seats / 4, whole["claim"] / seats * 4   # more blocks at low, fewer at high
-    for _ in range(3):
+    for _ in range(4):
         grid = [low * (high / low) ** (k / (_GRID - 1)) for k in range(_GRID)]
         got = cells.agg(*[F.sum(rounded(d)) for d in grid]).first()
         above = [k for k in range(_GRID) if got[k] >= seats]
@@ -120,19 +122,19 @@ def mix_sources(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     # one row per source: broadcast if there are few; a source with a third of all rows is then not moved
     few = F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
     placed = rows.join(few, ["key", "is_null"]).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(p.seed), "doc_id"), F.ceil(F.col("n_docs") / p.shard_docs)))
+        "shard", F.pmod(F.xxhash64(F.lit(p.seed), "doc_id", "text_key"), F.ceil(F.col("n_docs") / p.shard_docs)))
     cells = (placed.groupBy("key", "is_null", "shard")
              .agg(F.sum("size").alias("ring"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
              .withColumn("claim", F.when(F.col("source_size") > 0, F.col("target") * F.col("ring") / F.col("source_size")).otherwise(0.0))
-             .withColumn("most", F.floor(p.max_repeat * F.col("ring") / p.block_words).cast("long")))
+             .withColumn("most", F.ceil(p.max_repeat * F.col("ring") / p.block_words).cast("long")))
     cells = materialize(cells.select("key", "is_null", "shard", "ring", "claim", "most"))
     total = cells.agg(F.sum("claim")).first()[0] or 0.0
     quotas = apportion(cells, round(total / p.block_words)).select(
-        "key", "is_null", "shard", "ring", (F.col("quota") * p.block_words).alias("words"),
+        "key", "is_null", "shard", "ring", F.least(F.col("quota") * p.block_words, p.max_repeat * F.col("ring")).alias("words"),
         F.when(F.col("ring") > 0, F.pmod(F.xxhash64(F.lit(p.seed + 1), "key", "is_null", "shard"), F.col("ring"))).otherwise(0).alias("begin"))
     quotas = quotas.withColumns({"copies": F.when(F.col("ring") > 0, F.floor(F.col("words") / F.col("ring"))).otherwise(0).cast("long"),
                                  "arc": F.when(F.col("ring") > 0, F.col("words") % F.col("ring")).otherwise(0)})
-    order = Window.partitionBy("key", "is_null", "shard").orderBy(F.xxhash64(F.lit(p.seed + 2), "doc_id"), "doc_id", "size")
+    order = Window.partitionBy("key", "is_null", "shard").orderBy(F.xxhash64(F.lit(p.seed + 2), "doc_id"), "doc_id", "size", "text_key")
     out = (placed.join(quotas, ["key", "is_null", "shard"])
            .withColumn("x", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")))
 
