@@ -4,9 +4,11 @@ Base spans (e-mail, IP, card, phone) come from patterns. The method then protect
 value that a document states: an entity e. Over whole documents it counts in how many e
 occurs, in how many a term t occurs with e, and in how many t occurs at all;
 ``disclosure = PMI(t, e) / IC(e)`` is the part of e's information that t gives away
-(1: t occurs only with e). Terms whose disclosure reaches a threshold, with enough
-documents to tell, become spans of kind ``term``, wherever they stand: removed above one
-threshold, generalised above the other.
+(1: t occurs only with e). Terms whose disclosure reaches a threshold become spans of kind
+``term``, wherever they stand: removed above one threshold, generalised above the other.
+Counts alone tell that a term goes with a value if enough documents hold both. A value
+stated once or twice is given away by the terms that are a part of it (the name in an
+address, the last digits of a number): these need no such number, only the disclosure.
 
 Counting is pre-aggregated in the tasks and shuffled by (entity, term) or by term hash, so
 an entity or a term that a third of all documents hold is a few rows per task.
@@ -47,11 +49,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
+_DIGITS = re.compile("[0-9]+")
+_WORDS = re.compile("[A-Za-z0-9]+")
 
 
 @dataclass(frozen=True)
 class DisclosurePlan:
-    min_docs: int = 3          # documents that hold both a term and the entity
+    min_docs: int = 3          # documents that hold both a term and the entity, for terms that are no part of it
     generalise: float = 0.8    # disclosure from which a term is generalised
     remove: float = 0.95       # and removed
     everywhere: bool = False   # also in documents that don't state the value
@@ -104,6 +108,22 @@ def _entity_hash(kind: int, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(_entity(kind, text).encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def value_parts(kind: int, text: str) -> list[str]:
+    """The terms of a value that say much of it: words of an e-mail address of 3 characters or more (but the last
+    label), and numbers of 4 digits or more of a card or phone; lower-cased."""
+    if kind == 0:
+        return sorted({p.lower() for p in _WORDS.findall(text.rpartition(".")[0]) if len(p) >= 3})
+    return sorted({p for p in _DIGITS.findall(text) if len(p) >= 4}) if kind in (2, 3) else []
+
+
+def _term_hashes(terms: list[str]) -> list[int]:
+    """The hashes that ``_terms`` gives these terms (not empty)."""
+    data = [t.encode() for t in terms]
+    ends = np.cumsum([0, *map(len, data)])
+    prefix = tb.prefix_hash(tb.LOWER[np.frombuffer(b"".join(data), np.uint8)])
+    return tb.span_hash(prefix, ends[:-1], ends[1:]).view(np.int64).tolist()
+
+
 def _entities(text: str | None) -> list[int]:
     """Hashes of the values a text states."""
     return sorted({_entity_hash(kind, text[a:b]) for a, kind, b in base_spans(text)}) if text else []
@@ -158,14 +178,24 @@ _PLACES = "array<struct<term:bigint,start:bigint,end:bigint>>"
 
 
 def entity_documents(docs: DataFrame) -> DataFrame:
-    """entity, n: partial counts of the documents that state each value; a row of a null entity counts the task's documents."""
+    """entity, term, n: partial counts of the documents that state each value, by each term that is a part of it and
+    (a null term) by itself; a row of a null entity counts the task's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = Counter(e for t in batch.column(0).to_pylist() for e in _entities(t))
-            yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.int64()), pa.array([batch.num_rows, *found.values()], pa.int64())], names=["entity", "n"])
+            found: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                mine = set()
+                for a, kind, b in base_spans(text) if text else []:
+                    entity, parts = _entity_hash(kind, text[a:b]), value_parts(kind, text[a:b])
+                    mine.add((entity, None))
+                    mine.update((entity, t) for t in (_term_hashes(parts) if parts else []))
+                found.update(mine)
+            entity, term = ([k[i] for k in found] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([None, *entity], pa.int64()), pa.array([None, *term], pa.int64()),
+                                              pa.array([batch.num_rows, *found.values()], pa.int64())], names=["entity", "term", "n"])
 
-    return docs.selectExpr("cast(text as string) text").mapInArrow(run, "entity bigint, n bigint")
+    return docs.selectExpr("cast(text as string) text").mapInArrow(run, "entity bigint, term bigint, n bigint")
 
 
 def find_base(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
@@ -255,12 +285,16 @@ def find_private(docs: DataFrame, plan: DisclosurePlan = DisclosurePlan()) -> Da
     outside base spans, in the documents that state the value, or with ``plan.everywhere``
     in all.
     """
-    counted = materialize(entity_documents(docs).groupBy("entity").agg(F.sum("n").alias("n_entity")))
+    stated = materialize(entity_documents(docs).groupBy("entity", "term").agg(F.sum("n").alias("n_entity")))
+    counted = stated.where("term is null").drop("term")
     total = F.lit(float(max(1, counted.where("entity is null").agg(F.sum("n_entity")).first()[0] or 0)))
     # what every document holds carries no information: nothing gives it away
-    entities = counted.where(F.col("entity").isNotNull() & (F.col("n_entity") >= plan.min_docs) & (F.col("n_entity") < total))
+    known = counted.where(F.col("entity").isNotNull() & (F.col("n_entity") < total))
+    entities = known.where(F.col("n_entity") >= plan.min_docs)
     both = entity_terms(docs, _thin(entities.select("entity"))).groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
-    both = materialize(both.where(F.col("n_both") >= plan.min_docs).join(entities, "entity"))
+    parts = stated.where("term is not null").select("entity", "term", F.col("n_entity").alias("n_both"))     # a part stands wherever its value does
+    both = both.where(F.col("n_both") >= plan.min_docs).join(entities, "entity").unionByName(parts.join(known, "entity"))
+    both = materialize(both.groupBy("entity", "term").agg(F.max("n_both").alias("n_both"), F.max("n_entity").alias("n_entity")))
     terms = both.select("term").distinct()
     counts = term_documents(docs)
     if terms.count() <= BROADCAST_TERMS:
