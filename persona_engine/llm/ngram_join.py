@@ -40,6 +40,8 @@ from persona_engine.session import materialize
 #: Tokens and texts of a block, at most (memory of a task in the first pass).
 BLOCK_TOKENS = 1_000_000
 BLOCK_TEXTS = 60_000
+#: Bytes of text whose tokens share a bucket, about (a bucket's tokens are in one task's memory, at some 2 bytes a byte of text).
+BUCKET_BYTES = 16 << 20
 #: Rows up to which a table of document ids is broadcast; beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Groups up to this many members are compared as pairs of rows; larger ones in blocks.
@@ -196,7 +198,8 @@ def _block_documents(group: pa.Table) -> pa.Table:
 def set_sizes(docs: DataFrame, plan: JaccardPlan) -> DataFrame:
     """doc_id, n (set size), d1, d2 (digest of the set) and shared (tokens that other texts hold too; some more by
     chance of the shortened hash) of every row."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     places = (_pack_blocks(docs, plan, buckets).groupBy("bucket")
               .applyInArrow(_shared_places, "block bigint, places binary, documents binary"))
     return places.groupBy("block").applyInArrow(_block_documents, "doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint")
