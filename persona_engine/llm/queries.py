@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from persona_engine.llm import oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,10 +37,11 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts of every document, hosts being the sources."""
     from persona_engine.llm.host_rules import host_rules
 
-    return host_rules(documents(spark, sf_dir))
+    return host_rules(documents(spark, sf_dir)).withColumn("host_rate", F.bround("host_rate", 9))
 
 
 QUERIES["op5_host_rules"] = op5_host_rules
+ORACLES["op5_host_rules"] = oracles.HOST_RULES
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +137,7 @@ def op11_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_rank_order_language"] = op11_rank_order_language
+ORACLES["op11_rank_order_language"] = oracles.RANK_ORDER_LANGUAGE
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,3 +158,31 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op13_token_alignment"] = op13_token_alignment
+
+
+def base_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op1_brown_lm what its base model says; SQL can say that."""
+    return op1_brown_lm(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.bround("base_score", 6).alias("base_score"))
+
+
+QUERIES["base_word_scores"] = base_word_scores
+ORACLES["base_word_scores"] = oracles.BASE_WORD_SCORES
+
+
+def base_license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op3_license_scan the places of the base phrases (-1: none)."""
+    first, last = (F.coalesce(c, F.lit(-1)).alias(c) for c in ("first_word", "last_word"))
+    return op3_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", first, last, "base_labels")
+
+
+QUERIES["base_license_places"] = base_license_places
+ORACLES["base_license_places"] = oracles.BASE_LICENSE_PLACES
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op7_mixing the sizes and targets."""
+    return op7_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.bround("target", 6).alias("target"))
+
+
+QUERIES["mix_targets"] = mix_targets
+ORACLES["mix_targets"] = oracles.MIX_TARGETS
