@@ -7,12 +7,15 @@ projection, so applying them is a map-only stage with no shuffle and no join.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from persona_engine.functions import fixed
 from persona_engine.functions.expr import flag, present, starts_with_active
+from persona_engine.operators.indexing import row_number_within
+from persona_engine.session import materialize
 
 # Precision of the quantiles that bracket a median: the bracket holds about 4 / accuracy of the rows.
 BRACKET_ACCURACY = 10_000
@@ -30,27 +33,57 @@ def encode_active(df: DataFrame, src: str = "sa_activeness", out: str = "is_acti
     return df.withColumn(out, starts_with_active(src))
 
 
-def one_hot_values(df: DataFrame, column: str) -> list:
-    """Sorted distinct non-null values of a column (each becomes a column of the result)."""
-    vals = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
-    return sorted(r[0] for r in vals)
+# Values of which each may become a column; a wider domain is clustered without columns (sparse_segment).
+ONE_HOT_COLUMNS = 256
+
+
+def one_hot_values(df: DataFrame, column: str) -> list | None:
+    """Sorted distinct non-null values of a column (each becomes a column of the result); None if there are too many."""
+    vals = df.select(column).where(F.col(column).isNotNull()).distinct().limit(ONE_HOT_COLUMNS + 1).collect()
+    return None if len(vals) > ONE_HOT_COLUMNS else sorted(r[0] for r in vals)
 
 
 def one_hot(df: DataFrame, column: str = "usr_cnty_ap2", prefix: str = "region",
             values: list | None = None) -> tuple[DataFrame, list[str]]:
-    """``region_<value>`` 0/1 columns (sorted; null → all 0; skipped if the column is absent)."""
+    """``region_<value>`` 0/1 columns (sorted; null → all 0; skipped if the column is absent).
+
+    More than ``ONE_HOT_COLUMNS`` values are an error: ``value_index`` numbers any number of
+    them, and ``sparse_segment`` clusters on them without columns.
+    """
     if column not in df.columns:
         return df, []
     values = one_hot_values(df, column) if values is None else values
+    if values is None:
+        raise ValueError(f"{column} has more than {ONE_HOT_COLUMNS} values")
     names = [f"{prefix}_{v}" for v in values]
     cols = [flag(F.col(column) == F.lit(v)).alias(n) for v, n in zip(values, names)]
     return df.select("*", *cols), names
 
 
-def encode_all(df: DataFrame, regions: list | None = None) -> tuple[DataFrame, list[str]]:
-    """Encodings plus the full clustered feature list."""
+def value_index(df: DataFrame, column: str) -> DataFrame:
+    """value, index (from 0 in value order): the distinct non-null values numbered over range partitions, not in one task."""
+    values = df.select(F.col(column).alias("value")).where("value is not null").distinct()
+    return row_number_within(values, [], ["value"], "index").withColumn("index", F.col("index") - 1)
+
+
+def one_hot_sparse(df: DataFrame, column: str, out: str = "region_vector") -> DataFrame:
+    """B4 for a domain of any size: a sparse vector with a 1 at the value's index; null → no 1.
+
+    The index is joined on: values are neither collected nor made columns.
+    """
+    index = materialize(value_index(df, column))
+    n = index.count()
+    # a null has the index after the last value, which the encoder leaves out
+    keyed = df.join(index, F.col(column) == F.col("value"), "left").withColumn("index", F.coalesce("index", F.lit(n)).cast("double")).drop("value")
+    sizes = df.sparkSession.createDataFrame([(float(n),)], "index double")
+    model = OneHotEncoder(inputCols=["index"], outputCols=[out], dropLast=True).fit(sizes)
+    return model.transform(keyed).drop("index")
+
+
+def encode_all(df: DataFrame, regions: list | None = None, region_columns: bool = True) -> tuple[DataFrame, list[str]]:
+    """Encodings plus the full clustered feature list, with a column per region if asked."""
     df = encode_active(encode_gender(df))
-    df, region_cols = one_hot(df, values=regions)
+    df, region_cols = one_hot(df, values=regions) if region_columns else (df, [])
     return df, list(fixed.FEATURE_COLS) + ["usr_gndr_enc", "is_active"] + region_cols
 
 

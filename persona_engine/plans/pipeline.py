@@ -2,8 +2,8 @@
 
 Jobs run by a plan, in order: (1) the customer table (joins + rollups) is
 checkpointed once; (2) three aggregates fit medians, means and population stds;
-(3) one job per Lloyd iteration for all restarts that still move, each a map-only
-pass + an aggregate of restarts × k rows; (4) the final lazy projection feeding
+(3) K-Means restarts iterate in the JVM, and exact passes for all restarts confirm them, each
+a map-only pass + an aggregate of restarts × k rows; (4) the final lazy projection feeding
 the single ``groupBy(persona_cluster)`` of the statistics.
 """
 
@@ -19,6 +19,7 @@ from persona_engine.functions import fixed
 from persona_engine.operators import features as fe
 from persona_engine.operators import personas as pe
 from persona_engine.operators import segment as sg
+from persona_engine.operators import sparse_segment as ss
 from persona_engine.session import materialize
 from persona_engine.sources import views
 from persona_engine.sources.tables import Sources
@@ -42,9 +43,9 @@ class Segmentation:
         return [Z + c for c in self.feature_cols]
 
 
-def encode_table(df: DataFrame, regions: list | None = None, checkpoint: bool = True):
+def encode_table(df: DataFrame, regions: list | None = None, checkpoint: bool = True, region_columns: bool = True):
     """Encode a customer-shaped table and (optionally) cut its lineage."""
-    enc, cols = fe.encode_all(df, regions)
+    enc, cols = fe.encode_all(df, regions, region_columns)
     cols = fe.numeric_columns(enc, cols)
     if checkpoint:
         enc = materialize(enc)
@@ -84,6 +85,22 @@ def segment_table(enc: DataFrame, cols: list, n_personas: int = 7, seed: int = 4
     return Segmentation(enc, labelled, cols, {"medians": medians, "moments": moments}, cents, k, hist, on)
 
 
+def segment_table_by_category(enc: DataFrame, cols: list, category: str, n_personas: int = 7, seed: int = 42,
+                              n_init: int = fixed.N_INIT, max_iter: int = 300, id_col: str = "cust_id") -> Segmentation:
+    """``segment_table`` with the one-hot columns of ``category`` (any number of values) never made; ``cols`` are the others."""
+    medians, moments, n = fe.fit_scaling(enc, cols)
+    k = sg.clamp_k(n, n_personas)
+    z = enc.select("*", *fe.scale_exprs(medians, moments, Z))
+    zc = [Z + c for c in cols]
+    points = z.select(id_col, *zc, category).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cents, cost = ss.kmeans_with_category(points, zc, category, k, seed, n_init, max_iter, id_col)
+    finally:
+        points.unpersist()
+    return Segmentation(enc, ss.assign_with_category(z, zc, category, cents), cols, {"medians": medians, "moments": moments},
+                        cents.dense, k, [cost], zc)
+
+
 def segment(src: Sources, n_personas: int = 7, seed: int = 42, checkpoint: bool = True) -> Segmentation:
     enc, cols = encoded_customers(src, checkpoint)
     return segment_table(enc, cols, n_personas, seed)
@@ -122,8 +139,12 @@ def run_pipeline(spark, cfg, responder_factory=None) -> dict:
     syn_path = write_parquet(sy.synth_population(spark, cfg.n_synthetic_customers, params, cfg.random_state),
                              f"{out}/synthetic_customers.parquet")
     syn = spark.read.parquet(syn_path)
-    enc, cols = encode_table(syn, checkpoint=False)
-    seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.n_init, cfg.max_iter, "index", cfg.cluster_on)
+    regions = fe.one_hot_values(syn, "usr_cnty_ap2")
+    enc, cols = encode_table(syn, regions, checkpoint=False, region_columns=regions is not None)
+    if regions is None:          # too many for a column each
+        seg = segment_table_by_category(enc, cols, "usr_cnty_ap2", cfg.n_personas, cfg.random_state, cfg.n_init, cfg.max_iter, "index")
+    else:
+        seg = segment_table(enc, cols, cfg.n_personas, cfg.random_state, cfg.n_init, cfg.max_iter, "index", cfg.cluster_on)
     labelled = seg.labelled
     if cfg.cluster_on != "projection":     # the 2-D map of the features, as a projection of each row
         labelled = sg.pca_projection(labelled, seg.z_cols)

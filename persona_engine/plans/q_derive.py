@@ -11,9 +11,11 @@ from persona_engine.functions.expr import (clip, normalize_category, normalize_f
 from persona_engine.operators import derive as dv
 from persona_engine.operators import features as fe
 from persona_engine.operators import marginals as mg
+from persona_engine.operators import sketches as sk
 from persona_engine.operators.indexing import row_number_within
 from persona_engine.plans.oracle_views import _q, half_even_sql, sql_list, with_views
 from persona_engine.plans.registry import register
+from persona_engine.session import materialize
 from persona_engine.sources import views
 from persona_engine.sources.tables import table_row_counts
 
@@ -59,6 +61,17 @@ def q_eda_summary(src):
     return d.unionByName(p)
 
 
+@register("distinct_buyers", """SELECT year(CAST(o_orderdate AS DATE)) AS order_year, count(DISTINCT o_custkey) AS n_buyers,
+    CAST(1 AS BIGINT) AS sketch_within_bound FROM orders GROUP BY ALL""")
+def q_distinct_buyers(src):
+    """C11: buyers per year, exact, and whether the union of the months' stored sketches is within five standard errors of it."""
+    o = src.orders.select("o_custkey", F.to_date("o_orderdate").alias("d")).withColumns({"order_year": F.year("d"), "order_month": F.month("d")})
+    by_month = materialize(sk.distinct_sketches(o, ["order_year", "order_month"], "o_custkey"))
+    exact = o.groupBy("order_year").agg(F.countDistinct("o_custkey").alias("n_buyers"))
+    near = F.abs(F.col("n") - F.col("n_buyers")) <= 5 * sk.relative_error() * F.col("n_buyers")
+    return exact.join(sk.estimate_distinct(by_month, ["order_year"]), "order_year").select("order_year", "n_buyers", near.alias("sketch_within_bound"))
+
+
 @register("load_sources", """SELECT table_name, n_rows FROM (
     SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer UNION ALL
     SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL

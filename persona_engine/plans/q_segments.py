@@ -224,3 +224,19 @@ def q_one_hot(src):
     """Region one-hot columns (reported long)."""
     d, names = fe.one_hot(views.demo(src))
     return d.select("cust_id", *names).unpivot("cust_id", names, "feature", "value")
+
+
+@register("sparse_region_clusters", with_views(SEG_VIEWS, "SELECT cust_id, persona_cluster, round_even(sq_dist, 6) AS sq_dist FROM assigned",
+                                               kmeans_ctes(K, SEED, 2)))
+def q_sparse_region_clusters(src):
+    """The clustering (of two restarts) with the region's one-hot columns never made."""
+    enc, cols = pl.encode_table(views.customers(src), region_columns=False)
+    seg = pl.segment_table_by_category(enc, cols, "usr_cnty_ap2", K, SEED, n_init=2)
+    return seg.labelled.select("cust_id", "persona_cluster", F.bround("sq_dist", 6).alias("sq_dist"))
+
+
+@register("region_index", """SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS "index"
+    FROM (SELECT DISTINCT c_name AS value FROM customer WHERE c_name IS NOT NULL)""")
+def q_region_index(src):
+    """Distinct values numbered without collecting them (customer names: one for each customer)."""
+    return fe.value_index(src.customer, "c_name")

@@ -160,3 +160,33 @@ def test_late_rows_are_kept_apart(spark, tmp_out):
     assert [r["user_id"] for r in stream.late_rows().collect()] == [1]
     got = {(r["cust_id"], str(r["week_start"])): r["usage_cnt"] for r in stream.windows().collect()}
     assert got == {(1, "2024-01-01"): 1, (1, "2024-01-08"): 1, (2, "2024-01-15"): 2, (1, "2024-01-22"): 1}
+
+
+def test_clusters_over_a_category_equal_one_hot_columns(spark):
+    from persona_engine.operators import features as fe
+    from persona_engine.plans import pipeline as pl
+    rng = np.random.default_rng(9)
+    rows = [(i, float(rng.normal(i % 3 * 3)), None if i % 17 == 0 else f"r{rng.integers(0, 5)}") for i in range(300)]
+    df = spark.createDataFrame(rows, "cust_id long, a double, usr_cnty_ap2 string").cache()
+    wide, names = fe.one_hot(df)
+    dense = pl.segment_table(wide, ["a", *names], 4, 42, 3).labelled.select("cust_id", "persona_cluster", "sq_dist").toPandas()
+    sparse = pl.segment_table_by_category(df, ["a"], "usr_cnty_ap2", 4, 42, 3).labelled.select("cust_id", "persona_cluster", "sq_dist").toPandas()
+    both = dense.merge(sparse, on="cust_id")
+    assert (both.persona_cluster_x == both.persona_cluster_y).all() and np.allclose(both.sq_dist_x, both.sq_dist_y)
+
+
+def test_wide_domains_make_no_columns(spark, monkeypatch):
+    from persona_engine.operators import features as fe
+    from persona_engine.operators import sparse_segment as ss
+    df = spark.range(50_010).select((F.col("id") + 1).alias("cust_id"), (F.col("id") % 7).cast("double").alias("a"),
+                                    F.when(F.col("id") < 50_000, F.concat(F.lit("v"), F.col("id"))).alias("c"))
+    with pytest.raises(ValueError):
+        fe.one_hot(df, "c")
+    index = fe.value_index(df, "c")
+    assert index.count() == 50_000 and index.agg(F.max("index")).first()[0] == 49_999
+    vectors = fe.one_hot_sparse(df.where("cust_id > 49990"), "c").select("c", "region_vector").collect()
+    assert all(r[1].size == 10 and len(r[1].indices) == (r[0] is not None) for r in vectors) and len({tuple(r[1].indices) for r in vectors}) == 11
+    monkeypatch.setattr(ss, "BROADCAST_SHARES", 0)      # by shuffle
+    cents, cost = ss.kmeans_with_category(df, ["a"], "c", 3, 42, 1, 2)
+    got = ss.assign_with_category(df, ["a"], "c", cents)
+    assert got.count() == 50_010 and got.agg(F.sum("sq_dist")).first()[0] <= cost * (1 + 1e-9)
