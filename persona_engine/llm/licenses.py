@@ -112,8 +112,13 @@ def _lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _detections(text: Column) -> Column:
-    """Array of (start, -end, -priority, rule, label, confidence) of all rules whose keyword the text holds."""
+def _present(text: Column) -> Column:
+    """The keywords of rules that the text holds: each is searched once, however many rules have it."""
+    return F.filter(F.array(*[F.lit(k) for k in sorted({r[1] for r in rules()})]), lambda k: F.contains(text, k))
+
+
+def _detections(text: Column, present: Column) -> Column:
+    """Array of (start, -end, -priority, rule, label, confidence) of all rules whose keyword is present."""
     table = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(a).alias("label"), F.lit(k).alias("keyword"), F.lit(p).alias("pattern"),
                                F.lit(n).alias("priority"), F.lit(c).alias("confidence")) for i, (a, k, p, n, c) in enumerate(rules())])
 
@@ -131,7 +136,7 @@ def _detections(text: Column) -> Column:
             i["start"].alias("start"), (-i["end"]).alias("minus_end"), (-rule["priority"]).alias("minus_priority"),
             rule["rule"].alias("rule"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
 
-    held = F.filter(table, lambda r: F.contains(text, r["keyword"]))
+    held = F.filter(table, lambda r: F.array_contains(present, r["keyword"]))
     return F.array_sort(F.flatten(F.transform(held, intervals)))
 
 
@@ -180,12 +185,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         last.append(F.when(here, F.col("n_words") - (_spaces(F.element_at(parts, -1)) - 1) - len(phrase.split())))
         labels.append(F.when(here, F.lit(label)))
     base = F.array_sort(F.array_compact(F.array(*labels)))
-    keywords = sorted({r[1] for r in rules()})
-    gate = F.col("low").rlike("|".join(k.replace(".", r"\.") for k in keywords if k != "http") + r"|https?://")
     df = df.select("doc_id", "low", "n_words", reduce(lambda a, b: a + b, count).cast("long").alias("n_base"),
                    F.least(*first).cast("long").alias("first_word"), F.greatest(*last).cast("long").alias("last_word"),
-                   base.alias("base"), gate.alias("gate"))
-    df = df.withColumn("kept", F.when(F.col("gate"), _kept(_detections(F.col("low")))))
+                   base.alias("base"), _present(F.col("low")).alias("present"))
+    df = df.withColumn("kept", F.when(F.size("present") > 0, _kept(_detections(F.col("low"), F.col("present")))))
     every = F.array_sort(F.array_union("base", F.coalesce(F.col("kept.labels"), F.array().cast("array<string>"))))
     score = F.greatest(F.coalesce(F.col("kept.score"), F.lit(0.0)), F.when(F.col("n_base") > 0, 0.6).otherwise(0.0))
     return df.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),
