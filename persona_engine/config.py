@@ -5,6 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+#: Bounds of a pipeline job.
+LEAST_CUSTOMERS, PERSONA_BOUNDS = 100, (2, 20)
+TOO_FEW_CUSTOMERS = f"n_synthetic_customers must be >= {LEAST_CUSTOMERS}"
+PERSONAS_OUT_OF_BOUNDS = f"n_personas must be between {PERSONA_BOUNDS[0]} and {PERSONA_BOUNDS[1]}"
+
+
 def _non_blank(name: str, value: str) -> str:
     value = (value or "").strip()
     if not value:
@@ -31,10 +37,10 @@ class PipelineConfig:
     def __post_init__(self):
         object.__setattr__(self, "source_dir", _non_blank("source_dir", self.source_dir))
         object.__setattr__(self, "output_dir", _non_blank("output_dir", self.output_dir))
-        if self.n_synthetic_customers < 100:
-            raise ValueError("n_synthetic_customers must be >= 100")
-        if not 2 <= self.n_personas <= 20:
-            raise ValueError("n_personas must be between 2 and 20")
+        if self.n_synthetic_customers < LEAST_CUSTOMERS:
+            raise ValueError(TOO_FEW_CUSTOMERS)
+        if not PERSONA_BOUNDS[0] <= self.n_personas <= PERSONA_BOUNDS[1]:
+            raise ValueError(PERSONAS_OUT_OF_BOUNDS)
         if self.stats_on not in ("raw", "scaled"):
             raise ValueError("stats_on must be 'raw' or 'scaled'")
         if self.cluster_on not in ("features", "projection"):
@@ -67,3 +73,13 @@ class SimulationConfig:
         _non_blank("project_id", self.project_id)
         if not 1 <= self.batch_size <= 20:
             raise ValueError("batch_size must be between 1 and 20")
+
+
+def request_errors(requests):
+    """A table of pipeline requests (n_synthetic_customers, n_personas) with ``error``: what ``PipelineConfig`` would raise, or null."""
+    from pyspark.sql import functions as F
+
+    n, k = F.col("n_synthetic_customers"), F.col("n_personas")
+    few = ~F.coalesce(n >= LEAST_CUSTOMERS, F.lit(False))
+    outside = ~F.coalesce(k.between(*PERSONA_BOUNDS), F.lit(False))
+    return requests.withColumn("error", F.when(few, TOO_FEW_CUSTOMERS).when(outside, PERSONAS_OUT_OF_BOUNDS))

@@ -145,6 +145,14 @@ def require_non_empty(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def run_errors(personas: DataFrame, questions: DataFrame, key: str) -> DataFrame:
+    """I6 for many runs at once: personas and questions of each run and ``error``, what ``run_simulation`` would raise, or null."""
+    count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    both = count(personas, "n_personas").join(count(questions, "n_questions"), key, "full_outer")
+    both = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_personas", "n_questions")})
+    return both.withColumn("error", F.when(F.col("n_personas") == 0, "personas is empty").when(F.col("n_questions") == 0, "questions is empty"))
+
+
 def event_log(events: DataFrame, first_rank: int, last_rank: int, total: int, batch_size: int = fixed.DEFAULT_BATCH_SIZE) -> DataFrame:
     """What the run reports, as rows (seq, batch, type, payload); payload is the event as JSON text.
 

@@ -32,10 +32,13 @@ from persona_engine.functions import fixed
 from persona_engine.functions.expr import hash_order
 
 
+TOO_FEW_ROWS = "At least 2 samples are required for clustering."
+
+
 def clamp_k(n_rows: int, n_personas: int) -> int:
     """Q9: k = min(n_personas, n); when k == n use max(2, n − 1); n < 2 is an error."""
     if n_rows < 2:
-        raise ValueError("At least 2 samples are required for clustering.")
+        raise ValueError(TOO_FEW_ROWS)
     k = min(n_personas, n_rows)
     if k == n_rows:
         k = max(2, n_rows - 1)
@@ -46,10 +49,15 @@ def guard_min_rows(df: DataFrame) -> int:
     """cheap check that at least two rows exist (reads at most 2 rows)."""
     n = df.limit(2).count()
     if n < 2:
-        raise ValueError("At least 2 samples are required for clustering.")
+        raise ValueError(TOO_FEW_ROWS)
     return n
 
 
+def group_errors(df: DataFrame, by: list[str]) -> DataFrame:
+    """F9 for many small jobs at once: each group's rows and ``error``, what clustering it would raise, or null."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("error", F.when(F.col("n") < 2, TOO_FEW_ROWS))
+
+
 def _dbl(v: float) -> str:
     """Exact SQL double literal (repr round-trips the binary value)."""
     return f"({float(v)!r}D)"
