@@ -34,7 +34,7 @@ def encode_active(df: DataFrame, src: str = "sa_activeness", out: str = "is_acti
 
 
 # Values of which each may become a column; a wider domain is clustered without columns (sparse_segment).
-ONE_HOT_COLUMNS = 256
+ONE_HOT_COLUMNS = 2_048
 
 
 def one_hot_values(df: DataFrame, column: str) -> list | None:

@@ -41,8 +41,9 @@ def test_shares_sum_to_one(spark):
 
 
 def test_synthetic_draws_partition_independent(spark):
-    p = sy.SynthParams(shares={"usr_gndr": [("M", 0.5), ("F", 1.0)], "sa_activeness": [("Active (1M)", 1.0)],
-                               "usr_cnty_ap2": [("ASIA", 1.0)]},
+    levels = spark.createDataFrame([("usr_gndr", "M", 0.0, 0.5), ("usr_gndr", "F", 0.5, 1.0), ("sa_activeness", "Active (1M)", 0.0, 1.0),
+                                    ("usr_cnty_ap2", "ASIA", 0.0, 1.0)], "column string, value string, lo double, hi double")
+    p = sy.SynthParams(levels=levels,
                        age=(40.0, 10.0), retention=(0.6, 0.1), ltv=(8.0, 0.5), val_p_mu=6.0,
                        flags={f: 0.3 for f in sy.CLV_FLAGS}, brand_mean=0.2, interests=[("Brand#1", 0.1)])
     a = sy.synth_population(spark, 5000, p, 42, partitions=1).orderBy("index").collect()
