@@ -83,6 +83,15 @@ class PieceTable:
                                  for r in range(len(order) + 1)])
         self.text_of = {i: p.replace(MARK, " ").encode() for p, i in self.id_of.items()}
         self.text_of.update({int(b): bytes([k]) for k, b in enumerate(self.byte_id)})
+        self.known = np.zeros(self.size, bool)
+        self.known[plain] = True
+        self.text_size = np.zeros(size, np.int64)
+        for i, t in self.text_of.items():
+            self.text_size[i] = len(t)
+        decimal = [str(i).encode() for i in range(size)]
+        self.width = np.array([len(t) for t in decimal])
+        most = int(self.width.max()) + 1
+        self.digits = np.frombuffer(b"".join(t.ljust(most) for t in decimal), np.uint8).reshape(-1, most)     # a space follows each
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and made piece of each pair (infinite where the pair never merges)."""
@@ -91,10 +100,10 @@ class PieceTable:
         hit = self.key[at] == k
         return np.where(hit, self.rank[at], _INF), np.where(hit, self.made[at], -1)
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word (each a run of word marks with what follows, not empty)."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and how many each word has (each is a run of word marks with what follows, not empty)."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         other = self.size - 1
         lengths = np.array([len(w) for w in words])
         flat = "".join(words)
@@ -142,24 +151,32 @@ class PieceTable:
         word, sym, char = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
         word, sym, char = word[order], sym[order], char[order]
-        out: list[list[int]] = [[] for _ in words]
-        known = np.zeros(self.size, bool)
-        known[list(self.id_of.values())] = True
-        bounds = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        plain = np.logical_and.reduceat(known[sym], bounds)
-        ids = sym.tolist()
-        ends = np.append(bounds[1:], len(word)).tolist()
-        for k, (a, b) in enumerate(zip(bounds.tolist(), ends)):
-            if plain[k]:
-                out[word[a]] = ids[a:b]
-            else:  # characters that are no piece: one id for each byte
-                out[word[a]] = [y for x in range(a, b) for y in
-                                ([ids[x]] if known[sym[x]] else self.byte_id[list(chr(char[x]).encode())].tolist())]
-        return out
-
-    def decode_words(self, ids: list[int]) -> str:
-        """Text of a word's ids; its word marks are spaces. Bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
+        # a character that is no piece becomes one id for each of its bytes
+        plain = self.known[sym]
+        n_ids = np.ones(len(sym), np.int64)
+        odd = np.flatnonzero(~plain)
+        data = [chr(c).encode() for c in char[odd].tolist()]
+        n_ids[odd] = [len(x) for x in data]
+        ids = np.repeat(sym, n_ids)
+        if len(odd):
+            ids[np.repeat(~plain, n_ids)] = self.byte_id[np.frombuffer(b"".join(data), np.uint8)]
+        return ids, np.bincount(word, n_ids, len(words)).astype(np.int64)
+
+    def id_texts(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """Ids of each word (``sizes`` of them, in order) as decimal text."""
+        width = self.width[ids]
+        flat = self.digits[ids][np.arange(self.digits.shape[1])[None, :] <= width[:, None]].tobytes().decode("ascii")
+        ends = np.concatenate([[0], np.cumsum(width + 1)])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [flat[lo:hi - 1] for lo, hi in zip(ends[:-1], ends[1:])]
+
+    def decode_words(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """Text of each word's ids; its word marks are spaces. Bytes that are no UTF-8 become U+FFFD."""
+        flat = b"".join(map(self.text_of.__getitem__, ids.tolist()))
+        ends = np.concatenate([[0], np.cumsum(self.text_size[ids])])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        if flat.isascii():
+            text = flat.decode("ascii")
+            return [text[lo:hi] for lo, hi in zip(ends[:-1], ends[1:])]
+        return [flat[lo:hi].decode("utf-8", "replace") for lo, hi in zip(ends[:-1], ends[1:])]
 
 
 _ODD = re.compile(" +[^ ]*")
@@ -177,27 +194,42 @@ def split_words(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes whole texts, keeping what it has found for words seen before."""
+    """Encodes whole texts, keeping what it has found for words seen lately.
+
+    Two generations are kept: words in use move to the younger one, and when that is full
+    it becomes the older one.
+    """
 
     def __init__(self, model_file: str):
         self.table = PieceTable(model_file)
-        self.cache: dict[str, tuple[str, str]] = {}
+        self.young: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
+
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
 
     def learn(self, words: Iterable[str]) -> None:
-        new = [w for w in words if w not in self.cache]
-        found = self.table.encode_words([MARK + w.replace(" ", MARK) for w in new])
-        for w, ids in zip(new, found):
-            self.cache[w] = (" ".join(map(str, ids)), self.table.decode_words(ids))
+        """Has all these words in the younger generation."""
+        new = []
+        for w in words:
+            if w not in self.young:
+                found = self.old.get(w)
+                if found is None:
+                    new.append(w)
+                else:
+                    self.young[w] = found
+        ids, sizes = self.table.encode_words([MARK + w.replace(" ", MARK) for w in new])
+        self.young.update(zip(new, zip(self.table.id_texts(ids, sizes), self.table.decode_words(ids, sizes))))
 
     def group(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
         """Ids as decimal text and the decoded text, for each text."""
         split = [split_words(t or "") for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        if len(self.young) > CACHE_WORDS // 2:
+            self.young, self.old = {}, self.young
         self.learn(set().union(*split))
         end = str(self.table.end_id)
         for words in split:
-            found = [self.cache[w] for w in words]
+            found = [self.young[w] for w in words]
             yield " ".join([x[0] for x in found] + [end]), "".join([x[1] for x in found])[1:]
 
 
@@ -238,7 +270,7 @@ def encode_documents(docs: DataFrame, model_file: str, keep_ids: bool = False) -
                 out += [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(out, names=names)
-        enc.cache.clear()       # the worker lives on
+        enc.forget()       # the worker lives on
         release_memory()
 
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text").mapInArrow(run, schema)
