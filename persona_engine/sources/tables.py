@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
+def write_once(df: DataFrame, path: str, marker: str) -> bool:
+    """Written under ``path`` unless ``marker`` says that an earlier call has done so; what a call that died left is overwritten."""
+    spark = df.sparkSession
+    try:
+        if spark.read.schema("done boolean").parquet(marker).count():
+            return False
+    except AnalysisException:       # no such folder yet
+        pass
+    df.write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(True,)], "done boolean").coalesce(1).write.mode("overwrite").parquet(marker)
+    return True
+
+
 def write_json(df: DataFrame, path: str) -> str:
     """JSON-lines sink (one persona per line)."""
     df.write.mode("overwrite").json(path)

@@ -1,6 +1,6 @@
 """The whole persona-response job, fed incrementally with Structured Streaming.
 
-A job is a folder: ``in`` (personas as they are fed), ``answers`` (what the model said),
+A job is a folder: ``in`` (personas as they are fed; ``fed`` notes which are whole), ``answers`` (what the model said),
 ``log`` (the events, A8), ``state`` (personas done) and ``checkpoint``. Each micro-batch
 ranks its personas after those done before, writes their prompts, calls the responder,
 parses, routes, and appends events and progress rows to the log. Every write is a folder
@@ -25,6 +25,7 @@ from persona_engine.operators.answer_store import AnswerStore
 from persona_engine.operators.indexing import row_number_within
 from persona_engine.operators.responder import Responder
 from persona_engine.session import ensure_checkpoint_dir, materialize
+from persona_engine.sources.tables import write_once
 
 _LOG = "seq bigint, batch bigint, type string, payload string"
 _STATE = "done bigint"
@@ -45,7 +46,7 @@ class SimulationJob:
 
     def feed(self, personas: DataFrame, name: str) -> None:
         """Personas put before the job under a name; a name fed before is left as it is (a restarted feeder may repeat itself)."""
-        personas.write.mode("ignore").parquet(f"{self.folder}/in/{name}")
+        write_once(personas, f"{self.folder}/in/{name}", f"{self.folder}/fed/{name}")
 
     def run(self, files_per_trigger: int = 1) -> None:
         """Works off what was fed and not done yet, ``files_per_trigger`` files a micro-batch."""

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from persona_engine.session import ensure_checkpoint_dir
+from persona_engine.sources.tables import write_once
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -51,7 +52,7 @@ class UsageStream:
 
     def feed(self, events: DataFrame, name: str) -> None:
         """Events put before the stream under a name; a name fed before is left as it is."""
-        events.select("event_id", "ts", "user_id", "event_type", "value", "props").write.mode("ignore").parquet(f"{self.folder}/in/{name}")
+        write_once(events.select("event_id", "ts", "user_id", "event_type", "value", "props"), f"{self.folder}/in/{name}", f"{self.folder}/fed/{name}")
 
     def run(self) -> None:
         """One micro-batch over what was fed since the last run."""
