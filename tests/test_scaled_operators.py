@@ -190,3 +190,62 @@ def test_wide_domains_make_no_columns(spark, monkeypatch):
     cents, cost = ss.kmeans_with_category(df, ["a"], "c", 3, 42, 1, 2)
     got = ss.assign_with_category(df, ["a"], "c", cents)
     assert got.count() == 50_010 and got.agg(F.sum("sq_dist")).first()[0] <= cost * (1 + 1e-9)
+
+
+def test_lloyd_steps_set_rows_apart(spark, monkeypatch):
+    """Steps over the rows near a border only give the centroids of passes over all rows; max_iter bounds all steps."""
+    from persona_engine.operators import lloyd
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(m, 1.0, (2_500, 3)) for m in (0, 2, 5)])
+    df = spark.createDataFrame(list(map(tuple, x.tolist())), "a double, b double, c double")
+    starts = [(list(range(4)), x[rng.choice(len(x), 4, replace=False)]) for _ in range(3)]
+    passes = {"full_pass": 0, "_partial_pass": 0}
+    for name in passes:
+        def counted(*a, name=name, run=getattr(lloyd, name)):
+            passes[name] += 1
+            return run(*a)
+        monkeypatch.setattr(lloyd, name, counted)
+    monkeypatch.setattr(lloyd, "APART_WORK", 0)
+    blocks = lloyd.point_blocks(df, ["a", "b", "c"])
+    found = lloyd.iterate(blocks, starts, 3, 300, 1e-9)
+    assert passes["_partial_pass"] > 0 and passes["full_pass"] < max(s.steps for s in found)
+    for s, (_, at) in zip(found, starts):
+        want, cost = plain_lloyd(x, list(at))
+        assert s.done and s.ids == sorted(want) and np.allclose(s.at, [want[i] for i in s.ids]) and s.cost == pytest.approx(cost)
+    cut = lloyd.iterate(blocks, starts, 3, 2, 1e-9)
+    assert [s.steps for s in cut] == [2, 2, 2]
+
+
+def test_equal_distances_go_to_the_smallest_id(spark):
+    from persona_engine.operators import lloyd
+    df = spark.createDataFrame([(0.1,), (0.3,), (0.5,)] * 40, "a double")
+    s = lloyd.iterate(lloyd.point_blocks(df, ["a"]), [([0, 1, 2], np.array([[0.1], [0.5], [0.1]]))], 1, 1, 1e-9)[0]
+    assert s.ids == [0, 1] and np.allclose(s.at, [[0.2], [0.5]])
+
+
+def test_narrow_category_steps_over_blocks(spark, monkeypatch):
+    """The same clusters by blocks and by tables of shares; a value that is null takes part."""
+    from persona_engine.operators import sparse_segment as ss
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, float(rng.normal(i % 3 * 2)), None if i % 17 == 0 else f"v{i % 5}") for i in range(400)],
+                               "cust_id long, a double, c string").cache()
+    monkeypatch.setattr(ss, "step", None)       # blocks take no step by tables
+    by_blocks = ss.kmeans_with_category(df, ["a"], "c", 3, 42, 1)
+    monkeypatch.undo()
+    monkeypatch.setattr(ss, "NARROW", 0)
+    by_tables = ss.kmeans_with_category(df, ["a"], "c", 3, 42, 1)
+    assert by_blocks[1] == pytest.approx(by_tables[1])
+    one, two = [ss.assign_with_category(df, ["a"], "c", x[0]).select("cust_id", "persona_cluster", F.round("sq_dist", 6)).orderBy("cust_id").collect()
+                for x in (by_blocks, by_tables)]
+    assert one == two
+
+
+def test_pyspark_ml_restarts_step_together(spark):
+    """The model is pyspark.ml's of the restart of lowest cost; only that one is fitted to the end by it."""
+    from pyspark.ml.clustering import KMeans
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(m, 1.0, (80, 2)) for m in (0, 3, 7, 9)])
+    df = sg.assemble(spark.createDataFrame(list(map(tuple, x.tolist())), "a double, b double").coalesce(1), ["a", "b"]).cache()
+    model, cost = sg.fit_kmeans(df, ["a", "b"], 4, 42, 4, features_col="features")
+    costs = [KMeans(k=4, seed=42 + i, maxIter=300, featuresCol="features").fit(df).summary.trainingCost for i in range(4)]
+    assert cost == pytest.approx(min(costs), rel=1e-9) and model.summary.trainingCost == cost
