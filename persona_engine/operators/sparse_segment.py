@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 from persona_engine.functions import fixed
 from persona_engine.functions.expr import hash_order
+from persona_engine.operators.lloyd import iterate, point_blocks
 from persona_engine.session import materialize
 
 #: Entries (values × centroids) of a look-up table that may travel to the tasks.
 BROADCAST_SHARES = 4_000_000
+#: Values up to which the shares of all centroids are a small array: rows carry their value's number (``lloyd.iterate``).
+NARROW = 2_048
 
 
 @dataclass
@@ -148,6 +151,9 @@ def kmeans_with_category(df: DataFrame, cols: list[str], category: str, k: int,
     """
     weights = materialize(value_weights(df, category))
     seeds = seed_rows(df, cols, category, k, seed, id_col, n_init)
+    narrow = weights.limit(NARROW + 1).collect()
+    if len(narrow) <= NARROW:
+        return _narrow_category(df, cols, category, seeds, sorted(narrow, key=lambda x: x["value"]), max_iter, tol)
     order = sorted(seeds)
     picked = [(seeds[x][1], i) for i, x in enumerate(order) if seeds[x][1] is not None]
     one = df.sparkSession.createDataFrame(picked, "value string, j int") if picked else df.sparkSession.createDataFrame([], "value string, j int")
@@ -173,6 +179,34 @@ def kmeans_with_category(df: DataFrame, cols: list[str], category: str, k: int,
     return Centroids({(0, x[1]): found.dense[x] for x in found.keys}, materialize(found.shares)), best[1]
 
 
+def _narrow_category(df: DataFrame, cols: list[str], category: str, seeds: dict, weights: list, max_iter: int, tol: float) -> tuple[Centroids, float]:
+    """``kmeans_with_category`` for at most ``NARROW`` values: all restarts step over blocks of points, a row's value being a number."""
+    spark = df.sparkSession
+    number = {x["value"]: i for i, x in enumerate(weights)}
+    w = np.array([x["w"] for x in weights], float)
+    starts = []
+    for r in sorted({x[0] for x in seeds}):
+        mine = [seeds[x] for x in sorted(seeds) if x[0] == r]
+        at = np.zeros((len(mine), len(cols) + len(w)))
+        for i, (vector, value) in enumerate(mine):
+            at[i, :len(cols)] = vector
+            if value is not None:
+                at[i, len(cols) + number[value]] = np.sqrt(w[number[value]])
+        starts.append((list(range(len(mine))), at))
+    table = F.broadcast(spark.createDataFrame([(v, i) for v, i in number.items()], "value string, _number int"))
+    coded = df.select(*cols, category).join(table, F.col(category) == F.col("value"), "left").select(*cols, F.coalesce("_number", F.lit(len(w))).alias("_number"))
+    blocks = point_blocks(coded, [*cols, "_number"])
+    try:
+        found = iterate(blocks, starts, len(cols), max_iter, tol, w)
+    finally:
+        blocks.unpersist()
+    best = min(range(len(found)), key=lambda r: (round(found[r].cost, 6), r))
+    s = found[best]
+    share = s.at[:, len(cols):] / np.sqrt(np.where(w > 0, w, 1.0))
+    shares = spark.createDataFrame([(x["value"], float(x["w"]), share[:, i].tolist()) for i, x in enumerate(weights)], "value string, w double, p array<double>")
+    return Centroids({(0, i): v[:len(cols)].tolist() for i, v in zip(s.ids, s.at)}, shares), s.cost
+
+
 def assign_with_category(df: DataFrame, cols: list[str], category: str, cents: Centroids, label: str = "persona_cluster",
                          dist: str = "sq_dist") -> DataFrame:
     """Each row's nearest centroid (ties → smallest id) and the squared distance."""
