@@ -249,3 +249,9 @@ def test_pyspark_ml_restarts_step_together(spark):
     model, cost = sg.fit_kmeans(df, ["a", "b"], 4, 42, 4, features_col="features")
     costs = [KMeans(k=4, seed=42 + i, maxIter=300, featuresCol="features").fit(df).summary.trainingCost for i in range(4)]
     assert cost == pytest.approx(min(costs), rel=1e-9) and model.summary.trainingCost == cost
+
+
+def test_kmeans_refuses_missing_values(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else float(i)) for i in range(20)], "cust_id long, a double")
+    with pytest.raises(ValueError):
+        sg.lloyd_kmeans(df, ["a"], 3, 42, 2)
