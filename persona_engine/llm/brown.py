@@ -1,17 +1,22 @@
 """Brown class-based bigram model: exchange clustering, class transitions, word emissions.
 
-log10 P(text) is the sum, over its words and one end, of the class transition from the
-token before and of the word's emission from its class. The most frequent words (a
-parameter, ``BrownPlan.clustered``) get their classes by the exchange algorithm: a word
-moves to the class that raises the likelihood of the corpus' class bigrams most, until a
-sweep moves none. All other words belong to classes told by their form (last character,
-non-ASCII or not), so every word has a class, unseen ones too.
-
-Over the corpus, in Spark: counts of every word (pre-aggregated by task, summed by hash);
-bigram counts between clustered words and form classes (a table bounded by the square of
-their number, which the exchange works on). Scoring reads each text once with the frequent
-words in the task (bounded by ``BrownPlan.head``); the rare words of a text are joined with
-the full counts by shuffle, so no key of that join is frequent.
+P(text) is the product, over its words and one end, of the class transition from the token
+before times the word's emission from its class, mixed with the word's share of the corpus
+(``BrownPlan.base``). Classes come from the exchange
+algorithm: a word moves to the class that raises the likelihood of the corpus' class
+bigrams most. Every training word takes part, whatever its count:
+
+- the most frequent words (``BrownPlan.clustered``), whose moves change the class bigrams
+  much, one after another over their bigram table, until a sweep moves none;
+- all other words from the class of their form (last character, non-ASCII or not), which
+  unseen words keep, in sweeps over the whole corpus: each half of the words in turn moves
+  at once, against the class bigrams as they stand, as long as that raises the likelihood.
+
+In Spark: the texts are numbered once into blocks, each with the words it holds; words are
+dealt over shards by ranges of their hash. In a sweep the shards tell each block the classes
+of its words, the blocks tell each shard how often its words stand beside which class, and
+each shard moves its words. A block sends a word at most once for each neighbouring class, so
+no word makes a shard large; blocks and shards keep their size and grow in number.
 """
 
 from __future__ import annotations
@@ -26,13 +31,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from persona_engine.llm import textbytes as tb
+from persona_engine.llm.tables import store
 from persona_engine.session import materialize
 
 FORMS = 62
-#: A task hands its word counts over when it holds this many.
-TASK_WORDS = 1_000_000
-#: Bigrams a task gathers before counting them.
-_GATHER = 2_000_000
+#: Tokens of a block, about (or one text's).
+BLOCK_TOKENS = 800_000
+#: Entries of a dense count table; beyond, pairs are counted by sorting.
+_DENSE = 4_000_000
+#: Neighbour counts of words weighed at once.
+_WEIGHED = 8_000
+#: Parts of a shard's words that move one after another, of equal tokens.
+_PARTS = 48
+#: Marks, in a class sent to a block, a word that moves next.
+_MOVES = 1 << 14
 
 _LAST = np.full(256, 30, np.int64)
 _LAST[97:123] = np.arange(26)
@@ -43,12 +55,14 @@ _LAST[ord(".")], _LAST[ord(",")] = 28, 29
 
 @dataclass(frozen=True)
 class BrownPlan:
-    clustered: int = 1024     # most frequent words, classed by exchange
-    classes: int = 48         # their classes
-    head: int = 131_072       # frequent words sent to the tasks with counts, at most
-    sweeps: int = 20          # of the exchange, at most
+    clustered: int = 1024     # most frequent words, exchanged one after another
+    classes: int = 48         # their classes, besides one for each form
+    sweeps: int = 20          # of their exchange, at most
+    gain: float = 0.05        # nats a token; two half sweeps of the other words that raise the likelihood by less are the last
+    shard_bytes: int = 12 << 20   # of texts for each shard, about
     add: float = 0.1          # to counts, in the base model and in emissions of form classes
     weight: float = 5.0       # of the class unigram in transitions
+    base: float = 0.3         # share of the base model in a token's probability (rare words may leave the classes that unseen ones keep)
     folds: int = 10           # rows whose crc32(doc_id as text) modulo this is 0 are held out
 
 
@@ -67,78 +81,334 @@ def _words(c: tb.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tb.span_hash(tb.prefix_hash(low), start, end).view(np.int64), form, text
 
 
-def count_words(train: DataFrame) -> DataFrame:
-    """word (hash), form, n over all texts of ``train``."""
+#: What goes between blocks (texts) and shards (words): to whom, from whom, and arrays as bytes.
+_ROW = "key bigint, peer bigint, a binary, b binary, c binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, form, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(form.astype(np.int32)), pa.array(n)], names=["word", "form", "n"])
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    key, peer, *arrays = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(peer, pa.int64()), *(pa.array(x, pa.binary()) for x in arrays)],
+                                      names=["key", "peer", "a", "b", "c"])
 
-        for batch in batches:
-            parts = [(word, form, n)]
-            for c in tb.chunks(batch.column(0)):
-                h, f, _ = _words(c)
-                u, first, k = np.unique(h, return_index=True, return_counts=True)
-                parts.append((u, f[first], k))
-            every, forms, counts = (np.concatenate(x) for x in zip(*parts))
-            word, first, at = np.unique(every, return_index=True, return_inverse=True)
-            form, n = forms[first], np.bincount(at, counts, len(word)).astype(np.int64)
-            if len(word) > TASK_WORDS:
-                yield out()
-                word, form, n = word[:0], form[:0], n[:0]
-        yield out()
-
-    return (train.select("text").mapInArrow(run, "word bigint, form int, n bigint")
-            .groupBy("word").agg(F.min("form").alias("form"), F.sum("n").alias("n")))
 
+def _pack(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
-def _symbols(h: np.ndarray, form: np.ndarray, clustered: np.ndarray) -> np.ndarray:
-    """Number of each word: its place among the clustered words (sorted hashes), else their number plus its form."""
-    if not len(clustered):
-        return form
-    at = np.minimum(np.searchsorted(clustered, h), len(clustered) - 1)
-    return np.where(clustered[at] == h, at, len(clustered) + form)
 
+def _unpack(raw: bytes, dtype) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], n * np.dtype(dtype).itemsize, codec="zstd"), dtype)
 
-def _with_ends(value: np.ndarray, text: np.ndarray, n: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """The values with ``end`` before every text's first and after every text's last, and their text index."""
-    size = np.bincount(text, minlength=n)
-    out = np.full(len(value) + 2 * n, end)
-    out[np.arange(len(value)) + 2 * text + 1] = value
-    return out, np.repeat(np.arange(n), size + 2)
 
+def _edges(shards: int) -> np.ndarray:
+    """Smallest hash of every shard but the first."""
+    return np.array([(k << 64) // shards - (1 << 63) for k in range(1, shards)], np.int64)
 
-def count_bigrams(train: DataFrame, clustered: np.ndarray) -> np.ndarray:
-    """Counts of symbol pairs, ends included: a square of clustered words, forms and the end."""
-    size = len(clustered) + FORMS + 1
+
+def _encode(docs: DataFrame, shards: int) -> DataFrame:
+    """Rows (of_block, key, peer, a, b, c) from doc_id, train, text.
+
+    of_block: key: block; a: its texts as places among its words, an end (their number) before, between and after;
+    b: ids; c: bit 0 train, bit 1 id is null. Else: key: shard, peer: block; a: hashes of the block's words in the
+    shard, ascending; b: their forms; c: their counts in training texts.
+    """
+    edges = _edges(shards)
+
+    def numbered(block: int, held: list[tuple]) -> Iterator[tuple]:
+        h, form, size, ids, flags = (np.concatenate(x) for x in zip(*held))
+        words, first, at = np.unique(h, return_index=True, return_inverse=True)
+        text = np.repeat(np.arange(len(size)), size)
+        seq = np.full(len(h) + len(size) + 1, len(words), np.int32)
+        seq[np.arange(len(h)) + text + 1] = at
+        n = np.bincount(at[(flags & 1).astype(bool)[text]], minlength=len(words))
+        yield True, block, -1, _pack(seq), _pack(ids), _pack(flags)
+        cut = [0, *np.searchsorted(words, edges).tolist(), len(words)]
+        for k, (lo, hi) in enumerate(zip(cut, cut[1:])):
+            if lo < hi:
+                yield False, k, block, _pack(words[lo:hi]), _pack(form[first[lo:hi]].astype(np.int8)), _pack(n[lo:hi].astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, gathered = np.zeros(size * size, np.int64), [], 0
+        block, held, tokens = TaskContext.get().partitionId() << 24, [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = list(numbered(block, held))
+            held.clear()
+            for lo in range(0, len(rows), 200):
+                part = rows[lo:lo + 200]
+                of_block = pa.array([r[0] for r in part])
+                b = _batch([r[1:] for r in part])
+                yield pa.RecordBatch.from_arrays([of_block, *b.columns], names=["of_block", *b.schema.names])
+
         for batch in batches:
-            for c in tb.chunks(batch.column(0)):
+            null = np.asarray(batch.column(0).is_null())
+            ids = np.asarray(batch.column(0).fill_null(0))
+            flags = (np.asarray(batch.column(1)).astype(np.int8) + 2 * null).astype(np.int8)
+            for c in tb.chunks(batch.column(2)):
                 h, form, text = _words(c)
-                s, owner = _with_ends(_symbols(h, form, clustered), text, c.n, size - 1)
-                held.append((s[:-1] * size + s[1:])[owner[:-1] == owner[1:]])
-                gathered += len(held[-1])
-                if gathered > _GATHER:
-                    total += np.bincount(np.concatenate(held), minlength=size * size)
-                    held, gathered = [], 0
+                here = slice(c.first, c.first + c.n)
+                held.append((h, form.astype(np.int8), np.bincount(text, minlength=c.n), ids[here], flags[here]))
+                tokens += len(h)
+                if tokens >= BLOCK_TOKENS:
+                    yield from out()
+                    block, held, tokens = block + 1, [], 0
         if held:
-            total += np.bincount(np.concatenate(held), minlength=size * size)
+            yield from out()
+
+    return docs.select("doc_id", "train", "text").mapInArrow(run, "of_block boolean, " + _ROW)
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Checkpoint of the rows dealt over partitions by key, for joins on it that leave them there.
+
+    Adaptive execution would hide from later plans how the checkpoint is dealt, and fewer partitions than a
+    shuffle's would be dealt anew.
+    """
+    spark = rows.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return materialize(rows.repartition(parts, "key"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def _by_key(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("key").agg(F.collect_list(F.struct("peer", "a", "b", "c")).alias(name))
+
+
+def _meet(own: DataFrame, got: DataFrame | None, fn, schema: str = _ROW) -> DataFrame:
+    """Rows of ``fn(key, own rows, got rows)`` for every key of ``own``, each list by peer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lists = [sorted(batch.column(k)[i].as_py() or [], key=lambda r: r["peer"]) for k in range(1, batch.num_columns)]
+                yield from fn(batch.column(0)[i].as_py(), *lists)
+
+    own = _by_key(own, "own")
+    # the blocks and shards stay where they are, the rows come to them
+    both = own.join(_by_key(got, "got").hint("merge"), "key", "left") if got is not None else own.withColumn("got", F.lit(None).cast("array<int>"))
+    return both.mapInArrow(run, schema)
+
+
+def _pairs_of(block_rows: list[dict], size: int, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places of a block's texts, their symbols (the end is size - 1) and whether each pair (i, i + 1) is of a training text."""
+    r = block_rows[0]
+    seq = _unpack(r["a"], np.int32)
+    train = (_unpack(r["c"], np.int8) & 1).astype(bool)
+    text = np.cumsum(seq[:-1] == len(symbols)) - 1
+    return seq, np.append(symbols, size - 1)[seq], train[text]
+
+
+def _counted(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    if size > _DENSE:
+        return np.unique(key, return_counts=True)
+    n = np.bincount(key, minlength=size)
+    key = np.flatnonzero(n)
+    return key, n[key]
+
+
+def _neighbours(size: int):
+    """For ``_meet`` of blocks: counts of symbol pairs (to -1), and of the neighbours' symbols of the words that move (to their shards).
+
+    Peer of the latter: twice the block, one more for the symbols after. a: number of entries of each such word; b: symbols; c: counts.
+    """
+
+    def fn(block: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+        told = [np.frombuffer(r["a"], np.int16) for r in got]
+        every = np.concatenate(told) if told else np.zeros(0, np.int16)
+        moves = (every & _MOVES) > 0
+        seq, s, train = _pairs_of(own, size, (every & ~np.int16(_MOVES)).astype(np.int64))
+        pair, n = _counted((s[:-1] * size + s[1:])[train], size * size)
+        yield _batch([(-1, block, pair.astype(np.int64).tobytes(), n.astype(np.int64).tobytes(), None)])
+        if not moves.any():
+            return
+        place = np.cumsum(moves) - 1     # among the words that move
+        cut = place[np.cumsum([len(x) for x in told]) - 1] + 1
+        word = np.append(moves, False)[seq[1:-1]] & train[1:]
+        at = np.flatnonzero(word) + 1
+        w = place[seq[at]]
+        for after, beside in enumerate((s[at - 1], s[at + 1])):
+            key, n = _counted(w * size + beside, (place[-1] + 1) * size)
+            entries = np.bincount(key // size, minlength=place[-1] + 1)
+            ends = np.searchsorted(key, cut * size)
+            rows, lo, first = [], 0, 0
+            for r, hi, last in zip(got, ends.tolist(), cut.tolist()):
+                if lo < hi:
+                    rows.append((r["peer"], 2 * block + after, _pack(entries[first:last].astype(np.uint8)), _pack((key[lo:hi] % size).astype(np.uint8)),
+                                 _pack(n[lo:hi].astype(np.int32))))
+                lo, first = hi, last
+            if rows:
+                yield _batch(rows)
+
+    return fn
+
+
+def _table(sent: DataFrame, size: int) -> np.ndarray:
+    """Counts of symbol pairs over all blocks (at most size * size rows)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[np.frombuffer(a, np.int64)] += np.frombuffer(b, np.int64)
         pair = np.flatnonzero(total)
-        for lo in range(0, len(pair), 100_000):
-            part = pair[lo:lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
-    # at most size * size rows
-    rows = train.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    rows = sent.where("key = -1").select("a", "b").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size * size, np.int64)
     out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
     return out.reshape(size, size)
 
 
+def _shard_words(own: list[dict]) -> tuple[np.ndarray, ...]:
+    """A shard's words, their forms and training counts, the blocks, and each block's words as places in it."""
+    a = [_unpack(r["a"], np.int64) for r in own]
+    words, first, at = np.unique(np.concatenate(a), return_index=True, return_inverse=True)
+    form = np.concatenate([_unpack(r["b"], np.int8) for r in own])[first].astype(np.int64)
+    n = np.zeros(len(words), np.int64)
+    np.add.at(n, at, np.concatenate([_unpack(r["c"], np.int64) for r in own]))
+    return words, form, n, [r["peer"] for r in own], np.split(at, np.cumsum([len(x) for x in a])[:-1])
+
+
+def _symbols(h: np.ndarray, form: np.ndarray, clustered: np.ndarray) -> np.ndarray:
+    """Number of each word: its place among the clustered words (sorted hashes), else their number plus its form."""
+    if not len(clustered):
+        return form
+    at = np.minimum(np.searchsorted(clustered, h), len(clustered) - 1)
+    return np.where(clustered[at] == h, at, len(clustered) + form)
+
+
+def _top_words(most: int):
+    """For ``_meet`` of shards: its ``most`` most frequent training words, and (null, its tokens, its words)."""
+
+    def fn(shard: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+        words, _, n, _, _ = _shard_words(own)
+        top = np.lexsort((words, -n))[:min(most, int((n > 0).sum()))]
+        yield pa.RecordBatch.from_arrays([pa.array([None, *words[top].tolist()], pa.int64()), pa.array([int(n.sum()), *n[top].tolist()], pa.int64()),
+                                          pa.array([int((n > 0).sum())] + [0] * len(top), pa.int64())], names=["word", "n", "words"])
+
+    return fn
+
+
+def _first_symbols(clustered: np.ndarray, cls: np.ndarray | None, half: int = 0):
+    """For ``_meet`` of shards: tell the blocks every word's symbol; with the symbols' classes, its class, kept as state."""
+
+    def fn(shard: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+        words, form, n, blocks, places = _shard_words(own)
+        symbol = _symbols(words, form, clustered)
+        if cls is None:
+            yield _batch([(b, shard, symbol.astype(np.int16)[at].tobytes(), None, None) for b, at in zip(blocks, places)])
+        else:
+            yield from _tell(shard, words, n, blocks, places, cls[symbol], clustered, half)
+
+    return fn
+
+
+def _turn(words: np.ndarray, n: np.ndarray, clustered: np.ndarray, half: int) -> np.ndarray:
+    """Which words move in this half of a sweep."""
+    return (n > 0) & ((words & 1) == half) & ~np.isin(words, clustered)
+
+
+def _tell(shard: int, words: np.ndarray, n: np.ndarray, blocks: list, places: list, cls: np.ndarray, clustered: np.ndarray, half: int) -> Iterator[pa.RecordBatch]:
+    """The shard's state (peer -1; a: classes, b: number of training words by class) and what its blocks get."""
+    told = (cls + _MOVES * _turn(words, n, clustered, half)).astype(np.int16)
+    yield _batch([(shard, -1, cls.astype(np.uint8).tobytes(), np.bincount(cls[n > 0], minlength=256).tobytes(), None)])
+    for b, at in zip(blocks, places):
+        yield _batch([(b, shard, told[at].tobytes(), None, None)])
+
+
+def exchange_all(word: np.ndarray, beside: np.ndarray, k: np.ndarray, cls: np.ndarray, n: np.ndarray, table: np.ndarray, scale: float) -> np.ndarray:
+    """Class of each word after its move, from the classes beside it.
+
+    word (ascending), beside, k: how often a word stands after class ``beside``, or before class ``beside - len(table)``.
+    cls, n: class and count of each word. The end's class (the last) takes no word.
+
+    Words move in parts, in their order. ``scale`` tells of how many shards this one is: the others' words, dealt by
+    hash, are taken to move as these do, so after each part ``table`` changes by what its moves change, that often.
+    """
+    kinds = len(table)
+    table = table.astype(float)
+    out = cls.copy()
+    starts = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+    part = (np.cumsum(n[word[starts]]) - 1) * _PARTS // max(1, int(n[word[starts]].sum()))
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, min(int(np.searchsorted(starts, starts[lo] + _WEIGHED)), int(np.searchsorted(part, part[lo], side="right"))))
+        e = slice(starts[lo], starts[hi] if hi < len(starts) else len(word))
+        at = starts[lo:hi] - starts[lo]
+        who = word[starts[lo:hi]]
+        a, m, near, times = cls[who], n[who].astype(float), beside[e], k[e]
+        cell = np.concatenate([table, table.T])[:, :kinds - 1]     # by neighbour and class
+        total, into = table.sum(1)[:kinds - 1], table.sum(0)[:kinds - 1]
+        most = int(times.max()) + 1
+        kind, which = np.unique(near * most + times, return_inverse=True)
+        row = kind // most
+        more = _xlogx(cell[row] + (kind % most)[:, None]) - _xlogx(cell)[row]
+        length = np.diff(np.append(at, len(near)))
+        gain = more[which[at]]
+        for i in range(1, int(length.max())):
+            longer = np.flatnonzero(length > i)
+            gain[longer] += more[which[at[longer] + i]]
+        size, which = np.unique(m, return_inverse=True)
+        gain -= sum(_xlogx(t + size[:, None]) - _xlogx(t) for t in (total, into))[which]
+        # in its own class the word is counted already
+        has = cell[near, np.repeat(a, length)]
+        stay = np.add.reduceat(_xlogx(has) - _xlogx(np.maximum(has - times, 0)), at)
+        for t in (total[a], into[a]):
+            stay -= _xlogx(t) - _xlogx(np.maximum(t - m, 0))
+        gain[np.arange(len(who)), a] = stay
+        best = gain.argmax(1)
+        best = np.where(gain[np.arange(len(who)), best] > stay + 1e-9, best, a)
+        out[who] = best
+        change = (np.bincount(near * kinds + np.repeat(best, length), times, 2 * kinds * kinds)
+                  - np.bincount(near * kinds + np.repeat(a, length), times, 2 * kinds * kinds)).reshape(2, kinds, kinds)
+        table = np.maximum(table + scale * (change[0] + change[1].T), 0)
+        lo = hi
+    return out
+
+
+def _moved(clustered: np.ndarray, table: np.ndarray, half: int, shards: int):
+    """For ``_meet`` of shards with their state and the neighbours' counts: move this half of the words, tell the blocks."""
+    kinds = len(table)
+
+    def fn(shard: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+        words, _, n, blocks, places = _shard_words(own)
+        cls = np.frombuffer(got[0]["a"], np.uint8).astype(np.int64)
+        moves = _turn(words, n, clustered, half)
+        order = np.lexsort((words, -n))     # frequent words first
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        of = dict(zip(blocks, places))
+        kind = np.int32 if len(words) * 2 * kinds < 1 << 31 else np.int64
+        rank = rank.astype(kind)
+        keys, counts = [], []
+        for r in got[1:]:
+            at = of[r["peer"] >> 1]
+            key = np.repeat(rank[at[moves[at]]], _unpack(r["a"], np.uint8))
+            key *= 2 * kinds
+            key += _unpack(r["b"], np.uint8)
+            key += kinds * (r["peer"] & 1)
+            keys.append(key)
+            counts.append(_unpack(r["c"], np.int32))
+        got.clear()
+        if keys:
+            every, k = np.concatenate(keys), np.concatenate(counts)
+            keys.clear(), counts.clear()
+            ascending = np.argsort(every, kind="stable")
+            every, k = every[ascending], k[ascending]
+            del ascending
+            first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+            k = np.add.reduceat(k, first, dtype=np.int64)
+            word, beside = np.divmod(every[first].astype(np.int64), 2 * kinds)
+            del every
+            cls = exchange_all(word, beside, k, cls[order], n[order], table, shards)[rank]
+        yield from _tell(shard, words, n, blocks, places, cls, clustered, 1 - half)
+
+    return fn
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -198,107 +468,100 @@ def exchange(pairs: np.ndarray, n_words: int, classes: int, sweeps: int) -> np.n
 
 @dataclass
 class BrownModel:
-    words: DataFrame            # word, form, n: every training word
+    blocks: DataFrame           # the texts, numbered
+    words: DataFrame            # the words of the shards
+    state: DataFrame            # of every shard: the classes of its words
     tokens: int                 # training tokens, ends included
-    distinct: int               # of them
-    head: np.ndarray            # sorted hashes of the frequent words
-    head_n: np.ndarray
-    head_class: np.ndarray
-    head_emission: np.ndarray   # log10
+    ends: int                   # of them, ends
     transition: np.ndarray      # log10, by class before and class
-    form_class: np.ndarray      # class of each form
-    form_total: np.ndarray      # log10 of the emission's denominator, by form
+    class_total: np.ndarray     # log10 of the emission's denominator, by class
     base_total: float           # log10 of the base model's denominator
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of class pairs, and of the words in their classes but for what no move changes."""
+    return float(_xlogx(table.astype(float)).sum() - _xlogx(table.sum(0).astype(float)).sum() - _xlogx(table.sum(1).astype(float)).sum())
+
+
 def train_brown(docs: DataFrame, plan: BrownPlan = BrownPlan()) -> BrownModel:
     """Learn from all rows of ``docs`` (doc_id, text) that are not held out."""
-    train = docs.where(~held_out(plan))
-    ends = train.count()
-    words = materialize(count_words(train))
-    steps = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
-    by_step = sorted(((r["step"], r["words"]) for r in words.groupBy(steps.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
-    held, least = 0, None   # the head: all words from a count on, that it may hold
-    for step, n in by_step:
-        if held + n > plan.head:
-            break
-        held, least = held + n, step
-    rows = words.where(steps >= least).toPandas() if least is not None else words.limit(0).toPandas()
-    rows = rows.sort_values(["n", "word"], ascending=[False, True])
-    clustered = np.sort(rows["word"].to_numpy(np.int64)[:plan.clustered])
-    pairs = count_bigrams(train, clustered)
+    docs = docs.withColumn("train", ~held_out(plan))
+    size = docs.agg(F.sum(F.col("train").cast("long")).alias("ends"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    ends = size["ends"] or 0
+    shards = max(1, -(-(size["bytes"] or 0) // plan.shard_bytes))
+    rows = _dealt(_encode(docs, shards), shards)
+    blocks, words = rows.where("of_block").drop("of_block"), rows.where("not of_block").drop("of_block")
+
+    top = store(_meet(words, None, _top_words(plan.clustered), "word bigint, n bigint, words bigint"))
+    seen = top.where("word is null").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    tokens, distinct = (seen["n"] or 0) + ends, (seen["words"] or 0) + (ends > 0)
+    frequent = top.where("word is not null").orderBy(F.desc("n"), "word").limit(plan.clustered).toPandas()
+    clustered = np.sort(frequent["word"].to_numpy(np.int64))
+
+    symbols = len(clustered) + FORMS + 1
+    pairs = _table(_meet(blocks, _meet(words, None, _first_symbols(clustered, None)), _neighbours(symbols)), symbols)
     cls = exchange(pairs, len(clustered), plan.classes, plan.sweeps)
-    kinds = plan.classes + FORMS + 1
-    member = np.zeros((len(pairs), kinds))
-    member[np.arange(len(pairs)), cls] = 1
-    table = member.T @ pairs @ member
+
+    kinds, half = plan.classes + FORMS + 1, 0
+    told = store(_meet(words, None, _first_symbols(clustered, cls)))
+    best, state, table, steps = -np.inf, told, np.zeros((kinds, kinds), np.int64), []
+    while True:
+        sent = store(_meet(blocks, told.where("peer >= 0"), _neighbours(kinds)))
+        pairs = _table(sent, kinds)
+        steps.append(likelihood(pairs))
+        if steps[-1] > best:
+            best, state, table = steps[-1], told, pairs
+        if len(steps) > 1 and steps[-1] < steps[-2] or len(steps) > 2 and steps[-1] - steps[-3] < plan.gain * tokens or not tokens:
+            break
+        told = store(_meet(words, told.where("peer = -1").unionByName(sent.where("key >= 0")), _moved(clustered, pairs, half, shards)))
+        half = 1 - half
+    state = state.where("peer = -1")
+
     into = (table.sum(0) + 1) / (table.sum() + kinds)
     transition = np.log10((table + plan.weight * into) / (table.sum(1, keepdims=True) + plan.weight))
-    rows = rows.sort_values("word")
-    head, n, form = rows["word"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["form"].to_numpy(np.int64)
-    symbol = _symbols(head, form, clustered)
-    in_class = np.bincount(cls[symbol], n * (symbol < len(clustered)), kinds)
-    # of form classes: all words but the clustered ones
-    form_n, form_words = np.zeros(FORMS), np.zeros(FORMS)
-    for r in words.groupBy("form").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
-        form_n[r["form"]], form_words[r["form"]] = r["n"], r["words"]
-    own = symbol < len(clustered)
-    form_n -= np.bincount(form[own], n[own], FORMS)
-    form_words -= np.bincount(form[own], minlength=FORMS)
-    form_total = np.log10(form_n + plan.add * (form_words + 1))
-    emission = np.where(own, np.log10(np.maximum(n, 1) / np.maximum(in_class[cls[symbol]], 1)), np.log10(n + plan.add) - form_total[form])
-    size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).first()
-    tokens, distinct = (size["n"] or 0) + ends, size["words"] + (ends > 0)
-    return BrownModel(words, tokens, distinct, head, n, cls[symbol], emission, transition, np.arange(plan.classes, plan.classes + FORMS),
-                      form_total, float(np.log10(tokens + plan.add * (distinct + 1))))
-
-
-_ROW = "rid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, rare array<struct<word:bigint,form:int,n:bigint>>"
-_ARROW = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-                    ("rare", pa.list_(pa.struct([("word", pa.int64()), ("form", pa.int32()), ("n", pa.int64())])))])
-
-
-def _score_texts(docs: DataFrame, model: BrownModel, plan: BrownPlan, ends: int) -> DataFrame:
-    """Each row's sums over frequent words, ends and transitions, and its rare words with their counts."""
-    head, head_n, head_class, emission = model.head, model.head_n, model.head_class, model.head_emission
-    base = np.log10(head_n + plan.add) - model.base_total
-    end_base = float(np.log10(ends + plan.add)) - model.base_total
-    transition, form_class, add = model.transition, model.form_class, plan.add
-    end = len(transition) - 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for c in tb.chunks(batch.column(1)):
-                h, form, text = _words(c)
-                if len(head):
-                    at = np.minimum(np.searchsorted(head, h), len(head) - 1)
-                    known = head[at] == h
-                else:
-                    at, known = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-                cls = form_class[form]
-                cls[known] = head_class[at[known]]
-                s, owner = _with_ends(cls, text, c.n, end)
-                inside = owner[:-1] == owner[1:]
-                score = np.bincount(owner[:-1][inside], transition[s[:-1][inside], s[1:][inside]], c.n)
-                score += np.bincount(text[known], emission[at[known]], c.n)
-                total = np.bincount(text[known], base[at[known]], c.n) + end_base
-                n_known = np.bincount(text[known], minlength=c.n) + (ends > 0)
-                rare = np.flatnonzero(~known)
-                order = rare[np.lexsort((h[rare], text[rare]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
-                first = order[new]
-                n = np.diff(np.append(np.flatnonzero(new), len(order)))
-                bounds = np.searchsorted(text[first], np.arange(c.n + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays(
-                    [pa.array(h[first]), pa.array(form[first].astype(np.int32)), pa.array(n)], names=["word", "form", "n"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid + np.arange(c.n)), batch.column(0).slice(c.first, c.n), pa.array(np.bincount(text, minlength=c.n) + 1),
-                     pa.array(n_known.astype(np.int64)), pa.array(total), pa.array(score), lists], schema=_ARROW)
-                rid += c.n
-
-    return docs.select("doc_id", "text").mapInArrow(run, _ROW)
+    members = np.zeros(256, np.int64)
+    for r in state.select("b").toLocalIterator():
+        members += np.frombuffer(r["b"], np.int64)
+    of_class = table.sum(0)
+    # unseen words fall to the classes of forms
+    smooth = np.arange(kinds) >= plan.classes
+    class_total = np.log10(np.where(smooth, of_class + plan.add * (members[:kinds] + 1), np.maximum(of_class, 1)))
+    return BrownModel(blocks, words, state, tokens, ends, transition, class_total, float(np.log10(tokens + plan.add * (distinct + 1))))
+
+
+def _classes_and_counts(shard: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+    """For ``_meet`` of shards with their state: tell the blocks class and training count of every word."""
+    _, _, n, blocks, places = _shard_words(own)
+    cls = np.frombuffer(got[0]["a"], np.uint8)
+    for b, at in zip(blocks, places):
+        yield _batch([(b, shard, cls[at].tobytes(), n[at].tobytes(), None)])
+
+
+_SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+
+
+def _scored(model: BrownModel, plan: BrownPlan):
+    """For ``_meet`` of blocks: the scores of their texts."""
+    transition, class_total, base_total, ends = model.transition, model.class_total, model.base_total, model.ends
+    kinds, end_base = len(transition), float(np.log10(model.ends + plan.add)) - model.base_total
+
+    def fn(block: int, own: list[dict], got: list[dict]) -> Iterator[pa.RecordBatch]:
+        cls = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["a"], np.uint8) for r in got)]).astype(np.int64)
+        n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["b"], np.int64) for r in got)])
+        seq, s, _ = _pairs_of(own, kinds, cls)
+        base = np.append(np.log10(n + plan.add) - base_total, end_base)
+        emission = np.append(np.log10(np.where(cls >= plan.classes, n + plan.add, np.maximum(n, 1))) - class_total[cls], 0)
+        text = np.cumsum(seq[:-1] == len(cls)) - 1     # of the pair that starts here
+        size = text[-1] + 1
+        by_class = 10.0 ** (transition[s[:-1], s[1:]] + emission[seq[1:]])
+        score = np.bincount(text, np.log10((1 - plan.base) * by_class + plan.base * 10.0 ** base[seq[1:]]), size)
+        known = np.bincount(text, np.append(n > 0, ends > 0)[seq[1:]], size).astype(np.int64)
+        ids = pa.array(_unpack(own[0]["b"], np.int64), mask=(_unpack(own[0]["c"], np.int8) & 2).astype(bool))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.bincount(text, minlength=size)), pa.array(known),
+                                          pa.array(np.bincount(text, base[seq[1:]], size)), pa.array(score)],
+                                         names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    return fn
 
 
 def score_documents(docs: DataFrame, plan: BrownPlan = BrownPlan()) -> DataFrame:
@@ -313,23 +576,7 @@ def score_documents(docs: DataFrame, plan: BrownPlan = BrownPlan()) -> DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train_brown(docs, plan)
-    ends = docs.where(~held_out(plan)).count()
-    rows = materialize(_score_texts(docs, model, plan, ends))
-    rare = rows.select("rid", F.explode("rare").alias("r")).select("rid", "r.*")
-    least = int(model.head_n.min()) if len(model.head_n) else None
-    words = model.words.select("word", F.col("n").alias("seen"))
-    words = words.where(F.col("seen") <= least) if least is not None else words
-    totals = F.array(*[F.lit(float(x)) for x in model.form_total])
-    seen = F.coalesce("seen", F.lit(0)) + F.lit(plan.add)
-    rare = (rare.join(words, "word", "left").groupBy("rid").agg(
-        F.sum(F.col("n") * (F.log10(seen) - F.lit(model.base_total))).alias("rare_base"),
-        F.sum(F.col("n") * (F.log10(seen) - F.element_at(totals, F.col("form") + 1))).alias("rare_score"),
-        F.sum(F.when(F.col("seen").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known")))
-    zero = F.lit(0.0)
-    out = rows.drop("rare").join(rare, "rid", "left")
-    score = F.col("score") + F.coalesce("rare_score", zero)
-    return out.select("doc_id", held_out(plan).alias("held_out"), "n_tokens",
-                      (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-                      F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
-                      (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"), score.alias("score"),
-                      F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"))
+    told = _meet(model.words, model.state, _classes_and_counts)
+    rows = _meet(model.blocks, told, _scored(model, plan), _SCORED)
+    return rows.select("doc_id", held_out(plan).alias("held_out"), "n_tokens", "n_known", F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
+                       "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -73,6 +73,24 @@ def test_brown_odd_cases(spark):
     assert brown.score_documents(empty(spark)).count() == 0
 
 
+def test_words_beyond_the_most_frequent_get_classes_of_their_neighbours(spark):
+    rng = random.Random(5)
+    after_the, after_of = ([f"{c}{k}x" for k in range(80)] for c in "ab")   # of one form, each far rarer than "the" and "of"
+
+    def text(first, second, n=20):
+        return " ".join(f"the {rng.choice(first)} of {rng.choice(second)}" for _ in range(n))
+
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(400) if not zlib.crc32(str(i).encode()) % 10][:2]
+    like = [(rng.choice(after_the), rng.choice(after_of)) for _ in range(20)]
+    rows = [(i, text(after_the, after_of)) for i in ids] + [(held[0], " ".join(f"the {a} of {b}" for a, b in like)),
+                                                            (held[1], " ".join(f"the {b} of {a}" for a, b in like))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in rows_of(brown.score_documents(docs, brown.BrownPlan(clustered=2, shard_bytes=1 << 15)))}
+    assert len(got) == len(rows) and got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 10   # the same words, told apart by their neighbours alone
+
+
 # -- n-gram Jaccard join ----------------------------------------------------------------
 
 
