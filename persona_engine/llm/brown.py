@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from persona_engine.llm import textbytes as tb
+from persona_engine.llm.memory import release_memory
 from persona_engine.llm.tables import store
 from persona_engine.session import materialize
 
@@ -153,6 +154,7 @@ def _encode(docs: DataFrame, shards: int) -> DataFrame:
                     block, held, tokens = block + 1, [], 0
         if held:
             yield from out()
+        release_memory()
 
     return docs.select("doc_id", "train", "text").mapInArrow(run, "of_block boolean, " + _ROW)
 
@@ -177,15 +179,23 @@ def _by_key(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("key").agg(F.collect_list(F.struct("peer", "a", "b", "c")).alias(name))
 
 
-def _meet(own: DataFrame, got: DataFrame | None, fn, schema: str = _ROW) -> DataFrame:
-    """Rows of ``fn(key, own rows, got rows)`` for every key of ``own``, each list by peer."""
+def _meet(own: DataFrame, got: DataFrame | None, fn, schema: str = _ROW, then=None) -> DataFrame:
+    """Rows of ``fn(key, own rows, got rows)`` for every key of ``own``, each list by peer.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    then: what each task makes of its rows. It runs in the same Python worker: a further mapInArrow in the stage
+    would keep a second worker for each core of an executor, with its memory, until the job ends.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 lists = [sorted(batch.column(k)[i].as_py() or [], key=lambda r: r["peer"]) for k in range(1, batch.num_columns)]
                 yield from fn(batch.column(0)[i].as_py(), *lists)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(each(batches)) if then else each(batches)
+        release_memory()
+
     own = _by_key(own, "own")
     # the blocks and shards stay where they are, the rows come to them
     both = own.join(_by_key(got, "got").hint("merge"), "key", "left") if got is not None else own.withColumn("got", F.lit(None).cast("array<int>"))
@@ -245,18 +255,26 @@ def _neighbours(size: int):
     return fn
 
 
-def _table(sent: DataFrame, size: int) -> np.ndarray:
-    """Counts of symbol pairs over all blocks (at most size * size rows)."""
+_PAIRS = "pair bigint, n bigint"
+
+
+def _summed(size: int):
+    """For rows to -1: counts of symbol pairs over a task's blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[np.frombuffer(a, np.int64)] += np.frombuffer(b, np.int64)
+            for a, b in zip(batch.column("a"), batch.column("b")):
+                total[np.frombuffer(a.as_buffer(), np.int64)] += np.frombuffer(b.as_buffer(), np.int64)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
-    rows = sent.where("key = -1").select("a", "b").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    return run
+
+
+def _table(pairs: DataFrame, size: int) -> np.ndarray:
+    """Counts of symbol pairs over all tasks (at most size * size rows)."""
+    rows = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size * size, np.int64)
     out[rows["pair"].to_numpy()] = rows["n"].to_numpy()
     return out.reshape(size, size)
@@ -499,7 +517,8 @@ def train_brown(docs: DataFrame, plan: BrownPlan = BrownPlan()) -> BrownModel:
     clustered = np.sort(frequent["word"].to_numpy(np.int64))
 
     symbols = len(clustered) + FORMS + 1
-    pairs = _table(_meet(blocks, _meet(words, None, _first_symbols(clustered, None)), _neighbours(symbols)), symbols)
+    told = _meet(words, None, _first_symbols(clustered, None))
+    pairs = _table(_meet(blocks, told, _neighbours(symbols), _PAIRS, _summed(symbols)), symbols)
     cls = exchange(pairs, len(clustered), plan.classes, plan.sweeps)
 
     kinds, half = plan.classes + FORMS + 1, 0
@@ -507,7 +526,7 @@ def train_brown(docs: DataFrame, plan: BrownPlan = BrownPlan()) -> BrownModel:
     best, state, table, steps = -np.inf, told, np.zeros((kinds, kinds), np.int64), []
     while True:
         sent = store(_meet(blocks, told.where("peer >= 0"), _neighbours(kinds)))
-        pairs = _table(sent, kinds)
+        pairs = _table(sent.where("key = -1").select("a", "b").mapInArrow(_summed(kinds), _PAIRS), kinds)
         steps.append(likelihood(pairs))
         if steps[-1] > best:
             best, state, table = steps[-1], told, pairs

@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 sys.path.insert(0, str(Path(__file__).parent))
 from conftest import SF001  # noqa: E402
@@ -73,6 +74,23 @@ def test_brown_odd_cases(spark):
     assert brown.score_documents(empty(spark)).count() == 0
 
 
+def test_brown_stages_run_one_python_node(spark, monkeypatch):
+    plans, collect = [], DataFrame.toPandas
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(DataFrame, "toPandas", spy)
+    got = brown.train_brown(messy(spark))
+    monkeypatch.undo()
+    # a second worker for each core would keep its memory until the job ends
+    assert sum("MapInArrow" in p for p in plans) >= 3
+    assert not [p for p in plans if re.search(r"MapInArrow((?!Exchange).)*MapInArrow", p, re.DOTALL)]
+    tokens = sum(len(lower_words(t)) + 1 for i, t, *_ in messy_rows() if i is not None and zlib.crc32(str(i).encode()) % 10)
+    assert got.tokens == tokens
+
+
 def test_words_beyond_the_most_frequent_get_classes_of_their_neighbours(spark):
     rng = random.Random(5)
     after_the, after_of = ([f"{c}{k}x" for k in range(80)] for c in "ab")   # of one form, each far rarer than "the" and "of"
